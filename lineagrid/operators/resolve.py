@@ -23,13 +23,19 @@ from lineagrid.operators.scopes import EVERY_NAME
 from lineagrid.session import keep, keep_bucketed
 
 TABLE_TYPE = "struct<cat:string,sch:string,name:string>"
-NO_TABLE = F.lit(None).cast(TABLE_TYPE)
-DUAL = F.struct(F.lit("").alias("cat"), F.lit("").alias("sch"), F.lit("dual").alias("name"))
-NOWHERE = F.struct(F.lit("").alias("cat"), F.lit("").alias("sch"), F.lit("").alias("name"))
 # Rules whose result depends on who asks: see `for_conditions` and `for_report`.
 GUESSES = ["FIRST_TABLE", "NOTHING"]
 
 
+def no_table() -> Column:
+    return F.lit(None).cast(TABLE_TYPE)
+
+
+def named_only(name: str) -> Column:
+    """A table known by name alone; without a name, no table at all."""
+    return F.struct(F.lit("").alias("cat"), F.lit("").alias("sch"), F.lit(name).alias("name"))
+
+
 @dataclass
 class Model:
     """The structural tables that resolution reads."""
@@ -121,7 +127,7 @@ def scope_outcome(df: DataFrame, m: Model, names: DataFrame) -> tuple[DataFrame,
     pairs = pairs.withColumn("outcome", outcome).select(
         "h", "s", "n", "outcome", "is_cte", "scope_star", "first_base",
         F.when(F.col("outcome") == "STAR", star_table)
-        .when(F.col("outcome") == "DERIVED", DUAL)
+        .when(F.col("outcome") == "DERIVED", named_only("dual"))
         .when(F.col("outcome") == "SINGLE", F.col("single_table")).alias("scope_table"),
         F.when(F.col("outcome") == "STAR", "SUBQUERY_STAR_FALLBACK")
         .when(F.col("outcome") == "DERIVED", "DERIVED_COLUMN")
@@ -192,7 +198,7 @@ def classify(nodes: DataFrame, m: Model, names: DataFrame) -> tuple[DataFrame, D
     placed = keep(placed)
     direct = placed.filter(settled).select(
         "h", "bpos", "q", "n", "node", F.col("early").alias("rule"),
-        F.when(F.col("early") == "PLACEHOLDER", DUAL)
+        F.when(F.col("early") == "PLACEHOLDER", named_only("dual"))
         .when(F.col("early") == "OWN_TABLE", F.col("own"))
         .otherwise(F.col("lone")).alias("table"),
         F.when(F.col("early") == "PLACEHOLDER", "PLACEHOLDER_COLUMN").otherwise("").alias("reason"),
@@ -258,7 +264,7 @@ def classify(nodes: DataFrame, m: Model, names: DataFrame) -> tuple[DataFrame, D
         .when(F.col("rule").isin("ONE_BASE", "SOME_BASE"), F.col("block_base"))
         .when(F.col("rule") == "STAR_TABLE", F.col("star_table"))
         .when(F.col("rule") == "FIRST_TABLE", F.col("first_table"))
-        .when(F.col("rule") == "NOTHING", NOWHERE).alias("table"),
+        .when(F.col("rule") == "NOTHING", named_only("")).alias("table"),
         F.when(scope_rule & tweak.isNotNull() & ~goes_on, tweak)
         .when(scope_rule, F.col("scope_reason"))
         .when(F.col("rule") == "OWN_CTE_BASE", "CTE_ANY_TABLE_FALLBACK")
@@ -305,7 +311,7 @@ def star_choice(nodes: DataFrame, m: Model, names: DataFrame, with_rest: bool) -
                 F.col("key_table").isNotNull(),
                 F.struct(F.col("key_table").alias("table"), F.lit(None).cast("int").alias("s")),
             )
-            .when(F.col("traces"), F.struct(NO_TABLE.alias("table"), F.col("key_scope").alias("s")))
+            .when(F.col("traces"), F.struct(no_table().alias("table"), F.col("key_scope").alias("s")))
             .when(
                 F.col("single_table").isNotNull(),
                 F.struct(F.col("single_table").alias("table"), F.lit(None).cast("int").alias("s")),
@@ -339,7 +345,7 @@ def star_choice(nodes: DataFrame, m: Model, names: DataFrame, with_rest: bool) -
         .join(subs, ["h", "bpos", "n"], "left")
         .select(
             "h", "bpos", "n",
-            F.when(F.col("all_scopes").isNull(), table).otherwise(NO_TABLE).alias("table"),
+            F.when(F.col("all_scopes").isNull(), table).otherwise(no_table()).alias("table"),
             F.col("all_scopes").alias("s"),
             F.when(F.col("n_tables") == 1, "").otherwise("SUBQUERY_STAR_FALLBACK").alias("reason"),
         )
@@ -393,7 +399,7 @@ def expand_outputs(wanted: DataFrame, m: Model, names: DataFrame) -> tuple[DataF
         .select("h", "bpos", "n", F.col("bpos").alias("at"), F.array("bpos").alias("path"))
     )
     if seed.isEmpty():
-        rows = seed.select("h", "bpos", "n", NO_TABLE.alias("table"), F.lit("").alias("reason"), "path")
+        rows = seed.select("h", "bpos", "n", no_table().alias("table"), F.lit("").alias("reason"), "path")
         return direct, rows
 
     star_blocks = m.info.filter("has_star").select("h", F.col("bpos").alias("at"))
@@ -472,7 +478,7 @@ def text_rules(open_: DataFrame, m: Model, names: DataFrame) -> tuple[DataFrame,
         .select(
             "h", "bpos", "q", "n", node_id("text").alias("node"), F.lit("TEXT").alias("rule"), "s",
             F.when(goes_on, F.col("outcome")).when(bases, "BASES").alias("act"),
-            F.when(goes_on | bases, NO_TABLE).when(hit_scope, F.col("scope_table"))
+            F.when(goes_on | bases, no_table()).when(hit_scope, F.col("scope_table"))
             .when(first, F.col("first_base")).otherwise(F.col("text_table")).alias("table"),
             F.when(hit_scope, F.col("scope_reason"))
             .when(first, "CTE_ANY_TABLE_FALLBACK")

@@ -12,23 +12,28 @@ from pyspark.sql import functions as F
 from lineagrid.operators.closure import follow
 from lineagrid.session import keep
 
-TABLE = F.struct("cat", "sch", "name")
-IDENTITY = F.struct("name", "sch", "cat")
-TABLE_AND_CTE = F.struct("table", "table_cte")
 EVERY_NAME = "*"
 
 
+def table_struct():
+    return F.struct("cat", "sch", "name")
+
+
+def identity():
+    return F.struct("name", "sch", "cat")
+
+
 def block_info(blocks: DataFrame, sources: DataFrame, outputs: DataFrame) -> DataFrame:
     """Counts and first entries of each block's FROM list, and its stars."""
     is_table = F.col("kind") == "T"
     per_source = sources.groupBy("h", "bpos").agg(
         F.count(F.when(is_table, 1)).alias("n_tables"),
         F.count(F.when(~is_table, 1)).alias("n_subs"),
-        F.min_by(F.when(is_table, TABLE), F.when(is_table, F.col("pos"))).alias("first_table"),
+        F.min_by(F.when(is_table, table_struct()), F.when(is_table, F.col("pos"))).alias("first_table"),
         F.min_by(F.when(is_table, F.col("target")), F.when(is_table, F.col("pos")))
         .alias("first_cte"),
-        F.min(F.when(is_table, IDENTITY)).alias("id_from"),
-        F.max(F.when(is_table, IDENTITY)).alias("id_to"),
+        F.min(F.when(is_table, identity())).alias("id_from"),
+        F.max(F.when(is_table, identity())).alias("id_to"),
         F.min(F.when(~is_table, F.col("target"))).alias("only_sub"),
     )
     stars = outputs.groupBy("h", "bpos").agg(F.max("is_star").alias("has_star"))
@@ -47,7 +52,7 @@ def source_keys(sources: DataFrame, scopes: DataFrame) -> DataFrame:
     def named(kind_filter, column, rank):
         return sources.filter(kind_filter).select(
             "h", "bpos", F.lower(column).alias("key"), "pos", F.lit(rank).alias("rank"),
-            TABLE.alias("table"), F.when(F.col("kind") == "T", F.lit(None)).otherwise(F.col("target"))
+            table_struct().alias("table"), F.when(F.col("kind") == "T", F.lit(None)).otherwise(F.col("target"))
             .alias("scope"), F.col("kind"),
             F.when(F.col("kind") == "T", F.col("target")).alias("table_cte"),
         )
@@ -62,7 +67,7 @@ def source_keys(sources: DataFrame, scopes: DataFrame) -> DataFrame:
     is_table = F.col("kind") == "T"
     place = F.struct("pos", "rank")
     picked = entries.groupBy("h", "bpos", "key").agg(
-        F.min_by(F.when(is_table, TABLE_AND_CTE), F.when(is_table, place)).alias("t"),
+        F.min_by(F.when(is_table, F.struct("table", "table_cte")), F.when(is_table, place)).alias("t"),
         F.max_by(
             F.when(~is_table, F.struct("scope", (F.col("kind") == "C").alias("is_cte"))),
             F.when(~is_table, place),
@@ -132,8 +137,8 @@ def scope_tables(reached: DataFrame, info: DataFrame, sources: DataFrame) -> Dat
 
 def base_summary(tables: DataFrame, keys: list[str]) -> DataFrame:
     return tables.groupBy(*keys).agg(
-        F.min_by(TABLE, "path").alias("first_base"),
-        (F.min(IDENTITY) == F.max(IDENTITY)).alias("one_base"),
+        F.min_by(table_struct(), "path").alias("first_base"),
+        (F.min(identity()) == F.max(identity())).alias("one_base"),
     )
 
 
