@@ -6,13 +6,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _trimmed(text: Column) -> Column:
-    return F.regexp_replace(text, F.lit(r"(?U)^\s+|\s+$"), F.lit(""))
+# Characters that count as white space at the ends of a text.
+BLANKS = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
+def strip(text: Column) -> Column:
+    """Remove white space of any kind at both ends."""
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def bare_identifier(part: Column) -> Column:
     """A name without its square brackets or double quotes."""
-    part = F.regexp_replace(_trimmed(part), F.lit(r"(?s)^\[(.*)\]$"), F.lit("$1"))
+    part = F.regexp_replace(strip(part), F.lit(r"(?s)^\[(.*)\]$"), F.lit("$1"))
     return F.regexp_replace(part, F.lit('(?s)^"(.*)"$'), F.lit("$1"))
 
 
@@ -28,16 +36,16 @@ def last_two_parts(ref: Column) -> list[Column]:
 
 def table_only(name: Column) -> Column:
     """What follows the last dot."""
-    name = _trimmed(F.coalesce(name, F.lit("")))
-    return _trimmed(F.element_at(F.split(name, r"\."), -1))
+    name = strip(F.coalesce(name, F.lit("")))
+    return strip(F.element_at(F.split(name, r"\."), -1))
 
 
 def split_dblink(name: Column) -> tuple[Column, Column]:
     """(table, '@link') at the first '@'; an empty link is no link."""
-    name = _trimmed(F.coalesce(name, F.lit("")))
+    name = strip(F.coalesce(name, F.lit("")))
     at = F.instr(name, "@")
-    link = _trimmed(name.substr(at + 1, F.length(name)))
-    table = F.when(at > 0, _trimmed(name.substr(F.lit(1), at - 1))).otherwise(name)
+    link = strip(name.substr(at + 1, F.length(name)))
+    table = F.when(at > 0, strip(name.substr(F.lit(1), at - 1))).otherwise(name)
     dblink = F.when((at > 0) & (link != ""), F.concat(F.lit("@"), link)).otherwise(F.lit(""))
     return table, dblink
 

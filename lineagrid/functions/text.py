@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lineagrid.functions.names import last_two_parts
+from lineagrid.functions.names import last_two_parts, strip
+
 
 # Words that end an inline comment.
 COMMENT_END_WORDS = [
@@ -24,16 +25,11 @@ def _sub(text: Column, pattern: str, replacement: str) -> Column:
     return F.regexp_replace(text, F.lit(pattern), F.lit(replacement))
 
 
-def strip(text: Column) -> Column:
-    """Remove white space of any kind at both ends."""
-    return _sub(text, r"(?U)^\s+|\s+$", "")
-
-
 def clean_statement(text: Column) -> Column:
     """Undo spreadsheet line ends, squeeze blanks, keep line breaks."""
     text = _sub(text, "(?i)_x000D_", "\n")
     text = _sub(text, "\r\n?", "\n")
-    return strip(_sub(text, "[\t ]+", " "))
+    return strip(_sub(text, "[\t ]{2,}|\t", " "))
 
 
 def inline_comments_to_block(text: Column) -> Column:

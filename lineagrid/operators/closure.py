@@ -2,7 +2,8 @@
 
 Each round is one equi-join inside the statements that still have something to
 follow; the loop ends when a round adds nothing. Rounds are as many as the
-query nesting is deep. Every round is checkpointed, so the plan stays short.
+query nesting is deep. The rows of every round are checkpointed, so the plan
+stays short and a lost executor costs no earlier round.
 """
 
 from __future__ import annotations
@@ -34,17 +35,16 @@ def follow(seed: DataFrame, step, best_of: list[str], order: str) -> DataFrame:
         picked = F.min(F.struct(order, *rest)).alias("p")
         return df.groupBy(*best_of).agg(picked).select(*best_of, "p.*").select(*columns)
 
-    known = keep(best(seed))
-    frontier = known
+    frontier = keep(best(seed))
+    rounds = [frontier]
     while not frontier.isEmpty():
-        old = known.select(*best_of, F.col(order).alias("old_order"))
+        known = union_all(rounds).select(*best_of, order)
+        known = known.groupBy(*best_of).agg(F.min(order).alias("old_order"))
         frontier = keep(
             best(step(frontier).select(*columns))
-            .join(old, best_of, "left")
+            .join(known, best_of, "left")
             .filter(F.col("old_order").isNull() | (F.col(order) < F.col("old_order")))
             .drop("old_order")
         )
-        if frontier.isEmpty():
-            break
-        known = keep(best(known.unionByName(frontier)))
-    return known
+        rounds.append(frontier)
+    return best(union_all(rounds[:-1])) if len(rounds) > 2 else rounds[0]

@@ -60,6 +60,11 @@ def distinct_texts(statements: DataFrame) -> DataFrame:
     )
 
 
+def _rows(window):
+    """Running frame by rows; the default frame by values compares more."""
+    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
 def _flag(condition):
     return F.when(condition, 1).otherwise(0)
 
@@ -67,6 +72,7 @@ def _flag(condition):
 def _with_depth(tokens: DataFrame) -> DataFrame:
     """Neighbour words, bracket depth and the brackets that hold a query."""
     by_pos = Window.partitionBy("h").orderBy("pos")
+    running = _rows(by_pos)
     opened, closed = _flag(F.col("u") == "("), _flag(F.col("u") == ")")
     begins_query = F.col("nxt").isin("SELECT", "WITH") | (
         (F.col("nxt") == "(") & F.col("nxt2").isin("SELECT", "WITH")
@@ -77,7 +83,7 @@ def _with_depth(tokens: DataFrame) -> DataFrame:
         .withColumn("prv_tok2", F.lag("tok", 2).over(by_pos))
         .withColumn("nxt_tok", F.lead("tok", 1).over(by_pos))
         .withColumn("nxt_tok2", F.lead("tok", 2).over(by_pos))
-        .withColumn("dp", F.sum(opened).over(by_pos) - F.sum(closed).over(by_pos) + closed)
+        .withColumn("dp", F.sum(opened).over(running) - F.sum(closed).over(running) + closed)
         .withColumn("nxt", F.upper("nxt_tok"))
         .withColumn("nxt2", F.upper("nxt_tok2"))
         .withColumn("isq", (F.col("u") == "(") & F.coalesce(begins_query, F.lit(False)))
@@ -86,8 +92,9 @@ def _with_depth(tokens: DataFrame) -> DataFrame:
 
 def _with_scope(tokens: DataFrame) -> DataFrame:
     """Number of query brackets around a token and the innermost one."""
-    by_depth = Window.partitionBy("h", "dp").orderBy("pos")
+    by_depth = _rows(Window.partitionBy("h", "dp").orderBy("pos"))
     by_pos = Window.partitionBy("h").orderBy("pos")
+    running = _rows(by_pos)
     matching = F.last(
         F.when(F.col("u") == "(", F.struct("pos", "isq", F.col("prv_tok").alias("before"))), True
     ).over(by_depth)
@@ -102,7 +109,7 @@ def _with_scope(tokens: DataFrame) -> DataFrame:
         .withColumn("opens_next", F.coalesce(F.lead("isq").over(by_pos), F.lit(False)))
         .withColumn("prv_match_before", F.lag("match_before").over(by_pos))
         .withColumn(
-            "qd", F.sum(_flag(F.col("isq"))).over(by_pos) - F.sum("left_query").over(by_pos)
+            "qd", F.sum(_flag(F.col("isq"))).over(running) - F.sum("left_query").over(running)
         )
         .drop("left_query", "match_before")
     )
@@ -114,7 +121,7 @@ def _with_block(tokens: DataFrame) -> DataFrame:
     ``bpos`` is the position of the block's SELECT, ``cpos`` of the word that
     opened the clause, ``item`` the number of commas since then at block depth.
     """
-    in_scope = Window.partitionBy("h", "qd").orderBy("pos")
+    in_scope = _rows(Window.partitionBy("h", "qd").orderBy("pos"))
     scope = F.last(F.when(F.col("isq"), F.col("pos")), True).over(in_scope)
     select = F.last(F.when(F.col("u") == "SELECT", F.struct("pos", "dp")), True).over(in_scope)
     own = (F.col("dp") == F.col("bdp")) & F.col("bpos").isNotNull()
@@ -159,7 +166,7 @@ def _with_block(tokens: DataFrame) -> DataFrame:
             F.when((F.col("at.opens") == "JOIN_ON") & (F.col("item") > 0), F.lit("FROM"))
             .otherwise(F.col("at.opens")),
         )
-        .drop("at", "commas", "opens")
+        .drop("at", "commas", "opens", "nxt2")
     )
 
 

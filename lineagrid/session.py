@@ -15,9 +15,16 @@ KEY = "h"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Let joins on (h, more keys) reuse a partitioning on h alone, and make
-    sure that a checkpoint folder is set."""
+    """Let joins on (h, more keys) reuse a partitioning on h alone, let small
+    shuffle partitions stand, and make sure that a checkpoint folder is set.
+
+    Statement texts compress well and are dear to take apart, so partitions
+    that look small on disk are still worth a task of their own.
+    """
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+    # a task of a bucketed write holds few buckets: keep their files open, do not sort
+    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "64")
     checkpoint_dir(spark)
     return spark
 
