@@ -42,6 +42,11 @@ def job(spark: SparkSession, sf_dir: str) -> Lineage:
     return _jobs[key]
 
 
+def forget_jobs() -> None:
+    """Start the next query from the source tables again."""
+    _jobs.clear()
+
+
 # --- derived inputs that Spark and DuckDB build alike ------------------------
 
 COMMENTED = """

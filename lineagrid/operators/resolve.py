@@ -56,6 +56,7 @@ class Model:
     stars: DataFrame
     traceable: DataFrame
     all_scopes: DataFrame
+    scan_text: bool = True
 
 
 def node_id(prefix: str = "") -> Column:
@@ -501,7 +502,9 @@ def resolve(m: Model, more: DataFrame) -> tuple[DataFrame, DataFrame]:
     plain, nested = classify(mentions, m, names)
     plain = keep(plain)
     late = ["LATE_SCOPE_HIT", "LATE_BASE", "ANY", "ONE_BASE", "SOME_BASE", "STAR_SCOPE", "STAR_TABLE"]
-    scanned, nested_2 = text_rules(plain.filter(F.col("rule").isin(late + GUESSES)), m, names)
+    scanned, nested_2 = text_rules(
+        plain.filter(F.col("rule").isin(late + GUESSES) & F.lit(m.scan_text)), m, names
+    )
     scanned = keep(scanned)
     nodes = plain.unionByName(scanned, allowMissingColumns=True)
     nested = nested.unionByName(nested_2).distinct()

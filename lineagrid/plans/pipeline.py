@@ -13,7 +13,9 @@ from lineagrid.operators import facts, lists, report, scopes
 from lineagrid.operators.lineage import clause_number, mention_rows
 from lineagrid.operators.predicates import attribute, condition_mentions
 from lineagrid.operators.render import render
-from lineagrid.operators.resolve import Model, resolve, with_node
+from lineagrid.operators.resolve import (
+    Model, expand_outputs, resolve, scope_names, with_node,
+)
 from lineagrid.operators.tokens import distinct_texts, text_key, token_table
 from lineagrid.session import keep, keep_bucketed, prepare
 
@@ -22,11 +24,13 @@ class Lineage:
     """Column lineage of a table (stmt_id, JOB_NAME, READ_MODE, SELECT_STATEMENT).
 
     Only rows whose READ_MODE is exactly ``Select`` are read. Every property is
-    computed at most once and kept in the shared checkpoint folder.
+    computed at most once and kept in the shared checkpoint folder. Without
+    ``scan_text`` no name is guessed from the plain text of a statement.
     """
 
-    def __init__(self, statements: DataFrame):
+    def __init__(self, statements: DataFrame, scan_text: bool = True):
         prepare(statements.sparkSession)
+        self.scan_text = scan_text
         self.statements = statements.filter(F.col("READ_MODE") == "Select")
 
     @cached_property
@@ -47,7 +51,7 @@ class Lineage:
 
     @cached_property
     def ctes(self) -> DataFrame:
-        return keep(facts.ctes_of(self.scopes))
+        return facts.ctes_of(self.scopes)
 
     @cached_property
     def tables(self) -> DataFrame:
@@ -91,7 +95,7 @@ class Lineage:
             texts=self.texts, blocks=self.blocks, info=info, ranges=self.ranges,
             tables=self.tables, sources=self.sources, keys=keys, ctes=self.ctes,
             outputs=self.outputs, refs=self.refs, scopes=about, scope_tables=base, bases=bases,
-            stars=stars, traceable=traceable, all_scopes=self.scopes,
+            stars=stars, traceable=traceable, all_scopes=self.scopes, scan_text=self.scan_text,
         )
 
     @cached_property
@@ -185,6 +189,35 @@ class Lineage:
             "stmt_id", "JOB_NAME", "COLUMN", "REASON", "SELECT_STATEMENT"
         )
 
+    def trace_outputs(self, targets: DataFrame) -> DataFrame:
+        """Physical columns behind named outputs: targets (stmt_id, block_id,
+        target) give rows (stmt_id, block_id, target, CATALOG, ...). Stars are
+        followed for names that no output spells out."""
+        keyed = self._keyed_statements().select("stmt_id", "h").join(targets, "stmt_id")
+        asked = keyed.join(self.blocks.select("h", "bpos", "block_id"), ["h", "block_id"]).withColumn(
+            "n", F.lower("target")
+        )
+        m = self.model
+        feeds, ends = expand_outputs(
+            asked.select("h", "bpos", "n").distinct(), m, keep(scope_names(m))
+        )
+        up = lambda c: F.upper(unmark_placeholders(F.col(c)))
+        named = feeds.join(self.resolved[1].drop("path"), ["h", "node"]).select(
+            "h", "bpos", "n", "cat", "sch", "name_t", "col", "reason"
+        )
+        starred = ends.select(
+            "h", "bpos", "n", up("table.cat").alias("cat"), up("table.sch").alias("sch"),
+            up("table.name").alias("name_t"), F.upper("n").alias("col"), "reason",
+        )
+        found = named.unionByName(starred).dropDuplicates(
+            ["h", "bpos", "n", "cat", "sch", "name_t", "col"]
+        )
+        return asked.join(found, ["h", "bpos", "n"]).select(
+            "stmt_id", "block_id", "target", F.col("cat").alias("CATALOG"),
+            F.col("sch").alias("SCHEMA"), F.col("name_t").alias("TABLE"),
+            F.col("col").alias("COLUMN"), F.col("reason").alias("REASON"),
+        )
+
     # --- stage records -------------------------------------------------
 
     def _per_statement(self, facts_by_text: DataFrame) -> DataFrame:
