@@ -15,6 +15,7 @@ from lineagrid.functions.text import unmark_placeholders
 from lineagrid.functions.words import (
     CLAUSES, SET_WORDS, ends_operand, is_literal, is_name, name_parts,
 )
+from lineagrid.session import keep_bucketed
 
 NO_POS = -1
 
@@ -58,17 +59,28 @@ def scopes_of(tokens: DataFrame) -> DataFrame:
         F.when(cte, "CTE").when(source, "SOURCE").when(branch, "BRANCH").otherwise("EXPR")
     )
     cte_name = F.when(prv == ")", F.col("prv_match_before")).otherwise(F.col("prv_tok"))
-    outer = tokens.filter("opens_next").select(
-        "h", (F.col("pos") + 1).alias("spos"), F.col("spos").alias("outer_spos"),
+    nothing = F.lit(None)
+    here = F.struct(
+        (F.col("pos") + 1).alias("spos"), F.col("spos").alias("outer_spos"),
         F.col("bpos").alias("outer_bpos"), F.col("clause").alias("outer_clause"),
-        F.col("cpos").alias("outer_cpos"), F.col("item").alias("outer_item"),
-        F.col("u").alias("word"), F.when(u.isin(SET_WORDS), u).otherwise(prv).alias("set_word"),
-        kind.alias("kind"),
+        F.col("item").alias("outer_item"), u.alias("word"),
+        F.when(u.isin(SET_WORDS), u).otherwise(prv).alias("set_word"), kind.alias("kind"),
         F.when(cte, F.element_at(name_parts(cte_name), -1)).alias("cte_name"),
     )
-    leading = tokens.filter(F.col("isq") & (F.col("pos") == 0)).select(
-        "h", F.col("pos").alias("spos"), F.lit(NO_POS).alias("outer_spos"),
-        F.lit("BRANCH").alias("kind"),
+    # a statement may begin with a bracket, which no token stands before
+    leading = F.struct(
+        F.col("pos").alias("spos"), F.lit(NO_POS).alias("outer_spos"),
+        nothing.cast("int").alias("outer_bpos"), nothing.cast("string").alias("outer_clause"),
+        nothing.cast("int").alias("outer_item"), nothing.cast("string").alias("word"),
+        nothing.cast("string").alias("set_word"), F.lit("BRANCH").alias("kind"),
+        nothing.cast("string").alias("cte_name"),
+    )
+    at_start = F.col("isq") & (F.col("pos") == 0)
+    outer = tokens.filter(F.col("opens_next") | at_start).select(
+        "h",
+        F.inline(F.array_compact(F.array(
+            F.when(F.col("opens_next"), here), F.when(at_start, leading)
+        ))),
     )
     after = F.when(F.col("nxt") == "AS", F.col("nxt_tok2")).otherwise(F.col("nxt_tok"))
     ends = tokens.filter(F.col("closes").isNotNull()).select(
@@ -76,8 +88,7 @@ def scopes_of(tokens: DataFrame) -> DataFrame:
         F.when(is_name(after), F.element_at(name_parts(after), -1)).alias("alias"),
     )
     return (
-        outer.unionByName(leading, allowMissingColumns=True)
-        .join(ends, ["h", "spos"], "left")
+        outer.join(ends, ["h", "spos"], "left")
         .withColumn(
             "alias",
             F.when(F.col("kind") == "CTE", F.col("cte_name"))
@@ -122,7 +133,8 @@ def blocks_of(tokens: DataFrame, scopes: DataFrame) -> DataFrame:
         F.col("branch_no") == 1,
         F.concat(kind_of(F.lead("set_word").over(in_scope)), F.lit("_LEFT")),
     ).otherwise(F.concat(kind_of(F.col("set_word")), F.lit("_RIGHT")))
-    placed = (
+    # read three times below, so it is kept
+    placed = keep_bucketed(
         selects.join(cut, ["h", "bpos"], "left")
         .join(last, "h")
         .join(branch, ["h", "own_spos"], "left")
@@ -145,14 +157,13 @@ def blocks_of(tokens: DataFrame, scopes: DataFrame) -> DataFrame:
                 (F.col("n_branches") == 1) & (F.col("own_spos") == F.col("spos")),
                 F.col("spos") + 1,
             ).otherwise(F.col("bpos")),
-        )
+        ),
+        "placed",
     )
     firsts = placed.filter("branch_no = 1").select(
         "h", F.col("spos").alias("outer_spos"), F.col("bpos").alias("outer_first")
     )
-    root = placed.filter(F.col("spos") == NO_POS).groupBy("h").agg(
-        F.min("bpos").alias("root_bpos")
-    )
+    root_bpos = F.min(F.when(F.col("spos") == NO_POS, F.col("bpos"))).over(Window.partitionBy("h"))
     block_type = (
         F.when(F.col("n_branches") > 1, F.col("set_type"))
         .when(F.col("spos") == NO_POS, "ROOT_SELECT")
@@ -166,7 +177,7 @@ def blocks_of(tokens: DataFrame, scopes: DataFrame) -> DataFrame:
     )
     return (
         placed.join(firsts, ["h", "outer_spos"], "left")
-        .join(root, "h", "left")
+        .withColumn("root_bpos", root_bpos)
         .withColumn("block_id", F.row_number().over(preorder))
         .select(
             "h", "bpos", "bdp", "spos", "branch_no", "n_branches", "head", "tail", "block_id",

@@ -49,22 +49,20 @@ def block_info(blocks: DataFrame, sources: DataFrame, outputs: DataFrame) -> Dat
 def source_keys(sources: DataFrame, scopes: DataFrame) -> DataFrame:
     """What a qualifier means in a block: table (first entry wins) or scope
     (last entry wins)."""
-    def named(kind_filter, column, rank):
-        return sources.filter(kind_filter).select(
-            "h", "bpos", F.lower(column).alias("key"), "pos", F.lit(rank).alias("rank"),
-            table_struct().alias("table"), F.when(F.col("kind") == "T", F.lit(None)).otherwise(F.col("target"))
-            .alias("scope"), F.col("kind"),
-            F.when(F.col("kind") == "T", F.col("target")).alias("table_cte"),
-        )
+    is_table = F.col("kind") == "T"
 
-    entries = (
-        named("kind = 'T'", "name", 0)
-        .unionByName(named("kind = 'T'", "alias", 1))
-        .unionByName(named("kind = 'C'", "name", 0))
-        .unionByName(named("kind = 'C'", "alias", 1))
-        .unionByName(named("kind = 'S' AND alias IS NOT NULL", "alias", 1))
+    def entry(column, rank):
+        return F.struct(F.lower(column).alias("key"), F.lit(rank).alias("rank"))
+
+    entries = sources.select(
+        "h", "bpos", "pos", "kind", table_struct().alias("table"),
+        F.when(~is_table, F.col("target")).alias("scope"),
+        F.when(is_table, F.col("target")).alias("table_cte"),
+        F.inline(F.array_compact(F.array(
+            F.when(F.col("kind") != "S", entry("name", 0)),
+            F.when(F.col("alias").isNotNull(), entry("alias", 1)),
+        ))),
     )
-    is_table = F.col("kind") == "T"
     place = F.struct("pos", "rank")
     picked = entries.groupBy("h", "bpos", "key").agg(
         F.min_by(F.when(is_table, F.struct("table", "table_cte")), F.when(is_table, place)).alias("t"),

@@ -23,7 +23,8 @@ def text_key(cleaned):
 
 
 def distinct_texts(statements: DataFrame) -> DataFrame:
-    """One row per different text: (h, seq, text, sql, parse_error, toks).
+    """One row per different text: (h, seq, n_copies, text, sql,
+    parse_error, toks).
 
     The lineage of a statement depends on its text only, so copies are folded
     before any other work; the fold is partial on the map side, so a text that
@@ -35,7 +36,9 @@ def distinct_texts(statements: DataFrame) -> DataFrame:
         statements.select("stmt_id", clean_statement(F.col("SELECT_STATEMENT")).alias("text"))
         .filter(F.col("text") != "")
         .groupBy(text_key(F.col("text")).alias("h"))
-        .agg(F.min("stmt_id").alias("seq"), F.min("text").alias("text"))
+        .agg(
+            F.min("stmt_id").alias("seq"), F.count("*").alias("n_copies"), F.min("text").alias("text")
+        )
     )
     rewritten = F.when(F.col("error_1").isNotNull(), normalize_dynamic_sql(F.col("text")))
     texts = (
@@ -52,7 +55,7 @@ def distinct_texts(statements: DataFrame) -> DataFrame:
     )
     plain = without_partition_clause(F.regexp_replace("sql", r"[\s;]+$", ""))
     return texts.withColumn("marked", mark_placeholders(plain)).select(
-        "h", "seq", "text", "sql",
+        "h", "seq", "n_copies", "text", "sql",
         F.when(
             F.col("sql").isNull(), F.concat("error_1", F.lit(" | normalized: "), "error_2")
         ).alias("parse_error"),

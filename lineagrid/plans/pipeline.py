@@ -20,6 +20,12 @@ from lineagrid.operators.tokens import distinct_texts, text_key, token_table
 from lineagrid.session import keep, keep_bucketed, prepare
 
 
+# A text with more copies than this, and than its share of a large corpus, is
+# dealt out to several tasks where results go back to the statements.
+HOT_COPIES = 20_000
+MAX_HOT_TEXTS = 10_000
+
+
 class Lineage:
     """Column lineage of a table (stmt_id, JOB_NAME, READ_MODE, SELECT_STATEMENT).
 
@@ -165,10 +171,53 @@ class Lineage:
         text = clean_statement(F.col("SELECT_STATEMENT"))
         return self.statements.withColumn("h", text_key(text))
 
+    @cached_property
+    def hot_texts(self) -> DataFrame:
+        """(h, n_parts): texts with so many copies that they are split.
+
+        A text is hot above a ten-thousandth of all statements, so there are
+        fewer than ten thousand of them at any scale.
+        """
+        total = self.texts.agg(F.sum("n_copies")).first()[0] or 0
+        limit = max(HOT_COPIES, total // MAX_HOT_TEXTS)
+        return keep(
+            self.texts.filter(F.col("n_copies") > limit).select(
+                "h", F.ceil(F.col("n_copies") / limit).cast("int").alias("n_parts")
+            )
+        )
+
+    def _per_statement(self, by_text: DataFrame, *columns: str) -> DataFrame:
+        """Rows of ``by_text`` for every statement with that text.
+
+        The copies of a hot text are dealt out to parts and its rows repeated
+        once per part, so no task gets all copies; the part is in the join key.
+        """
+        hot = F.broadcast(self.hot_texts)
+
+        def part_key(part):
+            return F.when(
+                F.col("n_parts").isNotNull(),
+                F.concat("h", F.encode(part.cast("string"), "utf-8")),
+            ).otherwise(F.col("h"))
+
+        own_part = F.pmod(F.xxhash64("stmt_id"), F.col("n_parts"))
+        keyed = (
+            self._keyed_statements().join(hot, "h", "left")
+            .select(part_key(own_part).alias("part_key"), "stmt_id", *columns)
+        )
+        repeated = (
+            by_text.join(hot, "h", "left")
+            .withColumn("part", F.explode(
+                F.sequence(F.lit(0), F.coalesce(F.col("n_parts"), F.lit(1)) - 1)
+            ))
+            .withColumn("part_key", part_key(F.col("part")))
+            .drop("h", "n_parts", "part")
+        )
+        return keyed.join(repeated, "part_key").drop("part_key")
+
     def lineage(self) -> DataFrame:
         """Lineage rows of every statement, copies included."""
-        keyed = self._keyed_statements().select("h", "stmt_id", "JOB_NAME")
-        return keyed.join(self.rows, "h").select(
+        return self._per_statement(self.rows, "JOB_NAME").select(
             "stmt_id", "JOB_NAME", "block_id", "CATALOG", "SCHEMA", "TABLE", "COLUMN", "REASON",
             "CLAUSE", "CLAUSE_SQL", "WHERE_CONDITION",
         )
@@ -176,7 +225,7 @@ class Lineage:
     def rejects(self) -> DataFrame:
         """Statements whose text could not be read, with the reason."""
         bad = self.texts.filter("parse_error IS NOT NULL").select("h", "parse_error")
-        return self._keyed_statements().join(bad, "h").select(
+        return self._per_statement(bad, "JOB_NAME", "SELECT_STATEMENT").select(
             "stmt_id", "JOB_NAME", "SELECT_STATEMENT", "parse_error"
         )
 
@@ -185,7 +234,7 @@ class Lineage:
         rows = self.rows.filter("SCHEMA = '' AND TABLE = ''").filter(
             ~F.upper("COLUMN").startswith("V_")
         ).select("h", "COLUMN", "REASON")
-        return self._keyed_statements().join(rows, "h").select(
+        return self._per_statement(rows, "JOB_NAME", "SELECT_STATEMENT").select(
             "stmt_id", "JOB_NAME", "COLUMN", "REASON", "SELECT_STATEMENT"
         )
 
@@ -220,9 +269,6 @@ class Lineage:
 
     # --- stage records -------------------------------------------------
 
-    def _per_statement(self, facts_by_text: DataFrame) -> DataFrame:
-        return self._keyed_statements().select("h", "stmt_id").join(facts_by_text, "h").drop("h")
-
     def query_blocks(self) -> DataFrame:
         texts = render(
             self.blocks.select("h", "bpos", F.col("head").alias("start"), F.col("tail").alias("end")),

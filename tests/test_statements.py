@@ -173,3 +173,17 @@ def test_templates_copies_modes_and_stages(spark, tmp_path):
         (2, "T_A_5", "COL1", ""), (2, "T_B_5", "COL1", ""),
         (16, "RPT_TXN_5", "ANY_NAME", "STAR_ALIAS_FALLBACK"),
     }
+
+
+def test_hot_texts_are_dealt_out(spark, monkeypatch):
+    """A text with very many copies goes through several join keys, all rows kept."""
+    from lineagrid.plans import pipeline
+
+    monkeypatch.setattr(pipeline, "HOT_COPIES", 10)
+    texts = ["SELECT a.x, a.y FROM hot a"] * 100 + [f"SELECT a.x FROM t{i} a" for i in range(50)]
+    job = Lineage(statement_table(spark, texts))
+    assert [r.n_parts for r in job.hot_texts.collect()] == [10]
+    got = sorted((r.stmt_id, r.TABLE, r.COLUMN) for r in job.lineage().collect())
+    expected = [(i, "HOT", c) for i in range(100) for c in "XY"]
+    expected += [(100 + i, f"T{i}", "X") for i in range(50)]
+    assert got == sorted(expected)
