@@ -268,7 +268,13 @@ def catalog_tables(spark, sf_dir):
 
 
 def catalog_columns(spark, sf_dir):
-    return job(spark, sf_dir).catalog_columns()
+    return job(spark, sf_dir).catalog_columns().drop("clause_sql", "raw_sql")
+
+
+def clause_texts(spark, sf_dir):
+    return job(spark, sf_dir).catalog_columns().groupBy("clause_type", "clause_sql").agg(
+        F.count("*").alias("n_rows")
+    )
 
 
 ROW = ["stmt_id", "block_id", "SCHEMA", "TABLE", "COLUMN", "REASON", "CLAUSE"]
@@ -378,7 +384,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
         clean_text, clean_pages, clean_turns, inline_comments, mask_placeholders,
         restore_placeholders, normalize_dynamic_sql, table_names, readable_not, text_aliases,
-        text_tables, parse_status, token_depth, query_blocks, catalog_tables, catalog_columns,
+        text_tables, parse_status, token_depth, query_blocks, catalog_tables, catalog_columns, clause_texts,
         lineage, lineage_reasons, lineage_order_by, lineage_stars, lineage_tables, where_by_table,
         rejects, unresolved, column_list, table_list, schema_list, where_list, predicate_split,
         report_merged_conditions, report_best_rows, report_from_rows, report_rows, lineage_report,
@@ -535,6 +541,10 @@ def oracle_sql() -> dict[str, str]:
             f"CAST(v.block AS INT) AS block_id, {k('name')} AS table_name, v.sch AS schema_name, "
             f"{k('alias')} AS alias_name, v.type AS source_type",
         ),
+        "catalog_columns": f"""
+            SELECT stmt_id, block_id, '' AS catalog_name, "SCHEMA" AS schema_name,
+                   "TABLE" AS table_name, "COLUMN" AS column_name, "REASON" AS reason,
+                   "CLAUSE" AS clause_type FROM ({rows})""",
         "lineage": f'SELECT {row}, {squeezed("cond")} AS "WHERE_CONDITION" FROM ({with_where})',
         "lineage_reasons": f"""
             SELECT "REASON", "CLAUSE", count(*) AS n_rows, count(DISTINCT stmt_id) AS n_statements

@@ -8,7 +8,7 @@ stays short and a lost executor costs no earlier round.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lineagrid.session import keep
@@ -48,3 +48,34 @@ def follow(seed: DataFrame, step, best_of: list[str], order: str) -> DataFrame:
         )
         rounds.append(frontier)
     return best(union_all(rounds[:-1])) if len(rounds) > 2 else rounds[0]
+
+
+def contained(intervals: DataFrame, points: DataFrame, keys: list[str]) -> DataFrame:
+    """(*keys, low, high, at): the points strictly inside each interval.
+
+    ``intervals`` has (*keys, low, high), ``points`` (*keys, at). Borders and
+    points are sorted once per key and numbered; an interval is then a range of
+    numbers, so only pairs that belong to the result are ever made.
+    """
+    intervals = intervals.select(*keys, "low", "high").distinct()
+    points = points.select(*keys, "at").distinct()
+    borders = intervals.select(
+        *keys, "low", "high", F.explode(F.array("low", "high")).alias("at"), F.lit(0).alias("one")
+    )
+    marks = points.withColumn("one", F.lit(1))
+    running = Window.partitionBy(*keys).orderBy("at").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    ranges = (
+        borders.unionByName(marks, allowMissingColumns=True)
+        .withColumn("no", F.sum("one").over(running))
+        .filter("low IS NOT NULL")
+        .groupBy(*keys, "low", "high")
+        .agg(F.min("no").alias("first"), F.max("no").alias("last"))
+        .filter("last > first")
+        .select(*keys, "low", "high", F.explode(F.sequence(F.col("first") + 1, "last")).alias("no"))
+    )
+    numbered = points.withColumn(
+        "no", F.row_number().over(Window.partitionBy(*keys).orderBy("at")).cast("long")
+    )
+    return ranges.join(numbered, [*keys, "no"]).drop("no")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lineagrid.functions.text import unmark_placeholders
 from lineagrid.functions.words import CLAUSES
+from lineagrid.operators.closure import contained
 from lineagrid.operators.resolve import Model, feeding_columns
 from lineagrid.session import keep
 
@@ -63,13 +64,16 @@ def mention_rows(m: Model, nodes: DataFrame, results: DataFrame) -> DataFrame:
                 F.concat(F.array("at"), "path").alias("path"))
     )
     # the name as an output of any query nested in the block
-    area = m.blocks.select("h", "bpos", "head", "tail")
+    area = m.blocks.select(
+        "h", "bpos", F.col("head").alias("low"), (F.col("tail") + 1).alias("high")
+    )
+    asking = sorts.filter("way = 'NESTED'").drop("node").join(area, ["h", "bpos"])
+    below = contained(asking, feeding.select("h", "n", F.col("bpos").alias("at")), ["h", "n"])
     nested = (
-        sorts.filter("way = 'NESTED'").drop("node").join(area, ["h", "bpos"])
+        asking.join(below.withColumnRenamed("at", "inner"), ["h", "n", "low", "high"])
+        .filter(F.col("inner") != F.col("bpos"))
         .join(feeding.select("h", F.col("bpos").alias("inner"), "n", "node", F.col("pos").alias("at")),
-              ["h", "n"])
-        .filter((F.col("inner") > F.col("head")) & (F.col("inner") <= F.col("tail"))
-                & (F.col("inner") != F.col("bpos")))
+              ["h", "inner", "n"])
         .join(results, ["h", "node"])
         .select(*COLUMNS, "cat", "sch", "name_t", "col", "reason",
                 F.concat(F.array("at"), "path").alias("path"))

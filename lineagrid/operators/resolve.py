@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lineagrid.functions.text import text_alias_pairs, text_table_refs, unmark_placeholders
-from lineagrid.operators.closure import follow, union_all
+from lineagrid.operators.closure import contained, follow, union_all
 from lineagrid.operators.scopes import EVERY_NAME
 from lineagrid.session import keep, keep_bucketed
 
@@ -104,12 +104,15 @@ def scope_outcome(df: DataFrame, m: Model, names: DataFrame) -> tuple[DataFrame,
         .join(exported, ["h", "s", "n"], "left")
     )
     traced = F.col("by_name").isNotNull() | F.col("any_name").isNotNull()
-    missing = pairs.filter(~traced).select("h", "s", "n", "end_pos")
-    beneath = (F.col("bpos") > F.col("s")) & (F.col("bpos") < F.col("end_pos"))
-    every = m.traceable.filter(F.col("n") == EVERY_NAME).select("h", "bpos")
+    missing = pairs.filter(~traced).select(
+        "h", "n", F.col("s").alias("low"), F.col("end_pos").alias("high")
+    )
+    inside = m.traceable.select("h", "n", F.col("bpos").alias("at"))
+    by_name = contained(missing, inside.filter(F.col("n") != EVERY_NAME), ["h", "n"])
+    any_of = contained(missing, inside.filter(F.col("n") == EVERY_NAME), ["h"])
     nested = keep(
-        missing.join(m.traceable, ["h", "n"]).filter(beneath).select("h", "s", "n", "bpos")
-        .unionByName(missing.join(every, "h").filter(beneath).select("h", "s", "n", "bpos"))
+        by_name.unionByName(missing.join(any_of, ["h", "low", "high"]))
+        .select("h", F.col("low").alias("s"), "n", F.col("at").alias("bpos"))
         .distinct()
     )
     pairs = pairs.join(
@@ -437,27 +440,33 @@ def text_rules(open_: DataFrame, m: Model, names: DataFrame) -> tuple[DataFrame,
     By alias in the text (or its only table) before the weaker rules, by first
     table of the text at the end. A table that is a CTE is looked into.
     """
-    texts = m.texts.join(open_.select("h").distinct(), "h", "left_semi").select(
-        "h", text_alias_pairs(F.col("text")).alias("pairs"), text_table_refs(F.col("text")).alias("refs")
-    )
+    def as_table(ref: Column) -> Column:
+        return F.struct(
+            F.lit("").alias("cat"), ref["schema_name"].alias("sch"), ref["table_name"].alias("name")
+        )
+
+    texts = m.texts.join(open_.select("h").distinct(), "h", "left_semi")
     named = F.filter("refs", lambda r: r["table_name"] != "")
-    # of equal aliases the last one counts
-    hit = lambda: F.element_at(
-        F.filter("pairs", lambda p: p["alias"] == F.col("q")), -1
+    firsts = texts.select("h", text_table_refs(F.col("text")).alias("refs")).select(
+        "h",
+        F.when(F.size("refs") > 0, as_table(F.get("refs", F.lit(0)))).alias("first_ref"),
+        F.when(F.size(named) == 1, as_table(F.get(named, F.lit(0)))).alias("only_ref"),
     )
-    hits = F.size(F.filter("pairs", lambda p: p["alias"] == F.col("q")))
-    as_table = lambda r: F.struct(
-        F.lit("").alias("cat"), r["schema_name"].alias("sch"), r["table_name"].alias("name")
+    # of equal aliases the last one counts
+    aliases = (
+        texts.select("h", F.posexplode(text_alias_pairs(F.col("text"))).alias("nth", "pair"))
+        .groupBy("h", F.col("pair.alias").alias("q"))
+        .agg(F.max_by(as_table(F.col("pair")), "nth").alias("alias_ref"))
     )
     looked = (
         open_.select("h", "bpos", "q", "n", "rule")
-        .join(texts, "h")
-        .withColumn("n_hits", F.when(F.col("q") != "", hits).otherwise(0))
-        .withColumn("by_alias", F.when(F.col("n_hits") > 0, as_table(hit()))
-                    .when(F.size(named) == 1, as_table(F.get(named, F.lit(0)))))
-        .withColumn("first", F.when((F.size("refs") > 0) & (F.col("rule") == "NOTHING"),
-                                    as_table(F.get("refs", F.lit(0)))))
-        .withColumn("text_table", F.coalesce("by_alias", "first"))
+        .join(firsts, "h")
+        .join(aliases, ["h", "q"], "left")
+        .withColumn("by_alias", F.coalesce("alias_ref", "only_ref"))
+        .withColumn(
+            "text_table",
+            F.coalesce("by_alias", F.when(F.col("rule") == "NOTHING", F.col("first_ref"))),
+        )
         .filter("text_table IS NOT NULL")
         .select("h", "bpos", "q", "n", "text_table", F.col("by_alias").isNotNull().alias("aliased"),
                 F.lower("text_table.name").alias("cte_name"))

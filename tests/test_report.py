@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from lineagrid.operators import report
-from lineagrid.operators.closure import follow
+from lineagrid.operators.closure import contained, follow
 from lineagrid.operators.predicates import split_conditions
 from lineagrid.session import prepare
 from lineagrid.sources.statements import read_statements, write_report
@@ -129,3 +129,20 @@ def test_files_round_trip(spark, tmp_path):
         write_report(table, path, kind)
         back = sorted(tuple(r) for r in read_statements(spark, path, kind).collect())
         assert back == rows, kind
+
+
+def test_contained_matches_all_pairs(spark):
+    rng = random.Random(5)
+    points = {(k, 2 * rng.randrange(100)) for k in "ab" for _ in range(30)}
+    spans = set()
+    for k in "abc":
+        for _ in range(20):
+            low = 2 * rng.randrange(90) + 1
+            spans.add((k, low, low + 2 * rng.randrange(1, 20)))
+    got = contained(
+        spark.createDataFrame(sorted(spans), "k string, low int, high int"),
+        spark.createDataFrame(sorted(points), "k string, at int"), ["k"],
+    )
+    expected = {(k, lo, hi, p) for k, lo, hi in spans for j, p in points if j == k and lo < p < hi}
+    rows = [tuple(r) for r in got.select("k", "low", "high", "at").collect()]
+    assert len(rows) == len(expected) and set(rows) == expected
