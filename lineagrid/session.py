@@ -6,6 +6,7 @@ that a lost executor costs a re-read and never a recomputation from the source.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,14 +30,21 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a local one only where none is named."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        folder = folder or tempfile.mkdtemp(prefix="lineagrid-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder or spark.sparkContext.getCheckpointDir()
+def checkpoint_dir(spark: SparkSession, folder: str | None = None) -> str:
+    """The shared folder that all executors see: the argument, else
+    ``spark.checkpoint.dir``, else what the session has been given. Only a
+    session whose executors are threads of the driver gets a temporary one."""
+    context = spark.sparkContext
+    folder = folder or spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError(
+                "executors share no local folder: name a shared one in spark.checkpoint.dir"
+            )
+        folder = tempfile.mkdtemp(prefix="lineagrid-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def keep(df: DataFrame) -> DataFrame:
