@@ -18,7 +18,15 @@ from lineagrid.operators import report
 from lineagrid.operators.predicates import split_conditions
 from lineagrid.session import prepare
 
-TABLES = ["orders", "lineitem", "documents", "pages", "conversations", "part", "supplier"]
+try:
+    import corpus_pipeline
+    from lineagrid.llm import queries as llm
+except ModuleNotFoundError as missing:  # the text operators are a part that can be taken out
+    if missing.name not in ("corpus_pipeline", "lineagrid.llm", "lineagrid.llm.queries"):
+        raise
+    llm = None
+
+TABLES = ["orders", "lineitem", "documents", "pages", "conversations", "labels", "benchmark"]
 _jobs: dict[tuple[str, str], Lineage] = {}
 
 
@@ -390,7 +398,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         report_merged_conditions, report_best_rows, report_from_rows, report_rows, lineage_report,
         report_full,
     ]
-    return {q.__name__: q for q in listed}
+    found = {q.__name__: q for q in listed}
+    return found if llm is None else found | llm.queries() | {"pipeline": corpus_pipeline.run}
 
 
 # --- oracles -----------------------------------------------------------------
@@ -405,6 +414,13 @@ def _cleaned(column: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    if llm is None:
+        return lineage_oracles()
+    whole = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return lineage_oracles() | llm.oracle_sql() | whole
+
+
+def lineage_oracles() -> dict[str, str]:
     stm = f"({corpus.STATEMENTS})"
     good = f"(SELECT * FROM {stm} WHERE READ_MODE = 'Select')"
     k = "replace(v.{0}, '~', s.k)".format
