@@ -15,6 +15,7 @@ other than id and text play no part.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,8 @@ SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 WINDOW = 8
 MEASURED = (
-    "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+    "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+    "n_same_word long"
 )
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -73,6 +75,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sum(map(text.count, SYMBOLS)),
                 repeated_lines(text),
                 repeated_words(words),
+                sum(map(eq, words, words[1:])),
             ))
         columns = np.array(rows, np.int64).reshape(-1, len(names)).T
         yield pa.RecordBatch.from_arrays(
@@ -97,12 +100,15 @@ def rules() -> list[tuple[str, Column]]:
         ("short_words", c("word_chars") < 2 * c("n_words")),
         ("long_words", c("word_chars") > 20 * c("n_words")),
         ("dup_lines", 20 * c("n_dup_lines") > c("n_words")),
+        ("same_words", 10 * c("n_same_word") > 3 * c("n_words")),
     ]
 
 
-RULES = ["few_words", "repeats", "symbols", "short_words", "long_words", "dup_lines"]
+RULES = [
+    "few_words", "repeats", "symbols", "short_words", "long_words", "dup_lines", "same_words",
+]
 BASE = ("few_words", "repeats")
-POLICIES = {"base": BASE, "v1": (*BASE, "symbols"), "v2": tuple(RULES)}
+POLICIES = {"base": BASE, "v1": (*BASE, "symbols", "same_words"), "v2": tuple(RULES)}
 
 
 def mask(names: tuple[str, ...]) -> int:

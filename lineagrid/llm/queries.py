@@ -45,6 +45,9 @@ covered AS (
   SELECT doc_id, bool_or(hit) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS c
   FROM twice),
 repeats AS (SELECT doc_id, count(*) FILTER (c) AS n_repeat_words FROM covered GROUP BY doc_id),
+same AS (
+  SELECT doc_id, count(*) FILTER (word = before) AS n_same_word
+  FROM (SELECT doc_id, word, lag(word) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM w) GROUP BY doc_id),
 lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
 dups AS (
   SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines
@@ -53,16 +56,19 @@ m AS (
   SELECT d.doc_id, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS n_words,
     length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
     length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
-    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
-  FROM d LEFT JOIN dups ON d.doc_id = dups.doc_id LEFT JOIN repeats ON d.doc_id = repeats.doc_id),
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+    coalesce(n_same_word, 0) AS n_same_word
+  FROM d LEFT JOIN dups ON d.doc_id = dups.doc_id LEFT JOIN repeats ON d.doc_id = repeats.doc_id
+    LEFT JOIN same ON d.doc_id = same.doc_id),
 f AS (
   SELECT *, n_words < 20 AS few, 100 * n_repeat_words > 30 * n_words AS rep,
-    10 * n_symbols > 3 * n_words AS sym FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    10 * n_symbols > 3 * n_words AS sym,
+    10 * n_same_word > 3 * n_words AS same FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_same_word,
   CAST(few AS BIGINT) + 2 * CAST(rep AS BIGINT) + 4 * CAST(sym AS BIGINT)
     + 8 * CAST(word_chars < 2 * n_words AS BIGINT) + 16 * CAST(word_chars > 20 * n_words AS BIGINT)
-    + 32 * CAST(20 * n_dup_lines > n_words AS BIGINT) AS failed,
-  few OR rep AS base_failed, NOT (few OR rep OR sym) AS kept
+    + 32 * CAST(20 * n_dup_lines > n_words AS BIGINT) + 64 * CAST(same AS BIGINT) AS failed,
+  few OR rep AS base_failed, NOT (few OR rep OR sym OR same) AS kept
 FROM f
 """
 
