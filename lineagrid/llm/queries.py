@@ -8,27 +8,67 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineagrid.llm import exact_dedup, quality_rules
+import public_tokenizers
+
+from lineagrid.llm import bpe, exact_dedup, mixing, quality_rules, url_filter
+
+#: the rules of the url query: action, host, path prefix
+URL_RULES = [
+    ("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filters(spark, sf_dir):
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op2_byte_bpe(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 def op4_quality_rules(spark, sf_dir):
     entries = quality_rules.ledger(table(spark, sf_dir, "documents"))
     return quality_rules.apply_policy(entries, "v1")
 
 
+def op7_mixing(spark, sf_dir):
+    return mixing.taken_words(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.annotate_exact_copies(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op4_quality_rules, op8_exact_dedup]
+    listed = [op1_url_filters, op2_byte_bpe, op4_quality_rules, op7_mixing, op8_exact_dedup]
     return {q.__name__: q for q in listed}
 
 
+OP1 = r"""
+WITH u AS (
+  SELECT page_id,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+rules(action, rhost, rpath) AS (
+  VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'),
+    ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+fits AS (
+  SELECT page_id, arg_max(action, length(rhost || rpath)) AS action,
+    arg_max(rhost || rpath, length(rhost || rpath)) AS rule
+  FROM u JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+  GROUP BY page_id)
+SELECT u.page_id, host, path, rule, coalesce(action, 'allow') AS verdict
+FROM u LEFT JOIN fits ON u.page_id = fits.page_id
+"""
+
 OP4 = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (
@@ -83,4 +123,4 @@ FROM d WINDOW g AS (PARTITION BY text_sha256)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_rules": OP4, "op8_exact_dedup": OP8}
+    return {"op1_url_filters": OP1, "op4_quality_rules": OP4, "op8_exact_dedup": OP8}
