@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lineagrid.llm import bpe, exact_dedup, mixing, quality_rules, url_filter
+from lineagrid.llm import bpe, exact_dedup, mixing, ngram_join, quality_rules, url_filter
 
 #: the rules of the url query: action, host, path prefix
 URL_RULES = [
@@ -32,6 +32,11 @@ def op2_byte_bpe(spark, sf_dir):
     return bpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op3_ngram_join(spark, sf_dir):
+    found = ngram_join.similarity_classes(table(spark, sf_dir, "documents"), width=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op4_quality_rules(spark, sf_dir):
     entries = quality_rules.ledger(table(spark, sf_dir, "documents"))
     return quality_rules.apply_policy(entries, "v1")
@@ -46,7 +51,7 @@ def op8_exact_dedup(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_url_filters, op2_byte_bpe, op4_quality_rules, op7_mixing, op8_exact_dedup]
+    listed = [op1_url_filters, op2_byte_bpe, op3_ngram_join, op4_quality_rules, op7_mixing, op8_exact_dedup]
     return {q.__name__: q for q in listed}
 
 
