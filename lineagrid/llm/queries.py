@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lineagrid.llm import bpe, exact_dedup, mixing, ngram_join, quality_rules, url_filter
+from lineagrid.llm import bpe, exact_dedup, mixing, ngram_join, quality_rules, token_files
+from lineagrid.llm import url_filter
+from lineagrid.llm.common import shared_path
 
 #: the rules of the url query: action, host, path prefix
 URL_RULES = [
@@ -42,6 +44,13 @@ def op4_quality_rules(spark, sf_dir):
     return quality_rules.apply_policy(entries, "v1")
 
 
+def op6_token_files(spark, sf_dir):
+    path = shared_path(spark, "token-files")
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), tokenizer, path)
+    return token_files.read_documents(spark, path, with_ids=False)
+
+
 def op7_mixing(spark, sf_dir):
     return mixing.taken_words(table(spark, sf_dir, "documents"))
 
@@ -51,7 +60,7 @@ def op8_exact_dedup(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_url_filters, op2_byte_bpe, op3_ngram_join, op4_quality_rules, op7_mixing, op8_exact_dedup]
+    listed = [op1_url_filters, op2_byte_bpe, op3_ngram_join, op4_quality_rules, op6_token_files, op7_mixing, op8_exact_dedup]
     return {q.__name__: q for q in listed}
 
 
