@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +14,28 @@ from lineagrid.session import checkpoint_dir
 #: white space of all contracts: blank, tab, line feed, vertical tab, form feed, return
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
+KNOWN_WORDS = 1_000_000
+
+
+class WordHashes(dict):
+    """64-bit hash by word (bytes); emptied when full."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
+#: one in each Python worker
+word_hashes = WordHashes()
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Spread 64-bit values over all bits."""
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xD1B54A32D192ED03)
+    return x ^ (x >> np.uint64(32))
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

@@ -42,33 +42,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineagrid.llm.common import stored, texts
+from lineagrid.llm.common import mixed, stored, texts, word_hashes
 from lineagrid.llm.components import connected_components
 
 BLOCK = 256
 CHUNK_DOCS = 1_000
 BUCKET_DOCS = 5_000
-KNOWN_WORDS = 1_000_000
-
-
-class WordHashes(dict):
-    """64-bit hash by word; emptied when full."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-_words = WordHashes()
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """Spread sums over all bits."""
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xD1B54A32D192ED03)
-    return x ^ (x >> np.uint64(32))
 
 
 def ngrams(text: str, width: int) -> np.ndarray:
@@ -76,12 +55,12 @@ def ngrams(text: str, width: int) -> np.ndarray:
     words = text.encode().lower().split()  # bytes: A-Z and ASCII white space only
     if not words:
         return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    hashes = np.fromiter(map(word_hashes.__getitem__, words), np.uint64, len(words))
     width = min(width, len(words))
     n = len(words) - width + 1
     total = np.full(n, width, np.uint64)
     for k in range(width):
-        total = _mixed(total + hashes[k : k + n])
+        total = mixed(total + hashes[k : k + n])
     return np.unique(total)
 
 
