@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from lineagrid.llm import bpe, exact_dedup, mixing, ngram_join, quality_rules, token_files
-from lineagrid.llm import url_filter
+from lineagrid.llm import toxicity, url_filter
 from lineagrid.llm.common import shared_path
 
 #: the rules of the url query: action, host, path prefix
@@ -44,6 +44,16 @@ def op4_quality_rules(spark, sf_dir):
     return quality_rules.apply_policy(entries, "v1")
 
 
+def op5_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(~toxicity.held_out(F.col("doc_id")))
+    scored = toxicity.score(docs, toxicity.train(docs, labels))
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op6_token_files(spark, sf_dir):
     path = shared_path(spark, "token-files")
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
@@ -60,7 +70,7 @@ def op8_exact_dedup(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_url_filters, op2_byte_bpe, op3_ngram_join, op4_quality_rules, op6_token_files, op7_mixing, op8_exact_dedup]
+    listed = [op1_url_filters, op2_byte_bpe, op3_ngram_join, op4_quality_rules, op5_toxicity, op6_token_files, op7_mixing, op8_exact_dedup]
     return {q.__name__: q for q in listed}
 
 

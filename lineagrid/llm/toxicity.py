@@ -1,7 +1,8 @@
 """Toxicity by FTRL-proximal logistic regression over hashed n-grams and skip-grams.
 
 Features of a text are the hashes of its distinct lower-case words, pairs of
-neighbouring words, and pairs with one word between. The model is learnt one
+neighbouring words, pairs with one word between, and beginnings of longer words (for
+languages that inflect and compound). The model is learnt one
 document at a time with a rate of its own for each coordinate; L1 keeps most
 weights at zero, so what is broadcast is a short list of (feature, weight),
 never more than ``2 ** BITS`` of them.
@@ -30,19 +31,25 @@ from lineagrid.llm.common import mixed, texts, word_hashes
 
 BITS = 20
 MAX_ROWS = 20_000
-EPOCHS = 6
+EPOCHS = 3
 #: rate and its offset, L1, L2
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 1.0, 0.1
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 6.0, 0.1
+STEM = 5
 _WORD = re.compile(r"\w+")
 
 
 def features(text: str) -> np.ndarray:
     """Sorted distinct feature numbers from 1; 0 is the intercept."""
-    words = [w.encode() for w in _WORD.findall(text.lower())]
-    one = np.fromiter(map(word_hashes.__getitem__, words), np.uint64, len(words))
+    words = _WORD.findall(text.lower())
+    stems = [w[:STEM] for w in words if len(w) > STEM]
+    one, stem = (
+        np.fromiter((word_hashes[w.encode()] for w in listed), np.uint64, len(listed))
+        for listed in (words, stems)
+    )
     two = mixed(one[:-1] * np.uint64(3) + one[1:])
     skip = mixed(one[:-2] * np.uint64(5) + one[2:])
-    every = np.concatenate([one, two, skip]) >> np.uint64(64 - BITS)
+    stem = mixed(stem * np.uint64(7))
+    every = np.concatenate([one, two, skip, stem]) >> np.uint64(64 - BITS)
     return np.unique(np.maximum(every, 1)).astype(np.int32)
 
 
