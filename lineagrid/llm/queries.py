@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lineagrid.llm import bpe, exact_dedup, mixing, ngram_join, quality_rules, token_files
-from lineagrid.llm import toxicity, url_filter
+from lineagrid.llm import bpe, exact_dedup, line_dedup, mixing, ngram_join, pii
+from lineagrid.llm import quality_rules, token_files, toxicity, url_filter
 from lineagrid.llm.common import shared_path
 
 #: the rules of the url query: action, host, path prefix
@@ -20,6 +20,9 @@ URL_RULES = [
     ("allow", "org", "/fr/"),
 ]
 
+#: a secret of whoever runs it; fixed here so that reruns agree
+PII_KEY = b"replace this key in use"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -69,8 +72,20 @@ def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.annotate_exact_copies(table(spark, sf_dir, "documents"))
 
 
+def op9_pii(spark, sf_dir):
+    return pii.replace_entities(table(spark, sf_dir, "documents"), PII_KEY)
+
+
+def op10_line_dedup(spark, sf_dir):
+    return line_dedup.delete_copies(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_url_filters, op2_byte_bpe, op3_ngram_join, op4_quality_rules, op5_toxicity, op6_token_files, op7_mixing, op8_exact_dedup]
+    listed = [
+        op1_url_filters, op2_byte_bpe, op3_ngram_join, op4_quality_rules, op5_toxicity,
+        op6_token_files, op7_mixing, op8_exact_dedup,
+        op9_pii, op10_line_dedup,
+    ]
     return {q.__name__: q for q in listed}
 
 
