@@ -214,28 +214,31 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(decode, f"doc_id {kind}, data binary")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, SHA-256 of the decimal ids and of the bytes they decode to.
-    Encodes, then decodes the ids, in one pass over the texts."""
+def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, SHA-256 of the decimal ids and of the bytes they decode to, and
+    the ids (array of int) if asked for. Encodes, then decodes the ids, in one pass."""
     rows = texts(docs)
     source = _vocabulary(docs, path, pattern)
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(*source.value)
         for batch in batches:
-            counts, ids_sha, data_sha = [], [], []
+            counts, ids_sha, data_sha, kept = [], [], [], []
             for text in batch.column(1).to_pylist():
                 ids = encoder.encode(text)
                 counts.append(len(ids))
                 ids_sha.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
                 data_sha.append(hashlib.sha256(encoder.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()),
-                 pa.array(data_sha, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+                if with_ids:
+                    kept.append(np.array(ids, np.int32))
+            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()),
+                       pa.array(data_sha, pa.string())]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            if with_ids:
+                columns.append(pa.array(kept, pa.list_(pa.int32())))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(
-        digests, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
+    schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return rows.mapInArrow(digests, schema + ", ids array<int>" * with_ids)

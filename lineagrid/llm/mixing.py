@@ -34,10 +34,18 @@ BLOCK_WORDS = 256
 SLICE_ROWS = 2_000
 
 
+def _text_key(text: Column) -> Column:
+    """What tells rows of one id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source and number of words of every row, numbered (``row_no``)."""
+    """doc_id, source, number of words and hash of the text of every row, numbered
+    (``row_no``)."""
     words = F.coalesce(F.regexp_count(docs["text"], F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.select(docs["doc_id"], docs["source"], words.alias("size"))
+    rows = docs.select(
+        docs["doc_id"], docs["source"], words.alias("size"), _text_key(docs["text"]).alias("text_key")
+    )
     return stored(rows.withColumn("row_no", F.monotonically_increasing_id()), "sizes")
 
 
@@ -180,7 +188,7 @@ def taken_words(
     docs: DataFrame, max_repeats: int = 3, block_words: int = BLOCK_WORDS,
     weights: Column | None = None,
 ) -> DataFrame:
-    """doc_id, size, source_size, target, taken for every row."""
+    """doc_id, size, source_size, target, taken, text_key for every row."""
     mixed, sizes, per_source = mix(docs, max_repeats, block_words, weights)
     taken = mixed.groupBy("row_no").agg(F.sum("words").alias("taken"))
     facts = per_source.select(F.col("source").alias("_s"), "source_size", "target")
@@ -188,5 +196,39 @@ def taken_words(
         sizes.join(taken, "row_no", "left")
         .join(facts, F.col("source").eqNullSafe(F.col("_s")))
         .select("doc_id", "size", "source_size", "target",
-                F.coalesce("taken", F.lit(0)).alias("taken"))
+                F.coalesce("taken", F.lit(0)).alias("taken"), "text_key")
+    )
+
+
+def mixed_documents(
+    docs: DataFrame, max_repeats: int = 3, block_words: int = BLOCK_WORDS,
+    weights: Column | None = None,
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, as often as the mix takes them. Where
+    the mix ends inside a document (once a source), its last row has only the words
+    taken. Documents the mix takes nothing of are left out."""
+    taken = taken_words(docs, max_repeats, block_words, weights).filter("taken > 0")
+    wanted = stored(
+        taken.groupBy(F.col("doc_id").alias("_llm_id"), F.col("text_key").alias("_llm_key")).agg(
+            F.max("size").alias("_llm_size"), F.sum("taken").alias("_llm_taken")
+        ),
+        "wanted",
+    )
+    rows = docs.withColumn("_llm_text", _text_key(docs["text"]))
+    same = rows["doc_id"].eqNullSafe(wanted["_llm_id"]) & (rows["_llm_text"] == wanted["_llm_key"])
+    left = F.col("_llm_taken") - (F.col("_llm_copy") - 1) * F.col("_llm_size")
+    copies = (
+        rows.dropDuplicates(["doc_id", "_llm_text"]).join(wanted, same)
+        .withColumn("_llm_copy", F.explode(
+            F.sequence(F.lit(1), F.ceil(F.col("_llm_taken") / F.col("_llm_size")))
+        ))
+        .withColumn("_llm_left", left)
     )
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    cut = F.array_join(F.slice(words, 1, F.col("_llm_left").cast("int")), " ")
+    whole = F.col("_llm_left") >= F.col("_llm_size")
+    found = copies.withColumn("text", F.when(whole, F.col("text")).otherwise(cut))
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        found = found.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(length))
+    return found.select(*docs.columns)

@@ -390,3 +390,13 @@ def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     return rows.join(placed, rows["doc_id"] == placed["_id"], "left").select(
         "doc_id", "n_shingles", "class_id", F.coalesce("component", "doc_id").alias("component_id")
     )
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose document is the smallest of
+    those it hangs together with."""
+    others = similarity_classes(docs, width, percent).filter("component_id <> doc_id").select(
+        F.col("doc_id").alias("_llm_id")
+    )
+    others = stored(others.distinct(), "near-copies")
+    return docs.join(others, docs["doc_id"] == others["_llm_id"], "left_anti")

@@ -65,7 +65,7 @@ def op6_token_files(spark, sf_dir):
 
 
 def op7_mixing(spark, sf_dir):
-    return mixing.taken_words(table(spark, sf_dir, "documents"))
+    return mixing.taken_words(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op8_exact_dedup(spark, sf_dir):
