@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lineagrid.llm.common import texts
+from lineagrid.llm.common import pieces, texts
 
 SHARD_DOCS = 10_000
 BLOCK_TOKENS = 1 << 18
@@ -199,7 +199,7 @@ def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def closed() -> pa.RecordBatch:
         return pa.RecordBatch.from_pylist([_block(shard, block, start, docs)], schema)
 
-    for batch in batches:
+    for batch in pieces(batches):
         for of, doc_id, ids in zip(*[c.to_pylist() for c in batch.columns]):
             if docs and (of != shard or held + len(ids) // 4 > BLOCK_TOKENS):
                 yield closed()
@@ -222,7 +222,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
-        for batch in batches:
+        for batch in pieces(batches):
             ids = [found + end for found in encoder.encode(batch.column(1).to_pylist())]
             at = batch.column(0).fill_null(np.iinfo(np.int64).min).to_numpy()
             shards = np.searchsorted(bounds, at, side="right").astype(np.int32)
