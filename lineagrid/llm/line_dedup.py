@@ -18,7 +18,7 @@ Built-in functions only. Names are by first occurrence, not by rank: no step nee
 the order of suffixes, only which of them agree and where they do first.
 
 Defined cases: null and empty texts have no line; lines without a word are in no run
-and stay, except inside a deleted one; a run does not cross documents, but may
+and stay, except between deleted lines; a run does not cross documents, but may
 repeat within one; rows that share an id and a text are one document and all cut
 alike, other rows that share an id stand one after the other in the sequence; a
 text of which nothing is left is empty;

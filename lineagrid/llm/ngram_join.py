@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineagrid.llm.common import mixed, stored, texts, word_hashes
+from lineagrid.llm.common import mixed, pieces, stored, texts, word_hashes
 from lineagrid.llm.components import connected_components
 
 BLOCK = 256
@@ -178,7 +178,7 @@ def index_lists(reps: DataFrame, percent: int) -> DataFrame:
     set are not before this one."""
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             columns: list[list[np.ndarray]] = [[], [], [], []]
             for class_id, n, alone, data in zip(*[c.to_pylist() for c in batch.columns]):
                 size = max(0, prefix_size(n, percent) - alone)

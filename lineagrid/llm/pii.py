@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineagrid.llm.common import stored
+from lineagrid.llm.common import pieces, stored
 
 # Letters by script, titles by gender, syllables of drawn names.
 DIGITS = "0123456789"
@@ -237,7 +237,7 @@ def detect(docs: DataFrame) -> DataFrame:
     rows = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             rows = [
                 (i, *entity)
                 for i, text in enumerate(batch.column(1).to_pylist())
@@ -258,7 +258,7 @@ def _drawn(entries: DataFrame, key: bytes) -> DataFrame:
     """Add ``new``: the surrogate at each entry's attempt."""
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             news = [
                 surrogate(key, (kind, normal), attempt)
                 for kind, normal, attempt in zip(*[c.to_pylist() for c in batch.columns])
@@ -313,7 +313,7 @@ def replace_entities(docs: DataFrame, key: bytes) -> DataFrame:
     ).select("doc_id", "text", "redrawn")
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             texts, counts = [], []
             for text, listed in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 attempts = {(r["kind"], r["normal"]): r["attempt"] for r in listed or []}

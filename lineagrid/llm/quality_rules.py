@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineagrid.llm.common import stored, texts
+from lineagrid.llm.common import pieces, stored, texts
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -65,7 +65,7 @@ def repeated_lines(text: str) -> int:
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [field.split()[0] for field in MEASURED.split(", ")]
-    for batch in batches:
+    for batch in pieces(batches):
         rows = []
         for text in batch.column(1).to_pylist():
             words = text.encode().split()

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineagrid.llm.common import mixed, texts, word_hashes
+from lineagrid.llm.common import mixed, pieces, texts, word_hashes
 
 BITS = 20
 MAX_ROWS = 20_000
@@ -79,7 +79,7 @@ def sigmoid(x: float) -> float:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches):
         found = [features(text).tobytes() for text in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(found, pa.binary())],
@@ -132,7 +132,7 @@ def score(docs: DataFrame, model: list[tuple[int, float]]) -> DataFrame:
         at, values = sent.value
         weights = np.zeros(1 << BITS)
         weights[at] = values
-        for batch in batches:
+        for batch in pieces(batches):
             found = [
                 float(sigmoid(weights[0] + weights[features(text)].sum())) if len(at) else 0.0
                 for text in batch.column(1).to_pylist()

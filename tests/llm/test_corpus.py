@@ -202,6 +202,9 @@ def plain_line_dedup(rows, min_words):
                         n += 1
                     if total >= min_words:
                         cut |= set(range(worded[d][j][0], worded[d][j + n - 1][0] + 1))
+        for (k, _, _), (after, _, _) in zip(worded[d], worded[d][1:]):
+            if {k, after} <= cut:
+                cut |= set(range(k, after))
         out.append(("\n".join(x for k, x in enumerate(lines) if k not in cut), len(cut)))
     return out
 
