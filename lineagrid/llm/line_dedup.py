@@ -189,8 +189,9 @@ def delete_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         "cuts",
     ).select(F.col("doc_id").alias("_id"), "doc", "cuts")
     rows = docs.select("doc_id", "text", document(docs).alias("_doc"))
+    # cuts grow with the corpus: always meet by merge, so that the plan is one at every size
     joined = rows.join(
-        of_doc, rows["doc_id"].eqNullSafe(of_doc["_id"]) & (rows["_doc"] == of_doc["doc"]), "left"
+        of_doc.hint("merge"), rows["doc_id"].eqNullSafe(of_doc["_id"]) & (rows["_doc"] == of_doc["doc"]), "left"
     )
     lines = F.split("text", "\n", -1)
     size = F.size("cuts")
