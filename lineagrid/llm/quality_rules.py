@@ -15,22 +15,23 @@ other than id and text play no part.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from operator import eq
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lineagrid.llm.common import pieces, stored, texts
+from lineagrid.llm.common import pieces
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 WINDOW = 8
-MEASURED = (
-    "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "n_same_word long"
-)
+MEASURED = [
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_same_word",
+]
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -63,31 +64,31 @@ def repeated_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
+def _numbers(text: str) -> tuple[int, ...]:
+    words = text.encode().split()
+    return (
+        len(words),
+        len(text) - sum(map(text.count, BLANKS)),
+        sum(map(text.count, SYMBOLS)),
+        repeated_lines(text),
+        repeated_words(words),
+        sum(map(eq, words, words[1:])),
+    )
+
+
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [field.split()[0] for field in MEASURED.split(", ")]
     for batch in pieces(batches):
-        rows = []
-        for text in batch.column(1).to_pylist():
-            words = text.encode().split()
-            rows.append((
-                len(words),
-                len(text) - sum(map(text.count, BLANKS)),
-                sum(map(text.count, SYMBOLS)),
-                repeated_lines(text),
-                repeated_words(words),
-                sum(map(eq, words, words[1:])),
-            ))
-        columns = np.array(rows, np.int64).reshape(-1, len(names)).T
+        rows = [_numbers(text or "") for text in batch.column("_llm_text").to_pylist()]
+        columns = np.array(rows, np.int64).reshape(-1, len(MEASURED)).T
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), *[pa.array(c) for c in columns]], ["doc_id", *names]
+            [*batch.columns, *[pa.array(c) for c in columns]], [*batch.schema.names, *MEASURED]
         )
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    """doc_id and the measurements of every whole text."""
-    rows = texts(docs)
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_measure, f"doc_id {kind}, {MEASURED}")
+def measure(rows: DataFrame) -> DataFrame:
+    """Add the measurements of every whole ``_llm_text``."""
+    added = [T.StructField(name, T.LongType()) for name in MEASURED]
+    return rows.mapInArrow(_measure, T.StructType([*rows.schema.fields, *added]))
 
 
 def rules() -> list[tuple[str, Column]]:
@@ -115,13 +116,15 @@ def mask(names: tuple[str, ...]) -> int:
     return sum(1 << RULES.index(name) for name in names)
 
 
+def failed_bits() -> Column:
+    bits = [F.when(fails, F.lit(1 << i)).otherwise(F.lit(0)) for i, (_, fails) in enumerate(rules())]
+    return reduce(Column.bitwiseOR, bits).cast("long")
+
+
 def ledger(docs: DataFrame) -> DataFrame:
     """doc_id, measurements, and ``failed``: the bits of the rules that failed."""
-    bits = [F.when(fails, F.lit(1 << i)).otherwise(F.lit(0)) for i, (_, fails) in enumerate(rules())]
-    failed = bits[0]
-    for bit in bits[1:]:
-        failed = failed.bitwiseOR(bit)
-    return measure(docs).withColumn("failed", failed.cast("long"))
+    rows = docs.select(docs["doc_id"], docs["text"].alias("_llm_text"))
+    return measure(rows).drop("_llm_text").withColumn("failed", failed_bits())
 
 
 def fails_policy(version: str, failed: str = "failed") -> Column:
@@ -159,9 +162,7 @@ def ablations(entries: DataFrame) -> DataFrame:
 
 
 def keep_documents(docs: DataFrame, version: str = "v1") -> DataFrame:
-    """The rows of ``docs`` that pass a policy, with all their columns."""
-    rejected = apply_policy(ledger(docs), version).filter(~F.col("kept")).select(
-        F.col("doc_id").alias("_llm_id")
-    )
-    rejected = stored(rejected.distinct(), "rejected")
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["_llm_id"]), "left_anti")
+    """The rows of ``docs`` that pass a policy, with all their columns, in one pass."""
+    rows = docs.select(F.struct("*").alias("_llm_row"), docs["text"].alias("_llm_text"))
+    judged = apply_policy(measure(rows).withColumn("failed", failed_bits()), version)
+    return judged.filter("kept").select("_llm_row.*")
