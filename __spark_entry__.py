@@ -326,6 +326,14 @@ def where_by_table(spark, sf_dir):
     )
 
 
+def trace_outputs(spark, sf_dir):
+    """The outputs listed in the corpus, for every statement of their template."""
+    asked = sorted({(int(r[0]), int(r[1]), r[2]) for r in corpus.rows_of(corpus.TRACES)})
+    listed = spark.createDataFrame(asked, "tpl int, block_id int, target string")
+    targets = statements(spark, sf_dir).join(listed, "tpl").select("stmt_id", "block_id", "target")
+    return job(spark, sf_dir).trace_outputs(targets).drop("CATALOG")
+
+
 def rejects(spark, sf_dir):
     return job(spark, sf_dir).rejects()
 
@@ -394,7 +402,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         restore_placeholders, normalize_dynamic_sql, table_names, readable_not, text_aliases,
         text_tables, parse_status, token_depth, query_blocks, catalog_tables, catalog_columns, clause_texts,
         lineage, lineage_reasons, lineage_order_by, lineage_stars, lineage_tables, where_by_table,
-        rejects, unresolved, column_list, table_list, schema_list, where_list, predicate_split,
+        trace_outputs, rejects, unresolved, column_list, table_list, schema_list, where_list, predicate_split,
         report_merged_conditions, report_best_rows, report_from_rows, report_rows, lineage_report,
         report_full,
     ]
@@ -455,9 +463,10 @@ def lineage_oracles() -> dict[str, str]:
     ref = r"(?i)\b(?:FROM|JOIN)\s+([\w.\[\]\x22]+)"
     aliased = ref + r"\s+(?:AS\s+)?(\w+)"
     parts = (
-        "CASE WHEN contains(ref, '.') THEN trim(split_part(ref, '.', 1), '\"') ELSE '' END AS schema_name, "
-        "CASE WHEN contains(ref, '.') THEN trim(split_part(ref, '.', 2), '\"') ELSE trim(ref, '\"') END AS table_name"
+        "CASE WHEN contains(ref, '.') THEN trim(string_split(ref, '.')[-2], '\"') ELSE '' END AS schema_name, "
+        "trim(string_split(ref, '.')[-1], '\"') AS table_name"
     )
+    plain = f"(SELECT * REPLACE (replace(SELECT_STATEMENT, chr(160), ' ') AS SELECT_STATEMENT) FROM {stm})"
     token = (
         r"'[^']*(?:''[^']*)*'|#?[\p{L}_\x22][\p{L}\p{N}_$@#\x22]*(?:\.[\p{L}\p{N}_$@#\x22]+)*(?:\.\*)?|[0-9]+|<>|<=|>=|\|\||\S"
     ).replace("'", "''")
@@ -522,13 +531,13 @@ def lineage_oracles() -> dict[str, str]:
                 SELECT stmt_id, unnest(regexp_extract_all(SELECT_STATEMENT, '{aliased}', 1)) AS ref,
                        unnest(regexp_extract_all(SELECT_STATEMENT, '{aliased}', 2)) AS alias,
                        generate_subscripts(regexp_extract_all(SELECT_STATEMENT, '{aliased}', 1), 1) AS n
-                FROM {stm})) WHERE rn = 1""",
+                FROM {plain})) WHERE rn = 1""",
         "text_tables": f"""
             SELECT stmt_id, row_number() OVER (PARTITION BY stmt_id ORDER BY n) AS nth, {parts} FROM (
               SELECT stmt_id, ref, min(n) AS n FROM (
                 SELECT stmt_id, unnest(regexp_extract_all(SELECT_STATEMENT, '{ref}', 1)) AS ref,
                        generate_subscripts(regexp_extract_all(SELECT_STATEMENT, '{ref}', 1), 1) AS n
-                FROM {stm}) WHERE lower(ref) <> 'select' GROUP BY stmt_id, ref)""",
+                FROM {plain}) WHERE lower(ref) <> 'select' GROUP BY stmt_id, ref)""",
         "parse_status": f"""
             SELECT stmt_id, CASE tpl WHEN {corpus.BAD} THEN 'rejected' WHEN {corpus.DYNAMIC} THEN 'rewritten'
                    ELSE 'as given' END AS status,
@@ -542,7 +551,8 @@ def lineage_oracles() -> dict[str, str]:
                 SELECT stmt_id, unnest(toks) AS tok, generate_subscripts(toks, 1) AS n FROM (
                   SELECT stmt_id, regexp_extract_all(sql, '{token}') AS toks FROM (
                     SELECT stmt_id, CASE tpl WHEN {corpus.DYNAMIC}
-                      THEN replace(SELECT_STATEMENT, {dynamic_part}, '#v_dt#') ELSE SELECT_STATEMENT END AS sql
+                      THEN replace(SELECT_STATEMENT, {dynamic_part}, '#v_dt#')
+                      ELSE replace(SELECT_STATEMENT, chr(160), ' ') END AS sql
                     FROM {good} WHERE tpl <> {corpus.BAD})))
               WINDOW w AS (PARTITION BY stmt_id ORDER BY n))
             GROUP BY stmt_id""",
@@ -558,7 +568,8 @@ def lineage_oracles() -> dict[str, str]:
             f"{k('alias')} AS alias_name, v.type AS source_type",
         ),
         "catalog_columns": f"""
-            SELECT stmt_id, block_id, '' AS catalog_name, "SCHEMA" AS schema_name,
+            SELECT stmt_id, block_id, CASE tpl WHEN {corpus.THREE_PARTS} THEN 'ARCH' ELSE '' END AS catalog_name,
+                   "SCHEMA" AS schema_name,
                    "TABLE" AS table_name, "COLUMN" AS column_name, "REASON" AS reason,
                    "CLAUSE" AS clause_type FROM ({rows})""",
         "lineage": f'SELECT {row}, {squeezed("cond")} AS "WHERE_CONDITION" FROM ({with_where})',
@@ -573,6 +584,11 @@ def lineage_oracles() -> dict[str, str]:
                    count(DISTINCT stmt_id) AS n_statements FROM ({rows}) GROUP BY 1, 2""",
         "where_by_table": f"""SELECT stmt_id, block_id, "SCHEMA", "TABLE",
             {squeezed("cond")} AS "WHERE_CONDITION" FROM ({conditions})""",
+        "trace_outputs": expected(
+            corpus.TRACES, ["block", "target", "sch", "tab", "col", "reason"],
+            f'CAST(v.block AS INT) AS block_id, v.target, v.sch AS "SCHEMA", {k("tab")} AS "TABLE", '
+            'v.col AS "COLUMN", v.reason AS "REASON"',
+        ),
         "rejects": f"""
             SELECT stmt_id, JOB_NAME, SELECT_STATEMENT,
                    'unbalanced brackets | normalized: unbalanced brackets' AS parse_error

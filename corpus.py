@@ -11,203 +11,219 @@ from __future__ import annotations
 
 # Statement templates and, below, their expected rows.
 TEMPLATES = [
-    "SELECT a.col1, b.col2 FROM sch1.table1_~ a JOIN table2_~ b ON a.id = b.id",
-    "WITH cte AS (SELECT t.id, t.name FROM sch2.t_users_~ t) SELECT c.id FROM cte c",
-    "SELECT x.col1 FROM (SELECT a.col1 FROM t_a_~ a UNION SELECT b.col1 FROM t_b_~ b) x",
-    "SELECT a.*, col1 FROM sch.star_table_~ a",
-    'SELECT t.col FROM "MYSCHEMA"."MYTABLE_~" t',
-    "SELECT col1 FROM t1_~ JOIN t2_~ ON t1_~.id = t2_~.id",
-    "SELECT col1 FROM (SELECT t1_~.col2, t2_~.col3 FROM t1_~ JOIN t2_~ ON t1_~.id = t2_~.id) s",
-    "SELECT col1 FROM (SELECT ~ AS x) s",
-    "SELECT x.col1 FROM t1_~ JOIN t2_~ ON t1_~.id = t2_~.id",
-    "SELECT s.verify_decision FROM (SELECT cq1.response AS verify_decision"
-    " FROM (SELECT response FROM base_table_~) cq1) s",
-    "SELECT v.col1 FROM t_main_~ m JOIN (SELECT * FROM sch.sub_table_~) v ON m.id = v.id"
-    " WHERE v.col1 IS NOT NULL",
-    "SELECT ~ AS cnt FROM dual ORDER BY cnt",
-    "SELECT * FROM (SELECT FT.COUNTERPARTY AS CLIENT_NO FROM KMDW.FT_MM_BALANCE_~ FT) X"
-    " ORDER BY CLIENT_NO",
-    "SELECT #PDATE~# AS RUN_DATE FROM DUAL",
-    "SELECT A.ACTUAL_BALANCE FROM FT_GL_~ A WHERE EXISTS"
-    " (SELECT 1 FROM KMDW.DM_BRANCH_~ B WHERE A.BRANCH_NO = B.BRANCH_NO)",
-    "SELECT TRIAL_BAL.GL_CODE FROM (SELECT A.GL_CODE FROM FT_GL_~ A) TRIAL_BAL, STA_FM_~ GL_MAST"
-    " WHERE GL_MAST.GL_CODE = TRIAL_BAL.GL_CODE",
-    "WITH tem_txn AS (SELECT A.*, MT.TRANSACTION_NO TMP_SEQ_NO FROM KM_JASPER.RPT_TXN_~ A"
-    " JOIN KMDW.STA_RB_ACCT_~ C ON A.ACCT_NO = C.ACCT_NO"
-    " LEFT JOIN KMDW.FT_MEMO_~ MT ON A.TRANSACTION_NO = MT.RTH_SEQ_NO)"
-    " SELECT T.ACCT_NO, T.ACCT_EXEC FROM tem_txn T",
-    "WITH cte AS (SELECT t.code, o.flag FROM base_table_~ t JOIN other_table_~ o ON t.id = o.id)"
-    " SELECT c.code FROM cte c",
-    "WITH revert AS (SELECT TRANSACTION_ORG_ID, 'CC' CARD_TYPE FROM KMDW.CC_TRANS_~"
-    " UNION ALL SELECT TRANSACTION_ORG_ID, 'DC' CARD_TYPE FROM KMDW.DC_TRANS_~),"
-    " all_trans AS (SELECT CUST_NUMBER, TRANSACTION_ID, 'CC' CARD_TYPE FROM KMDW.CC_TRANS_~ A"
-    " UNION ALL SELECT CUST_NUMBER, TRANSACTION_ID, 'DC' CARD_TYPE FROM KMDW.DC_TRANS_~ A),"
-    " base AS (SELECT CUST_NUMBER FROM all_trans A LEFT JOIN revert B"
-    " ON A.TRANSACTION_ID = B.TRANSACTION_ORG_ID AND A.CARD_TYPE = B.CARD_TYPE"
-    " WHERE B.TRANSACTION_ORG_ID IS NULL) SELECT CUST_NUMBER FROM base",
-    "WITH c1 AS (SELECT CASE WHEN COUNT(1) >= 2 THEN 'S' ELSE 'F' END STATUS FROM base_table_~),"
-    " check_status AS (SELECT c1.STATUS AS STATUS_1 FROM c1) SELECT STATUS FROM"
-    " (SELECT CASE WHEN STATUS_1 = 'S' THEN 'S' ELSE 'F' END STATUS FROM check_status"
-    " UNION ALL SELECT 'F' STATUS FROM dual) a",
-    "WITH tem_txn AS (SELECT x.SYM_RUN_DATE, x.MODULE FROM (SELECT a.SYM_RUN_DATE, 'MM' MODULE,"
-    " (a.MATURITY - a.VALUE_DATE) TERM FROM KMDW.FT_MM_BALANCE_~ a) x)"
-    " SELECT T.SYM_RUN_DATE FROM tem_txn T WHERE T.TERM > 0",
-    "WITH TMP_LOAN_T AS (SELECT * FROM KMDW.FT_LOAN_~ S WHERE EXISTS"
-    " (SELECT LOAN_NO FROM TMP_LOAN_INFOR_~ I WHERE S.LOAN_NO = I.LOAN_NO))"
-    " SELECT S.LOAN_NO FROM TMP_LOAN_T S",
-    "WITH TMP_LOAN_T AS (SELECT * FROM KMDW.FT_LOAN_~ S WHERE S.SYM_RUN_DATE = KM_GET_RUN_DATE),"
-    " TMP_LOAN_T1 AS (SELECT * FROM KMDW.FT_LOAN_~ S WHERE S.SYM_RUN_DATE = KM_GET_RUN_DATE-1)"
-    " SELECT S1.LOAN_NO FROM TMP_LOAN_T S LEFT JOIN TMP_LOAN_T1 S1 ON S.LOAN_NO = S1.LOAN_NO",
-    "SELECT A.AMT FROM FT_DYN_~ A WHERE A.DT = ' || v_dt || '' AND A.K = 1",
-    "SELECT A.X FROM (SELECT B.Y FROM T_BAD_~ B",
-    "SELECT B.V_TOTAL, B.AMT FROM STG_~@LNK B WHERE B.AMT > 0 AND B.V_X = 1",
+    "SELECT s.row_no, p.fee FROM hall.seat_~ s JOIN price_~ p ON s.tier = p.tier",
+    "WITH open_days AS (SELECT d.day_no, d.doors FROM cal.day_~ d) SELECT o.day_no FROM open_days o",
+    "SELECT u.guest FROM (SELECT w.guest FROM web_list_~ w UNION SELECT d.guest FROM door_list_~ d) u",
+    "SELECT r.*, aisle FROM hall.rack_~ r",
+    'SELECT q.lamp FROM "LIGHTS"."PLAN_~" q',
+    "SELECT cue FROM sound_~ JOIN light_~ ON sound_~.act = light_~.act",
+    "SELECT cue FROM (SELECT sound_~.gain, light_~.tint FROM sound_~ JOIN light_~ ON sound_~.act = light_~.act) mix",
+    "SELECT cue FROM (SELECT ~ AS nothing) mix",
+    "SELECT z.cue FROM sound_~ JOIN light_~ ON sound_~.act = light_~.act",
+    "SELECT g.final_mark FROM (SELECT n.mark AS final_mark FROM (SELECT mark FROM jury_~) n) g",
+    "SELECT f.colour FROM wardrobe_~ w JOIN (SELECT * FROM shop.fabric_~) f ON w.bolt = f.bolt"
+    " WHERE f.colour IS NOT NULL",
+    "SELECT ~ AS tally FROM dual ORDER BY tally",
+    "SELECT * FROM (SELECT e.owner AS lender FROM stage.prop_~ e) y ORDER BY lender",
+    "SELECT #NIGHT~# AS show_date FROM DUAL",
+    "SELECT b.total FROM bill_~ b WHERE EXISTS (SELECT 1 FROM hall.door_~ d WHERE b.door_no = d.door_no)",
+    "SELECT cast_list.role FROM (SELECT c.role FROM contract_~ c) cast_list, script_~ t"
+    " WHERE t.role = cast_list.role",
+    "WITH tour AS (SELECT t.*, m.note_no memo_no FROM road.trip_~ t JOIN stage.van_~ v ON t.van_no = v.van_no"
+    " LEFT JOIN stage.memo_~ m ON t.note_no = m.trip_note) SELECT x.van_no, x.driver FROM tour x",
+    "WITH pick AS (SELECT s.code, l.tone FROM score_~ s JOIN lyric_~ l ON s.song = l.song)"
+    " SELECT p.code FROM pick p",
+    "WITH undone AS (SELECT sale_ref, 'BOX' shop FROM till.box_~),"
+    " sales AS (SELECT guest_no, sale_no, 'BOX' shop FROM till.box_~ s"
+    " UNION ALL SELECT guest_no, sale_no, 'WEB' shop FROM till.web_~ s),"
+    " kept AS (SELECT guest_no FROM sales s LEFT JOIN undone u ON s.sale_no = u.sale_ref AND s.shop = u.shop"
+    " WHERE u.sale_ref IS NULL) SELECT guest_no FROM kept",
+    "WITH house AS (SELECT CASE WHEN COUNT(1) > 300 THEN 'Y' ELSE 'N' END sold_out FROM ticket_~),"
+    " sign AS (SELECT house.sold_out AS shown FROM house)"
+    " SELECT board FROM (SELECT CASE WHEN shown = 'Y' THEN 'FULL' ELSE 'OPEN' END board FROM sign"
+    " UNION ALL SELECT 'SHUT' board FROM dual) b",
+    "WITH run AS (SELECT y.night, y.kind FROM (SELECT s.night, 'MAT' kind, (s.ends - s.begins) span"
+    " FROM stage.show_~ s) y) SELECT r.night FROM run r WHERE r.span > 0",
+    "WITH spare AS (SELECT * FROM stage.lamp_~ l WHERE EXISTS"
+    " (SELECT lamp_no FROM broken_~ k WHERE l.lamp_no = k.lamp_no)) SELECT p.lamp_no FROM spare p",
+    "WITH now_on AS (SELECT * FROM stage.gig_~ g WHERE g.night = this_night),"
+    " day_before AS (SELECT * FROM stage.gig_~ g WHERE g.night = this_night-1)"
+    " SELECT b.gig_no FROM now_on a LEFT JOIN day_before b ON a.gig_no = b.gig_no",
+    "SELECT c.wage FROM crew_~ c WHERE c.paid = ' || v_dt || '' AND c.grade = 1",
+    "SELECT c.name FROM (SELECT k.name FROM torn_~ k",
+    "SELECT s.V_SUM, s.fee FROM stall_~@LNK s WHERE s.fee > 0 AND s.V_KIND = 1",
+    "SELECT t.act, CURRENT_TIMESTAMP ts FROM hall.diary_~ t ORDER BY t.act_no NULLS LAST",
+    "SELECT SUM(t.fee) OVER (PARTITION BY t.tier ORDER BY t.night ROWS BETWEEN UNBOUNDED PRECEDING"
+    " AND CURRENT ROW) AS so_far FROM takings_~ t",
+    "SELECT MAX(t.fee) KEEP (DENSE_RANK FIRST ORDER BY t.night) AS top_fee,"
+    " CAST(t.opened AS TIMESTAMP WITH TIME ZONE) AS opened_at FROM takings_~ t",
+    "SELECT CONNECT_BY_ROOT t.boss AS head FROM staff_~ t",
+    "SELECT t.act, u.tint FROM\u00a0scene_~ t,\u00a0light_~\u00a0u",
+    "(SELECT a.song FROM matinee_~ a ORDER BY a.place FETCH FIRST 3 ROWS ONLY)"
+    " UNION ALL SELECT b.song FROM evening_~ b",
+    "SELECT t.tier, COUNT(t.guest) AS n FROM arch.hall.visit_~ t GROUP BY t.tier HAVING MAX(t.fee) > 5",
 ]
-DYNAMIC, BAD = 23, 24
+DYNAMIC, BAD, THREE_PARTS = 23, 24, 32
 
 # template | block | schema | table | column | reason | clause
 LINEAGE = """
-0|1|SCH1|TABLE1_~|COL1||PROJECTION
-0|1||TABLE2_~|COL2||PROJECTION
-0|1|SCH1|TABLE1_~|ID||JOIN_ON
-0|1||TABLE2_~|ID||JOIN_ON
-1|1|SCH2|T_USERS_~|ID||PROJECTION
-1|2|SCH2|T_USERS_~|ID||PROJECTION
-1|2|SCH2|T_USERS_~|NAME||PROJECTION
-2|1||T_A_~|COL1||PROJECTION
-2|1||T_B_~|COL1||PROJECTION
-2|2||T_A_~|COL1||PROJECTION
-2|3||T_B_~|COL1||PROJECTION
-3|1|SCH|STAR_TABLE_~|COL1||PROJECTION
-4|1|MYSCHEMA|MYTABLE_~|COL||PROJECTION
-5|1||T1_~|COL1|FIRST_TABLE_FALLBACK|PROJECTION
-5|1||T1_~|ID||JOIN_ON
-5|1||T2_~|ID||JOIN_ON
-6|1||T1_~|COL1|SUBQUERY_ANY_TABLE_FALLBACK|PROJECTION
-6|2||T1_~|COL2||PROJECTION
-6|2||T2_~|COL3||PROJECTION
-6|2||T1_~|ID||JOIN_ON
-6|2||T2_~|ID||JOIN_ON
-7|1|||COL1|SUBQUERY_UNRESOLVED|PROJECTION
-8|1||T1_~|COL1|TEXT_TABLE_FALLBACK|PROJECTION
-8|1||T1_~|ID||JOIN_ON
-8|1||T2_~|ID||JOIN_ON
-9|1||BASE_TABLE_~|VERIFY_DECISION||PROJECTION
-9|2||BASE_TABLE_~|RESPONSE||PROJECTION
-9|3||BASE_TABLE_~|RESPONSE||PROJECTION
-10|1|SCH|SUB_TABLE_~|COL1||PROJECTION
-10|1|SCH|SUB_TABLE_~|COL1||WHERE
-10|1||T_MAIN_~|ID||JOIN_ON
-10|1|SCH|SUB_TABLE_~|ID||JOIN_ON
-11|1||DUAL|CNT|DERIVED_COLUMN|ORDER_BY
-12|1|KMDW|FT_MM_BALANCE_~|COUNTERPARTY||ORDER_BY
-12|2|KMDW|FT_MM_BALANCE_~|COUNTERPARTY||PROJECTION
-13|1||DUAL|#PDATE~#|PLACEHOLDER_COLUMN|PROJECTION
-14|1||FT_GL_~|ACTUAL_BALANCE||PROJECTION
-14|2|KMDW|DM_BRANCH_~|BRANCH_NO||WHERE
-14|2|KMDW|DM_BRANCH_~|BRANCH_NO||WHERE
-15|1||FT_GL_~|GL_CODE||PROJECTION
-15|2||FT_GL_~|GL_CODE||PROJECTION
-15|1||STA_FM_~|GL_CODE||WHERE
-15|1||FT_GL_~|GL_CODE||WHERE
-16|1|KM_JASPER|RPT_TXN_~|ACCT_NO|STAR_ALIAS_FALLBACK|PROJECTION
-16|1|KM_JASPER|RPT_TXN_~|ACCT_EXEC|STAR_ALIAS_FALLBACK|PROJECTION
-16|2|KMDW|FT_MEMO_~|TRANSACTION_NO||PROJECTION
-16|2|KM_JASPER|RPT_TXN_~|ACCT_NO||JOIN_ON
-16|2|KMDW|STA_RB_ACCT_~|ACCT_NO||JOIN_ON
-16|2|KM_JASPER|RPT_TXN_~|TRANSACTION_NO||JOIN_ON
-16|2|KMDW|FT_MEMO_~|RTH_SEQ_NO||JOIN_ON
-17|1||BASE_TABLE_~|CODE||PROJECTION
-17|2||BASE_TABLE_~|CODE||PROJECTION
-17|2||OTHER_TABLE_~|FLAG||PROJECTION
-17|2||BASE_TABLE_~|ID||JOIN_ON
-17|2||OTHER_TABLE_~|ID||JOIN_ON
-18|1|KMDW|CC_TRANS_~|CUST_NUMBER||PROJECTION
-18|1|KMDW|DC_TRANS_~|CUST_NUMBER||PROJECTION
-18|2|KMDW|CC_TRANS_~|TRANSACTION_ORG_ID||PROJECTION
-18|3|KMDW|DC_TRANS_~|TRANSACTION_ORG_ID||PROJECTION
-18|4|KMDW|CC_TRANS_~|CUST_NUMBER||PROJECTION
-18|4|KMDW|CC_TRANS_~|TRANSACTION_ID||PROJECTION
-18|5|KMDW|DC_TRANS_~|CUST_NUMBER||PROJECTION
-18|5|KMDW|DC_TRANS_~|TRANSACTION_ID||PROJECTION
-18|6|KMDW|CC_TRANS_~|CUST_NUMBER||PROJECTION
-18|6|KMDW|DC_TRANS_~|CUST_NUMBER||PROJECTION
-18|6|KMDW|CC_TRANS_~|TRANSACTION_ORG_ID||WHERE
-18|6|KMDW|DC_TRANS_~|TRANSACTION_ORG_ID||WHERE
-18|6|KMDW|CC_TRANS_~|TRANSACTION_ID||JOIN_ON
-18|6|KMDW|DC_TRANS_~|TRANSACTION_ID||JOIN_ON
-18|6|KMDW|CC_TRANS_~|TRANSACTION_ORG_ID||JOIN_ON
-18|6|KMDW|DC_TRANS_~|TRANSACTION_ORG_ID||JOIN_ON
-18|6||DUAL|CARD_TYPE|DERIVED_COLUMN|JOIN_ON
-18|6||DUAL|CARD_TYPE|DERIVED_COLUMN|JOIN_ON
-19|1||DUAL|STATUS|DERIVED_COLUMN|PROJECTION
-19|2||DUAL|STATUS|DERIVED_COLUMN|PROJECTION
-19|5||DUAL|STATUS|DERIVED_COLUMN|PROJECTION
-20|1|KMDW|FT_MM_BALANCE_~|SYM_RUN_DATE||PROJECTION
-20|1|KMDW|FT_MM_BALANCE_~|TERM||WHERE
-20|2|KMDW|FT_MM_BALANCE_~|SYM_RUN_DATE||PROJECTION
-20|2|KMDW|FT_MM_BALANCE_~|MODULE||PROJECTION
-20|3|KMDW|FT_MM_BALANCE_~|SYM_RUN_DATE||PROJECTION
-20|3|KMDW|FT_MM_BALANCE_~|MATURITY||PROJECTION
-20|3|KMDW|FT_MM_BALANCE_~|VALUE_DATE||PROJECTION
-21|1|KMDW|FT_LOAN_~|LOAN_NO|SUBQUERY_STAR_FALLBACK|PROJECTION
-21|3||TMP_LOAN_INFOR_~|LOAN_NO||PROJECTION
-21|3||TMP_LOAN_INFOR_~|LOAN_NO||WHERE
-21|3||TMP_LOAN_INFOR_~|LOAN_NO||WHERE
-22|1|KMDW|FT_LOAN_~|LOAN_NO|CTE_SINGLE_TABLE_FALLBACK|PROJECTION
-22|1|KMDW|FT_LOAN_~|LOAN_NO|CTE_SINGLE_TABLE_FALLBACK|JOIN_ON
-22|1|KMDW|FT_LOAN_~|LOAN_NO|CTE_SINGLE_TABLE_FALLBACK|JOIN_ON
-22|2|KMDW|FT_LOAN_~|SYM_RUN_DATE||WHERE
-22|2|KMDW|FT_LOAN_~|KM_GET_RUN_DATE||WHERE
-22|3|KMDW|FT_LOAN_~|SYM_RUN_DATE||WHERE
-22|3|KMDW|FT_LOAN_~|KM_GET_RUN_DATE||WHERE
-23|1||FT_DYN_~|AMT||PROJECTION
-23|1||FT_DYN_~|DT||WHERE
+0|1|HALL|SEAT_~|ROW_NO||PROJECTION
+0|1||PRICE_~|FEE||PROJECTION
+0|1|HALL|SEAT_~|TIER||JOIN_ON
+0|1||PRICE_~|TIER||JOIN_ON
+1|1|CAL|DAY_~|DAY_NO||PROJECTION
+1|2|CAL|DAY_~|DAY_NO||PROJECTION
+1|2|CAL|DAY_~|DOORS||PROJECTION
+2|1||WEB_LIST_~|GUEST||PROJECTION
+2|1||DOOR_LIST_~|GUEST||PROJECTION
+2|2||WEB_LIST_~|GUEST||PROJECTION
+2|3||DOOR_LIST_~|GUEST||PROJECTION
+3|1|HALL|RACK_~|AISLE||PROJECTION
+4|1|LIGHTS|PLAN_~|LAMP||PROJECTION
+5|1||SOUND_~|CUE|FIRST_TABLE_FALLBACK|PROJECTION
+5|1||SOUND_~|ACT||JOIN_ON
+5|1||LIGHT_~|ACT||JOIN_ON
+6|1||SOUND_~|CUE|SUBQUERY_ANY_TABLE_FALLBACK|PROJECTION
+6|2||SOUND_~|GAIN||PROJECTION
+6|2||LIGHT_~|TINT||PROJECTION
+6|2||SOUND_~|ACT||JOIN_ON
+6|2||LIGHT_~|ACT||JOIN_ON
+7|1|||CUE|SUBQUERY_UNRESOLVED|PROJECTION
+8|1||SOUND_~|CUE|TEXT_TABLE_FALLBACK|PROJECTION
+8|1||SOUND_~|ACT||JOIN_ON
+8|1||LIGHT_~|ACT||JOIN_ON
+9|1||JURY_~|FINAL_MARK||PROJECTION
+9|2||JURY_~|MARK||PROJECTION
+9|3||JURY_~|MARK||PROJECTION
+10|1|SHOP|FABRIC_~|COLOUR||PROJECTION
+10|1|SHOP|FABRIC_~|COLOUR||WHERE
+10|1||WARDROBE_~|BOLT||JOIN_ON
+10|1|SHOP|FABRIC_~|BOLT||JOIN_ON
+11|1||DUAL|TALLY|DERIVED_COLUMN|ORDER_BY
+12|1|STAGE|PROP_~|OWNER||ORDER_BY
+12|2|STAGE|PROP_~|OWNER||PROJECTION
+13|1||DUAL|#NIGHT~#|PLACEHOLDER_COLUMN|PROJECTION
+14|1||BILL_~|TOTAL||PROJECTION
+14|2|HALL|DOOR_~|DOOR_NO||WHERE
+14|2|HALL|DOOR_~|DOOR_NO||WHERE
+15|1||CONTRACT_~|ROLE||PROJECTION
+15|2||CONTRACT_~|ROLE||PROJECTION
+15|1||SCRIPT_~|ROLE||WHERE
+15|1||CONTRACT_~|ROLE||WHERE
+16|1|ROAD|TRIP_~|VAN_NO|STAR_ALIAS_FALLBACK|PROJECTION
+16|1|ROAD|TRIP_~|DRIVER|STAR_ALIAS_FALLBACK|PROJECTION
+16|2|STAGE|MEMO_~|NOTE_NO||PROJECTION
+16|2|ROAD|TRIP_~|VAN_NO||JOIN_ON
+16|2|STAGE|VAN_~|VAN_NO||JOIN_ON
+16|2|ROAD|TRIP_~|NOTE_NO||JOIN_ON
+16|2|STAGE|MEMO_~|TRIP_NOTE||JOIN_ON
+17|1||SCORE_~|CODE||PROJECTION
+17|2||SCORE_~|CODE||PROJECTION
+17|2||LYRIC_~|TONE||PROJECTION
+17|2||SCORE_~|SONG||JOIN_ON
+17|2||LYRIC_~|SONG||JOIN_ON
+18|1|TILL|BOX_~|GUEST_NO||PROJECTION
+18|1|TILL|WEB_~|GUEST_NO||PROJECTION
+18|2|TILL|BOX_~|SALE_REF||PROJECTION
+18|3|TILL|BOX_~|GUEST_NO||PROJECTION
+18|3|TILL|BOX_~|SALE_NO||PROJECTION
+18|4|TILL|WEB_~|GUEST_NO||PROJECTION
+18|4|TILL|WEB_~|SALE_NO||PROJECTION
+18|5|TILL|BOX_~|GUEST_NO||PROJECTION
+18|5|TILL|WEB_~|GUEST_NO||PROJECTION
+18|5|TILL|BOX_~|SALE_REF||WHERE
+18|5|TILL|BOX_~|SALE_NO||JOIN_ON
+18|5|TILL|WEB_~|SALE_NO||JOIN_ON
+18|5|TILL|BOX_~|SALE_REF||JOIN_ON
+18|5||DUAL|SHOP|DERIVED_COLUMN|JOIN_ON
+18|5||DUAL|SHOP|DERIVED_COLUMN|JOIN_ON
+19|1||DUAL|SOLD_OUT|DERIVED_COLUMN|PROJECTION
+19|2||DUAL|SOLD_OUT|DERIVED_COLUMN|PROJECTION
+19|5||DUAL|SOLD_OUT|DERIVED_COLUMN|PROJECTION
+20|1|STAGE|SHOW_~|NIGHT||PROJECTION
+20|1|STAGE|SHOW_~|SPAN||WHERE
+20|2|STAGE|SHOW_~|NIGHT||PROJECTION
+20|2|STAGE|SHOW_~|KIND||PROJECTION
+20|3|STAGE|SHOW_~|NIGHT||PROJECTION
+20|3|STAGE|SHOW_~|ENDS||PROJECTION
+20|3|STAGE|SHOW_~|BEGINS||PROJECTION
+21|1|STAGE|LAMP_~|LAMP_NO|SUBQUERY_STAR_FALLBACK|PROJECTION
+21|3||BROKEN_~|LAMP_NO||PROJECTION
+21|3||BROKEN_~|LAMP_NO||WHERE
+21|3||BROKEN_~|LAMP_NO||WHERE
+22|1|STAGE|GIG_~|GIG_NO|CTE_SINGLE_TABLE_FALLBACK|PROJECTION
+22|1|STAGE|GIG_~|GIG_NO|CTE_SINGLE_TABLE_FALLBACK|JOIN_ON
+22|1|STAGE|GIG_~|GIG_NO|CTE_SINGLE_TABLE_FALLBACK|JOIN_ON
+22|2|STAGE|GIG_~|NIGHT||WHERE
+22|2|STAGE|GIG_~|THIS_NIGHT||WHERE
+22|3|STAGE|GIG_~|NIGHT||WHERE
+22|3|STAGE|GIG_~|THIS_NIGHT||WHERE
+23|1||CREW_~|WAGE||PROJECTION
+23|1||CREW_~|PAID||WHERE
 23|1||DUAL|#V_DT#|PLACEHOLDER_COLUMN|WHERE
-23|1||FT_DYN_~|K||WHERE
-25|1||STG_~@LNK|V_TOTAL||PROJECTION
-25|1||STG_~@LNK|AMT||PROJECTION
-25|1||STG_~@LNK|AMT||WHERE
-25|1||STG_~@LNK|V_X||WHERE
+23|1||CREW_~|GRADE||WHERE
+25|1||STALL_~@LNK|V_SUM||PROJECTION
+25|1||STALL_~@LNK|FEE||PROJECTION
+25|1||STALL_~@LNK|FEE||WHERE
+25|1||STALL_~@LNK|V_KIND||WHERE
+26|1|HALL|DIARY_~|ACT||PROJECTION
+26|1|HALL|DIARY_~|ACT_NO||ORDER_BY
+27|1||TAKINGS_~|FEE||PROJECTION
+27|1||TAKINGS_~|TIER||PROJECTION
+27|1||TAKINGS_~|NIGHT||PROJECTION
+28|1||TAKINGS_~|FEE||PROJECTION
+28|1||TAKINGS_~|NIGHT||PROJECTION
+28|1||TAKINGS_~|OPENED||PROJECTION
+29|1||STAFF_~|BOSS||PROJECTION
+30|1||SCENE_~|ACT||PROJECTION
+30|1||LIGHT_~|TINT||PROJECTION
+31|1||MATINEE_~|SONG||PROJECTION
+31|1||MATINEE_~|PLACE||ORDER_BY
+31|2||EVENING_~|SONG||PROJECTION
+32|1|HALL|VISIT_~|TIER||PROJECTION
+32|1|HALL|VISIT_~|GUEST||PROJECTION
+32|1|HALL|VISIT_~|TIER||GROUP_BY
+32|1|HALL|VISIT_~|FEE||HAVING
 """
 
 # template | block | schema | table | condition text of that table in that block
 CONDITIONS = """
-0|1|SCH1|TABLE1_~|TABLE1_~.id = TABLE2_~.id
-0|1||TABLE2_~|TABLE1_~.id = TABLE2_~.id
-5|1||T1_~|T1_~.id = T2_~.id
-5|1||T2_~|T1_~.id = T2_~.id
-6|2||T1_~|T1_~.id = T2_~.id
-6|2||T2_~|T1_~.id = T2_~.id
-8|1||T1_~|T1_~.id = T2_~.id
-8|1||T2_~|T1_~.id = T2_~.id
-10|1|SCH|SUB_TABLE_~|SUB_TABLE_~.col1 IS NOT NULL AND T_MAIN_~.id = SUB_TABLE_~.id
-10|1||T_MAIN_~|T_MAIN_~.id = SUB_TABLE_~.id
-14|1||FT_GL_~|EXISTS(SELECT 1 FROM KMDW.DM_BRANCH_~ B WHERE FT_GL_~.BRANCH_NO = B.BRANCH_NO)
-14|2|KMDW|DM_BRANCH_~|A.BRANCH_NO = DM_BRANCH_~.BRANCH_NO
-15|1||STA_FM_~|STA_FM_~.GL_CODE = FT_GL_~.GL_CODE
-15|1||FT_GL_~|STA_FM_~.GL_CODE = FT_GL_~.GL_CODE
-16|2|KM_JASPER|RPT_TXN_~|RPT_TXN_~.ACCT_NO = STA_RB_ACCT_~.ACCT_NO AND RPT_TXN_~.TRANSACTION_NO = FT_MEMO_~.RTH_SEQ_NO
-16|2|KMDW|STA_RB_ACCT_~|RPT_TXN_~.ACCT_NO = STA_RB_ACCT_~.ACCT_NO
-16|2|KMDW|FT_MEMO_~|RPT_TXN_~.TRANSACTION_NO = FT_MEMO_~.RTH_SEQ_NO
-17|2||BASE_TABLE_~|BASE_TABLE_~.id = OTHER_TABLE_~.id
-17|2||OTHER_TABLE_~|BASE_TABLE_~.id = OTHER_TABLE_~.id
-18|6|KMDW|CC_TRANS_~|CC_TRANS_~.TRANSACTION_ORG_ID IS NULL AND CC_TRANS_~.TRANSACTION_ID = CC_TRANS_~.TRANSACTION_ORG_ID
-18|6|KMDW|DC_TRANS_~|CC_TRANS_~.TRANSACTION_ORG_ID IS NULL AND CC_TRANS_~.TRANSACTION_ID = CC_TRANS_~.TRANSACTION_ORG_ID
-20|1|KMDW|FT_MM_BALANCE_~|FT_MM_BALANCE_~.TERM > 0
-21|3||TMP_LOAN_INFOR_~|S.LOAN_NO = TMP_LOAN_INFOR_~.LOAN_NO
-21|2|KMDW|FT_LOAN_~|EXISTS(SELECT LOAN_NO FROM TMP_LOAN_INFOR_~ I WHERE FT_LOAN_~.LOAN_NO = I.LOAN_NO)
-22|1|KMDW|FT_LOAN_~|FT_LOAN_~.LOAN_NO = FT_LOAN_~.LOAN_NO
-22|2|KMDW|FT_LOAN_~|FT_LOAN_~.SYM_RUN_DATE = KM_GET_RUN_DATE
-22|3|KMDW|FT_LOAN_~|FT_LOAN_~.SYM_RUN_DATE = KM_GET_RUN_DATE - 1
-23|1||FT_DYN_~|FT_DYN_~.DT = #v_dt# AND FT_DYN_~.K = 1
-25|1||STG_~@LNK|"STG_~@LNK".AMT > 0
+0|1|HALL|SEAT_~|SEAT_~.tier = PRICE_~.tier
+0|1||PRICE_~|SEAT_~.tier = PRICE_~.tier
+5|1||SOUND_~|SOUND_~.act = LIGHT_~.act
+5|1||LIGHT_~|SOUND_~.act = LIGHT_~.act
+6|2||SOUND_~|SOUND_~.act = LIGHT_~.act
+6|2||LIGHT_~|SOUND_~.act = LIGHT_~.act
+8|1||SOUND_~|SOUND_~.act = LIGHT_~.act
+8|1||LIGHT_~|SOUND_~.act = LIGHT_~.act
+10|1|SHOP|FABRIC_~|FABRIC_~.colour IS NOT NULL AND WARDROBE_~.bolt = FABRIC_~.bolt
+10|1||WARDROBE_~|WARDROBE_~.bolt = FABRIC_~.bolt
+14|1||BILL_~|EXISTS(SELECT 1 FROM hall.door_~ d WHERE BILL_~.door_no = d.door_no)
+14|2|HALL|DOOR_~|b.door_no = DOOR_~.door_no
+15|1||SCRIPT_~|SCRIPT_~.role = CONTRACT_~.role
+15|1||CONTRACT_~|SCRIPT_~.role = CONTRACT_~.role
+16|2|ROAD|TRIP_~|TRIP_~.van_no = VAN_~.van_no AND TRIP_~.note_no = MEMO_~.trip_note
+16|2|STAGE|VAN_~|TRIP_~.van_no = VAN_~.van_no
+16|2|STAGE|MEMO_~|TRIP_~.note_no = MEMO_~.trip_note
+17|2||SCORE_~|SCORE_~.song = LYRIC_~.song
+17|2||LYRIC_~|SCORE_~.song = LYRIC_~.song
+18|5|TILL|BOX_~|BOX_~.sale_ref IS NULL AND BOX_~.sale_no = BOX_~.sale_ref
+18|5|TILL|WEB_~|BOX_~.sale_no = BOX_~.sale_ref
+20|1|STAGE|SHOW_~|SHOW_~.span > 0
+21|3||BROKEN_~|l.lamp_no = BROKEN_~.lamp_no
+21|2|STAGE|LAMP_~|EXISTS(SELECT lamp_no FROM broken_~ k WHERE LAMP_~.lamp_no = k.lamp_no)
+22|1|STAGE|GIG_~|GIG_~.gig_no = GIG_~.gig_no
+22|2|STAGE|GIG_~|GIG_~.night = this_night
+22|3|STAGE|GIG_~|GIG_~.night = this_night - 1
+23|1||CREW_~|CREW_~.paid = #v_dt# AND CREW_~.grade = 1
+25|1||STALL_~@LNK|"STALL_~@LNK".fee > 0
 """
 
 # template | block | parent | type | alias | level
 BLOCKS = """
 0|1||ROOT_SELECT||0
 1|1||ROOT_SELECT||0
-1|2|1|CTE|cte|1
+1|2|1|CTE|open_days|1
 2|1||ROOT_SELECT||0
 2|2|1|UNION_LEFT||1
 2|3|1|UNION_RIGHT||1
@@ -215,145 +231,184 @@ BLOCKS = """
 4|1||ROOT_SELECT||0
 5|1||ROOT_SELECT||0
 6|1||ROOT_SELECT||0
-6|2|1|SUBQUERY|s|1
+6|2|1|SUBQUERY|mix|1
 7|1||ROOT_SELECT||0
-7|2|1|SUBQUERY|s|1
+7|2|1|SUBQUERY|mix|1
 8|1||ROOT_SELECT||0
 9|1||ROOT_SELECT||0
-9|2|1|SUBQUERY|s|1
-9|3|2|SUBQUERY|cq1|2
+9|2|1|SUBQUERY|g|1
+9|3|2|SUBQUERY|n|2
 10|1||ROOT_SELECT||0
-10|2|1|SUBQUERY|v|1
+10|2|1|SUBQUERY|f|1
 11|1||ROOT_SELECT||0
 12|1||ROOT_SELECT||0
-12|2|1|SUBQUERY|X|1
+12|2|1|SUBQUERY|y|1
 13|1||ROOT_SELECT||0
 14|1||ROOT_SELECT||0
 14|2|1|SELECT||1
 15|1||ROOT_SELECT||0
-15|2|1|SUBQUERY|TRIAL_BAL|1
+15|2|1|SUBQUERY|cast_list|1
 16|1||ROOT_SELECT||0
-16|2|1|CTE|tem_txn|1
+16|2|1|CTE|tour|1
 17|1||ROOT_SELECT||0
-17|2|1|CTE|cte|1
+17|2|1|CTE|pick|1
 18|1||ROOT_SELECT||0
-18|2|1|UNION_LEFT||1
-18|3|1|UNION_RIGHT||1
-18|4|1|UNION_LEFT||1
-18|5|1|UNION_RIGHT||1
-18|6|1|CTE|base|1
+18|2|1|CTE|undone|1
+18|3|1|UNION_LEFT||1
+18|4|1|UNION_RIGHT||1
+18|5|1|CTE|kept|1
 19|1||ROOT_SELECT||0
 19|2|1|UNION_LEFT||1
 19|3|1|UNION_RIGHT||1
-19|4|1|CTE|c1|1
-19|5|1|CTE|check_status|1
+19|4|1|CTE|house|1
+19|5|1|CTE|sign|1
 20|1||ROOT_SELECT||0
-20|2|1|CTE|tem_txn|1
-20|3|2|SUBQUERY|x|2
+20|2|1|CTE|run|1
+20|3|2|SUBQUERY|y|2
 21|1||ROOT_SELECT||0
-21|2|1|CTE|TMP_LOAN_T|1
+21|2|1|CTE|spare|1
 21|3|2|SELECT||2
 22|1||ROOT_SELECT||0
-22|2|1|CTE|TMP_LOAN_T|1
-22|3|1|CTE|TMP_LOAN_T1|1
+22|2|1|CTE|now_on|1
+22|3|1|CTE|day_before|1
 23|1||ROOT_SELECT||0
 25|1||ROOT_SELECT||0
+26|1||ROOT_SELECT||0
+27|1||ROOT_SELECT||0
+28|1||ROOT_SELECT||0
+29|1||ROOT_SELECT||0
+30|1||ROOT_SELECT||0
+31|1||UNION_LEFT||1
+31|2||UNION_RIGHT||0
+32|1||ROOT_SELECT||0
 """
 
 # template | block | name | schema | alias | type
 SOURCES = """
-0|1|table1_~|sch1|a|PHYSICAL_TABLE
-0|1|table2_~||b|PHYSICAL_TABLE
-1|1|cte||c|CTE
-1|2|t_users_~|sch2|t|PHYSICAL_TABLE
-2|1|||x|SUBQUERY
-2|2|t_a_~||a|PHYSICAL_TABLE
-2|3|t_b_~||b|PHYSICAL_TABLE
-3|1|star_table_~|sch|a|PHYSICAL_TABLE
-4|1|MYTABLE_~|MYSCHEMA|t|PHYSICAL_TABLE
-5|1|t1_~||t1_~|PHYSICAL_TABLE
-5|1|t2_~||t2_~|PHYSICAL_TABLE
-6|1|||s|SUBQUERY
-6|2|t1_~||t1_~|PHYSICAL_TABLE
-6|2|t2_~||t2_~|PHYSICAL_TABLE
-7|1|||s|SUBQUERY
-8|1|t1_~||t1_~|PHYSICAL_TABLE
-8|1|t2_~||t2_~|PHYSICAL_TABLE
-9|1|||s|SUBQUERY
-9|2|||cq1|SUBQUERY
-9|3|base_table_~||base_table_~|PHYSICAL_TABLE
-10|1|t_main_~||m|PHYSICAL_TABLE
-10|1|||v|SUBQUERY
-10|2|sub_table_~|sch|sub_table_~|PHYSICAL_TABLE
+0|1|seat_~|hall|s|PHYSICAL_TABLE
+0|1|price_~||p|PHYSICAL_TABLE
+1|1|open_days||o|CTE
+1|2|day_~|cal|d|PHYSICAL_TABLE
+2|1|||u|SUBQUERY
+2|2|web_list_~||w|PHYSICAL_TABLE
+2|3|door_list_~||d|PHYSICAL_TABLE
+3|1|rack_~|hall|r|PHYSICAL_TABLE
+4|1|PLAN_~|LIGHTS|q|PHYSICAL_TABLE
+5|1|sound_~||sound_~|PHYSICAL_TABLE
+5|1|light_~||light_~|PHYSICAL_TABLE
+6|1|||mix|SUBQUERY
+6|2|sound_~||sound_~|PHYSICAL_TABLE
+6|2|light_~||light_~|PHYSICAL_TABLE
+7|1|||mix|SUBQUERY
+8|1|sound_~||sound_~|PHYSICAL_TABLE
+8|1|light_~||light_~|PHYSICAL_TABLE
+9|1|||g|SUBQUERY
+9|2|||n|SUBQUERY
+9|3|jury_~||jury_~|PHYSICAL_TABLE
+10|1|wardrobe_~||w|PHYSICAL_TABLE
+10|1|||f|SUBQUERY
+10|2|fabric_~|shop|fabric_~|PHYSICAL_TABLE
 11|1|dual||dual|PHYSICAL_TABLE
-12|1|||X|SUBQUERY
-12|2|FT_MM_BALANCE_~|KMDW|FT|PHYSICAL_TABLE
+12|1|||y|SUBQUERY
+12|2|prop_~|stage|e|PHYSICAL_TABLE
 13|1|DUAL||DUAL|PHYSICAL_TABLE
-14|1|FT_GL_~||A|PHYSICAL_TABLE
-14|2|DM_BRANCH_~|KMDW|B|PHYSICAL_TABLE
-15|1|||TRIAL_BAL|SUBQUERY
-15|1|STA_FM_~||GL_MAST|PHYSICAL_TABLE
-15|2|FT_GL_~||A|PHYSICAL_TABLE
-16|1|tem_txn||T|CTE
-16|2|RPT_TXN_~|KM_JASPER|A|PHYSICAL_TABLE
-16|2|STA_RB_ACCT_~|KMDW|C|PHYSICAL_TABLE
-16|2|FT_MEMO_~|KMDW|MT|PHYSICAL_TABLE
-17|1|cte||c|CTE
-17|2|base_table_~||t|PHYSICAL_TABLE
-17|2|other_table_~||o|PHYSICAL_TABLE
-18|1|base||base|CTE
-18|2|CC_TRANS_~|KMDW|CC_TRANS_~|PHYSICAL_TABLE
-18|3|DC_TRANS_~|KMDW|DC_TRANS_~|PHYSICAL_TABLE
-18|4|CC_TRANS_~|KMDW|A|PHYSICAL_TABLE
-18|5|DC_TRANS_~|KMDW|A|PHYSICAL_TABLE
-18|6|all_trans||A|CTE
-18|6|revert||B|CTE
-19|1|||a|SUBQUERY
-19|2|check_status||check_status|CTE
+14|1|bill_~||b|PHYSICAL_TABLE
+14|2|door_~|hall|d|PHYSICAL_TABLE
+15|1|||cast_list|SUBQUERY
+15|1|script_~||t|PHYSICAL_TABLE
+15|2|contract_~||c|PHYSICAL_TABLE
+16|1|tour||x|CTE
+16|2|trip_~|road|t|PHYSICAL_TABLE
+16|2|van_~|stage|v|PHYSICAL_TABLE
+16|2|memo_~|stage|m|PHYSICAL_TABLE
+17|1|pick||p|CTE
+17|2|score_~||s|PHYSICAL_TABLE
+17|2|lyric_~||l|PHYSICAL_TABLE
+18|1|kept||kept|CTE
+18|2|box_~|till|box_~|PHYSICAL_TABLE
+18|3|box_~|till|s|PHYSICAL_TABLE
+18|4|web_~|till|s|PHYSICAL_TABLE
+18|5|sales||s|CTE
+18|5|undone||u|CTE
+19|1|||b|SUBQUERY
+19|2|sign||sign|CTE
 19|3|dual||dual|PHYSICAL_TABLE
-19|4|base_table_~||base_table_~|PHYSICAL_TABLE
-19|5|c1||c1|CTE
-20|1|tem_txn||T|CTE
-20|2|||x|SUBQUERY
-20|3|FT_MM_BALANCE_~|KMDW|a|PHYSICAL_TABLE
-21|1|TMP_LOAN_T||S|CTE
-21|2|FT_LOAN_~|KMDW|S|PHYSICAL_TABLE
-21|3|TMP_LOAN_INFOR_~||I|PHYSICAL_TABLE
-22|1|TMP_LOAN_T||S|CTE
-22|1|TMP_LOAN_T1||S1|CTE
-22|2|FT_LOAN_~|KMDW|S|PHYSICAL_TABLE
-22|3|FT_LOAN_~|KMDW|S|PHYSICAL_TABLE
-23|1|FT_DYN_~||A|PHYSICAL_TABLE
-25|1|STG_~@LNK||B|PHYSICAL_TABLE
+19|4|ticket_~||ticket_~|PHYSICAL_TABLE
+19|5|house||house|CTE
+20|1|run||r|CTE
+20|2|||y|SUBQUERY
+20|3|show_~|stage|s|PHYSICAL_TABLE
+21|1|spare||p|CTE
+21|2|lamp_~|stage|l|PHYSICAL_TABLE
+21|3|broken_~||k|PHYSICAL_TABLE
+22|1|now_on||a|CTE
+22|1|day_before||b|CTE
+22|2|gig_~|stage|g|PHYSICAL_TABLE
+22|3|gig_~|stage|g|PHYSICAL_TABLE
+23|1|crew_~||c|PHYSICAL_TABLE
+25|1|stall_~@LNK||s|PHYSICAL_TABLE
+26|1|diary_~|hall|t|PHYSICAL_TABLE
+27|1|takings_~||t|PHYSICAL_TABLE
+28|1|takings_~||t|PHYSICAL_TABLE
+29|1|staff_~||t|PHYSICAL_TABLE
+30|1|scene_~||t|PHYSICAL_TABLE
+30|1|light_~||u|PHYSICAL_TABLE
+31|1|matinee_~||a|PHYSICAL_TABLE
+31|2|evening_~||b|PHYSICAL_TABLE
+32|1|visit_~|hall|t|PHYSICAL_TABLE
 """
 
 # template | outputs | tables | schemas | conditions
 LISTS = """
-0|col1, col2|sch1.table1_~, table2_~|sch1|
-1|id, name|cte, sch2.t_users_~|sch2|
-2|col1|t_a_~, t_b_~||
-3|a.*, col1|sch.star_table_~|sch|
-4|col|MYSCHEMA.MYTABLE_~|MYSCHEMA|
-5|col1|t1_~, t2_~||
-6|col1, col2, col3|t1_~, t2_~||
-7|col1, x|||
-8|col1|t1_~, t2_~||
-9|verify_decision, response|base_table_~||
-10|col1, *|t_main_~, sch.sub_table_~|sch|v.col1 IS NOT NULL
-11|cnt|dual||
-12|*, CLIENT_NO|KMDW.FT_MM_BALANCE_~|KMDW|
-13|RUN_DATE|DUAL||
-14|ACTUAL_BALANCE, 1|FT_GL_~, KMDW.DM_BRANCH_~|KMDW|EXISTS(SELECT 1 FROM KMDW.DM_BRANCH_~ B WHERE A.BRANCH_NO = B.BRANCH_NO) / A.BRANCH_NO = B.BRANCH_NO
-15|GL_CODE|STA_FM_~, FT_GL_~||GL_MAST.GL_CODE = TRIAL_BAL.GL_CODE
-16|ACCT_NO, ACCT_EXEC, A.*, TMP_SEQ_NO|tem_txn, KM_JASPER.RPT_TXN_~, KMDW.STA_RB_ACCT_~, KMDW.FT_MEMO_~|KM_JASPER, KMDW|
-17|code, flag|cte, base_table_~, other_table_~||
-18|CUST_NUMBER, TRANSACTION_ORG_ID, CARD_TYPE, TRANSACTION_ID|base, KMDW.CC_TRANS_~, KMDW.DC_TRANS_~, all_trans, revert|KMDW|B.TRANSACTION_ORG_ID IS NULL
-19|STATUS, STATUS_1|base_table_~, c1, check_status, dual||
-20|SYM_RUN_DATE, MODULE, TERM|tem_txn, KMDW.FT_MM_BALANCE_~|KMDW|T.TERM > 0
-21|LOAN_NO, *|TMP_LOAN_T, KMDW.FT_LOAN_~, TMP_LOAN_INFOR_~|KMDW|EXISTS(SELECT LOAN_NO FROM TMP_LOAN_INFOR_~ I WHERE S.LOAN_NO = I.LOAN_NO) / S.LOAN_NO = I.LOAN_NO
-22|LOAN_NO, *|TMP_LOAN_T, TMP_LOAN_T1, KMDW.FT_LOAN_~|KMDW|S.SYM_RUN_DATE = KM_GET_RUN_DATE / S.SYM_RUN_DATE = KM_GET_RUN_DATE - 1
-23|AMT|FT_DYN_~||A.DT = #v_dt# AND A.K = 1
-25|V_TOTAL, AMT|STG_~@LNK||B.AMT > 0 AND B.V_X = 1
+0|row_no, fee|hall.seat_~, price_~|hall|
+1|day_no, doors|open_days, cal.day_~|cal|
+2|guest|web_list_~, door_list_~||
+3|r.*, aisle|hall.rack_~|hall|
+4|lamp|LIGHTS.PLAN_~|LIGHTS|
+5|cue|sound_~, light_~||
+6|cue, gain, tint|sound_~, light_~||
+7|cue, nothing|||
+8|cue|sound_~, light_~||
+9|final_mark, mark|jury_~||
+10|colour, *|wardrobe_~, shop.fabric_~|shop|f.colour IS NOT NULL
+11|tally|dual||
+12|*, lender|stage.prop_~|stage|
+13|show_date|DUAL||
+14|total, 1|bill_~, hall.door_~|hall|EXISTS(SELECT 1 FROM hall.door_~ d WHERE b.door_no = d.door_no) / b.door_no = d.door_no
+15|role|script_~, contract_~||t.role = cast_list.role
+16|van_no, driver, t.*, memo_no|tour, road.trip_~, stage.van_~, stage.memo_~|road, stage|
+17|code, tone|pick, score_~, lyric_~||
+18|guest_no, sale_ref, shop, sale_no|kept, till.box_~, till.web_~, sales, undone|till|u.sale_ref IS NULL
+19|board, sold_out, shown|ticket_~, house, sign, dual||
+20|night, kind, span|run, stage.show_~|stage|r.span > 0
+21|lamp_no, *|spare, stage.lamp_~, broken_~|stage|EXISTS(SELECT lamp_no FROM broken_~ k WHERE l.lamp_no = k.lamp_no) / l.lamp_no = k.lamp_no
+22|gig_no, *|now_on, day_before, stage.gig_~|stage|g.night = this_night / g.night = this_night - 1
+23|wage|crew_~||c.paid = #v_dt# AND c.grade = 1
+25|V_SUM, fee|stall_~@LNK||s.fee > 0 AND s.V_KIND = 1
+26|act, ts|hall.diary_~|hall|
+27|so_far|takings_~||
+28|top_fee, opened_at|takings_~||
+29|head|staff_~||
+30|act, tint|scene_~, light_~||
+31|song|evening_~, matinee_~||
+32|tier, n|hall.visit_~|hall|
+"""
+
+# template | block | output | schema | table | column | reason
+TRACES = """
+0|1|fee||PRICE_~|FEE|
+1|1|day_no|CAL|DAY_~|DAY_NO|
+2|1|guest||WEB_LIST_~|GUEST|
+2|1|guest||DOOR_LIST_~|GUEST|
+9|1|final_mark||JURY_~|FINAL_MARK|
+16|1|driver|ROAD|TRIP_~|DRIVER|STAR_ALIAS_FALLBACK
+18|1|guest_no|TILL|BOX_~|GUEST_NO|
+18|1|guest_no|TILL|WEB_~|GUEST_NO|
+20|2|night|STAGE|SHOW_~|NIGHT|
+21|2|lamp_no|STAGE|LAMP_~|LAMP_NO|
+27|1|so_far||TAKINGS_~|FEE|
+27|1|so_far||TAKINGS_~|TIER|
+27|1|so_far||TAKINGS_~|NIGHT|
 """
 
 

@@ -18,7 +18,15 @@ COMMENT_END_WORDS = [
 MASK_PREFIX, MASK_SUFFIX = "__SQLGLOT_PH_", "__"
 PLACEHOLDER = "#[^#]+#"
 
-LITERAL = r"'[^']*+(?:''[^']*+)*+'"
+# quoted text, also in the form q'[...]' that needs no doubled quotes inside
+_FREE_QUOTE = "|".join(
+    rf"{a}(?s:.*?){b}'" for a, b in [(r"\[", r"\]"), (r"\{", r"\}"), (r"\(", r"\)"), ("<", ">"), ("!", "!"), ("~", "~")]
+)
+FREE_LITERAL = rf"(?<![\w$#\"])[nN]?[qQ]'(?:{_FREE_QUOTE})"
+LITERAL = rf"(?:{FREE_LITERAL}|'[^']*+(?:''[^']*+)*+')"
+
+# blanks of spreadsheets and word processors, which the query language takes as blanks
+WIDE_BLANK = r"[\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]"
 
 
 def _sub(text: Column, pattern: str, replacement: str) -> Column:
@@ -32,6 +40,13 @@ def clean_statement(text: Column) -> Column:
     return strip(_sub(text, "[\t ]{2,}|\t", " "))
 
 
+def plain_blanks(text: Column) -> Column:
+    """Wide blanks outside quotes as plain ones."""
+    kept = rf"({LITERAL}|\"[^\"]*\")|{WIDE_BLANK}"
+    # a blank after a quoted part changes no token
+    return F.when(text.rlike(WIDE_BLANK), _sub(text, kept, "$1 ")).otherwise(text)
+
+
 def inline_comments_to_block(text: Column) -> Column:
     """``-- remark`` becomes ``/*remark*/``; quoted text is left alone. The
     remark ends before a line end, comma, bracket, semicolon or clause word."""

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lineagrid.functions.text import LITERAL, MARKED
+from lineagrid.functions.text import FREE_LITERAL, LITERAL, MARKED
 
 # Words of the query language that are never a column or alias.
 RESERVED = """
-ALL AND ANY AS ASC BETWEEN BOTH BY CASE CONNECT CROSS CUBE CURRENT
+ALL AND ANY AS ASC BETWEEN BOTH BY CASE CONNECT CONNECT_BY_ROOT CROSS CUBE CURRENT
 CURRENT_DATE CURRENT_TIMESTAMP CURRENT_USER DENSE_RANK DESC DISTINCT ELSE END
 ESCAPE EXCEPT EXISTS FALSE FETCH FOLLOWING FOR FROM FULL GROUP GROUPING HAVING
 IGNORE ILIKE IN INNER INTERSECT IS JOIN KEEP LEADING LEFT LIKE LIMIT
@@ -18,6 +18,16 @@ OVER PARTITION PRECEDING PRIOR QUALIFY RANGE RESPECT RIGHT RLIKE ROLLUP ROWS
 SELECT SETS SIBLINGS SIMILAR SOME START SYMMETRIC SYSDATE SYSTIMESTAMP THEN
 TRAILING TRUE UNBOUNDED UNION UNIQUE USING WHEN WHERE WINDOW WITH WITHIN
 """.split()
+# Words that stand for a value, so that a name after one is an alias.
+VALUE_WORDS = """
+CURRENT_DATE CURRENT_TIMESTAMP CURRENT_USER FALSE LOCALTIMESTAMP NULL SYSDATE SYSTIMESTAMP TRUE
+""".split()
+# Fixed values: (word before, word) of phrases in which the word is no column.
+PHRASES = """
+NULLS FIRST, NULLS LAST, DENSE_RANK FIRST, DENSE_RANK LAST, CURRENT ROW, WITH TIME, WITH LOCAL,
+LOCAL TIME, TIME ZONE, ON CONVERSION, ON OVERFLOW, ON EMPTY, ON ERROR, IS NAN, IS INFINITE, IS EMPTY,
+IS JSON, NOT NAN, NOT INFINITE, NOT EMPTY, NOT JSON
+""".replace("\n", " ").split(",")
 SET_WORDS = ["UNION", "INTERSECT", "EXCEPT", "MINUS"]
 JOIN_WORDS = ["LEFT", "RIGHT", "FULL", "INNER", "CROSS", "NATURAL"]
 
@@ -29,6 +39,7 @@ CLAUSES = [
 _PART = rf"(?:\"[^\"]*\"|(?:[\p{{L}}_]|{MARKED})(?:[\p{{L}}\p{{N}}_$@#]++|{MARKED})*+)"
 TOKEN = "|".join(
     [
+        FREE_LITERAL,
         rf"'(?:[^'\ue000]++|{MARKED}|'')*+'",
         r"/\*(?s:.*?)\*/",
         r"--[^\n]*",
@@ -59,18 +70,26 @@ def token_array(marked_sql: Column) -> Column:
 def is_name(word: Column) -> Column:
     """An identifier or dotted name that is not a reserved word."""
     return F.coalesce(
-        word.rlike("^[\\p{L}_\"\ue000]") & ~F.upper(word).isin(RESERVED), F.lit(False)
+        word.rlike("^[\\p{L}_\"\ue000]") & ~word.rlike("^[nN]?[qQ]'") & ~F.upper(word).isin(RESERVED),
+        F.lit(False),
     )
 
 
 def is_literal(word: Column) -> Column:
-    return F.coalesce(word.rlike("^(?:'|[0-9])"), F.lit(False))
+    return F.coalesce(word.rlike("^(?:[nN]?[qQ]?'|[0-9])"), F.lit(False))
+
+
+def in_phrase(before: Column, word: Column) -> Column:
+    """Whether a word and the one before it (both upper case) are a fixed phrase."""
+    phrases = [p.strip() for p in PHRASES]
+    return F.coalesce(F.concat(before, F.lit(" "), word).isin(phrases), F.lit(False))
 
 
 def ends_operand(word: Column) -> Column:
     """A token after which another bare name can only be an alias."""
     return F.coalesce(
-        is_name(word) | is_literal(word) | word.isin(")", "END", "NULL", "SYSDATE", "(+)")
+        is_name(word) | is_literal(word) | word.isin(")", "(+)")
+        | F.upper(word).isin("END", *VALUE_WORDS)
         | word.startswith(":"),
         F.lit(False),
     )

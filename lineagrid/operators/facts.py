@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lineagrid.functions.text import unmark_placeholders
 from lineagrid.functions.words import (
-    CLAUSES, SET_WORDS, ends_operand, is_literal, is_name, name_parts,
+    CLAUSES, SET_WORDS, ends_operand, in_phrase, is_literal, is_name, name_parts,
 )
 from lineagrid.session import keep_bucketed
 
@@ -37,6 +37,7 @@ def with_references(tokens: DataFrame) -> DataFrame:
             & ~ends_operand(F.col("prv_tok"))
             & ~unit_of_extract
             & ~typed_literal
+            & ~in_phrase(prv, u)
             & ~named_window,
             F.lit(False),
         ),
@@ -145,6 +146,7 @@ def blocks_of(tokens: DataFrame, scopes: DataFrame) -> DataFrame:
         .join(home, ["h", "spos"], "left")
         .withColumn("branch_no", F.row_number().over(in_scope))
         .withColumn("n_branches", F.count("*").over(scope_all))
+        .withColumn("n_own", F.count("*").over(Window.partitionBy("h", "own_spos")))
         .withColumn("set_type", set_type)
         .withColumn("first_bpos", F.min("bpos").over(scope_all))
         .withColumn(
@@ -181,6 +183,7 @@ def blocks_of(tokens: DataFrame, scopes: DataFrame) -> DataFrame:
         .withColumn("block_id", F.row_number().over(preorder))
         .select(
             "h", "bpos", "bdp", "spos", "branch_no", "n_branches", "head", "tail", "block_id",
+            ((F.col("own_spos") != F.col("spos")) & (F.col("n_own") == 1)).alias("bracketed"),
             F.coalesce("outer_bpos", "outer_first").alias("parent_bpos"),
             F.col("qd").alias("level_no"), block_type.alias("block_type"),
             F.when(F.col("n_branches") == 1, F.coalesce("scope_alias", F.lit("")))

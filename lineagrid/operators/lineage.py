@@ -20,8 +20,11 @@ def clause_number(clause):
 
 def mention_rows(m: Model, nodes: DataFrame, results: DataFrame) -> DataFrame:
     """(h, bpos, pos, clause, cpos, tok, cat, sch, name_t, col, reason, path)."""
-    # ORDER BY after the last branch belongs to the set operation as a whole
-    in_set = m.blocks.filter("n_branches > 1").select("h", "bpos", F.lit("ORDER_BY").alias("clause"))
+    # ORDER BY after the last branch belongs to the set operation as a whole; a branch in
+    # brackets of its own has an ORDER BY of its own
+    in_set = m.blocks.filter("n_branches > 1 AND NOT bracketed").select(
+        "h", "bpos", F.lit("ORDER_BY").alias("clause")
+    )
     refs = m.refs.join(in_set, ["h", "bpos", "clause"], "left_anti")
     is_sort = (F.col("clause") == "ORDER_BY") & (F.col("q") == "")
     read = results.withColumnRenamed("node", "report_node")

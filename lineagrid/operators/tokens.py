@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lineagrid.functions.text import (
-    clean_statement, frame, frame_error, mark_placeholders, normalize_dynamic_sql,
+    clean_statement, frame, frame_error, mark_placeholders, normalize_dynamic_sql, plain_blanks,
 )
 from lineagrid.functions.words import (
     JOIN_WORDS, SET_WORDS, token_array, without_partition_clause,
@@ -42,10 +42,10 @@ def distinct_texts(statements: DataFrame) -> DataFrame:
     )
     rewritten = F.when(F.col("error_1").isNotNull(), normalize_dynamic_sql(F.col("text")))
     texts = (
-        texts.withColumn("frame", frame(F.col("text")))
+        texts.withColumn("frame", frame(plain_blanks(F.col("text"))))
         .withColumn("error_1", frame_error(F.col("frame")))
         .withColumn("rewritten", rewritten)
-        .withColumn("frame", frame(F.col("rewritten")))
+        .withColumn("frame", frame(plain_blanks(F.col("rewritten"))))
         .withColumn("error_2", frame_error(F.col("frame")))
         .withColumn(
             "sql",
@@ -53,7 +53,9 @@ def distinct_texts(statements: DataFrame) -> DataFrame:
             .when(F.col("error_2").isNull(), F.col("rewritten")),
         )
     )
-    plain = without_partition_clause(F.regexp_replace("sql", r"[\s;]+$", ""))
+    plain = without_partition_clause(
+        F.regexp_replace(plain_blanks(F.col("sql")), r"[\s;]+$", "")
+    )
     return texts.withColumn("marked", mark_placeholders(plain)).select(
         "h", "seq", "n_copies", "text", "sql",
         F.when(

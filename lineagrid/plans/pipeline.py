@@ -251,16 +251,21 @@ class Lineage:
             asked.select("h", "bpos", "n").distinct(), m, keep(scope_names(m))
         )
         up = lambda c: F.upper(unmark_placeholders(F.col(c)))
-        named = feeds.join(self.resolved[1].drop("path"), ["h", "node"]).select(
-            "h", "bpos", "n", "cat", "sch", "name_t", "col", "reason"
+        ends_at = self.resolved[1].withColumnRenamed("path", "end_path")
+        named = feeds.join(ends_at, ["h", "node"]).select(
+            "h", "bpos", "n", "cat", "sch", "name_t", "col", "reason",
+            F.concat("path", "end_path").alias("path"),
         )
         starred = ends.select(
             "h", "bpos", "n", up("table.cat").alias("cat"), up("table.sch").alias("sch"),
             up("table.name").alias("name_t"), F.upper("n").alias("col"), "reason",
+            F.array().cast("array<int>").alias("path"),
         )
-        found = named.unionByName(starred).dropDuplicates(
-            ["h", "bpos", "n", "cat", "sch", "name_t", "col"]
-        )
+        # of equal columns the one reached first in the text gives the reason
+        first = F.min(F.struct("path", "reason"))
+        found = named.unionByName(starred).groupBy(
+            "h", "bpos", "n", "cat", "sch", "name_t", "col"
+        ).agg(first.alias("first")).withColumn("reason", F.col("first.reason"))
         return asked.join(found, ["h", "bpos", "n"]).select(
             "stmt_id", "block_id", "target", F.col("cat").alias("CATALOG"),
             F.col("sch").alias("SCHEMA"), F.col("name_t").alias("TABLE"),

@@ -11,22 +11,55 @@ from lineagrid import Lineage
 # name -> (statement, rows that must be there, rows that must not be there)
 # a row is (SCHEMA, TABLE, COLUMN, REASON, CLAUSE)
 CASES = {
-    "chain of CTEs with hints": (
-        """WITH R AS (
-             SELECT /*+ MATERIALIZE +*/ ORG_ID, 'CC' CARD_TYPE FROM K.CC WHERE TRUNC(D) = TO_DATE('#DATEID#', 'YYYY/MM/DD')
-             UNION ALL
-             SELECT /*+ MATERIALIZE +*/ ORG_ID, 'DC' CARD_TYPE FROM K.DC WHERE 1=1 AND REV='Y'),
-           A AS (
-             SELECT CUST, AMT, TID, CUR, 'CC' CARD_TYPE FROM K.CC A WHERE 1=1 -- all of them
-             UNION ALL SELECT CUST, AMT, TID, CUR, 'DC' CARD_TYPE FROM K.DC A),
-           B AS (SELECT CUST, AMT, CASE WHEN CUR = 'VND' THEN 1 ELSE 2 END RATIO
-                 FROM A LEFT JOIN R ON A.TID = R.ORG_ID AND A.CARD_TYPE = R.CARD_TYPE
-                 WHERE 1=1 AND R.ORG_ID IS NULL)
-           SELECT CUST CLIENT_NO, SUM(TRUNC(AMT / 1E5)*RATIO) NUM01 FROM B GROUP BY CUST""",
-        [("K", "CC", "CUST", "", "PROJECTION"), ("K", "DC", "CUST", "", "PROJECTION"),
-         ("K", "CC", "CUST", "", "GROUP_BY"), ("K", "CC", "CUR", "", "PROJECTION"),
-         ("K", "DC", "AMT", "", "PROJECTION")],
-        [("K", "CC", "CLIENT_NO", "", "PROJECTION"), ("K", "CC", "RATIO", "", "PROJECTION")],
+    "seats sold and returned": (
+        """WITH returned AS (
+             SELECT /*+ parallel(2) */ k.seat_no, 'box' kind FROM hall.box_returns k WHERE k.night = TO_DATE('#NIGHT#', 'YYYY')
+             UNION ALL SELECT w.seat_no, 'web' kind FROM hall.web_returns w WHERE w.state = 'OK'),
+           sold AS (
+             SELECT s.seat_no, s.price, s.tier, 'box' kind FROM hall.box_sales s -- at the door
+             UNION ALL SELECT v.seat_no, v.price, v.tier, 'web' kind FROM hall.web_sales v),
+           kept AS (
+             SELECT d.tier, CASE WHEN d.price > 50 THEN 2 ELSE 1 END weight
+             FROM sold d LEFT JOIN returned r ON d.seat_no = r.seat_no AND d.kind = r.kind
+             WHERE r.seat_no IS NULL)
+           SELECT tier label, SUM(weight * 1E2) points FROM kept GROUP BY tier""",
+        [("HALL", "BOX_SALES", "TIER", "", "PROJECTION"), ("HALL", "WEB_SALES", "TIER", "", "PROJECTION"),
+         ("HALL", "BOX_SALES", "TIER", "", "GROUP_BY"), ("HALL", "WEB_SALES", "PRICE", "", "PROJECTION"),
+         ("HALL", "BOX_RETURNS", "SEAT_NO", "", "WHERE")],
+        [("HALL", "BOX_SALES", "LABEL", "", "PROJECTION"), ("HALL", "BOX_SALES", "KIND", "", "PROJECTION")],
+    ),
+    "words after NULLS, CURRENT and DENSE_RANK are no columns": (
+        "SELECT MAX(t.a) KEEP (DENSE_RANK FIRST ORDER BY t.d NULLS LAST) AS m,"
+        " SUM(t.e) OVER (PARTITION BY t.k ORDER BY t.f ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS r"
+        " FROM t1 t ORDER BY t.b NULLS FIRST",
+        [("", "T1", c, "", "PROJECTION") for c in "ADEKF"] + [("", "T1", "B", "", "ORDER_BY")],
+        [("", "T1", "FIRST", "", "PROJECTION"), ("", "T1", "LAST", "", "PROJECTION"),
+         ("", "T1", "ROW", "", "PROJECTION"), ("", "T1", "FIRST", "", "ORDER_BY"),
+         ("", "T1", "FIRST", "FIRST_TABLE_FALLBACK", "ORDER_BY")],
+    ),
+    "types, value words and free literals are no columns": (
+        "SELECT CAST(t.a AS TIMESTAMP WITH LOCAL TIME ZONE) AS z, CURRENT_TIMESTAMP ts, SYSTIMESTAMP st,"
+        " q'[it's (here)]' AS note, TO_NUMBER(t.n DEFAULT 0 ON CONVERSION ERROR) AS num FROM t1 t",
+        [("", "T1", "A", "", "PROJECTION"), ("", "T1", "N", "", "PROJECTION")],
+        [("", "T1", c, "", "PROJECTION") for c in
+         ("TIME", "ZONE", "LOCAL", "TS", "ST", "Q", "HERE", "CONVERSION", "ERROR", "DEFAULT")],
+    ),
+    "the root of a hierarchy names its column": (
+        "SELECT CONNECT_BY_ROOT t.a AS top FROM t1 t START WITH t.p IS NULL CONNECT BY PRIOR t.a = t.p",
+        [("", "T1", "A", "", "PROJECTION")], [("", "T1", "CONNECT_BY_ROOT", "", "PROJECTION")],
+    ),
+    "wide blanks are blanks": (
+        "SELECT t.a,\u00a0u.b FROM\u00a0t1 t,\u2003t2\u00a0u WHERE t.x = 'a\u00a0b'",
+        [("", "T1", "A", "", "PROJECTION"), ("", "T2", "B", "", "PROJECTION"), ("", "T1", "X", "", "WHERE")],
+        [],
+    ),
+    "a bracketed branch keeps its ORDER BY": (
+        "(SELECT a.x FROM t1 a ORDER BY a.y FETCH FIRST 1 ROWS ONLY) UNION ALL SELECT b.x FROM t2 b",
+        [("", "T1", "Y", "", "ORDER_BY")], [],
+    ),
+    "a bracketed set operation keeps its ORDER BY to itself": (
+        "(SELECT a.x FROM t1 a UNION SELECT c.x FROM t3 c ORDER BY y) UNION ALL SELECT b.x FROM t2 b",
+        [], [("", "T3", "Y", "", "ORDER_BY"), ("", "T1", "Y", "", "ORDER_BY")],
     ),
     "outer mention inside a one-table query": (
         "SELECT a.x FROM t1 a, t3 c WHERE EXISTS (SELECT 1 FROM t2 b WHERE b.k = a.k)",
