@@ -236,12 +236,9 @@ def readable_not(spark, sf_dir):
 
 
 def text_aliases(spark, sf_dir):
-    pairs = statements(spark, sf_dir).select(
-        "stmt_id", F.posexplode(text.text_alias_pairs(F.col("SELECT_STATEMENT"))).alias("pos", "p")
-    )
-    last = F.max_by(F.struct("p.schema_name", "p.table_name"), "pos").alias("r")
-    return pairs.groupBy("stmt_id", F.col("p.alias").alias("alias")).agg(last).select(
-        "stmt_id", "alias", "r.schema_name", "r.table_name"
+    pairs = text.text_alias_pairs(F.col("SELECT_STATEMENT"))
+    return statements(spark, sf_dir).select(
+        "stmt_id", F.inline(text.last_by_alias(pairs))
     )
 
 

@@ -169,13 +169,19 @@ ALIASED_TABLE_REF = TABLE_REF + r"\s+(?:AS\s+)?(\w+)"
 
 
 def text_alias_pairs(text: Column) -> Column:
-    """Array of (alias, schema, table) found by scanning the plain text."""
-    refs = F.regexp_extract_all(text, F.lit(ALIASED_TABLE_REF), F.lit(1))
-    names = F.regexp_extract_all(text, F.lit(ALIASED_TABLE_REF), F.lit(2))
-    return F.transform(
-        F.arrays_zip(refs.alias("ref"), names.alias("name")),
-        lambda pair: F.struct(F.lower(pair["name"]).alias("alias"), *last_two_parts(pair["ref"])),
-    )
+    """Array of (alias, schema, table) found by scanning the plain text once."""
+    found = F.regexp_extract_all(text, F.lit(ALIASED_TABLE_REF), F.lit(0))
+    return F.transform(found, lambda pair: F.struct(
+        F.lower(F.regexp_extract(pair, ALIASED_TABLE_REF, 2)).alias("alias"),
+        *last_two_parts(F.regexp_extract(pair, ALIASED_TABLE_REF, 1)),
+    ))
+
+
+def last_by_alias(pairs: Column) -> Column:
+    """Of pairs with one alias, the last in the text."""
+    return F.filter(pairs, lambda pair, i: ~F.exists(
+        F.slice(pairs, i + 2, F.size(pairs)), lambda later: later["alias"] == pair["alias"]
+    ))
 
 
 def text_table_refs(text: Column) -> Column:

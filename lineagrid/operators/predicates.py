@@ -96,10 +96,14 @@ def split_conditions(texts: DataFrame, key: str) -> DataFrame:
     """
     bare = F.regexp_replace(strip(F.col("text")), r"(?i)^WHERE\s+", "")
     bare = strip(F.regexp_replace(strip(bare), r"(?i)^AND\s+", ""))
+    # texts are exchanged once, as they are; the windows below keep that partitioning,
+    # and the whole text stays with the first token only
     tokens = (
         texts.select(key, bare.alias("text"))
         .filter("text <> ''")
+        .repartition(key)
         .select(key, "text", F.posexplode(token_array(F.col("text"))).alias("pos", "tok"))
+        .withColumn("text", F.when(F.col("pos") == 0, F.col("text")))
     )
     by_pos = Window.partitionBy(key).orderBy("pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -17,7 +18,7 @@ from lineagrid.operators.resolve import (
     Model, expand_outputs, resolve, scope_names, with_node,
 )
 from lineagrid.operators.tokens import distinct_texts, text_key, token_table
-from lineagrid.session import keep, keep_bucketed, prepare
+from lineagrid.session import drop_job, in_job, keep, keep_bucketed, prepare
 
 
 # A text with more copies than this, and than its share of a large corpus, is
@@ -36,57 +37,80 @@ class Lineage:
 
     def __init__(self, statements: DataFrame, scan_text: bool = True):
         prepare(statements.sparkSession)
+        self.job_id = uuid.uuid4().hex
         self.scan_text = scan_text
         self.statements = statements.filter(F.col("READ_MODE") == "Select")
 
+    def close(self) -> None:
+        """Drop the tables the job has kept; its results can be read no longer."""
+        drop_job(self.statements.sparkSession, self.job_id)
+
+    def __enter__(self) -> Lineage:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
     @cached_property
+    @in_job
     def texts(self) -> DataFrame:
         return keep_bucketed(distinct_texts(self.statements), "texts")
 
     @cached_property
+    @in_job
     def tokens(self) -> DataFrame:
         return keep_bucketed(facts.with_references(token_table(self.texts)), "tokens")
 
     @cached_property
+    @in_job
     def scopes(self) -> DataFrame:
         return keep_bucketed(facts.scopes_of(self.tokens), "scopes")
 
     @cached_property
+    @in_job
     def blocks(self) -> DataFrame:
         return keep_bucketed(facts.blocks_of(self.tokens, self.scopes), "blocks")
 
     @cached_property
+    @in_job
     def ctes(self) -> DataFrame:
         return facts.ctes_of(self.scopes)
 
     @cached_property
+    @in_job
     def tables(self) -> DataFrame:
         mentions = facts.table_mentions(self.tokens)
         return keep_bucketed(facts.tables_with_cte(mentions, self.ctes), "tables")
 
     @cached_property
+    @in_job
     def ranges(self) -> DataFrame:
         return keep_bucketed(facts.block_ranges(self.blocks, self.tables), "ranges")
 
     @cached_property
+    @in_job
     def sources(self) -> DataFrame:
         found = facts.sources_of(self.blocks, self.scopes, self.tables, self.ranges)
         return keep_bucketed(found, "sources")
 
     @cached_property
+    @in_job
     def segments(self) -> DataFrame:
         return keep_bucketed(facts.segments_of(self.tokens, self.blocks), "segments")
 
     @cached_property
+    @in_job
     def refs(self) -> DataFrame:
         return keep_bucketed(with_node(facts.references_of(self.tokens)), "refs")
 
     @cached_property
+    @in_job
     def outputs(self) -> DataFrame:
         found = facts.outputs_of(self.tokens, self.segments, self.refs, self.scopes)
         return keep_bucketed(found, "outputs")
 
     @cached_property
+    @in_job
     def model(self) -> Model:
         info = keep_bucketed(scopes.block_info(self.blocks, self.sources, self.outputs), "info")
         keys = keep_bucketed(scopes.source_keys(self.sources, self.scopes), "keys")
@@ -105,15 +129,18 @@ class Lineage:
         )
 
     @cached_property
+    @in_job
     def predicates(self) -> tuple[DataFrame, DataFrame]:
         found, inside = facts.predicates_of(self.tokens, self.segments)
         return found, keep(condition_mentions(self.model, keep(inside)))
 
     @cached_property
+    @in_job
     def resolved(self) -> tuple[DataFrame, DataFrame]:
         return resolve(self.model, self.predicates[1])
 
     @cached_property
+    @in_job
     def conditions(self) -> DataFrame:
         """(h, bpos, cat, sch, name, where_condition)."""
         nodes, results = self.resolved
@@ -121,6 +148,7 @@ class Lineage:
         return attribute(self.model, found, mentions, nodes, results)
 
     @cached_property
+    @in_job
     def clause_texts(self) -> DataFrame:
         """(h, bpos, cpos, clause_sql): the text of each reported clause."""
         two_words = F.col("clause").isin("GROUP_BY", "ORDER_BY")
@@ -138,6 +166,7 @@ class Lineage:
         )
 
     @cached_property
+    @in_job
     def rows(self) -> DataFrame:
         """One row per resolved mention of each different text.
 
@@ -172,6 +201,7 @@ class Lineage:
         return self.statements.withColumn("h", text_key(text))
 
     @cached_property
+    @in_job
     def hot_texts(self) -> DataFrame:
         """(h, n_parts): texts with so many copies that they are split.
 
@@ -238,6 +268,7 @@ class Lineage:
             "stmt_id", "JOB_NAME", "COLUMN", "REASON", "SELECT_STATEMENT"
         )
 
+    @in_job
     def trace_outputs(self, targets: DataFrame) -> DataFrame:
         """Physical columns behind named outputs: targets (stmt_id, block_id,
         target) give rows (stmt_id, block_id, target, CATALOG, ...). Stars are

@@ -9,10 +9,14 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextvars import ContextVar
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 KEY = "h"
+#: the job whose results are being kept
+_job: ContextVar[str] = ContextVar("job", default="")
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -52,17 +56,43 @@ def keep(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def in_job(method):
+    """Let what a method of a job keeps be dropped with the job (see ``drop_job``)."""
+
+    @wraps(method)
+    def wrapped(self, *args, **kwargs):
+        token = _job.set(self.job_id)
+        try:
+            return method(self, *args, **kwargs)
+        finally:
+            _job.reset(token)
+
+    return wrapped
+
+
 def keep_bucketed(df: DataFrame, name: str) -> DataFrame:
     """Write a result that several joins read as a table bucketed on the text
     key: later joins and windows on that key start without an exchange, and
     each reader scans only the columns it uses."""
     spark = df.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = f"lineagrid_{name}_{uuid.uuid4().hex}"
+    table = f"lineagrid_{_job.get()}_{name}_{uuid.uuid4().hex}"
     (
         df.write.bucketBy(buckets, KEY)
-        .option("path", f"{checkpoint_dir(spark).rstrip('/')}/{table}")
+        .option("path", f"{_folder(spark, _job.get())}/{table}")
         .format("parquet")
         .saveAsTable(table)
     )
     return spark.table(table)
+
+
+def _folder(spark: SparkSession, job_id: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/lineagrid-{job_id}"
+
+
+def drop_job(spark: SparkSession, job_id: str) -> None:
+    """Drop the tables a job has kept, and their files."""
+    for table in spark.catalog.listTables(pattern=f"lineagrid_{job_id}_*"):
+        spark.sql(f"DROP TABLE IF EXISTS {table.name}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark, job_id))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 
 import corpus
 from conftest import statement_table
 from lineagrid import Lineage
+from lineagrid.session import checkpoint_dir
 
 # name -> (statement, rows that must be there, rows that must not be there)
 # a row is (SCHEMA, TABLE, COLUMN, REASON, CLAUSE)
@@ -220,3 +223,31 @@ def test_hot_texts_are_dealt_out(spark, monkeypatch):
     expected = [(i, "HOT", c) for i in range(100) for c in "XY"]
     expected += [(100 + i, f"T{i}", "X") for i in range(50)]
     assert got == sorted(expected)
+
+
+def test_close_drops_tables_and_files(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    with Lineage(statement_table(spark, ["SELECT t.a FROM t1 t"])) as job:
+        assert job.tokens.count() == 5
+        own = Path(folder, f"lineagrid-{job.job_id}")
+        assert own.exists() and spark.catalog.listTables(pattern=f"lineagrid_{job.job_id}_*")
+    assert not own.exists()
+    assert not spark.catalog.listTables(pattern=f"lineagrid_{job.job_id}_*")
+
+
+def test_no_local_folder_on_a_cluster():
+    class Conf:
+        def get(self, key, default=None):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        checkpoint_dir(Session())
