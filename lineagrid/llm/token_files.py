@@ -17,9 +17,11 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,8 @@ from lineagrid.llm.common import pieces, texts
 SHARD_DOCS = 10_000
 BLOCK_TOKENS = 1 << 18
 STEP = 512
-MAX_WORDS = 500_000
+MAX_WORDS = 400_000
+TOGETHER = 200
 FILE_SCHEMA = (
     "shard int, block int, start_in_shard long, n_tokens long, doc_ids array<bigint>, "
     "lengths array<int>, zeros array<bigint>, planes array<binary>, ones array<binary>"
@@ -53,15 +56,15 @@ class WaveletMatrix:
         bits = max(1, int(ids.max()).bit_length()) if len(ids) else 1
         zeros, planes, ones = [], [], []
         for level in range(bits - 1, -1, -1):
-            bit = (ids >> np.uint32(level)) & np.uint32(1)
-            plane = np.packbits(bit.astype(np.uint8), bitorder="little")
+            bit = (ids >> np.uint32(level) & np.uint32(1)).astype(bool)
+            plane = np.packbits(bit, bitorder="little")
             padded = np.zeros(-(-len(ids) // STEP) * STEP // 8, np.uint8)
             padded[: len(plane)] = plane
             counts = np.bitwise_count(padded).reshape(-1, STEP // 8).sum(axis=1, dtype=np.uint32)
             planes.append(padded.tobytes())
             ones.append(np.append(np.uint32(0), np.cumsum(counts, dtype=np.uint32)).tobytes())
             zeros.append(int(len(ids) - counts.sum()))
-            ids = np.concatenate([ids[bit == 0], ids[bit == 1]])
+            ids = np.concatenate([ids[~bit], ids[bit]])
         found = cls(0, zeros, planes, ones)
         found.n = len(ids)
         return found
@@ -123,16 +126,15 @@ class WaveletMatrix:
         return whole * STEP + int(np.flatnonzero(piece == bit)[nth - int(starts[whole])])
 
     def all_ids(self) -> np.ndarray:
-        """The whole sequence."""
-        at = np.arange(self.n, dtype=np.int32)
+        """The whole sequence: from the last plane up, put what stood after the zeros and
+        ones of a plane back to where they were."""
         value = np.zeros(self.n, np.uint32)
-        for level, zeros in enumerate(self.zeros):
-            plane = np.unpackbits(self.planes[level], count=self.n, bitorder="little")
-            ones = np.cumsum(plane, dtype=np.int32)
-            bit = plane[at]
-            before = ones[at] - bit
-            at = np.where(bit, zeros + before, at - before)
-            value = value * np.uint32(2) + bit
+        for level in range(len(self.zeros) - 1, -1, -1):
+            bit = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
+            before = np.empty(self.n, np.uint32)
+            before[~bit] = value[: self.zeros[level]]
+            before[bit] = value[self.zeros[level] :] | np.uint32(1 << (len(self.zeros) - 1 - level))
+            value = before
         return value
 
 
@@ -143,28 +145,93 @@ class WordEncoder:
     """Ids by word, as 32-bit little-endian bytes.
 
     For tokenizers that drop white space and never look across it, so that a
-    text's ids are those of its words one after the other (tested for the public
-    ``word_bpe_49k``). Each different word goes to the library once, until
-    the table of known words is full and is emptied.
+    text's ids are those of its words one after the other, and that lower the case
+    and keep runs of letters together (tested for the public ``word_bpe_49k``). Words met for the first time go to the library as texts of
+    ``TOGETHER`` words, and the places of the tokens tell which word each is of.
+    Two tables of known words take turns: when the younger is full the older is
+    let go, so that words in use stay known.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def learn(self, words: list[bytes]) -> None:
+        """Words of plain letters are one piece to the library's model, others go through
+        all of its steps."""
+        rest = []
+        for word in words:
+            piece = one_piece(word)
+            if piece is None:
+                rest.append(word)
+            else:
+                ids = [token.id for token in self.model.tokenize(piece)]
+                self.known[word] = array("I", ids).tobytes()
+        self.learn_together(rest)
+
+    def learn_together(self, words: list[bytes]) -> None:
+        groups = [
+            [w.decode() for w in words[i : i + TOGETHER]] for i in range(0, len(words), TOGETHER)
+        ]
+        found = self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
+        at = 0
+        for group, encoding in zip(groups, found):
+            begins = np.cumsum([0] + [len(w) + 1 for w in group])
+            places = np.array([begin for begin, _ in encoding.offsets], np.int64)
+            cuts = np.searchsorted(places, begins) * 4
+            data = np.array(encoding.ids, "<u4").tobytes()
+            for word, i, j in zip(words[at : at + len(group)], cuts.tolist(), cuts[1:].tolist()):
+                self.known[word] = data[i:j]
+            at += len(group)
 
     def encode(self, batch: list[str]) -> list[bytes]:
         words = [text.encode().split() for text in batch]
-        asked = set(chain.from_iterable(words))
-        missing = asked - self.known.keys()
-        if len(self.known) + len(missing) > MAX_WORDS:
-            self.known, missing = {}, asked
-        listed = list(missing)
-        found = self.tokenizer.encode_batch([w.decode() for w in listed], add_special_tokens=False)
-        for word, encoding in zip(listed, found):
-            self.known[word] = np.array(encoding.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, w)) for w in words]
+        if len(self.known) > MAX_WORDS:
+            self.known, self.older = {}, self.known
+        known, older, missing = self.known, self.older, []
+        for word in set(chain.from_iterable(words)):
+            if word not in known:
+                found = older.get(word)
+                if found is None:
+                    missing.append((word, *plainer(word)))
+                else:
+                    known[word] = found
+        needed = {part for _, body, end in missing for part in (body, end) if part}
+        self.learn([part for part in needed if part not in known])
+        for word, body, end in missing:
+            known[word] = known[body] + known[end] if end else known[body]
+        return [b"".join(map(known.__getitem__, w)) for w in words]
+
+
+#: byte-level tokenizers write a byte as this character: itself where it can be printed
+BYTE_CHARS = {
+    byte: 256 + i
+    for i, byte in enumerate(b for b in range(256) if b < 33 or 126 < b < 161 or b == 173)
+}
+
+
+def one_piece(word: bytes) -> str | None:
+    """The bytes, as characters, of a lower-case word of Latin letters in composed form."""
+    text = word.decode()
+    if not text.isalpha() or not word.isascii() and (
+        max(text) >= "\u0250" or text != text.lower() or not is_normalized("NFC", text)
+    ):
+        return None
+    return word.decode("latin-1").translate(BYTE_CHARS)
+
+
+def plainer(word: bytes) -> tuple[bytes, bytes]:
+    """A word without capitals of ASCII, and without a mark at its end that is a token of
+    its own in any case; and that mark."""
+    if word.isascii():
+        word = word.lower()
+    if word[-1:] in (b".", b",") and word[-2:-1].isalnum():
+        return word[:-1], word[-1:]
+    return word, b""
 
 
 @lru_cache(maxsize=2)

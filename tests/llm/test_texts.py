@@ -242,7 +242,8 @@ def test_words_encode_as_the_whole_text():
     draw = random.Random(9)
     letters = "abΣσς'sSTtreéÉ\u0300\u00a0\u2003 \t\n\x0b\x1c<|startoftext|>endof19KK!"
     texts = ["".join(draw.choice(letters) for _ in range(draw.randint(0, 40))) for _ in range(4000)]
-    texts += [f"a{chr(c)}B {chr(c)}\u0301" for c in range(0x3000)]
+    texts += [f"a{chr(c)}B {chr(c)}\u0301 {chr(c)}z. h{chr(c)}" for c in range(0x3000)]
+    texts += ["o.k. a., b,. 3. 'S. \u00e9. X. ., .", "stra\u00dfe \u0130x \u01c5a \u0149b"]
     for text, data in zip(texts, encoder.encode(texts)):
         assert np.frombuffer(data, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
