@@ -467,6 +467,10 @@ def lineage_oracles() -> dict[str, str]:
     token = (
         r"'[^']*(?:''[^']*)*'|#?[\p{L}_\x22][\p{L}\p{N}_$@#\x22]*(?:\.[\p{L}\p{N}_$@#\x22]+)*(?:\.\*)?|[0-9]+|<>|<=|>=|\|\||\S"
     ).replace("'", "''")
+    bad = ", ".join(map(str, corpus.REJECTED))
+    error = "CASE tpl " + " ".join(
+        f"WHEN {tpl} THEN '{why} | normalized: {why}'" for tpl, why in corpus.REJECTED.items()
+    ) + " END"
     dynamic_part = corpus.quoted("' || v_dt || ''")
     report_keys = 'PARTITION BY "SCHEMA", "TABLE", "DBLINK"'
     report_place = "k1, k2, k3, k4"
@@ -536,10 +540,8 @@ def lineage_oracles() -> dict[str, str]:
                        generate_subscripts(regexp_extract_all(SELECT_STATEMENT, '{ref}', 1), 1) AS n
                 FROM {plain}) WHERE lower(ref) <> 'select' GROUP BY stmt_id, ref)""",
         "parse_status": f"""
-            SELECT stmt_id, CASE tpl WHEN {corpus.BAD} THEN 'rejected' WHEN {corpus.DYNAMIC} THEN 'rewritten'
-                   ELSE 'as given' END AS status,
-                   CASE tpl WHEN {corpus.BAD} THEN 'unbalanced brackets | normalized: unbalanced brackets' END
-                   AS parse_error FROM {good}""",
+            SELECT stmt_id, CASE WHEN tpl IN ({bad}) THEN 'rejected' WHEN tpl = {corpus.DYNAMIC} THEN 'rewritten'
+                   ELSE 'as given' END AS status, {error} AS parse_error FROM {good}""",
         "token_depth": f"""
             SELECT stmt_id, count(*) AS n_tokens, max(dp) AS max_depth FROM (
               SELECT stmt_id, sum(CASE tok WHEN '(' THEN 1 WHEN ')' THEN -1 ELSE 0 END) OVER w
@@ -550,7 +552,7 @@ def lineage_oracles() -> dict[str, str]:
                     SELECT stmt_id, CASE tpl WHEN {corpus.DYNAMIC}
                       THEN replace(SELECT_STATEMENT, {dynamic_part}, '#v_dt#')
                       ELSE replace(SELECT_STATEMENT, chr(160), ' ') END AS sql
-                    FROM {good} WHERE tpl <> {corpus.BAD})))
+                    FROM {good} WHERE tpl NOT IN ({bad}))))
               WINDOW w AS (PARTITION BY stmt_id ORDER BY n))
             GROUP BY stmt_id""",
         "query_blocks": expected(
@@ -587,9 +589,8 @@ def lineage_oracles() -> dict[str, str]:
             'v.col AS "COLUMN", v.reason AS "REASON"',
         ),
         "rejects": f"""
-            SELECT stmt_id, JOB_NAME, SELECT_STATEMENT,
-                   'unbalanced brackets | normalized: unbalanced brackets' AS parse_error
-            FROM {good} WHERE tpl = {corpus.BAD}""",
+            SELECT stmt_id, JOB_NAME, SELECT_STATEMENT, {error} AS parse_error
+            FROM {good} WHERE tpl IN ({bad})""",
         "unresolved": f"""
             SELECT r.stmt_id, s.JOB_NAME, r."COLUMN", r."REASON", s.SELECT_STATEMENT
             FROM ({rows}) r JOIN {good} s ON r.stmt_id = s.stmt_id

@@ -150,6 +150,10 @@ def frame(text: Column) -> Column:
     return _sub(text, rf"{LITERAL}|\"[^\"]*\"|(?s:/\*.*?\*/)|--[^\n]*", "x")
 
 
+_END = r"(?:\)|[\s;]*\z)"
+_NEXT_CLAUSE = rf"(?:(?:WHERE|GROUP|ORDER|HAVING|UNION|INTERSECT|EXCEPT|MINUS)\b|{_END})"
+
+
 def frame_error(frame_text: Column) -> Column:
     """Why a frame cannot be that of a single query, or NULL."""
     opened = F.length(F.replace(frame_text, F.lit(")"), F.lit("")))
@@ -160,6 +164,10 @@ def frame_error(frame_text: Column) -> Column:
         .when(opened != closed, F.lit("unbalanced brackets"))
         .when(frame_text.rlike(r"(?i),\s*SELECT\b"), F.lit("SELECT after a comma"))
         .when(~frame_text.rlike(r"(?i)\bSELECT\b"), F.lit("no SELECT"))
+        .when(frame_text.rlike(rf"(?i)\bSELECT\s*(?:FROM\b|WHERE\b|{_END})"), F.lit("nothing selected"))
+        .when(frame_text.rlike(rf"(?i)\b(?:FROM|JOIN)\s*(?:,|ON\b|{_NEXT_CLAUSE})"), F.lit("no source"))
+        .when(frame_text.rlike(rf"(?i)\b(?:WHERE|HAVING|AND|OR)\s*{_NEXT_CLAUSE}"), F.lit("no condition"))
+        .when(frame_text.rlike(rf"(?i),\s*(?:FROM\b|{_NEXT_CLAUSE})"), F.lit("dangling comma"))
     )
 
 
