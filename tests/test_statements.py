@@ -202,12 +202,12 @@ def test_templates_copies_modes_and_stages(spark, tmp_path):
     append_stages(job, str(tmp_path / "stages"), "r2")
     stored = spark.read.json(str(tmp_path / "stages" / "catalog_columns"))
     assert stored.count() == 2 * len(expected)
-    targets = spark.createDataFrame([(2, 1, "col1"), (16, 2, "ANY_NAME")],
+    targets = spark.createDataFrame([(2, 1, "guest"), (16, 2, "ANY_NAME")],
                                     "stmt_id long, block_id int, target string")
     traced = {(r.stmt_id, r.TABLE, r.COLUMN, r.REASON) for r in job.trace_outputs(targets).collect()}
     assert traced == {
-        (2, "T_A_5", "COL1", ""), (2, "T_B_5", "COL1", ""),
-        (16, "RPT_TXN_5", "ANY_NAME", "STAR_ALIAS_FALLBACK"),
+        (2, "WEB_LIST_5", "GUEST", ""), (2, "DOOR_LIST_5", "GUEST", ""),
+        (16, "TRIP_5", "ANY_NAME", "STAR_ALIAS_FALLBACK"),
     }
 
 
