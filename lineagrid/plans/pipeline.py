@@ -21,10 +21,8 @@ from lineagrid.operators.tokens import distinct_texts, text_key, token_table
 from lineagrid.session import drop_job, in_job, keep, keep_bucketed, prepare
 
 
-# A text with more copies than this, and than its share of a large corpus, is
-# dealt out to several tasks where results go back to the statements.
-HOT_COPIES = 20_000
-MAX_HOT_TEXTS = 10_000
+# Copies of one text that go through one join key where results go back to the statements.
+COPIES_PER_PART = 20_000
 
 
 class Lineage:
@@ -203,26 +201,19 @@ class Lineage:
     @cached_property
     @in_job
     def hot_texts(self) -> DataFrame:
-        """(h, n_parts): texts with so many copies that they are split.
-
-        A text is hot above a ten-thousandth of all statements, so there are
-        fewer than ten thousand of them at any scale.
-        """
-        total = self.texts.agg(F.sum("n_copies")).first()[0] or 0
-        limit = max(HOT_COPIES, total // MAX_HOT_TEXTS)
-        return keep(
-            self.texts.filter(F.col("n_copies") > limit).select(
-                "h", F.ceil(F.col("n_copies") / limit).cast("int").alias("n_parts")
-            )
-        )
+        """(h, n_parts): the texts whose copies take more than one part."""
+        parts = F.ceil(F.col("n_copies") / COPIES_PER_PART).cast("int")
+        return keep(self.texts.select("h", parts.alias("n_parts")).filter("n_parts > 1"))
 
     def _per_statement(self, by_text: DataFrame, *columns: str) -> DataFrame:
         """Rows of ``by_text`` for every statement with that text.
 
-        The copies of a hot text are dealt out to parts and its rows repeated
-        once per part, so no task gets all copies; the part is in the join key.
+        The copies of a text are dealt out to parts and its rows repeated once
+        per part, so no task gets all copies; the part is in the join key. Texts
+        of one part are not listed. The list meets the statements in a join of two
+        exchanges, which adaptive execution can split.
         """
-        hot = F.broadcast(self.hot_texts)
+        hot = self.hot_texts
 
         def part_key(part):
             return F.when(

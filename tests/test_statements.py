@@ -215,7 +215,7 @@ def test_hot_texts_are_dealt_out(spark, monkeypatch):
     """A text with very many copies goes through several join keys, all rows kept."""
     from lineagrid.plans import pipeline
 
-    monkeypatch.setattr(pipeline, "HOT_COPIES", 10)
+    monkeypatch.setattr(pipeline, "COPIES_PER_PART", 10)
     texts = ["SELECT a.x, a.y FROM hot a"] * 100 + [f"SELECT a.x FROM t{i} a" for i in range(50)]
     job = Lineage(statement_table(spark, texts))
     assert [r.n_parts for r in job.hot_texts.collect()] == [10]
