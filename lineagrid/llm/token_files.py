@@ -20,7 +20,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, filterfalse
 from unicodedata import is_normalized
 
 import numpy as np
@@ -54,9 +54,11 @@ class WaveletMatrix:
     @classmethod
     def of(cls, ids: np.ndarray) -> WaveletMatrix:
         bits = max(1, int(ids.max()).bit_length()) if len(ids) else 1
+        kind = np.uint16 if bits <= 16 else np.uint32  # half the bytes to move
+        ids = ids.astype(kind)
         zeros, planes, ones = [], [], []
         for level in range(bits - 1, -1, -1):
-            bit = (ids >> np.uint32(level) & np.uint32(1)).astype(bool)
+            bit = (ids >> kind(level) & kind(1)).astype(bool)
             plane = np.packbits(bit, bitorder="little")
             padded = np.zeros(-(-len(ids) // STEP) * STEP // 8, np.uint8)
             padded[: len(plane)] = plane
@@ -128,14 +130,15 @@ class WaveletMatrix:
     def all_ids(self) -> np.ndarray:
         """The whole sequence: from the last plane up, put what stood after the zeros and
         ones of a plane back to where they were."""
-        value = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if len(self.zeros) <= 16 else np.uint32
+        value = np.zeros(self.n, kind)
         for level in range(len(self.zeros) - 1, -1, -1):
             bit = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
-            before = np.empty(self.n, np.uint32)
+            before = np.empty(self.n, kind)
             before[~bit] = value[: self.zeros[level]]
-            before[bit] = value[self.zeros[level] :] | np.uint32(1 << (len(self.zeros) - 1 - level))
+            before[bit] = value[self.zeros[level] :] | kind(1 << (len(self.zeros) - 1 - level))
             value = before
-        return value
+        return value.astype(np.uint32)
 
 
 # --- writing -------------------------------------------------------------------
@@ -193,13 +196,12 @@ class WordEncoder:
         if len(self.known) > MAX_WORDS:
             self.known, self.older = {}, self.known
         known, older, missing = self.known, self.older, []
-        for word in set(chain.from_iterable(words)):
-            if word not in known:
-                found = older.get(word)
-                if found is None:
-                    missing.append((word, *plainer(word)))
-                else:
-                    known[word] = found
+        for word in list(filterfalse(known.__contains__, set(chain.from_iterable(words)))):
+            found = older.get(word)
+            if found is None:
+                missing.append((word, *plainer(word)))
+            else:
+                known[word] = found
         needed = {part for _, body, end in missing for part in (body, end) if part}
         self.learn([part for part in needed if part not in known])
         for word, body, end in missing:
