@@ -151,6 +151,8 @@ class WordEncoder:
     text's ids are those of its words one after the other, and that lower the case
     and keep runs of letters together (tested for the public ``word_bpe_49k``). Words met for the first time go to the library as texts of
     ``TOGETHER`` words, and the places of the tokens tell which word each is of.
+    A word that holds an added token such as ``<|endoftext|>``, in any case, always
+    goes there as it is: the library looks for added tokens before it lowers the case.
     Two tables of known words take turns: when the younger is full the older is
     let go, so that words in use stay known.
     """
@@ -158,14 +160,22 @@ class WordEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [token.content.encode().lower() for token in added]
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
+    def holds_added(self, words: bytes) -> bool:
+        words = words.lower()
+        return any(token in words for token in self.added)
+
     def learn(self, words: list[bytes]) -> None:
         """Words of plain letters are one piece to the library's model, others go through
         all of its steps."""
+        if self.holds_added(b" ".join(words)):
+            self.learn_together([word for word in words if self.holds_added(word)])
+            words = [word for word in words if not self.holds_added(word)]
         rest = []
         for word in words:
             piece = one_piece(word)
@@ -202,6 +212,8 @@ class WordEncoder:
                 missing.append((word, *plainer(word)))
             else:
                 known[word] = found
+        if self.holds_added(b" ".join(word for word, _, _ in missing)):
+            missing = [(w, w, b"") if self.holds_added(w) else (w, *rest) for w, *rest in missing]
         needed = {part for _, body, end in missing for part in (body, end) if part}
         self.learn([part for part in needed if part not in known])
         for word, body, end in missing:

@@ -248,6 +248,29 @@ def test_words_encode_as_the_whole_text():
         assert np.frombuffer(data, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_words_with_added_tokens_encode_as_the_library_does(spark, tmp_path):
+    library = Tokenizer.from_file(WORD_BPE)
+    texts = [
+        "hello <|endoftext|> world", "hello <|ENDOFTEXT|> world", "<|endoftext|>", "x<|EndOfText|>.",
+        "A<|endoftext|>B, <|startoftext|><|endoftext|>. é<|startoftext|>É <|end oftext|>",
+        "<|startoftext|>, <|STARTOFTEXT|>, <|startoftext|>",
+    ]
+    draw = random.Random(5)
+    parts = ["<|startoftext|>", "<|endoftext|>", "<|ENDOFTEXT|>", "a", "B", "\u0301", "É", " ", ".", ",", "<|"]
+    texts += ["".join(draw.choices(parts, k=draw.randint(1, 12))) for _ in range(2000)]
+    want = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    assert want[0] == [3306, 49407, 1002]
+    for order in (1, -1):
+        encoder = token_files.WordEncoder(WORD_BPE)
+        got = [np.frombuffer(data, "<u4").tolist() for data in encoder.encode(texts[::order])]
+        assert got[::order] == want
+    docs = spark.createDataFrame(list(enumerate(texts[:6])), "doc_id long, text string")
+    path = str(tmp_path / "files")
+    token_files.write_token_files(docs, WORD_BPE, path)
+    rows = token_files.read_documents(spark, path).collect()
+    assert {r.doc_id: r.ids for r in rows} == {i: ids + [1] for i, ids in enumerate(want[:6])}
+
+
 # --- personal data --------------------------------------------------------------------
 
 
