@@ -18,7 +18,9 @@ def clause_number(clause):
     return F.array_position(F.array(*[F.lit(c) for c in CLAUSES]), clause)
 
 
-def mention_rows(m: Model, nodes: DataFrame, results: DataFrame) -> DataFrame:
+def mention_rows(
+    m: Model, nodes: DataFrame, results: DataFrame, sort_columns: DataFrame
+) -> DataFrame:
     """(h, bpos, pos, clause, cpos, tok, cat, sch, name_t, col, reason, path)."""
     # ORDER BY after the last branch belongs to the set operation as a whole; a branch in
     # brackets of its own has an ORDER BY of its own
@@ -38,8 +40,12 @@ def mention_rows(m: Model, nodes: DataFrame, results: DataFrame) -> DataFrame:
         .groupBy("h", "bpos", F.lower("out_name").alias("n"))
         .agg(F.count("*").alias("n_outputs"), F.max("has_col").alias("has_col"))
     )
+    inside = sort_columns.select("h", "bpos", F.col("out_n").alias("n"), "node", "pos", "depth")
+    has_inside = inside.select("h", "bpos", "n", F.lit(True).alias("has_inside")).distinct()
     sorts = keep(
         sorts.join(named, ["h", "bpos", "n"], "left")
+        .join(has_inside, ["h", "bpos", "n"], "left")
+        .withColumn("has_col", F.col("has_col") | F.coalesce("has_inside", F.lit(False)))
         .join(m.info.select("h", "bpos", "n_tables", "n_subs"), ["h", "bpos"])
         .withColumn(
             "way",
@@ -57,14 +63,14 @@ def mention_rows(m: Model, nodes: DataFrame, results: DataFrame) -> DataFrame:
         F.upper("n").alias("col"), F.lit("DERIVED_COLUMN").alias("reason"),
         F.array().cast("array<int>").alias("path"),
     )
-    feeding = feeding_columns(m)
+    feeding = feeding_columns(m).withColumn("depth", F.lit(0)).unionByName(inside)
     as_written = unmark_placeholders(F.col("name"))
     by_output = (
         sorts.filter("way = 'OUTPUT'").drop("node")
         .join(feeding.withColumnRenamed("pos", "at"), ["h", "bpos", "n"])
         .join(to_report, ["h", "node"]).join(read.drop("col"), ["h", "report_node"])
         .select(*COLUMNS, "cat", "sch", "name_t", as_written.alias("col"), "reason",
-                F.concat(F.array("at"), "path").alias("path"))
+                F.concat(F.array("depth", "at"), "path").alias("path"))
     )
     # the name as an output of any query nested in the block
     area = m.blocks.select(
@@ -75,11 +81,11 @@ def mention_rows(m: Model, nodes: DataFrame, results: DataFrame) -> DataFrame:
     nested = (
         asking.join(below.withColumnRenamed("at", "inner"), ["h", "n", "low", "high"])
         .filter(F.col("inner") != F.col("bpos"))
-        .join(feeding.select("h", F.col("bpos").alias("inner"), "n", "node", F.col("pos").alias("at")),
-              ["h", "inner", "n"])
+        .join(feeding.select("h", F.col("bpos").alias("inner"), "n", "node", F.col("pos").alias("at"),
+                             "depth"), ["h", "inner", "n"])
         .join(results, ["h", "node"])
         .select(*COLUMNS, "cat", "sch", "name_t", "col", "reason",
-                F.concat(F.array("at"), "path").alias("path"))
+                F.concat(F.array("depth", "at"), "path").alias("path"))
     )
     nested = keep(nested)
     rest = sorts.filter("way = 'PLAIN'").unionByName(

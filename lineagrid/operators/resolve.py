@@ -386,6 +386,34 @@ def feeding_columns(m: Model) -> DataFrame:
     )
 
 
+def sort_columns(m: Model) -> DataFrame:
+    """(h, bpos, out_n, q, n, node, pos, depth): for outputs named like a sort key of
+    their statement, the mentions in sub-queries inside the output. As a sort key's
+    columns they are looked up in the output's own block ``bpos``."""
+    keys = m.refs.filter("clause = 'ORDER_BY' AND q = ''").select("h", F.col("n").alias("out_n"))
+    nesting = m.all_scopes.filter("kind = 'EXPR' AND outer_clause = 'PROJECTION'").select(
+        "h", F.col("outer_bpos").alias("bpos"), F.col("outer_item").alias("out_no")
+    )
+    items = keep(
+        m.outputs.filter("out_name IS NOT NULL").withColumn("out_n", F.lower("out_name"))
+        .join(keys.distinct(), ["h", "out_n"], "left_semi")
+        .join(nesting, ["h", "bpos", "out_no"], "left_semi")
+        .select("h", "bpos", "out_n", (F.col("start") - 1).alias("low"), (F.col("end") + 1).alias("high"))
+    )
+    points = m.refs.select("h", F.col("pos").alias("at")).join(
+        items.select("h").distinct(), "h", "left_semi"
+    )
+    inner = m.refs.select("h", F.col("bpos").alias("inner"), F.col("pos").alias("at"), "q", "n")
+    level = m.blocks.select("h", F.col("bpos").alias("inner"), F.col("level_no").alias("depth"))
+    return (
+        contained(items, points, ["h"]).join(items, ["h", "low", "high"])
+        .join(inner, ["h", "at"]).filter(F.col("inner") != F.col("bpos"))
+        .join(level, ["h", "inner"])
+        .withColumn("node", node_id())
+        .select("h", "bpos", "out_n", "q", "n", "node", F.col("at").alias("pos"), "depth")
+    )
+
+
 def expand_outputs(wanted: DataFrame, m: Model, names: DataFrame) -> tuple[DataFrame, DataFrame]:
     """For output names ``n`` of blocks ``bpos``: the mentions that feed them,
     following stars down, and the tables where a star ends.

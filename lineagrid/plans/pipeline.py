@@ -15,7 +15,7 @@ from lineagrid.operators.lineage import clause_number, mention_rows
 from lineagrid.operators.predicates import attribute, condition_mentions
 from lineagrid.operators.render import render
 from lineagrid.operators.resolve import (
-    Model, expand_outputs, resolve, scope_names, with_node,
+    Model, expand_outputs, resolve, scope_names, sort_columns, with_node,
 )
 from lineagrid.operators.tokens import distinct_texts, text_key, token_table
 from lineagrid.session import drop_job, in_job, keep, keep_bucketed, prepare
@@ -135,7 +135,14 @@ class Lineage:
     @cached_property
     @in_job
     def resolved(self) -> tuple[DataFrame, DataFrame]:
-        return resolve(self.model, self.predicates[1])
+        columns = ["h", "bpos", "q", "n", "node"]
+        more = self.predicates[1].select(*columns).unionByName(self.sort_columns.select(*columns))
+        return resolve(self.model, more)
+
+    @cached_property
+    @in_job
+    def sort_columns(self) -> DataFrame:
+        return keep(sort_columns(self.model))
 
     @cached_property
     @in_job
@@ -172,7 +179,7 @@ class Lineage:
         rows of a text: outer blocks first, clauses in report order.
         """
         nodes, results = self.resolved
-        found = mention_rows(self.model, nodes, results)
+        found = mention_rows(self.model, nodes, results, self.sort_columns)
         conditions = self.conditions.withColumnRenamed("name", "name_t")
         place = F.struct("level_no", "block_id", clause_number(F.col("clause")).alias("clause_no"),
                          "pos", "path")

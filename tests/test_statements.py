@@ -148,6 +148,22 @@ CASES = {
         "SELECT (SELECT MAX(b.z) FROM t2 b) m, a.x FROM t1 a, t3 c",
         [("", "T2", "Z", "", "PROJECTION"), ("", "T1", "X", "", "PROJECTION")], [],
     ),
+    "sort key over a scalar sub-query": (
+        "SELECT (SELECT MAX(b.z) FROM t2 b WHERE b.k = 1) AS m FROM t1 a, t3 c ORDER BY m",
+        [("", "T2", "m", "TEXT_ALIAS_FALLBACK", "ORDER_BY")], [("", "DUAL", "M", "DERIVED_COLUMN", "ORDER_BY")],
+    ),
+    "sort key over a scalar sub-query and a column": (
+        "SELECT (SELECT MAX(b.z) FROM t2 b) + a.x AS m FROM t1 a, t3 c ORDER BY m",
+        [("", "T1", "m", "", "ORDER_BY"), ("", "T2", "m", "TEXT_ALIAS_FALLBACK", "ORDER_BY")], [],
+    ),
+    "sort key over columns two queries down": (
+        "SELECT (SELECT COUNT(*) FROM (SELECT b.z FROM t2 b) q) AS m FROM t1 a, t3 c ORDER BY m",
+        [("", "T2", "m", "TEXT_ALIAS_FALLBACK", "ORDER_BY")], [("", "DUAL", "M", "DERIVED_COLUMN", "ORDER_BY")],
+    ),
+    "sort key over a scalar sub-query in a nested query": (
+        "SELECT * FROM (SELECT (SELECT MAX(b.z) FROM t2 b WHERE a.i = b.i) AS m FROM t1 a) s ORDER BY m",
+        [("", "T1", "Z", "", "ORDER_BY"), ("", "T1", "I", "", "ORDER_BY")], [],
+    ),
     "table name of a source-free block": (
         "SELECT (SELECT b.z FROM t2 b) + q m", [("", "T2", "Q", "", "PROJECTION")], [],
     ),
