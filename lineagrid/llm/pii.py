@@ -1,7 +1,9 @@
 """Personal data replaced by keyed surrogates of the same kind and form.
 
-Detected: e-mail addresses, phone numbers, IPv4 addresses, payment cards, US social
-security numbers, secrets after words like ``token =``, and names after titles.
+Detected: e-mail addresses, phone numbers (three, three and four digits with or without
+a country code, or a + and 8 to 15 digits in any groups), IPv4 and IPv6 addresses, payment
+cards, US social security numbers, secrets after words like ``token =``, and names after
+titles.
 An entity is its kind and normal form (case and separators do not matter), and
 every mention of it anywhere gets the same surrogate, in the mention's own form:
 separators, length, case and script stay, cards keep whether their check digit is
@@ -25,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from ipaddress import AddressValueError, IPv6Address
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,18 +50,25 @@ SYLLABLES = {
     "cyrillic": ("б в д к л м н п р с т".split(), "а е и о у".split(), {"f": "а", "m": "ин", "n": "о"}),
 }
 
+# country codes of two digits; 1 and 7 have one, all others three
+TWO_DIGITS = re.compile("2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]")
+
+_H, _V4 = "[0-9A-Fa-f]{1,4}", r"(?:\d{1,3}\.){3}\d{1,3}"
 _TITLE = rf"\b(?P<title>(?i:{MALE}|{FEMALE}|{NEUTRAL}))\.?[ ]"
 ENTITY = re.compile(
     r"(?P<email>[^\W_][\w.+-]*@(?:[\w-]+\.)+[A-Za-z]{2,}(?![\w-]))"
     r"|(?i:\b(?:token|secret|password|passwd|api[_-]?key)\b\s*[=:]\s*[\"']?(?P<secret>[A-Za-z0-9+/_-]{16,}))"
     r"|(?P<ip>(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d))"
-    r"|(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\b\d{3}[.-])\d{3}[.-]?\d{4}\b|\+\d{8,15}\b)"
+    rf"|(?P<ip6>(?<![\w:.])(?:(?:{_H}:){{7}}{_H}|(?:{_H}:){{6}}{_V4}"
+    rf"|(?:{_H}(?::{_H}){{0,6}}::|::(?=[0-9A-Fa-f]))(?:(?:{_H}:){{0,6}}(?:{_V4}|{_H}))?)(?![\w:]|\.\d))"
+    r"|(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\b\d{3}[ .-])\d{3}[ .-]?\d{4}\b"
+    r"|\+\d(?:[ ./()-]{0,2}\d){7,14}\b)"
     r"|(?P<ssn>\b\d{3}-\d{2}-\d{4}\b)"
     r"|(?P<card>\b\d(?:[ -]?\d){12,18}\b)"
     rf"|{_TITLE}(?P<name>[^\W\d_a-z][^\W\d_]+(?:[ ][^\W\d_a-z][^\W\d_]+)?)"
 )
 #: no entity without one of these
-_HINT = re.compile(r"[@\d]|(?i:token|secret|password|passwd|api)|" + _TITLE)
+_HINT = re.compile(r"[@\d]|:[A-Fa-f:]|(?i:token|secret|password|passwd|api)|" + _TITLE)
 Entity = tuple[str, str]
 
 
@@ -123,6 +133,11 @@ def _ip(key: bytes, tweak: str, text: str) -> str:
     return ".".join(map(str, permuted(key, f"ip{tweak}", list(map(int, text.split("."))), [256] * 4)))
 
 
+def _ip6(key: bytes, tweak: str, text: str) -> str:
+    new = permuted(key, f"ip6{tweak}", list(IPv6Address(text).packed), [256] * 16)
+    return str(IPv6Address(bytes(new)))
+
+
 def _card(key: bytes, tweak: str, text: str) -> str:
     body = permuted_text(key, f"card{tweak}", text[:-1])
     return body + str((_luhn(body) + int(text[-1]) - _luhn(text[:-1])) % 10)
@@ -153,7 +168,7 @@ def _name(key: bytes, tweak: str, text: str) -> str:
 
 
 SURROGATE: dict[str, Callable[[bytes, str, str], str]] = {
-    "email": _email, "ip": _ip, "card": _card, "phone": _phone, "secret": _secret, "name": _name,
+    "email": _email, "ip": _ip, "ip6": _ip6, "card": _card, "phone": _phone, "secret": _secret, "name": _name,
     "ssn": lambda key, tweak, text: permuted_text(key, f"ssn{tweak}", text),
 }
 
@@ -170,7 +185,7 @@ def _gender(title: str) -> str:
 
 def mentions(match: re.Match) -> list[tuple[int, int, Entity]]:
     """Start, end and entity of what a match mentions; a name may be two entities."""
-    kind = next(k for k in ("email", "secret", "ip", "phone", "ssn", "card", "name") if match[k])
+    kind = next(k for k in ("email", "secret", "ip", "ip6", "phone", "ssn", "card", "name") if match[k])
     text, (start, end) = match[kind], match.span(kind)
     if kind == "name":
         *given, last = text.split(" ")
@@ -184,9 +199,14 @@ def mentions(match: re.Match) -> list[tuple[int, int, Entity]]:
         if max(map(int, text.split("."))) > 255:
             return []
         normal = ".".join(str(int(part)) for part in text.split("."))
+    elif kind == "ip6":
+        try:
+            normal = str(IPv6Address(text))
+        except AddressValueError:
+            return []
     elif kind == "phone":
-        country = re.match(r"\+(\d{1,3}?)(?=[ .-]|\()|\+(\d)(?=\d{7})", text)
-        code = (country[1] or country[2]) if country else ""
+        width = 1 if digits[0] in "17" else 2 if TWO_DIGITS.match(digits) else 3
+        code = digits[:width] if text[0] == "+" else ""
         normal = f"{code}|{digits[len(code):]}"
     elif kind in ("ssn", "card"):
         normal = digits
@@ -204,6 +224,9 @@ def in_form_of(mention: str, kind: str, new: str) -> str:
         return new.upper() if mention.isupper() else new.capitalize()
     if kind == "ip":
         return new
+    if kind == "ip6":
+        new = IPv6Address(new).exploded if len(mention) == 39 else new
+        return new.upper() if any(c.isupper() for c in mention) else new
     if kind in ("phone", "ssn", "card"):
         digits = iter(new.replace("|", ""))
         return "".join(next(digits) if c.isdigit() else c for c in mention)

@@ -307,6 +307,36 @@ def test_surrogates_keep_form_and_coreference():
     assert pii.replaced(text, b"other", {})[0] != new
 
 
+@pytest.mark.parametrize("kind, mention", [
+    *[("phone", m) for m in (
+        "+1 555 123 4567", "555 123 4567", "(555) 123 4567", "+44 20 7946 0958", "+49 30 123456",
+        "+33 1 42 68 53 00", "+44 (0)20 7946 0958", "+91 98765 43210", "+86-138-1234-5678",
+        "555 123-4567", "+1 (499) 555-6503", "555-123-4567", "555.123.4567", "+4915112345678",
+    )],
+    *[("ip6", m) for m in (
+        "2001:db8::1", "::1", "fe80::", "2001:0db8:0000:0000:0000:ff00:0042:8329", "FE80::A00:27FF",
+        "2001:db8:1:2:3:4:5:6", "::ffff:192.0.2.1", "abcd:abcd:abcd:abcd:abcd:abcd:abcd:abcd",
+    )],
+])
+def test_forms_of_numbers_and_addresses(kind, mention):
+    for text in (mention, f"Call {mention}.", f"({mention}), or [{mention}]"):
+        assert {k for k, _ in pii.entities(text)} == {kind}, text
+        new, n = pii.replaced(text, KEY, {})
+        assert n == text.count(mention) and mention not in new
+        assert {k for k, _ in pii.entities(new)} == {kind}
+        assert not pii.entities(text) & pii.entities(new)
+        if kind == "phone":
+            form = lambda t: "".join("0" if c.isdigit() else c for c in t)
+            assert form(text) == form(new)
+
+
+def test_forms_of_one_entity_agree():
+    assert len(pii.entities("+49 30 123456, +4930123456 and +49-30-123456")) == 1
+    assert len(pii.entities("2001:db8::1 2001:0DB8:0:0:0:0:0:1")) == 1
+    for text in ("at 12:30:45", "std::list a :: b x::int 1::2::3", "00:1b:44:11:3a:b7", "2024-05-01 10:11:12"):
+        assert not pii.entities(text), text
+
+
 def test_collisions_are_redrawn(spark):
     """With one-digit numbers most surrogates are someone's number at first."""
     found = spark.createDataFrame(
