@@ -26,6 +26,7 @@ def with_references(tokens: DataFrame) -> DataFrame:
     unit_of_extract = (prv == "(") & (F.upper("prv_tok2") == "EXTRACT") & (nxt == "FROM")
     typed_literal = u.isin("DATE", "TIMESTAMP", "INTERVAL", "N") & is_literal(nxt)
     named_window = ((F.col("clause") == "WINDOW") & (nxt == "AS")) | (prv == "OVER")
+    after_join = (F.col("clause") == "JOIN_ON") & (F.col("cpos") == F.col("pos") - 1)
     return tokens.withColumn(
         "is_ref",
         F.coalesce(
@@ -37,7 +38,7 @@ def with_references(tokens: DataFrame) -> DataFrame:
             & ~ends_operand(F.col("prv_tok"))
             & ~unit_of_extract
             & ~typed_literal
-            & ~in_phrase(prv, u)
+            & (after_join | ~in_phrase(prv, u))
             & ~named_window,
             F.lit(False),
         ),

@@ -164,6 +164,13 @@ CASES = {
         "SELECT * FROM (SELECT (SELECT MAX(b.z) FROM t2 b WHERE a.i = b.i) AS m FROM t1 a) s ORDER BY m",
         [("", "T1", "Z", "", "ORDER_BY"), ("", "T1", "I", "", "ORDER_BY")], [],
     ),
+    "columns named like a phrase after the ON of a join": (
+        "SELECT a.x FROM t1 a JOIN t2 l ON error = l.code JOIN t3 m ON overflow = m.code"
+        " AND TO_NUMBER(m.n DEFAULT 0 ON CONVERSION ERROR) = 1",
+        [("", "T1", "ERROR", "FIRST_TABLE_FALLBACK", "JOIN_ON"), ("", "T1", "OVERFLOW", "FIRST_TABLE_FALLBACK", "JOIN_ON"),
+         ("", "T3", "N", "", "JOIN_ON")],
+        [("", "T1", "CONVERSION", "FIRST_TABLE_FALLBACK", "JOIN_ON")],
+    ),
     "table name of a source-free block": (
         "SELECT (SELECT b.z FROM t2 b) + q m", [("", "T2", "Q", "", "PROJECTION")], [],
     ),
