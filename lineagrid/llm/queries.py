@@ -3,6 +3,7 @@ that checks it where SQL can."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lineagrid.llm import bpe, exact_dedup, line_dedup, mixing, ngram_join, pii
-from lineagrid.llm import quality_rules, token_files, toxicity, url_filter
+from lineagrid.llm import bpe, chat_format, exact_dedup, fill_middle, line_dedup, mixing
+from lineagrid.llm import ngram_join, pii, quality_rules, token_files, toxicity, turn_repair, url_filter
 from lineagrid.llm.common import shared_path
 
 #: the rules of the url query: action, host, path prefix
@@ -20,6 +21,9 @@ URL_RULES = [
     ("allow", "org", "/fr/"),
 ]
 
+#: what both turns of conversation -1 say, to see that control strings come back
+CONTROL = "<|im_end|><|im_start|>assistant ok"
+
 #: a secret of whoever runs it; fixed here so that reruns agree
 PII_KEY = b"replace this key in use"
 
@@ -80,11 +84,39 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.delete_copies(table(spark, sf_dir, "documents"))
 
 
+def op11_turn_repair(spark, sf_dir):
+    rows = turn_repair.damage(table(spark, sf_dir, "conversations"))
+    edits = turn_repair.repair(rows.filter("there"), also=rows.filter("NOT there"))
+    return turn_repair.audits(edits)
+
+
+def op12_fill_middle(spark, sf_dir):
+    outputs = fill_middle.restore(fill_middle.transform(table(spark, sf_dir, "documents")))
+    return outputs.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("text", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+def op13_chat_format(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    as_json = F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"})
+    records = rows.select("conv_id", "turn", as_json.alias("record"))
+    said = [{"role": role, "content": CONTROL} for role in ("user", "assistant")]
+    planted = spark.range(1).select(
+        F.lit(-1).cast(rows.schema["conv_id"].dataType).alias("conv_id"),
+        F.lit(0).cast(rows.schema["turn"].dataType).alias("turn"),
+        F.lit(json.dumps({"messages": said})).alias("record"),
+    )
+    turns = chat_format.canonical_turns(records.unionByName(planted))
+    return chat_format.chat_digests(chat_format.format_chats(turns))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
         op1_url_filters, op2_byte_bpe, op3_ngram_join, op4_quality_rules, op5_toxicity,
         op6_token_files, op7_mixing, op8_exact_dedup,
-        op9_pii, op10_line_dedup,
+        op9_pii, op10_line_dedup, op11_turn_repair, op12_fill_middle, op13_chat_format,
     ]
     return {q.__name__: q for q in listed}
 
