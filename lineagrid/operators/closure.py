@@ -26,28 +26,21 @@ def follow(seed: DataFrame, step, best_of: list[str], order: str) -> DataFrame:
 
     One row is kept per ``best_of`` key, the one with the smallest ``order``;
     a later row enters only if its key is new or its order is smaller, so
-    cycles stop by themselves.
+    cycles stop by themselves. What is known is carried on as one table in which
+    the rows of the last round are marked: a round is one grouping and one write.
     """
     columns = seed.columns
     rest = [c for c in columns if c not in best_of and c != order]
 
     def best(df: DataFrame) -> DataFrame:
-        picked = F.min(F.struct(order, *rest)).alias("p")
-        return df.groupBy(*best_of).agg(picked).select(*best_of, "p.*").select(*columns)
+        picked = F.min(F.struct(order, "fresh", *rest)).alias("p")
+        return df.groupBy(*best_of).agg(picked).select(*best_of, "p.*").select(*columns, "fresh")
 
-    frontier = keep(best(seed))
-    rounds = [frontier]
-    while not frontier.isEmpty():
-        known = union_all(rounds).select(*best_of, order)
-        known = known.groupBy(*best_of).agg(F.min(order).alias("old_order"))
-        frontier = keep(
-            best(step(frontier).select(*columns))
-            .join(known, best_of, "left")
-            .filter(F.col("old_order").isNull() | (F.col(order) < F.col("old_order")))
-            .drop("old_order")
-        )
-        rounds.append(frontier)
-    return best(union_all(rounds[:-1])) if len(rounds) > 2 else rounds[0]
+    known = keep(best(seed.withColumn("fresh", F.lit(1))))
+    while not (frontier := known.filter("fresh = 1")).isEmpty():
+        more = step(frontier.drop("fresh")).select(*columns).withColumn("fresh", F.lit(1))
+        known = keep(best(known.withColumn("fresh", F.lit(0)).unionByName(more)))
+    return known.drop("fresh")
 
 
 def contained(intervals: DataFrame, points: DataFrame, keys: list[str]) -> DataFrame:

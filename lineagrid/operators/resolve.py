@@ -6,20 +6,24 @@ other blocks; the latter are edges of a graph whose nodes are mentions again,
 because whatever feeds an output column is itself a mention of its own block.
 A closure over those edges ends at the tables.
 
-In a trace, equal physical columns are kept once, and the guard against cycles
-works along one path only.
+A trace gives one row for every way from the mention to a table. Equal physical
+columns are folded where branches of a set operation, several scopes or nested
+queries are looked through together, and below; not where they meet in the
+expression of one output. The guard against cycles works along one path: a
+mention whose trace comes back to where it entered a cycle is looked up once more
+without tracing.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lineagrid.functions.text import text_alias_pairs, text_table_refs, unmark_placeholders
 from lineagrid.operators.closure import contained, follow, union_all
-from lineagrid.operators.scopes import EVERY_NAME
+from lineagrid.operators.scopes import EVERY_NAME, tables_beneath
 from lineagrid.session import keep, keep_bucketed
 
 TABLE_TYPE = "struct<cat:string,sch:string,name:string>"
@@ -51,11 +55,12 @@ class Model:
     outputs: DataFrame
     refs: DataFrame
     scopes: DataFrame
-    scope_tables: DataFrame
     bases: DataFrame
     stars: DataFrame
     traceable: DataFrame
     all_scopes: DataFrame
+    cyclic: DataFrame
+    edges: DataFrame
     scan_text: bool = True
 
 
@@ -129,7 +134,7 @@ def scope_outcome(df: DataFrame, m: Model, names: DataFrame) -> tuple[DataFrame,
         .otherwise("NONE")
     )
     pairs = pairs.withColumn("outcome", outcome).select(
-        "h", "s", "n", "outcome", "is_cte", "scope_star", "first_base",
+        "h", "s", "n", "outcome", "is_cte", "scope_star", "first_base", "has_bases",
         F.when(F.col("outcome") == "STAR", star_table)
         .when(F.col("outcome") == "DERIVED", named_only("dual"))
         .when(F.col("outcome") == "SINGLE", F.col("single_table")).alias("scope_table"),
@@ -208,10 +213,6 @@ def classify(nodes: DataFrame, m: Model, names: DataFrame) -> tuple[DataFrame, D
         F.when(F.col("early") == "PLACEHOLDER", "PLACEHOLDER_COLUMN").otherwise("").alias("reason"),
     )
     open_, nested = scope_outcome(placed.filter(~settled), m, names)
-    stored = (
-        m.scope_tables.filter(F.lower("name") != "dual")
-        .select("h", F.col("spos").alias("s"), F.lit(True).alias("has_bases")).distinct()
-    )
     # rule for several scopes: does any of them trace the name
     some = open_.filter("n_tables = 0 AND n_subs > 1").select("h", "bpos", "n").distinct().join(
         m.sources.filter("kind <> 'T'").select("h", "bpos", F.col("target").alias("s")), ["h", "bpos"]
@@ -223,8 +224,7 @@ def classify(nodes: DataFrame, m: Model, names: DataFrame) -> tuple[DataFrame, D
         "h", "bpos", "n", F.col("table").alias("star_table"), F.col("s").alias("star_scope")
     )
     open_ = (
-        open_.join(stored, ["h", "s"], "left")
-        .join(some, ["h", "bpos", "n"], "left")
+        open_.join(some, ["h", "bpos", "n"], "left")
         .join(star, ["h", "bpos", "n"], "left")
     )
     hit = F.col("outcome").isNotNull() & (F.col("outcome") != "NONE")
@@ -235,7 +235,7 @@ def classify(nodes: DataFrame, m: Model, names: DataFrame) -> tuple[DataFrame, D
         .when((F.col("early") == "OWN_CTE") & F.col("first_base").isNotNull(), "OWN_CTE_BASE")
         .when(F.col("early") == "OWN_CTE", "OWN_TABLE")
         .when((F.col("early") == "SCOPE") & hit, "SCOPE_HIT")
-        .when((F.col("early") == "SCOPE") & F.col("is_cte") & F.col("has_bases").isNotNull(), "BASES")
+        .when((F.col("early") == "SCOPE") & F.col("is_cte") & F.col("has_bases"), "BASES")
         .when(only_scope & hit, "LATE_SCOPE_HIT")
         .when(only_scope & F.col("first_base").isNotNull(), "LATE_BASE")
         .when(several & F.col("any_traces").isNotNull(), "ANY")
@@ -359,18 +359,21 @@ def star_choice(nodes: DataFrame, m: Model, names: DataFrame, with_rest: bool) -
 
 
 def _targets(df: DataFrame, m: Model, columns: list[str]) -> DataFrame:
-    """Blocks (``to``) of the scopes in ``s``; -2 means all scopes of ``bpos``."""
-    members = m.blocks.select("h", F.col("spos").alias("s"), F.col("bpos").alias("to"))
+    """Blocks (``to``) of the scopes in ``s``; -2 means all scopes of ``bpos``.
+    ``folds`` where several blocks are looked through together."""
+    members = m.blocks.select(
+        "h", F.col("spos").alias("s"), F.col("bpos").alias("to"), (F.col("n_branches") > 1).alias("set")
+    )
     all_of = (
         df.filter("s = -2").drop("s")
         .join(m.sources.filter("kind <> 'T'").select("h", "bpos", F.col("target").alias("s")),
               ["h", "bpos"])
     )
     return (
-        df.filter("s <> -2").select(*columns, "s")
-        .unionByName(all_of.select(*columns, "s"))
+        df.filter("s <> -2").select(*columns, "s", F.lit(False).alias("several"))
+        .unionByName(all_of.select(*columns, "s", F.lit(True).alias("several")))
         .join(members, ["h", "s"])
-        .select(*columns, "to")
+        .select(*columns, "to", (F.col("several") | F.col("set")).alias("folds"))
     )
 
 
@@ -418,17 +421,19 @@ def expand_outputs(wanted: DataFrame, m: Model, names: DataFrame) -> tuple[DataF
     """For output names ``n`` of blocks ``bpos``: the mentions that feed them,
     following stars down, and the tables where a star ends.
 
-    Returns (h, bpos, n, node, path) and (h, bpos, n, table, reason, path).
+    Returns (h, bpos, n, node, path, folds) and (h, bpos, n, table, reason, path);
+    ``folds`` where equal columns found by a star count once.
     """
     feeding = keep(feeding_columns(m))
     direct = wanted.join(feeding, ["h", "bpos", "n"]).select(
-        "h", "bpos", "n", "node", F.array("pos").alias("path")
+        "h", "bpos", "n", "node", F.array("pos").alias("path"), F.lit(False).alias("folds")
     )
     hits = feeding.select("h", "bpos", "n").distinct()
     seed = keep(
         wanted.join(hits, ["h", "bpos", "n"], "left_anti")
         .join(m.info.filter("has_star").select("h", "bpos"), ["h", "bpos"], "left_semi")
-        .select("h", "bpos", "n", F.col("bpos").alias("at"), F.array("bpos").alias("path"))
+        .select("h", "bpos", "n", F.col("bpos").alias("at"), F.array("bpos").alias("path"),
+                F.lit(False).alias("folds"))
     )
     if seed.isEmpty():
         rows = seed.select("h", "bpos", "n", no_table().alias("table"), F.lit("").alias("reason"), "path")
@@ -448,14 +453,15 @@ def expand_outputs(wanted: DataFrame, m: Model, names: DataFrame) -> tuple[DataF
 
     def step(frontier):
         hops = _targets(choices(frontier).filter("s IS NOT NULL"), m, ["h", "bpos", "n"])
-        hops = hops.withColumnRenamed("bpos", "at")
+        hops = hops.withColumnRenamed("bpos", "at").withColumnRenamed("folds", "hop_folds")
         return frontier.join(hops, ["h", "at", "n"]).select(
-            "h", "bpos", "n", F.col("to").alias("at"), F.concat("path", F.array("to")).alias("path")
+            "h", "bpos", "n", F.col("to").alias("at"), F.concat("path", F.array("to")).alias("path"),
+            (F.col("folds") | F.col("hop_folds")).alias("folds"),
         )
 
     walked = follow(seed, step, ["h", "bpos", "n", "at"], "path")
     found = walked.join(feeding.withColumnRenamed("bpos", "at"), ["h", "at", "n"]).select(
-        "h", "bpos", "n", "node", F.concat("path", F.array("pos")).alias("path")
+        "h", "bpos", "n", "node", F.concat("path", F.array("pos")).alias("path"), "folds"
     )
     ends = choices(walked).filter("table IS NOT NULL").withColumnRenamed("bpos", "at").drop("s")
     rows = walked.join(ends, ["h", "at", "n"]).select("h", "bpos", "n", "table", "reason", "path")
@@ -502,17 +508,12 @@ def text_rules(open_: DataFrame, m: Model, names: DataFrame) -> tuple[DataFrame,
         .withColumn("alias_ok", F.lit(False))
     )
     looked, nested = scope_outcome(looked, m, names)
-    stored = (
-        m.scope_tables.filter(F.lower("name") != "dual")
-        .select("h", F.col("spos").alias("s"), F.lit(True).alias("has_bases")).distinct()
-    )
     hit_scope = F.col("outcome").isNotNull() & (F.col("outcome") != "NONE")
     goes_on = hit_scope & F.col("outcome").isin("TRACE", "NESTED")
-    bases = ~hit_scope & F.col("aliased") & F.col("has_bases").isNotNull()
+    bases = ~hit_scope & F.col("aliased") & F.coalesce("has_bases", F.lit(False))
     first = ~hit_scope & ~F.col("aliased") & F.col("first_base").isNotNull()
     looked = (
         looked.withColumn("outcome", F.coalesce("outcome", F.lit("NONE")))
-        .join(stored, ["h", "s"], "left")
         .select(
             "h", "bpos", "q", "n", node_id("text").alias("node"), F.lit("TEXT").alias("rule"), "s",
             F.when(goes_on, F.col("outcome")).when(bases, "BASES").alias("act"),
@@ -527,11 +528,101 @@ def text_rules(open_: DataFrame, m: Model, names: DataFrame) -> tuple[DataFrame,
     return looked, nested
 
 
+def settled_ends(nodes: DataFrame) -> DataFrame:
+    """(h, node, table, reason, n, path) of the mentions whose rule names a table."""
+    return nodes.filter("act IS NULL").select(
+        "h", "node", "table", "reason", "n", F.array().cast("array<int>").alias("path")
+    )
+
+
+def base_ends(nodes: DataFrame, m: Model) -> DataFrame:
+    """The same for mentions that get every base table of their scope."""
+    asking = keep(nodes.filter("act = 'BASES'").select("h", "node", "n", "s"))
+    if asking.isEmpty():
+        empty = asking.select("h", "node", no_table().alias("table"), F.lit("").alias("reason"), "n")
+        return empty.withColumn("path", F.array().cast("array<int>"))
+    beneath = tables_beneath(asking.select("h", "s").distinct(), m.info, m.sources, m.edges)
+    found = asking.join(beneath.filter(F.lower("name") != "dual"), ["h", "s"])
+    by_name = Window.partitionBy("h", "node").orderBy("sch", "name", "cat")
+    return found.select(
+        "h", "node", F.struct(F.col("cat"), F.col("sch"), F.col("name")).alias("table"),
+        F.lit("CTE_ANY_TABLE_FALLBACK").alias("reason"), "n",
+        F.array(F.row_number().over(by_name)).alias("path"),
+    )
+
+
+def without_tracing(nodes: DataFrame, m: Model) -> DataFrame:
+    """Ends of mentions that must not be traced (any further): the rules after the trace."""
+    nothing = m.traceable.limit(0)
+    again, _ = classify(
+        nodes.select("h", "bpos", "q", "n", "node"), replace(m, traceable=nothing),
+        scope_names(replace(m, traceable=nothing)),
+    )
+    again = keep(again)
+    return settled_ends(again).unionByName(base_ends(again, m))
+
+
+def cut_cycles(
+    m: Model, going: DataFrame, links: DataFrame, walked: DataFrame, traced: DataFrame
+) -> DataFrame:
+    """Rows (h, node, rid, table, reason, n, tweaked, path) of traces that come back.
+
+    A mention lies on a cycle if something that feeds it leads back to it; mutual
+    reachability tells the strongly connected parts of the graph apart. A trace
+    enters a cycle at the mention it starts from or at the last one outside. Where
+    it would enter there again, the mention at hand gets what the rules after
+    tracing give. A mention for which that leaves nothing is looked up the same way.
+    """
+    in_cycles = m.cyclic.select("h").distinct()
+    reach = keep(
+        walked.join(in_cycles, "h", "left_semi").groupBy("h", "origin", "node")
+        .agg(F.min(F.struct("path", "rid", "tweaked")).alias("way"))
+    )
+    hops = keep(links.join(in_cycles, "h", "left_semi").select("h", "node", "to").distinct())
+    back = reach.select("h", F.col("origin").alias("to"), "node")
+    on_cycle = keep(
+        hops.join(back, ["h", "node", "to"])
+        .join(going.filter("act <> 'ANY'").select("h", "node"), ["h", "node"], "left_semi")
+    )
+    same_entry = (
+        hops.withColumnRenamed("node", "entering")
+        .join(on_cycle.withColumnRenamed("node", "closing"), ["h", "to"])
+        .select("h", "entering", "closing").distinct()
+    )
+    inside = reach.select("h", F.col("origin").alias("closing"), F.col("node").alias("entering"))
+    outside = same_entry.join(inside, ["h", "entering", "closing"], "left_anti")
+    starts = same_entry.select("h", F.col("entering").alias("origin"), "closing")
+    passed = reach.select("h", "origin", F.col("node").alias("entering")).join(
+        outside, ["h", "entering"]
+    ).select("h", "origin", "closing")
+    pairs = starts.unionByName(passed).distinct()
+    cut = keep(without_tracing(
+        going.join(on_cycle.select("h", "node").distinct(), ["h", "node"], "left_semi"), m
+    ))
+    closed = (
+        pairs.withColumnRenamed("closing", "node")
+        .join(reach, ["h", "origin", "node"])
+        .join(cut.withColumnRenamed("path", "end_path"), ["h", "node"])
+        .select("h", F.col("origin").alias("node"), "way.rid", "table", "reason", "n", "way.tweaked",
+                F.concat("way.path", "end_path").alias("path"))
+    )
+    closed = keep(closed)
+    # several scopes that all lead back: no single entry, so the mention itself is looked up
+    found = traced.select("h", "node").unionByName(closed.select("h", "node")).distinct()
+    lost = going.join(in_cycles, "h", "left_semi").join(found, ["h", "node"], "left_anti")
+    rest = without_tracing(lost, m).select(
+        "h", "node", F.lit(0).cast("long").alias("rid"), "table", "reason", "n",
+        F.lit(None).cast("string").alias("tweaked"), "path",
+    )
+    return closed.unionByName(rest)
+
+
 def resolve(m: Model, more: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of every mention, and of the lookups in ``more``: (nodes, results).
 
     ``nodes`` gives the rule and the node to read for the report (``report_node``);
-    ``results`` is (h, node, cat, sch, name_t, col, reason, path), upper-cased.
+    ``results`` is (h, node, rid, cat, sch, name_t, col, reason, path), upper-cased, where
+    ``rid`` tells the ways apart on which one column is met more than once.
     """
     columns = ["h", "bpos", "q", "n", "node"]
     mentions = m.refs.select(*columns).unionByName(more.select(*columns)).distinct()
@@ -546,25 +637,21 @@ def resolve(m: Model, more: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes = plain.unionByName(scanned, allowMissingColumns=True)
     nested = nested.unionByName(nested_2).distinct()
 
-    ends = nodes.filter("act IS NULL").select(
-        "h", "node", "table", "reason", "n", F.array().cast("array<int>").alias("path")
-    )
-    bases = nodes.filter("act = 'BASES'").join(
-        m.scope_tables.filter(F.lower("name") != "dual").withColumnRenamed("spos", "s"), ["h", "s"]
+    going = nodes.filter("act IN ('TRACE', 'NESTED', 'ANY')")
+    sets = m.blocks.filter("n_branches > 1").select("h", F.col("spos").alias("s"))
+    folding = sets.unionByName(m.cyclic).distinct().withColumn("set", F.lit(True))
+    # from a folding mention on, equal columns count once
+    going = keep(
+        going.join(folding, ["h", "s"], "left")
+        .withColumn("fold", (F.col("act") != "TRACE") | F.col("set").isNotNull())
+        .drop("set")
     )
-    by_name = Window.partitionBy("h", "node").orderBy("sch", "name", "cat")
-    bases = bases.select(
-        "h", "node", F.struct(F.col("cat"), F.col("sch"), F.col("name")).alias("table"),
-        F.lit("CTE_ANY_TABLE_FALLBACK").alias("reason"), "n",
-        F.array(F.row_number().over(by_name)).alias("path"),
-    )
-    going = keep(nodes.filter("act IN ('TRACE', 'NESTED', 'ANY')"))
-    columns = ["h", "node", "n", "tweak"]
+    columns = ["h", "node", "n"]
     entry = _targets(
         going.filter("act = 'TRACE'").select(*columns, "bpos", "s")
         .unionByName(going.filter("act = 'ANY'").select(*columns, "bpos", F.lit(-2).alias("s"))),
         m, columns,
-    ).unionByName(
+    ).select(*columns, "to").unionByName(
         going.filter("act = 'NESTED'").select(*columns, "s")
         .join(nested.withColumnRenamed("bpos", "to"), ["h", "s", "n"]).select(*columns, "to")
     )
@@ -575,34 +662,44 @@ def resolve(m: Model, more: DataFrame) -> tuple[DataFrame, DataFrame]:
     star_ends = entry.join(star_rows, ["h", "bpos", "n"]).select(
         "h", "node", "table", "reason", "n", F.concat(F.array("bpos"), "path").alias("path")
     )
-    ends = keep(union_all([ends, bases, star_ends]))
+    ends = keep(union_all([settled_ends(nodes), base_ends(nodes, m), star_ends]))
 
-    tweaks = going.filter("tweak IS NOT NULL").select("h", F.col("node").alias("to"), F.lit(1).alias("has_tweak"))
+    about = going.select(
+        "h", F.col("node").alias("to"), F.col("tweak").isNotNull().alias("has_tweak"),
+        F.col("fold").alias("to_folds"),
+    )
+    hop = F.concat(F.array("bpos"), "path")
     links = keep(
         entry.join(feeds.withColumnRenamed("node", "to"), ["h", "bpos", "n"])
-        .groupBy("h", "node", "to")
-        .agg(F.min(F.concat(F.array("bpos"), "path")).alias("hop"))
-        .join(tweaks, ["h", "to"], "left")
+        .select("h", "node", "to", hop.alias("hop"), "folds",
+                F.when(F.col("folds"), F.array("bpos")).otherwise(hop).alias("way"))
+        .distinct()
+        .join(about, ["h", "to"], "left")
+        .fillna(False, ["has_tweak", "to_folds"])
     )
     seed = going.select(
-        "h", F.col("node").alias("origin"), "node",
+        "h", F.col("node").alias("origin"), "node", F.lit(0).cast("long").alias("rid"),
         F.when(F.col("tweak").isNotNull(), F.col("node")).alias("tweaked"),
-        F.array().cast("array<int>").alias("path"),
+        F.col("fold").alias("folded"), F.array().cast("array<int>").alias("path"),
     )
 
     def step(frontier):
         return frontier.join(links, ["h", "node"]).select(
             "h", "origin", F.col("to").alias("node"),
-            F.when(F.col("has_tweak") == 1, F.col("to")).otherwise(F.col("tweaked")).alias("tweaked"),
+            F.when(F.col("folded"), F.col("rid")).otherwise(F.xxhash64("rid", "way")).alias("rid"),
+            F.when(F.col("has_tweak"), F.col("to")).otherwise(F.col("tweaked")).alias("tweaked"),
+            (F.col("folded") | F.col("folds") | F.col("to_folds")).alias("folded"),
             F.concat("path", "hop").alias("path"),
         )
 
-    walked = follow(seed, step, ["h", "origin", "node"], "path")
+    walked = follow(seed, step, ["h", "origin", "node", "rid"], "path")
     traced = walked.join(ends.withColumnRenamed("path", "end_path"), ["h", "node"]).select(
-        "h", F.col("origin").alias("node"), "table", "reason", "n", "tweaked",
+        "h", F.col("origin").alias("node"), "rid", "table", "reason", "n", "tweaked",
         F.concat("path", "end_path").alias("path"),
     )
     traced = keep(traced)
+    if not m.cyclic.isEmpty():
+        traced = keep(traced.unionByName(cut_cycles(m, going, links, walked, traced)))
     # a reason is filled in only where no row of that mention has one, and the
     # innermost such mention decides
     fires = (
@@ -613,19 +710,19 @@ def resolve(m: Model, more: DataFrame) -> tuple[DataFrame, DataFrame]:
         .select("h", F.col("node").alias("tweaked"), "tweak")
     )
     traced = traced.join(fires, ["h", "tweaked"], "left").select(
-        "h", "node", "table", "n", "path", F.coalesce("tweak", "reason").alias("reason")
+        "h", "node", "rid", "table", "n", "path", F.coalesce("tweak", "reason").alias("reason")
     )
-    plain_ends = union_all([ends.join(going.select("h", "node"), ["h", "node"], "left_anti")]).select(
-        "h", "node", "table", "n", "path", "reason"
+    plain_ends = ends.join(going.select("h", "node"), ["h", "node"], "left_anti").select(
+        "h", "node", F.lit(0).cast("long").alias("rid"), "table", "n", "path", "reason"
     )
     up = lambda c: F.upper(unmark_placeholders(F.col(c)))
     results = (
         plain_ends.unionByName(traced)
-        .select("h", "node", up("table.cat").alias("cat"), up("table.sch").alias("sch"),
+        .select("h", "node", "rid", up("table.cat").alias("cat"), up("table.sch").alias("sch"),
                 up("table.name").alias("name"), F.upper("n").alias("col"), "reason", "path")
-        .groupBy("h", "node", "cat", "sch", "name", "col")
+        .groupBy("h", "node", "rid", "cat", "sch", "name", "col")
         .agg(F.min(F.struct("path", "reason")).alias("p"))
-        .select("h", "node", "cat", "sch", F.col("name").alias("name_t"), "col", "p.reason", "p.path")
+        .select("h", "node", "rid", "cat", "sch", F.col("name").alias("name_t"), "col", "p.reason", "p.path")
     )
     chosen = plain.select("h", "bpos", "q", "n", "node", "rule").join(
         scanned.select("h", "bpos", "q", "n", F.col("node").alias("text_node")),

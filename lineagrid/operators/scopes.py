@@ -1,7 +1,8 @@
 """What a sub-query, CTE or set operation stands on.
 
 Base tables of a scope, its single table if it has exactly one, and the names
-it can trace further; all per statement, from joins on the text key.
+it can trace further; all per statement, from joins on the text key, in as many rounds
+as scopes are nested.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineagrid.operators.closure import follow
+from lineagrid.operators.closure import follow, union_all
 from lineagrid.session import keep
 
 EVERY_NAME = "*"
@@ -78,7 +79,6 @@ def source_keys(sources: DataFrame, scopes: DataFrame) -> DataFrame:
 
 
 
-
 def scope_edges(info: DataFrame, sources: DataFrame) -> DataFrame:
     """(h, spos, bpos, pos, target, single): a scope reads another scope.
     ``single`` where that is the block's only source."""
@@ -91,103 +91,225 @@ def scope_edges(info: DataFrame, sources: DataFrame) -> DataFrame:
     )
 
 
-def reached_scopes(scopes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(h, origin, spos, single, path): scopes a scope reads, itself included,
-    in the order in which they are first met."""
-    used = edges.select("h", F.col("target").alias("origin")).distinct()
-    seed = used.select(
-        "h", "origin", F.col("origin").alias("spos"), F.lit(0).alias("not_single"),
-        F.array().cast("array<int>").alias("path"),
-    )
-    links = keep(
-        edges.select(
-            "h", "spos", "pos", F.col("target").alias("next_spos"),
-            F.when(F.col("single"), 0).otherwise(1).alias("link_not_single"),
-        )
-    )
+def _order_of(columns: list[str]):
+    return F.struct(*columns) if len(columns) > 1 else F.col(columns[0])
 
-    def step(frontier):
-        return frontier.join(links, ["h", "spos"]).select(
-            "h", "origin", F.col("next_spos").alias("spos"),
-            F.greatest("not_single", "link_not_single").alias("not_single"),
-            F.concat("path", F.array("pos")).alias("path"),
-        )
 
-    return follow(seed, step, ["h", "origin", "spos"], "path")
+def _summed(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Base tables in short: the first in order, the least and the greatest by name, and
+    whether one is a real table. Two summaries add up to one, so no list of tables is kept."""
+    return rows.groupBy(*keys).agg(
+        F.min_by("first", _order_of(order)).alias("first"), F.min("low").alias("low"),
+        F.max("high").alias("high"), F.max("real").alias("real"),
+    )
 
 
-def scope_tables(reached: DataFrame, info: DataFrame, sources: DataFrame) -> DataFrame:
-    """(h, spos, cat, sch, name, path): base tables of each scope, each once."""
-    stored = (
+def _own_tables(info: DataFrame, sources: DataFrame) -> DataFrame:
+    """(h, spos, bpos, pos, first, low, high, real): the tables blocks name themselves."""
+    return (
         sources.filter("kind = 'T' AND NOT borrowed")
-        .select("h", "bpos", "pos", "cat", "sch", "name")
         .join(info.select("h", "bpos", "spos"), ["h", "bpos"])
-        .drop("bpos")
+        .select("h", "spos", "bpos", "pos", table_struct().alias("first"), identity().alias("low"),
+                identity().alias("high"), (F.lower("name") != "dual").alias("real"))
     )
-    return (
-        reached.join(stored, ["h", "spos"])
-        .select("h", F.col("origin").alias("spos"), "cat", "sch", "name",
-                F.concat("path", F.array("pos")).alias("path"))
-        .groupBy("h", "spos", "cat", "sch", "name")
-        .agg(F.min("path").alias("path"))
+
+
+def _values(scopes: DataFrame, info: DataFrame, own: DataFrame, arrived: DataFrame) -> DataFrame:
+    """(h, spos, first, low, high, real, single) of scopes (h, spos) from their own tables and
+    what has arrived from the scopes they read."""
+    parts = ["h", "spos", "bpos", "pos", "first", "low", "high", "real"]
+    rows = own.join(scopes, ["h", "spos"], "left_semi").select(*parts).unionByName(
+        arrived.filter("low IS NOT NULL").select(*parts)
+    )
+    below = block_bases(arrived)
+    passed = arrived.select("h", "bpos", F.col("single").alias("passed"))
+    leaf = (
+        F.when(F.col("n_tables") == 1, F.col("first_table"))
+        .when((F.col("n_tables") > 1) & (F.col("id_from") == F.col("id_to")), F.col("first_table"))
+        .when((F.col("n_tables") == 0) & (F.col("n_subs") == 1), F.col("passed"))
+        .when((F.col("n_tables") == 0) & (F.col("n_subs") > 1) & F.col("block_one_base"),
+              F.col("block_base"))
+    )
+    one_sub = info.filter("n_tables = 0 AND n_subs = 1").select("h", "bpos")
+    leaf_id = F.when(F.col("leaf").isNotNull(), F.struct("leaf.name", "leaf.sch", "leaf.cat"))
+    singles = (
+        info.join(scopes, ["h", "spos"], "left_semi")
+        .join(below, ["h", "bpos"], "left")
+        .join(passed.join(one_sub, ["h", "bpos"], "left_semi"), ["h", "bpos"], "left")
+        .withColumn("leaf", leaf).withColumn("leaf_id", leaf_id)
+        .groupBy("h", "spos")
+        .agg(
+            F.min_by("leaf", "bpos").alias("leaf"),
+            ((F.count("leaf_id") == F.count("*")) & (F.min("leaf_id") == F.max("leaf_id"))).alias("agree"),
+        )
+        .select("h", "spos", F.when(F.col("agree"), F.col("leaf")).alias("single"))
+    )
+    return scopes.join(_summed(rows, ["h", "spos"], ["bpos", "pos"]), ["h", "spos"], "left").join(
+        singles, ["h", "spos"], "left"
     )
 
 
-def base_summary(tables: DataFrame, keys: list[str]) -> DataFrame:
-    return tables.groupBy(*keys).agg(
-        F.min_by(table_struct(), "path").alias("first_base"),
-        (F.min(identity()) == F.max(identity())).alias("one_base"),
+def block_bases(arrived: DataFrame) -> DataFrame:
+    """First base table over all scopes a block reads, and whether it is the only one."""
+    return _summed(arrived.filter("low IS NOT NULL"), ["h", "bpos"], ["pos"]).select(
+        "h", "bpos", F.col("first").alias("block_base"), (F.col("low") == F.col("high")).alias("block_one_base")
     )
 
 
-def block_bases(sources: DataFrame, tables: DataFrame) -> DataFrame:
-    """First base table over all scopes a block reads, and whether it is the
-    only one."""
-    rows = (
-        sources.filter("kind <> 'T'")
-        .select("h", "bpos", "pos", F.col("target").alias("spos"))
-        .join(tables, ["h", "spos"])
-        .withColumn("path", F.concat(F.array("pos"), "path"))
+def scope_values(
+    info: DataFrame, sources: DataFrame, edges: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What scopes stand on: values (h, spos, first, low, high, real, single), what arrives
+    in each block from each scope it reads (h, spos, bpos, pos, target, ...), and the scopes
+    that read themselves (h, s).
+
+    Values rise from the innermost scopes along the edges; each edge carries one summary
+    once, so a chain of n CTEs costs n rows. A scope is worked out in the round in
+    which the last scope it reads is. What is left when nothing rises any more are
+    recursive CTEs and their readers; see ``_recursive_values``.
+    """
+    own = keep(_own_tables(info, sources))
+    edges = edges.select("h", "spos", "bpos", "pos", "target", "single")
+    waits = keep(edges.groupBy("h", "spos").agg(F.count("*").alias("n_edges")))
+    every = info.select("h", "spos").distinct()
+    none = edges.limit(0).select(
+        "h", "spos", "bpos", "pos", "target", *[
+            F.lit(None).cast(own.schema[c].dataType).alias(c) for c in ("first", "low", "high", "real")
+        ], F.lit(None).cast(own.schema["first"].dataType).alias("single"),
+    )
+    rising = keep(_values(every.join(waits, ["h", "spos"], "left_anti"), info, own, none))
+    done, arrived = [rising], []
+    while not rising.isEmpty():
+        came = keep(
+            edges.drop("single").join(rising.withColumnRenamed("spos", "target"), ["h", "target"])
+            .select(*none.columns)
+        )
+        arrived.append(came)
+        touched = came.select("h", "spos").distinct()
+        inputs = union_all(arrived).join(touched, ["h", "spos"], "left_semi")
+        ready = keep(
+            inputs.groupBy("h", "spos").agg(F.count("*").alias("n_edges"))
+            .join(waits, ["h", "spos", "n_edges"], "left_semi").select("h", "spos")
+        )
+        rising = keep(_values(ready, info, own, inputs.join(ready, ["h", "spos"], "left_semi")))
+        done.append(rising)
+    values, arrivals = union_all(done), union_all(arrived)
+    stuck = keep(waits.join(values, ["h", "spos"], "left_anti").select("h", "spos"))
+    if stuck.isEmpty():
+        return values, arrivals, stuck.select("h", F.col("spos").alias("s"))
+    more, came, cyclic = _recursive_values(stuck, info, own, edges, arrivals)
+    return values.unionByName(more), arrivals.unionByName(came.select(*none.columns)), cyclic
+
+
+def _recursive_values(
+    stuck: DataFrame, info: DataFrame, own: DataFrame, edges: DataFrame, arrivals: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Values of recursive CTEs and of scopes above them, by pairs of these scopes.
+
+    All tables below count, each scope's once. A scope handed on to where it is being
+    looked at already has no single table.
+    """
+    inner = keep(
+        edges.join(stuck, ["h", "spos"], "left_semi")
+        .join(stuck.withColumnRenamed("spos", "target"), ["h", "target"], "left_semi")
     )
-    return base_summary(rows, ["h", "bpos"]).select(
-        "h", "bpos", F.col("first_base").alias("block_base"), F.col("one_base").alias("block_one_base")
+    links = inner.select(
+        "h", "spos", "bpos", "pos", F.col("target").alias("next_spos"),
+        F.when(F.col("single"), 0).otherwise(1).alias("link_not_single"),
+    )
+    seed = stuck.select(
+        "h", F.col("spos").alias("origin"), "spos", F.lit(0).alias("not_single"),
+        F.array().cast("array<int>").alias("path"),
     )
 
+    def step(frontier):
+        return frontier.join(links, ["h", "spos"]).select(
+            "h", "origin", F.col("next_spos").alias("spos"),
+            F.greatest("not_single", "link_not_single").alias("not_single"),
+            F.concat("path", F.array("bpos", "pos")).alias("path"),
+        )
 
-def scope_info(
-    reached: DataFrame, scopes: DataFrame, info: DataFrame, tables: DataFrame, bases: DataFrame
-) -> DataFrame:
-    """Per used scope: star, first base table, single table, end position."""
-    leaf = (
-        F.when(F.col("n_tables") == 1, F.col("first_table"))
-        .when((F.col("n_tables") > 1) & (F.col("id_from") == F.col("id_to")), F.col("first_table"))
-        .when((F.col("n_tables") == 0) & (F.col("n_subs") > 1) & F.col("block_one_base"),
-              F.col("block_base"))
+    reached = keep(follow(seed, step, ["h", "origin", "spos"], "path"))
+    around = inner.select("h", "spos", F.col("target").alias("origin"), "single")
+    cyclic = around.join(reached, ["h", "origin", "spos"])
+    here = arrivals.join(stuck, ["h", "spos"], "left_semi")
+    parts = ["h", "spos", "bpos", "pos", "first", "low", "high", "real"]
+    tables = own.join(stuck, ["h", "spos"], "left_semi").select(*parts).unionByName(
+        here.filter("low IS NOT NULL").select(*parts)
     )
-    passes = (F.col("n_tables") == 0) & (F.col("n_subs") == 1)
+    summed = keep(_summed(
+        reached.join(tables, ["h", "spos"]).select(
+            "h", F.col("origin").alias("spos"), F.concat("path", F.array("bpos", "pos")).alias("place"),
+            "first", "low", "high", "real",
+        ),
+        ["h", "spos"], ["place"],
+    ))
+    came = inner.drop("single").join(summed.withColumnRenamed("spos", "target"), ["h", "target"], "left")
+    came = came.withColumn("single", F.lit(None).cast(own.schema["first"].dataType))
+    # a single table rises along chains of lone sources that do not come back
+    back = cyclic.filter("single AND not_single = 0").select("h", "origin").distinct()
+    none = reached.filter("not_single = 0").select("h", F.col("origin").alias("top"), F.col("spos").alias("origin")).join(
+        back, ["h", "origin"], "left_semi"
+    ).select("h", F.col("top").alias("spos")).distinct()
+    inputs = here.unionByName(came.select(*here.columns))
+    leaves = _values(stuck, info.join(
+        inner.filter("single").select("h", "bpos"), ["h", "bpos"], "left_anti"
+    ), own, inputs).select("h", F.col("spos").alias("leaf_spos"), F.col("single").alias("leaf"))
+    holding = info.join(stuck, ["h", "spos"], "left_semi").select("h", "bpos", "spos").join(
+        inner.filter("single").select("h", "bpos"), ["h", "bpos"], "left_anti"
+    ).select("h", F.col("spos").alias("leaf_spos")).distinct()
     singles = (
         reached.filter("not_single = 0")
-        .join(info, ["h", "spos"])
-        .join(bases, ["h", "bpos"], "left")
-        .filter(~passes)
-        .withColumn("leaf", leaf)
-        .withColumn("leaf_id", F.when(F.col("leaf").isNotNull(),
-                                      F.struct("leaf.name", "leaf.sch", "leaf.cat")))
-        .groupBy("h", "origin")
+        .select("h", "origin", F.col("spos").alias("leaf_spos"), "path")
+        .join(holding, ["h", "leaf_spos"])
+        .join(leaves, ["h", "leaf_spos"], "left")
+        .withColumn("leaf_id", F.when(F.col("leaf").isNotNull(), F.struct("leaf.name", "leaf.sch", "leaf.cat")))
+        .groupBy("h", F.col("origin").alias("spos"))
         .agg(
-            F.min_by("leaf", F.struct("path", "bpos")).alias("leaf"),
-            ((F.count("leaf_id") == F.count("*")) & (F.min("leaf_id") == F.max("leaf_id")))
-            .alias("agree"),
+            F.min_by("leaf", "path").alias("leaf"),
+            ((F.count("leaf_id") == F.count("*")) & (F.min("leaf_id") == F.max("leaf_id"))).alias("agree"),
+        )
+        .filter("agree").select("h", "spos", F.col("leaf").alias("single"))
+        .join(none, ["h", "spos"], "left_anti")
+    )
+    values = keep(stuck.join(summed, ["h", "spos"], "left").join(singles, ["h", "spos"], "left"))
+    came = keep(came.drop("single").join(
+        singles.withColumnRenamed("spos", "target"), ["h", "target"], "left"
+    ))
+    return values, came, keep(cyclic.select("h", F.col("spos").alias("s")).distinct())
+
+
+def tables_beneath(wanted: DataFrame, info: DataFrame, sources: DataFrame, edges: DataFrame) -> DataFrame:
+    """(h, s, cat, sch, name): all base tables of the scopes (h, s) asked for, each once."""
+    links = edges.select("h", "spos", F.col("target").alias("next_spos")).distinct()
+    seed = wanted.select("h", "s", F.col("s").alias("spos"), F.lit(0).alias("round"))
+
+    def step(frontier):
+        return frontier.join(links, ["h", "spos"]).select(
+            "h", "s", F.col("next_spos").alias("spos"), (F.col("round") + 1).alias("round")
         )
-        .select("h", F.col("origin").alias("spos"),
-                F.when(F.col("agree"), F.col("leaf")).alias("single_table"))
+
+    own = sources.filter("kind = 'T' AND NOT borrowed").select("h", "bpos", "cat", "sch", "name").join(
+        info.select("h", "bpos", "spos"), ["h", "bpos"]
     )
-    own = reached.filter(F.size("path") == 0).select("h", "spos")
+    reached = follow(seed, step, ["h", "s", "spos"], "round")
+    return reached.join(own, ["h", "spos"]).select("h", "s", "cat", "sch", "name").distinct()
+
+
+def scope_info(
+    values: DataFrame, edges: DataFrame, scopes: DataFrame, info: DataFrame
+) -> DataFrame:
+    """Per scope that is read: star, first base table, single table, whether a real
+    table lies beneath, end position."""
+    own = edges.select("h", F.col("target").alias("spos")).distinct()
     stars = info.groupBy("h", "spos").agg(F.max("has_star").alias("scope_star"))
     return (
         own.join(stars, ["h", "spos"], "left")
-        .join(base_summary(tables, ["h", "spos"]).drop("one_base"), ["h", "spos"], "left")
-        .join(singles, ["h", "spos"], "left")
+        .join(
+            values.select("h", "spos", F.col("first").alias("first_base"), F.col("single").alias("single_table"),
+                          F.coalesce("real", F.lit(False)).alias("has_bases")),
+            ["h", "spos"], "left",
+        )
         .join(scopes.select("h", "spos", "end_pos", (F.col("kind") == "CTE").alias("is_cte")),
               ["h", "spos"])
     )

@@ -113,17 +113,17 @@ class Lineage:
         info = keep_bucketed(scopes.block_info(self.blocks, self.sources, self.outputs), "info")
         keys = keep_bucketed(scopes.source_keys(self.sources, self.scopes), "keys")
         edges = keep(scopes.scope_edges(info, self.sources))
-        reached = scopes.reached_scopes(self.scopes, edges)
-        base = keep(scopes.scope_tables(reached, info, self.sources))
-        bases = keep(scopes.block_bases(self.sources, base))
-        about = keep(scopes.scope_info(reached, self.scopes, info, base, bases))
+        values, arrived, cyclic = scopes.scope_values(info, self.sources, edges)
+        bases = keep(scopes.block_bases(arrived))
+        about = keep(scopes.scope_info(values, edges, self.scopes, info))
         stars = keep(scopes.star_aliases(self.outputs, keys))
         traceable = scopes.traceable_names(info, self.outputs, edges, stars, about, bases)
         return Model(
             texts=self.texts, blocks=self.blocks, info=info, ranges=self.ranges,
             tables=self.tables, sources=self.sources, keys=keys, ctes=self.ctes,
-            outputs=self.outputs, refs=self.refs, scopes=about, scope_tables=base, bases=bases,
-            stars=stars, traceable=traceable, all_scopes=self.scopes, scan_text=self.scan_text,
+            outputs=self.outputs, refs=self.refs, scopes=about, bases=bases,
+            stars=stars, traceable=traceable, all_scopes=self.scopes, cyclic=cyclic,
+            edges=edges, scan_text=self.scan_text,
         )
 
     @cached_property
@@ -281,19 +281,23 @@ class Lineage:
         )
         up = lambda c: F.upper(unmark_placeholders(F.col(c)))
         ends_at = self.resolved[1].withColumnRenamed("path", "end_path")
+        # what a star finds in several blocks counts once, what feeds one output does not
+        way = lambda own, value: F.when(F.col("folds"), F.lit(0).cast("long")).otherwise(value).alias(own)
         named = feeds.join(ends_at, ["h", "node"]).select(
-            "h", "bpos", "n", "cat", "sch", "name_t", "col", "reason",
-            F.concat("path", "end_path").alias("path"),
+            "h", "bpos", "n", way("feed", F.xxhash64("path")), way("rid", F.col("rid")),
+            "cat", "sch", "name_t", "col", "reason", F.concat("path", "end_path").alias("path"),
         )
+        none = F.lit(0).cast("long")
         starred = ends.select(
-            "h", "bpos", "n", up("table.cat").alias("cat"), up("table.sch").alias("sch"),
+            "h", "bpos", "n", none.alias("feed"), none.alias("rid"),
+            up("table.cat").alias("cat"), up("table.sch").alias("sch"),
             up("table.name").alias("name_t"), F.upper("n").alias("col"), "reason",
             F.array().cast("array<int>").alias("path"),
         )
         # of equal columns the one reached first in the text gives the reason
         first = F.min(F.struct("path", "reason"))
         found = named.unionByName(starred).groupBy(
-            "h", "bpos", "n", "cat", "sch", "name_t", "col"
+            "h", "bpos", "n", "feed", "rid", "cat", "sch", "name_t", "col"
         ).agg(first.alias("first")).withColumn("reason", F.col("first.reason"))
         return asked.join(found, ["h", "bpos", "n"]).select(
             "stmt_id", "block_id", "target", F.col("cat").alias("CATALOG"),
@@ -301,6 +305,15 @@ class Lineage:
             F.col("col").alias("COLUMN"), F.col("reason").alias("REASON"),
         )
 
+    def named_outputs(self) -> DataFrame:
+        """(stmt_id, block_id, target): every named output of every block, each name once."""
+        named = self.outputs.filter("out_name IS NOT NULL").join(
+            self.blocks.select("h", "bpos", "block_id"), ["h", "bpos"]
+        )
+        return self._per_statement(
+            named.groupBy("h", "block_id", F.lower("out_name").alias("target")).agg(F.lit(1).alias("one")).drop("one")
+        )
+
     # --- stage records -------------------------------------------------
 
     def query_blocks(self) -> DataFrame:
