@@ -15,15 +15,17 @@ import corpus
 from lineagrid import Lineage
 from lineagrid.functions import names, text
 from lineagrid.operators import report
+from lineagrid.operators.closure import union_all
 from lineagrid.operators.predicates import split_conditions
-from lineagrid.session import prepare
+from lineagrid.session import new_folder, prepare
+from lineagrid.sources.statements import (
+    CSV_OPTIONS, STATEMENT_SCHEMA, append_stages, read_stages, read_statements, write_report,
+)
 
 try:
     import corpus_pipeline
     from lineagrid.llm import queries as llm
-except ModuleNotFoundError as missing:  # the text operators are a part that can be taken out
-    if missing.name not in ("corpus_pipeline", "lineagrid.llm", "lineagrid.llm.queries"):
-        raise
+except ImportError:  # the text operators are a part that can be taken out
     llm = None
 
 TABLES = ["orders", "lineitem", "documents", "pages", "conversations", "labels", "benchmark"]
@@ -324,11 +326,9 @@ def where_by_table(spark, sf_dir):
 
 
 def trace_outputs(spark, sf_dir):
-    """The outputs listed in the corpus, for every statement of their template."""
-    asked = sorted({(int(r[0]), int(r[1]), r[2]) for r in corpus.rows_of(corpus.TRACES)})
-    listed = spark.createDataFrame(asked, "tpl int, block_id int, target string")
-    targets = statements(spark, sf_dir).join(listed, "tpl").select("stmt_id", "block_id", "target")
-    return job(spark, sf_dir).trace_outputs(targets).drop("CATALOG")
+    """Every named output of every statement."""
+    work = job(spark, sf_dir)
+    return work.trace_outputs(work.named_outputs()).drop("CATALOG")
 
 
 def rejects(spark, sf_dir):
@@ -388,6 +388,37 @@ def report_full(spark, sf_dir):
     return job(spark, sf_dir).report()
 
 
+def report_written(spark, sf_dir):
+    """The report as it is read back from where it was written."""
+    path = new_folder(spark, "report")
+    write_report(job(spark, sf_dir).report(), path)
+    return spark.read.parquet(path)
+
+
+def statement_formats(spark, sf_dir):
+    """The statements, read back from every format they may come in."""
+    folder = new_folder(spark, "statements")
+    found = statements(spark, sf_dir).select(*STATEMENT_SCHEMA.names)
+    tables = []
+    for name in ("csv", "json", "orc", "parquet"):
+        options = CSV_OPTIONS if name == "csv" else {}
+        found.write.options(**options).format(name).save(f"{folder}/{name}")
+        read = read_statements(spark, f"{folder}/{name}", name)
+        tables.append(read.select(F.lit(name).alias("file_format"), "*"))
+    return union_all(tables)
+
+
+def stage_tables(spark, sf_dir):
+    """Rows by stage and statement after a run was appended, and appended again."""
+    folder, work = new_folder(spark, "stages"), job(spark, sf_dir)
+    append_stages(work, folder, "2024-05-01")
+    append_stages(work, folder, "2024-05-01")
+    return union_all([
+        records.groupBy(F.lit(name).alias("stage"), "stmt_id").agg(F.count("*").alias("n_rows"))
+        for name, records in read_stages(spark, folder).items()
+    ])
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The whole job over the smallest corpus: statements in, report out."""
     return report_full(spark, "/root/testdata/sf0.001")
@@ -401,7 +432,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         lineage, lineage_reasons, lineage_order_by, lineage_stars, lineage_tables, where_by_table,
         trace_outputs, rejects, unresolved, column_list, table_list, schema_list, where_list, predicate_split,
         report_merged_conditions, report_best_rows, report_from_rows, report_rows, lineage_report,
-        report_full,
+        report_full, report_written, statement_formats, stage_tables,
     ]
     found = {q.__name__: q for q in listed}
     return found if llm is None else found | llm.queries() | {"pipeline": corpus_pipeline.run}
@@ -434,19 +465,24 @@ def lineage_oracles() -> dict[str, str]:
         return (f"SELECT s.stmt_id, {select} FROM {good} s JOIN "
                 f"{corpus.values(block, ['tpl', *columns])} ON s.tpl = v.tpl")
 
-    row_columns = ["block", "sch", "tab", "col", "reason", "clause"]
+    row_columns = ["block", "sch", "tab", "col", "reason", "spot"]
     rows = expected(
         corpus.LINEAGE, row_columns,
         f'CAST(v.block AS INT) AS block_id, v.sch AS "SCHEMA", {k("tab")} AS "TABLE", '
-        f'{k("col")} AS "COLUMN", v.reason AS "REASON", v.clause AS "CLAUSE", s.tpl',
+        f'{k("col")} AS "COLUMN", v.reason AS "REASON", split_part(v.spot, \':\', 1) AS "CLAUSE", s.tpl, '
+        "v.spot, v.nth, s.SELECT_STATEMENT",
     )
     conditions = expected(
         corpus.CONDITIONS, ["block", "sch", "tab", "cond"],
         f'CAST(v.block AS INT) AS block_id, v.sch AS "SCHEMA", {k("tab")} AS "TABLE", '
-        f'{k("cond")} AS cond',
+        f"replace({k('cond')}, ' && ', ' AND ') AS cond, {k('cond')} AS pieces",
+    )
+    clauses = expected(
+        corpus.CLAUSES, ["block", "spot", "txt"],
+        f"CAST(v.block AS INT) AS block_id, split_part(v.spot, ':', 1) AS clause, v.spot, {k('txt')} AS txt",
     )
     with_where = (
-        f"SELECT r.*, coalesce(c.cond, '') AS cond FROM ({rows}) r LEFT JOIN ({conditions}) c "
+        f"SELECT r.*, coalesce(c.cond, '') AS cond, c.pieces FROM ({rows}) r LEFT JOIN ({conditions}) c "
         'ON r.stmt_id = c.stmt_id AND r.block_id = c.block_id AND r."SCHEMA" = c."SCHEMA" '
         'AND r."TABLE" = c."TABLE"'
     )
@@ -464,14 +500,18 @@ def lineage_oracles() -> dict[str, str]:
         "trim(string_split(ref, '.')[-1], '\"') AS table_name"
     )
     plain = f"(SELECT * REPLACE (replace(SELECT_STATEMENT, chr(160), ' ') AS SELECT_STATEMENT) FROM {stm})"
+    part = r"(?:\x22[^\x22]*\x22|[\p{L}_#][\p{L}\p{N}_$@#]*)"
     token = (
-        r"'[^']*(?:''[^']*)*'|#?[\p{L}_\x22][\p{L}\p{N}_$@#\x22]*(?:\.[\p{L}\p{N}_$@#\x22]+)*(?:\.\*)?|[0-9]+|<>|<=|>=|\|\||\S"
+        rf"'[^']*(?:''[^']*)*'|{part}(?:\.{part})*(?:\.\*)?|[0-9]+|<>|<=|>=|\|\||\S"
     ).replace("'", "''")
     bad = ", ".join(map(str, corpus.REJECTED))
     error = "CASE tpl " + " ".join(
         f"WHEN {tpl} THEN '{why} | normalized: {why}'" for tpl, why in corpus.REJECTED.items()
     ) + " END"
-    dynamic_part = corpus.quoted("' || v_dt || ''")
+    rewritten = ", ".join(map(str, corpus.REWRITTEN))
+    as_read = "CASE tpl " + " ".join(
+        f"WHEN {tpl} THEN replace({corpus.quoted(text)}, '~', k)" for tpl, text in corpus.REWRITTEN.items()
+    ) + " ELSE replace(SELECT_STATEMENT, chr(160), ' ') END"
     report_keys = 'PARTITION BY "SCHEMA", "TABLE", "DBLINK"'
     report_place = "k1, k2, k3, k4"
     firsts = (
@@ -502,10 +542,43 @@ def lineage_oracles() -> dict[str, str]:
         "CASE WHEN contains(\"TABLE\", '@') THEN split_part(\"TABLE\", '@', 1) ELSE \"TABLE\" END"
     )
     report_link = "CASE WHEN contains(\"TABLE\", '@') THEN '@' || split_part(\"TABLE\", '@', 2) ELSE '' END"
+    # rows of each different text once, as its first statement, with what the report takes from them
     report_view = (
-        f'SELECT "SCHEMA", {report_table} AS "TABLE", {report_link} AS "DBLINK", "COLUMN", cond '
-        f"FROM ({with_where}) WHERE NOT starts_with(upper(\"COLUMN\"), 'V_')"
+        f'SELECT r."SCHEMA", {report_table.replace(chr(34) + "TABLE", "r." + chr(34) + "TABLE")} AS "TABLE", '
+        f'{report_link.replace(chr(34) + "TABLE", "r." + chr(34) + "TABLE")} AS "DBLINK", r."COLUMN", r.cond, '
+        f'r.pieces, r.stmt_id AS seq, r.nth, t.txt AS "CLAUSE" FROM ({with_where}) r '
+        f"JOIN ({clauses}) t ON r.stmt_id = t.stmt_id AND r.block_id = t.block_id AND r.spot = t.spot "
+        f"JOIN (SELECT min(stmt_id) AS stmt_id FROM {good} GROUP BY SELECT_STATEMENT) f "
+        "ON r.stmt_id = f.stmt_id WHERE NOT starts_with(upper(r.\"COLUMN\"), 'V_')"
+    )
+    blocks = expected(
+        corpus.BLOCKS, ["block", "parent", "type", "alias", "level"],
+        "CAST(v.block AS INT) AS block_id, CAST(nullif(v.parent, '') AS INT) AS parent_id, "
+        "v.type AS block_type, v.alias AS alias_name, CAST(v.level AS INT) AS level_no, "
+        "CAST(v.block AS INT) AS ordinal_position, CASE v.block WHEN '1' THEN 1 ELSE 0 END AS is_root",
     )
+    sources = expected(
+        corpus.SOURCES, ["block", "name", "sch", "alias", "type"],
+        f"CAST(v.block AS INT) AS block_id, {k('name')} AS table_name, v.sch AS schema_name, "
+        f"{k('alias')} AS alias_name, v.type AS source_type",
+    )
+    full_report = f"""
+        WITH v AS ({report_view}),
+        w AS (SELECT "SCHEMA", "TABLE", "DBLINK", pieces, min(("COLUMN", seq, nth)) AS first
+              FROM v WHERE cond <> '' GROUP BY 1, 2, 3, 4),
+        cut AS (SELECT *, string_split_regex(pieces, ' && |;+') AS found FROM w),
+        p AS (SELECT "SCHEMA", "TABLE", "DBLINK", first, unnest(found) AS pred,
+                     generate_subscripts(found, 1) AS n FROM cut),
+        once AS (SELECT "SCHEMA", "TABLE", "DBLINK", min((first, n, pred)) AS p FROM p
+                 GROUP BY 1, 2, 3, upper(trim(pred))),
+        m AS (SELECT "SCHEMA", "TABLE", "DBLINK", string_agg(trim(p[3]), chr(10) || 'AND ' ORDER BY p) AS merged
+              FROM once GROUP BY 1, 2, 3),
+        b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "SCHEMA", "TABLE", "DBLINK", "COLUMN"
+                ORDER BY CASE WHEN cond = '' THEN 1 ELSE 0 END, length(cond) DESC, seq, nth) AS rn FROM v)
+              WHERE rn = 1)
+        SELECT b."SCHEMA", b."TABLE", b."DBLINK", b."COLUMN",
+               coalesce(m.merged, b.cond) AS "WHERE_CONDITION", b."CLAUSE"
+        FROM b LEFT JOIN m ON b."SCHEMA" = m."SCHEMA" AND b."TABLE" = m."TABLE" AND b."DBLINK" = m."DBLINK" """
     return {
         "clean_text": f"SELECT doc_id, {_cleaned('text')} AS cleaned FROM documents",
         "clean_pages": f"SELECT page_id, {_cleaned('html')} AS cleaned FROM pages",
@@ -540,7 +613,7 @@ def lineage_oracles() -> dict[str, str]:
                        generate_subscripts(regexp_extract_all(SELECT_STATEMENT, '{ref}', 1), 1) AS n
                 FROM {plain}) WHERE lower(ref) <> 'select' GROUP BY stmt_id, ref)""",
         "parse_status": f"""
-            SELECT stmt_id, CASE WHEN tpl IN ({bad}) THEN 'rejected' WHEN tpl = {corpus.DYNAMIC} THEN 'rewritten'
+            SELECT stmt_id, CASE WHEN tpl IN ({bad}) THEN 'rejected' WHEN tpl IN ({rewritten}) THEN 'rewritten'
                    ELSE 'as given' END AS status, {error} AS parse_error FROM {good}""",
         "token_depth": f"""
             SELECT stmt_id, count(*) AS n_tokens, max(dp) AS max_depth FROM (
@@ -549,23 +622,12 @@ def lineage_oracles() -> dict[str, str]:
               FROM (
                 SELECT stmt_id, unnest(toks) AS tok, generate_subscripts(toks, 1) AS n FROM (
                   SELECT stmt_id, regexp_extract_all(sql, '{token}') AS toks FROM (
-                    SELECT stmt_id, CASE tpl WHEN {corpus.DYNAMIC}
-                      THEN replace(SELECT_STATEMENT, {dynamic_part}, '#v_dt#')
-                      ELSE replace(SELECT_STATEMENT, chr(160), ' ') END AS sql
+                    SELECT stmt_id, regexp_replace({as_read}, '/[*].*?[*]/', '', 'g') AS sql
                     FROM {good} WHERE tpl NOT IN ({bad}))))
               WINDOW w AS (PARTITION BY stmt_id ORDER BY n))
             GROUP BY stmt_id""",
-        "query_blocks": expected(
-            corpus.BLOCKS, ["block", "parent", "type", "alias", "level"],
-            "CAST(v.block AS INT) AS block_id, CAST(nullif(v.parent, '') AS INT) AS parent_id, "
-            "v.type AS block_type, v.alias AS alias_name, CAST(v.level AS INT) AS level_no, "
-            "CAST(v.block AS INT) AS ordinal_position, CASE v.block WHEN '1' THEN 1 ELSE 0 END AS is_root",
-        ),
-        "catalog_tables": expected(
-            corpus.SOURCES, ["block", "name", "sch", "alias", "type"],
-            f"CAST(v.block AS INT) AS block_id, {k('name')} AS table_name, v.sch AS schema_name, "
-            f"{k('alias')} AS alias_name, v.type AS source_type",
-        ),
+        "query_blocks": blocks,
+        "catalog_tables": sources,
         "catalog_columns": f"""
             SELECT stmt_id, block_id, CASE tpl WHEN {corpus.THREE_PARTS} THEN 'ARCH' ELSE '' END AS catalog_name,
                    "SCHEMA" AS schema_name,
@@ -586,7 +648,7 @@ def lineage_oracles() -> dict[str, str]:
         "trace_outputs": expected(
             corpus.TRACES, ["block", "target", "sch", "tab", "col", "reason"],
             f'CAST(v.block AS INT) AS block_id, v.target, v.sch AS "SCHEMA", {k("tab")} AS "TABLE", '
-            'v.col AS "COLUMN", v.reason AS "REASON"',
+            f'{k("col")} AS "COLUMN", v.reason AS "REASON"',
         ),
         "rejects": f"""
             SELECT stmt_id, JOB_NAME, SELECT_STATEMENT, {error} AS parse_error
@@ -616,12 +678,21 @@ def lineage_oracles() -> dict[str, str]:
               JOIN (SELECT SELECT_STATEMENT, min(stmt_id) AS stmt_id FROM {good} GROUP BY 1) t
                 ON r.stmt_id = t.stmt_id) GROUP BY 1, 2, 3, 4""",
         "lineage_report": f"""
-            WITH v AS ({report_view}),
-            p AS (SELECT DISTINCT "SCHEMA", "TABLE", "DBLINK", unnest(string_split(cond, ' AND ')) AS pred
-                  FROM v WHERE cond <> ''),
-            m AS (SELECT "SCHEMA", "TABLE", "DBLINK", string_agg(pred, ' AND ' ORDER BY pred) AS merged
-                  FROM p GROUP BY 1, 2, 3)
-            SELECT DISTINCT v."SCHEMA", v."TABLE", v."DBLINK", v."COLUMN",
-                   {squeezed("coalesce(m.merged, '')")} AS "WHERE_CONDITION"
-            FROM v LEFT JOIN m ON v."SCHEMA" = m."SCHEMA" AND v."TABLE" = m."TABLE" AND v."DBLINK" = m."DBLINK" """,
+            SELECT "SCHEMA", "TABLE", "DBLINK", "COLUMN",
+                   {squeezed("array_to_string(list_sort(string_split(\"WHERE_CONDITION\", chr(10) || 'AND ')), ' AND ')")}
+                     AS "WHERE_CONDITION"
+            FROM ({full_report})""",
+        "report_full": full_report,
+        "report_written": full_report,
+        "clause_texts": f"""
+            SELECT c.clause AS clause_type, c.txt AS clause_sql, count(*) AS n_rows
+            FROM ({rows}) r JOIN ({clauses}) c ON r.stmt_id = c.stmt_id AND r.block_id = c.block_id
+              AND r.spot = c.spot GROUP BY 1, 2""",
+        "statement_formats": f"""
+            SELECT f.file_format, stmt_id, JOB_NAME, READ_MODE, SELECT_STATEMENT
+            FROM {stm} CROSS JOIN (VALUES ('csv'), ('json'), ('orc'), ('parquet')) f(file_format)""",
+        "stage_tables": f"""
+            SELECT 'query_blocks' AS stage, stmt_id, count(*) AS n_rows FROM ({blocks}) GROUP BY 2
+            UNION ALL SELECT 'catalog_tables', stmt_id, count(*) FROM ({sources}) GROUP BY 2
+            UNION ALL SELECT 'catalog_columns', stmt_id, count(*) FROM ({rows}) GROUP BY 2""",
     }

@@ -179,18 +179,28 @@ ALIASED_TABLE_REF = TABLE_REF + r"\s+(?:AS\s+)?(\w+)"
 def text_alias_pairs(text: Column) -> Column:
     """Array of (alias, schema, table) found by scanning the plain text once."""
     found = F.regexp_extract_all(text, F.lit(ALIASED_TABLE_REF), F.lit(0))
-    return F.transform(found, lambda pair: F.struct(
-        F.lower(F.regexp_extract(pair, ALIASED_TABLE_REF, 2)).alias("alias"),
-        *last_two_parts(F.regexp_extract(pair, ALIASED_TABLE_REF, 1)),
+    words = F.transform(found, lambda pair: F.split(pair, r"(?U)\s+"))
+    return F.transform(words, lambda w: F.struct(
+        F.lower(F.element_at(w, -1)).alias("alias"), *last_two_parts(F.element_at(w, 2)),
     ))
 
 
 def last_by_alias(pairs: Column) -> Column:
-    """Of pairs with one alias, the last in the text."""
-    return F.filter(pairs, lambda pair, i: ~F.exists(
-        F.slice(pairs, i + 2, F.size(pairs)), lambda later: later["alias"] == pair["alias"]
+    """Of pairs with one alias, the last in the text; by alias. Sorted by alias and place,
+    a pair is the last of its alias if the next one has another."""
+    placed = F.array_sort(F.transform(
+        pairs, lambda p, i: F.struct(p["alias"].alias("alias"), i.alias("nth"), p.alias("pair"))
     ))
 
+    def lasts(rows: Column) -> Column:
+        last = F.filter(rows, lambda r, i: ~F.coalesce(
+            F.get(rows, i + 1)["alias"] == r["alias"], F.lit(False)
+        ))
+        return F.transform(last, lambda r: r["pair"])
+
+    # a variable of its own, so that the text is scanned once and not for every pair
+    return F.element_at(F.transform(F.array(placed), lasts), 1)
+
 
 def text_table_refs(text: Column) -> Column:
     """Array of distinct (schema, table) in order of first mention."""

@@ -47,6 +47,7 @@ TOKEN = "|".join(
         rf"{_PART}(?:\s*\.\s*{_PART})*+(?:\s*\.\s*\*)?",
         r"[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?",
         r":[A-Za-z_0-9]+",
+        r"#[\p{L}\p{N}_]+#",
         r"<>|<=|>=|!=|\^=|\|\||=>",
         r"\S",
     ]

@@ -7,11 +7,11 @@ as scopes are nested.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lineagrid.operators.closure import follow, union_all
-from lineagrid.session import keep
+from lineagrid.session import keep, keep_sized
 
 EVERY_NAME = "*"
 
@@ -177,37 +177,42 @@ def scope_values(
             F.lit(None).cast(own.schema[c].dataType).alias(c) for c in ("first", "low", "high", "real")
         ], F.lit(None).cast(own.schema["first"].dataType).alias("single"),
     )
-    rising = keep(_values(every.join(waits, ["h", "spos"], "left_anti"), info, own, none))
+    rising = keep_sized(_values(every.join(waits, ["h", "spos"], "left_anti"), info, own, none))
     done, arrived = [rising], []
+    in_scope = Window.partitionBy("h", "spos")
     while not rising.isEmpty():
-        came = keep(
-            edges.drop("single").join(rising.withColumnRenamed("spos", "target"), ["h", "target"])
+        touched = edges.join(
+            rising.select("h", F.col("spos").alias("target")), ["h", "target"], "left_semi"
+        ).select("h", "spos").distinct()
+        ready = keep_sized(
+            edges.drop("single").join(touched, ["h", "spos"], "left_semi")
+            .join(union_all(done).withColumnRenamed("spos", "target"), ["h", "target"])
+            .withColumn("n_edges", F.count("*").over(in_scope))
+            .join(waits, ["h", "spos", "n_edges"], "left_semi")
             .select(*none.columns)
         )
-        arrived.append(came)
-        touched = came.select("h", "spos").distinct()
-        inputs = union_all(arrived).join(touched, ["h", "spos"], "left_semi")
-        ready = keep(
-            inputs.groupBy("h", "spos").agg(F.count("*").alias("n_edges"))
-            .join(waits, ["h", "spos", "n_edges"], "left_semi").select("h", "spos")
-        )
-        rising = keep(_values(ready, info, own, inputs.join(ready, ["h", "spos"], "left_semi")))
+        arrived.append(ready)
+        rising = keep_sized(_values(ready.select("h", "spos").distinct(), info, own, ready))
         done.append(rising)
-    values, arrivals = union_all(done), union_all(arrived)
+    values, arrivals = union_all(done), union_all(arrived or [none])
     stuck = keep(waits.join(values, ["h", "spos"], "left_anti").select("h", "spos"))
     if stuck.isEmpty():
         return values, arrivals, stuck.select("h", F.col("spos").alias("s"))
-    more, came, cyclic = _recursive_values(stuck, info, own, edges, arrivals)
-    return values.unionByName(more), arrivals.unionByName(came.select(*none.columns)), cyclic
+    here = keep(
+        edges.drop("single").join(stuck, ["h", "spos"], "left_semi")
+        .join(values.withColumnRenamed("spos", "target"), ["h", "target"]).select(*none.columns)
+    )
+    more, came, cyclic = _recursive_values(stuck, info, own, edges, here)
+    return values.unionByName(more), union_all([arrivals, here, came.select(*none.columns)]), cyclic
 
 
 def _recursive_values(
-    stuck: DataFrame, info: DataFrame, own: DataFrame, edges: DataFrame, arrivals: DataFrame
+    stuck: DataFrame, info: DataFrame, own: DataFrame, edges: DataFrame, here: DataFrame
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Values of recursive CTEs and of scopes above them, by pairs of these scopes.
 
-    All tables below count, each scope's once. A scope handed on to where it is being
-    looked at already has no single table.
+    ``here`` is what arrives in them from the others. All tables below count, each
+    scope's once. A scope handed on to where it is being looked at already has no single table.
     """
     inner = keep(
         edges.join(stuck, ["h", "spos"], "left_semi")
@@ -232,7 +237,6 @@ def _recursive_values(
     reached = keep(follow(seed, step, ["h", "origin", "spos"], "path"))
     around = inner.select("h", "spos", F.col("target").alias("origin"), "single")
     cyclic = around.join(reached, ["h", "origin", "spos"])
-    here = arrivals.join(stuck, ["h", "spos"], "left_semi")
     parts = ["h", "spos", "bpos", "pos", "first", "low", "high", "real"]
     tables = own.join(stuck, ["h", "spos"], "left_semi").select(*parts).unionByName(
         here.filter("low IS NOT NULL").select(*parts)

@@ -5,10 +5,10 @@ from __future__ import annotations
 import uuid
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lineagrid.functions.text import clean_statement, unmark_placeholders
+from lineagrid.functions.text import clean_statement, strip, unmark_placeholders
 from lineagrid.functions.words import CLAUSES
 from lineagrid.operators import facts, lists, report, scopes
 from lineagrid.operators.lineage import clause_number, mention_rows
@@ -147,15 +147,21 @@ class Lineage:
     @cached_property
     @in_job
     def conditions(self) -> DataFrame:
-        """(h, bpos, cat, sch, name, where_condition)."""
+        """(h, bpos, cat, sch, name, where_condition, cond_no): ``cond_no`` numbers the
+        conditions of a text."""
         nodes, results = self.resolved
         found, mentions = self.predicates
-        return attribute(self.model, found, mentions, nodes, results)
+        by_place = Window.partitionBy("h").orderBy("bpos", "cat", "sch", "name")
+        return keep_bucketed(
+            attribute(self.model, found, mentions, nodes, results)
+            .withColumn("cond_no", F.row_number().over(by_place)),
+            "conditions",
+        )
 
     @cached_property
     @in_job
     def clause_texts(self) -> DataFrame:
-        """(h, bpos, cpos, clause_sql): the text of each reported clause."""
+        """(h, cpos, CLAUSE_SQL): the text of each reported clause."""
         two_words = F.col("clause").isin("GROUP_BY", "ORDER_BY")
         words = F.when(two_words, 2).otherwise(1) + F.col("skip")
         ranges = self.segments.filter(F.col("clause").isin(CLAUSES)).select(
@@ -166,41 +172,53 @@ class Lineage:
             .when(F.col("clause") == "JOIN_ON", "ON")
             .otherwise(F.replace("clause", F.lit("_"), F.lit(" ")))
         )
-        return render(ranges, self.texts, ["bpos", "cpos", "clause"]).select(
-            "h", "bpos", "cpos", F.concat(word, F.lit(" "), "text").alias("clause_sql")
+        texts = render(ranges, self.texts, ["bpos", "cpos", "clause"]).select(
+            "h", "cpos", F.concat(word, F.lit(" "), "text").alias("CLAUSE_SQL")
         )
+        return keep_bucketed(texts, "clauses")
 
     @cached_property
     @in_job
     def rows(self) -> DataFrame:
-        """One row per resolved mention of each different text.
+        """One row per resolved mention of each different text, without the texts of clauses
+        and conditions (see ``with_texts``).
 
-        ``seq`` is the first statement with that text; ``place`` orders the
-        rows of a text: outer blocks first, clauses in report order.
+        ``seq`` is the first statement with that text; ``row_no`` numbers the
+        rows of a text by ``place``: outer blocks first, clauses in report order.
         """
         nodes, results = self.resolved
         found = mention_rows(self.model, nodes, results, self.sort_columns)
-        conditions = self.conditions.withColumnRenamed("name", "name_t")
+        conditions = self.conditions.select(
+            "h", "bpos", "cat", "sch", F.col("name").alias("name_t"), "cond_no",
+            F.length("where_condition").alias("where_length"),
+        )
         place = F.struct("level_no", "block_id", clause_number(F.col("clause")).alias("clause_no"),
                          "pos", "path")
+        in_place = Window.partitionBy("h").orderBy("place")
         joined = (
             found.join(self.blocks.select("h", "bpos", "block_id", "level_no"), ["h", "bpos"])
-            .join(self.clause_texts, ["h", "bpos", "cpos"])
             .join(conditions, ["h", "bpos", "cat", "sch", "name_t"], "left")
             .join(self.texts.select("h", "seq"), "h")
             .select(
-                "h", "seq", "block_id", place.alias("place"),
+                "h", "seq", "block_id", place.alias("place"), "cpos", "cond_no",
+                F.coalesce("where_length", F.lit(0)).alias("where_length"),
                 F.col("cat").alias("CATALOG"),
                 F.when(F.col("sch") != "", F.col("sch")).otherwise(F.col("cat")).alias("SCHEMA"),
                 F.col("name_t").alias("TABLE"), F.col("col").alias("COLUMN"),
                 F.col("reason").alias("REASON"), F.col("clause").alias("CLAUSE"),
-                F.col("clause_sql").alias("CLAUSE_SQL"),
-                F.coalesce("where_condition", F.lit("")).alias("WHERE_CONDITION"),
                 unmark_placeholders(F.col("tok")).alias("raw_sql"),
             )
+            .withColumn("row_no", F.row_number().over(in_place))
         )
         return keep_bucketed(joined, "rows")
 
+    def with_texts(self, rows: DataFrame) -> DataFrame:
+        """Rows with (h, cpos, cond_no) and the texts of their clause and condition."""
+        conditions = self.conditions.select("h", "cond_no", F.col("where_condition").alias("WHERE_CONDITION"))
+        return rows.join(self.clause_texts, ["h", "cpos"]).join(conditions, ["h", "cond_no"], "left").fillna(
+            "", ["WHERE_CONDITION"]
+        )
+
     def _keyed_statements(self) -> DataFrame:
         text = clean_statement(F.col("SELECT_STATEMENT"))
         return self.statements.withColumn("h", text_key(text))
@@ -245,7 +263,7 @@ class Lineage:
 
     def lineage(self) -> DataFrame:
         """Lineage rows of every statement, copies included."""
-        return self._per_statement(self.rows, "JOB_NAME").select(
+        return self._per_statement(self.with_texts(self.rows), "JOB_NAME").select(
             "stmt_id", "JOB_NAME", "block_id", "CATALOG", "SCHEMA", "TABLE", "COLUMN", "REASON",
             "CLAUSE", "CLAUSE_SQL", "WHERE_CONDITION",
         )
@@ -337,7 +355,7 @@ class Lineage:
         return self._per_statement(lists.catalog_tables(self))
 
     def catalog_columns(self) -> DataFrame:
-        found = self.rows.select(
+        found = self.with_texts(self.rows).select(
             "h", "block_id", F.col("CATALOG").alias("catalog_name"),
             F.col("SCHEMA").alias("schema_name"), F.col("TABLE").alias("table_name"),
             F.col("COLUMN").alias("column_name"), F.col("REASON").alias("reason"),
@@ -357,9 +375,32 @@ class Lineage:
     def schema_list(self) -> DataFrame:
         return self._per_statement(lists.schema_list(self))
 
+    @cached_property
+    @in_job
+    def table_conditions(self) -> DataFrame:
+        """(table_id, nth, predicate): the conditions that touch each table, in order. The
+        long form of what the report shows in one cell."""
+        rows = report.with_some_key(report.report_rows(self.rows)).filter("cond_no IS NOT NULL")
+        texts = self.conditions.select("h", "cond_no", strip(F.col("where_condition")).alias("where_text"))
+        texts = texts.withColumn("text_id", report.text_id("where_text"))
+        uses = rows.join(texts.drop("where_text"), ["h", "cond_no"]).groupBy(
+            report.table_id().alias("table_id"), "text_id"
+        ).agg(F.min(F.struct("COLUMN", "seq", "row_no")).alias("first"))
+        pieces = keep(report.split_texts(texts.select("text_id", "where_text").dropDuplicates(["text_id"])))
+        return keep(report.conditions_by_table(uses, pieces))
+
+    @in_job
     def report(self) -> DataFrame:
-        """The final table, sorted; see ``operators.report``."""
-        return report.final_report(report.report_rows(self.rows))
+        """The final table, sorted; see ``operators.report``.
+
+        The best row of a column is chosen on numbers alone; texts are fetched for the
+        chosen rows, from tables that are bucketed on the text key.
+        """
+        rows = report.with_some_key(report.report_rows(self.rows))
+        best = report.best_places(rows).join(self.texts.select("seq", "h"), "seq").drop("seq")
+        chosen = best.join(self.rows.select("h", "row_no", "cpos", "cond_no", "CLAUSE"), ["h", "row_no"])
+        shown = self.with_texts(chosen).withColumn("CLAUSE", report.shown_clause())
+        return report.in_order(report.merge_back(shown, report.cells(self.table_conditions)))
 
 
 def build_report(statements: DataFrame) -> DataFrame:

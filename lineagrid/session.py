@@ -51,11 +51,26 @@ def checkpoint_dir(spark: SparkSession, folder: str | None = None) -> str:
     return folder
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new place in the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Cut the lineage of a small or once-read result."""
     return df.checkpoint(eager=True)
 
 
+def keep_sized(df: DataFrame) -> DataFrame:
+    """The same for results that go through many rounds of joins. A checkpoint carries the
+    planner's guess of its size on into every later guess, which grows with each round;
+    files have their real size."""
+    spark = df.sparkSession
+    path = f"{_folder(spark, _job.get())}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def in_job(method):
     """Let what a method of a job keeps be dropped with the job (see ``drop_job``)."""
 

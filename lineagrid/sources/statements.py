@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,19 +40,62 @@ def write_report(table: DataFrame, path: str, file_format: str = "parquet") -> N
     writer.format(file_format).save(path)
 
 
+#: columns of the stage tables; ``run_id`` is the partition
+STAGES = {
+    "query_blocks": "stmt_id long, block_id int, parent_id int, block_type string, alias_name string, "
+    "level_no int, ordinal_position int, is_root int, raw_sql string",
+    "catalog_tables": "stmt_id long, table_id int, block_id int, table_name string, schema_name string, "
+    "catalog_name string, alias_name string, source_type string, raw_sql string",
+    "catalog_columns": "stmt_id long, block_id int, catalog_name string, schema_name string, "
+    "table_name string, column_name string, reason string, clause_type string, clause_sql string, "
+    "raw_sql string",
+}
+RUNS = "run_id string, stage string, n_rows long, done boolean"
+
+
 def append_stages(job, folder: str, run_id: str) -> None:
-    """Append the three stage tables as JSON lines, one folder per run.
+    """Append the three stage tables of a run as JSON lines, one folder per run.
 
-    A run without records leaves a stage untouched. Records carry ``stmt_id``,
-    so runs and statements can be told apart.
+    A run that is appended again replaces its own records and no others. The table
+    ``runs`` says what a run has written; it is marked as under way first and as done when
+    all three stages are complete, so that what a run broken off has left is not
+    read. Records carry ``stmt_id``, so runs and statements can be told apart.
     """
-    stages = {
+    spark, folder = job.statements.sparkSession, folder.rstrip("/")
+    records = {
         "query_blocks": job.query_blocks(),
         "catalog_tables": job.catalog_tables(),
         "catalog_columns": job.catalog_columns(),
     }
-    for name, records in stages.items():
-        if not records.isEmpty():
-            records.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").json(
-                f"{folder.rstrip('/')}/{name}"
-            )
+
+    def replace(table: DataFrame, name: str) -> None:
+        table.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("run_id").json(f"{folder}/{name}")
+
+    def mark(rows: list[tuple]) -> None:
+        replace(spark.createDataFrame(rows, "stage string, n_rows long, done boolean").coalesce(1), "runs")
+
+    mark([(name, 0, False) for name in STAGES])
+    written = []
+    for name in STAGES:
+        count = Observation()
+        replace(records[name].observe(count, F.count(F.lit(1)).alias("n")), name)
+        written.append((name, count.get["n"], True))
+    mark(written)
+
+
+def read_stages(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The stage tables with the records of all complete runs, by name."""
+    folder = folder.rstrip("/")
+    runs = spark.read.schema(RUNS).json(f"{folder}/runs").filter("done AND n_rows > 0")
+    found = {}
+    for name, columns in STAGES.items():
+        complete = runs.filter(F.col("stage") == name).select("run_id")
+        table = spark.createDataFrame([], f"{columns}, run_id string")
+        if not complete.isEmpty():
+            table = spark.read.schema(f"{columns}, run_id string").json(f"{folder}/{name}").join(
+                complete, "run_id", "left_semi"
+            ).select(*table.columns)
+        found[name] = table
+    return found

@@ -5,31 +5,46 @@ from __future__ import annotations
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus
 from conftest import statement_table
 from lineagrid import Lineage
+from lineagrid.operators import scopes
 from lineagrid.session import checkpoint_dir
+from lineagrid.sources.statements import append_stages, read_stages
 
 # name -> (statement, rows that must be there, rows that must not be there)
 # a row is (SCHEMA, TABLE, COLUMN, REASON, CLAUSE)
 CASES = {
-    "seats sold and returned": (
-        """WITH returned AS (
-             SELECT /*+ parallel(2) */ k.seat_no, 'box' kind FROM hall.box_returns k WHERE k.night = TO_DATE('#NIGHT#', 'YYYY')
-             UNION ALL SELECT w.seat_no, 'web' kind FROM hall.web_returns w WHERE w.state = 'OK'),
-           sold AS (
-             SELECT s.seat_no, s.price, s.tier, 'box' kind FROM hall.box_sales s -- at the door
-             UNION ALL SELECT v.seat_no, v.price, v.tier, 'web' kind FROM hall.web_sales v),
-           kept AS (
-             SELECT d.tier, CASE WHEN d.price > 50 THEN 2 ELSE 1 END weight
-             FROM sold d LEFT JOIN returned r ON d.seat_no = r.seat_no AND d.kind = r.kind
-             WHERE r.seat_no IS NULL)
-           SELECT tier label, SUM(weight * 1E2) points FROM kept GROUP BY tier""",
-        [("HALL", "BOX_SALES", "TIER", "", "PROJECTION"), ("HALL", "WEB_SALES", "TIER", "", "PROJECTION"),
-         ("HALL", "BOX_SALES", "TIER", "", "GROUP_BY"), ("HALL", "WEB_SALES", "PRICE", "", "PROJECTION"),
-         ("HALL", "BOX_RETURNS", "SEAT_NO", "", "WHERE")],
-        [("HALL", "BOX_SALES", "LABEL", "", "PROJECTION"), ("HALL", "BOX_SALES", "KIND", "", "PROJECTION")],
+    "a name handed down two set operations and a grouping": (
+        """WITH paid AS (
+             SELECT f.ship, f.amount, f.port FROM dues.harbour_fee f
+             INTERSECT SELECT g.ship, g.amount, g.port FROM dues.ledger g
+             MINUS SELECT w.ship, w.amount, w.port FROM dues.waived w WHERE w.till > SYSDATE),
+           best AS (SELECT port, MAX(amount) AS top, MIN(ship) KEEP (DENSE_RANK LAST ORDER BY amount) AS payer
+             FROM paid GROUP BY port)
+           SELECT b.payer, b.top - (SELECT AVG(q.amount) FROM paid q) gap FROM best b, ports p
+           WHERE b.port = p.code OR p.code IS NULL""",
+        [("DUES", t, c, "", "PROJECTION") for t in ("HARBOUR_FEE", "LEDGER", "WAIVED") for c in ("SHIP", "AMOUNT")]
+        + [("DUES", "WAIVED", "PORT", "", "WHERE"), ("DUES", "WAIVED", "PORT", "", "GROUP_BY"),
+           ("", "PORTS", "CODE", "", "WHERE"), ("DUES", "WAIVED", "TILL", "", "WHERE")],
+        [("DUES", "HARBOUR_FEE", "PAYER", "", "PROJECTION"), ("", "PORTS", "GAP", "", "PROJECTION")],
+    ),
+    "a CTE that only reads itself": (
+        "WITH r AS (SELECT r.m FROM r) SELECT r.m FROM r", [("", "DUAL", "M", "DERIVED_COLUMN", "PROJECTION")], [],
+    ),
+    "columns that swap places in a recursive CTE": (
+        "WITH r AS (SELECT a.n, a.m FROM t1 a, t2 b UNION ALL SELECT r.m AS n, r.n AS m FROM r) SELECT r.n FROM r",
+        [("", "T1", "N", "", "PROJECTION"), ("", "T1", "M", "", "PROJECTION"),
+         ("", "DUAL", "N", "DERIVED_COLUMN", "PROJECTION"), ("", "DUAL", "M", "DERIVED_COLUMN", "PROJECTION")], [],
+    ),
+    "two recursive CTEs that read each other, and a star over one": (
+        "WITH p AS (SELECT a.x FROM t1 a UNION ALL SELECT q.x FROM q), q AS (SELECT b.x FROM t2 b UNION ALL"
+        " SELECT p.x FROM p), s AS (SELECT * FROM p) SELECT s.x, s.y FROM s",
+        [("", "T1", "X", "", "PROJECTION"), ("", "T2", "X", "", "PROJECTION"),
+         ("", "DUAL", "X", "DERIVED_COLUMN", "PROJECTION"), ("", "T1", "Y", "SUBQUERY_STAR_FALLBACK", "PROJECTION")],
+        [("", "T1", "X", "SUBQUERY_STAR_FALLBACK", "PROJECTION")],
     ),
     "words after NULLS, CURRENT and DENSE_RANK are no columns": (
         "SELECT MAX(t.a) KEEP (DENSE_RANK FIRST ORDER BY t.d NULLS LAST) AS m,"
@@ -204,8 +219,6 @@ def test_no_text_means_no_guess_from_text(spark):
 def test_templates_copies_modes_and_stages(spark, tmp_path):
     """Rows of a statement do not depend on the other statements, copies give
     equal rows, and only READ_MODE 'Select' counts."""
-    from lineagrid.sources.statements import append_stages
-
     texts = [t.replace("~", "5") for t in corpus.TEMPLATES]
     table = statement_table(spark, texts + texts).unionByName(
         statement_table(spark, ["SELECT a FROM hidden"], mode="select")
@@ -217,21 +230,59 @@ def test_templates_copies_modes_and_stages(spark, tmp_path):
         for r in job.lineage().collect()
     )
     expected = sorted(
-        (int(t), b, s, tab.replace("~", "5"), c.replace("~", "5"), reason, clause)
-        for t, b, s, tab, c, reason, clause in corpus.rows_of(corpus.LINEAGE) for _ in range(2)
+        (int(t), b, s, tab.replace("~", "5"), c.replace("~", "5"), reason, spot.split(":")[0])
+        for t, b, s, tab, c, reason, spot in corpus.rows_of(corpus.LINEAGE) for _ in range(2)
     )
     assert got == expected
-    append_stages(job, str(tmp_path / "stages"), "r1")
-    append_stages(job, str(tmp_path / "stages"), "r2")
-    stored = spark.read.json(str(tmp_path / "stages" / "catalog_columns"))
-    assert stored.count() == 2 * len(expected)
-    targets = spark.createDataFrame([(2, 1, "guest"), (16, 2, "ANY_NAME")],
-                                    "stmt_id long, block_id int, target string")
-    traced = {(r.stmt_id, r.TABLE, r.COLUMN, r.REASON) for r in job.trace_outputs(targets).collect()}
-    assert traced == {
-        (2, "WEB_LIST_5", "GUEST", ""), (2, "DOOR_LIST_5", "GUEST", ""),
-        (16, "TRIP_5", "ANY_NAME", "STAR_ALIAS_FALLBACK"),
+    folder = str(tmp_path / "stages")
+    for run in ("2024-05-01", "r2", "2024-05-01"):
+        append_stages(job, folder, run)
+    stages = read_stages(spark, folder)
+    assert {(r.run_id, r["count"]) for r in stages["catalog_columns"].groupBy("run_id").count().collect()} == {
+        ("2024-05-01", len(expected)), ("r2", len(expected))
+    }
+    nothing = Lineage(statement_table(spark, ["SELECT 1"], mode="none"))
+    append_stages(nothing, folder, "r2")
+    assert {r.run_id for t in read_stages(spark, folder).values() for r in t.select("run_id").distinct().collect()} == {
+        "2024-05-01"
     }
+    targets = spark.createDataFrame([(2, 1, "IMO"), (15, 2, "ANY_NAME"), (16, 3, "twice")],
+                                    "stmt_id long, block_id int, target string")
+    traced = sorted((r.stmt_id, r.TABLE, r.COLUMN, r.REASON) for r in job.trace_outputs(targets).collect())
+    assert traced == [
+        (2, "CLEARED_5", "IMO", ""), (2, "DETAINED_5", "IMO", ""), (2, "INBOUND_5", "IMO", ""),
+        (16, "ITEM_5", "KG", ""), (16, "ITEM_5", "KG", ""),
+    ]
+
+
+def test_every_mention_gives_a_row(spark):
+    """Also where a trace leads back to where it came from."""
+    texts = [t.replace("~", "5") for t in corpus.TEMPLATES] + [sql for sql, _, _ in CASES.values()]
+    texts += [
+        "WITH r AS (SELECT q.a FROM r q, r p) SELECT a, q.b FROM r q, r p",
+        "WITH r AS (SELECT a, b AS c FROM (SELECT * FROM r) x, (SELECT r.b AS a FROM r) y) SELECT c, x.a FROM r x, r",
+        "WITH a AS (SELECT * FROM b), b AS (SELECT * FROM c), c AS (SELECT * FROM a) SELECT a.v, b.w FROM a, b, c",
+        "WITH r AS (SELECT t.k, (SELECT MAX(r.k) FROM r) AS m FROM t UNION SELECT r.m, r.k + r.m AS m FROM r, r s)"
+        " SELECT m, s.k FROM (SELECT r.* FROM r) s, r",
+    ]
+    job = Lineage(statement_table(spark, texts))
+    branch = job.blocks.filter("n_branches > 1 AND NOT bracketed").select("h", "bpos", F.lit("ORDER_BY").alias("clause"))
+    asked = job.refs.join(branch, ["h", "bpos", "clause"], "left_anti").select("h", "pos")
+    given = job.rows.select("h", F.col("place.pos").alias("pos"))
+    assert asked.join(given, ["h", "pos"], "left_anti").count() == 0
+    assert asked.count() > 300
+
+
+def test_a_chain_of_ctes_costs_a_row_for_each(spark):
+    """What rises from scope to scope is one summary for each edge, not one for each pair."""
+    n = 10
+    chain = ", ".join(f"c{i} AS (SELECT c{i - 1}.x FROM c{i - 1})" for i in range(1, n))
+    sql = f"WITH c0 AS (SELECT t.x, u.y FROM t JOIN u ON t.i = u.i), {chain} SELECT c{n - 1}.x FROM c{n - 1}"
+    job = Lineage(statement_table(spark, [sql]))
+    values, arrived, cyclic = scopes.scope_values(job.model.info, job.sources, job.model.edges)
+    assert (values.count(), arrived.count(), cyclic.count()) == (n + 1, n, 0)
+    assert {r.first.name for r in values.collect()} == {"t"}
+    assert {(r.TABLE, r.COLUMN) for r in job.lineage().filter("CLAUSE = 'PROJECTION'").collect()} == {("T", "X"), ("U", "Y")}
 
 
 def test_hot_texts_are_dealt_out(spark, monkeypatch):
