@@ -146,3 +146,21 @@ def test_contained_matches_all_pairs(spark):
     expected = {(k, lo, hi, p) for k, lo, hi in spans for j, p in points if j == k and lo < p < hi}
     rows = [tuple(r) for r in got.select("k", "low", "high", "at").collect()]
     assert len(rows) == len(expected) and set(rows) == expected
+
+
+def test_best_places_agree_with_best_rows(spark):
+    """The packed order of length, statement and row, with statement ids at both ends."""
+    rng = random.Random(8)
+    ids = [-(2**63), -5, 0, 7, 2**63 - 1]
+    rows = []
+    for i in range(300):
+        where = "x" * rng.choice([0, 0, 1, 2, 5])
+        rows.append(("S", "T", "", f"C{rng.randrange(6)}", where, "c", rng.choice(ids), i, len(where)))
+    frame = spark.createDataFrame(
+        rows, "SCHEMA string, TABLE string, DBLINK string, COLUMN string, WHERE_CONDITION string, CLAUSE string, "
+        "seq long, row_no int, where_length int",
+    )
+    got = {(r.COLUMN, r.seq, r.row_no) for r in report.best_places(frame).collect()}
+    assert got == {
+        (c, *min((-r[8], r[6], r[7]) for r in rows if r[3] == c)[1:]) for c in {r[3] for r in rows}
+    }

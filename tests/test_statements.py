@@ -192,12 +192,37 @@ CASES = {
 }
 
 
+#: recursion of every kind: every mention must still give a row
+TANGLED = [
+    "WITH r AS (SELECT q.a FROM r q, r p) SELECT a, q.b FROM r q, r p",
+    "WITH r AS (SELECT a, b AS c FROM (SELECT * FROM r) x, (SELECT r.b AS a FROM r) y) SELECT c, x.a FROM r x, r",
+    "WITH a AS (SELECT * FROM b), b AS (SELECT * FROM c), c AS (SELECT * FROM a) SELECT a.v, b.w FROM a, b, c",
+    "WITH r AS (SELECT t.k, (SELECT MAX(r.k) FROM r) AS m FROM t UNION SELECT r.m, r.k + r.m AS m FROM r, r s)"
+    " SELECT m, s.k FROM (SELECT r.* FROM r) s, r",
+]
+CHAIN = 10
+CHAINED = (
+    "WITH c0 AS (SELECT t.x, u.y FROM t JOIN u ON t.i = u.i), "
+    + ", ".join(f"c{i} AS (SELECT c{i - 1}.x FROM c{i - 1})" for i in range(1, CHAIN))
+    + f" SELECT c{CHAIN - 1}.x FROM c{CHAIN - 1}"
+)
+FILLED = [t.replace("~", "5") for t in corpus.TEMPLATES]
+ALL = [sql for sql, _, _ in CASES.values()] + TANGLED + [CHAINED] + FILLED + FILLED
+FIRST_TEMPLATE = len(ALL) - 2 * len(FILLED)
+
+
+@pytest.fixture(scope="module")
+def job(spark):
+    """All statements of this file as one corpus."""
+    hidden = statement_table(spark, ["SELECT a FROM hidden"], mode="select")
+    return Lineage(statement_table(spark, ALL).unionByName(hidden))
+
+
 @pytest.fixture(scope="module")
-def found(spark):
-    job = Lineage(statement_table(spark, [sql for sql, _, _ in CASES.values()]))
+def found(job):
     rows = {name: set() for name in CASES}
     names = list(CASES)
-    for r in job.lineage().collect():
+    for r in job.lineage().filter(F.col("stmt_id") < len(CASES)).collect():
         rows[names[r.stmt_id]].add((r.SCHEMA, r.TABLE, r.COLUMN, r.REASON, r.CLAUSE))
     return rows
 
@@ -216,56 +241,57 @@ def test_no_text_means_no_guess_from_text(spark):
     assert ("", "COL1", "UNRESOLVED_TABLE", "PROJECTION") in rows
 
 
-def test_templates_copies_modes_and_stages(spark, tmp_path):
+def test_templates_copies_and_modes(job):
     """Rows of a statement do not depend on the other statements, copies give
     equal rows, and only READ_MODE 'Select' counts."""
-    texts = [t.replace("~", "5") for t in corpus.TEMPLATES]
-    table = statement_table(spark, texts + texts).unionByName(
-        statement_table(spark, ["SELECT a FROM hidden"], mode="select")
-    )
-    job = Lineage(table)
-    n = len(texts)
+    n = len(FILLED)
     got = sorted(
-        (r.stmt_id % n, str(r.block_id), r.SCHEMA, r.TABLE, r.COLUMN, r.REASON, r.CLAUSE)
-        for r in job.lineage().collect()
+        ((r.stmt_id - FIRST_TEMPLATE) % n, str(r.block_id), r.SCHEMA, r.TABLE, r.COLUMN, r.REASON, r.CLAUSE)
+        for r in job.lineage().filter(F.col("stmt_id") >= FIRST_TEMPLATE).collect()
     )
     expected = sorted(
         (int(t), b, s, tab.replace("~", "5"), c.replace("~", "5"), reason, spot.split(":")[0])
         for t, b, s, tab, c, reason, spot in corpus.rows_of(corpus.LINEAGE) for _ in range(2)
     )
     assert got == expected
-    folder = str(tmp_path / "stages")
+    assert job.lineage().filter("TABLE = 'HIDDEN'").count() == 0
+
+
+def test_stages_are_appended_once_however_often(spark, job, tmp_path):
+    folder, n_rows = str(tmp_path / "stages"), job.lineage().count()
     for run in ("2024-05-01", "r2", "2024-05-01"):
         append_stages(job, folder, run)
     stages = read_stages(spark, folder)
     assert {(r.run_id, r["count"]) for r in stages["catalog_columns"].groupBy("run_id").count().collect()} == {
-        ("2024-05-01", len(expected)), ("r2", len(expected))
+        ("2024-05-01", n_rows), ("r2", n_rows)
     }
-    nothing = Lineage(statement_table(spark, ["SELECT 1"], mode="none"))
-    append_stages(nothing, folder, "r2")
+
+    class Nothing:
+        statements = job.statements
+
+        def __getattr__(self, name):
+            return lambda: getattr(job, name)().limit(0)
+
+    append_stages(Nothing(), folder, "r2")
     assert {r.run_id for t in read_stages(spark, folder).values() for r in t.select("run_id").distinct().collect()} == {
         "2024-05-01"
     }
-    targets = spark.createDataFrame([(2, 1, "IMO"), (15, 2, "ANY_NAME"), (16, 3, "twice")],
-                                    "stmt_id long, block_id int, target string")
-    traced = sorted((r.stmt_id, r.TABLE, r.COLUMN, r.REASON) for r in job.trace_outputs(targets).collect())
+
+
+def test_traced_outputs(spark, job):
+    targets = spark.createDataFrame(
+        [(FIRST_TEMPLATE + t, b, name) for t, b, name in [(2, 1, "IMO"), (13, 1, "ANY"), (16, 3, "twice")]],
+        "stmt_id long, block_id int, target string",
+    )
+    traced = sorted((r.TABLE, r.COLUMN, r.REASON) for r in job.trace_outputs(targets).collect())
     assert traced == [
-        (2, "CLEARED_5", "IMO", ""), (2, "DETAINED_5", "IMO", ""), (2, "INBOUND_5", "IMO", ""),
-        (16, "ITEM_5", "KG", ""), (16, "ITEM_5", "KG", ""),
+        ("CLEARED_5", "IMO", ""), ("DETAINED_5", "IMO", ""), ("INBOUND_5", "IMO", ""),
+        ("ITEM_5", "KG", ""), ("ITEM_5", "KG", ""),
     ]
 
 
-def test_every_mention_gives_a_row(spark):
+def test_every_mention_gives_a_row(job):
     """Also where a trace leads back to where it came from."""
-    texts = [t.replace("~", "5") for t in corpus.TEMPLATES] + [sql for sql, _, _ in CASES.values()]
-    texts += [
-        "WITH r AS (SELECT q.a FROM r q, r p) SELECT a, q.b FROM r q, r p",
-        "WITH r AS (SELECT a, b AS c FROM (SELECT * FROM r) x, (SELECT r.b AS a FROM r) y) SELECT c, x.a FROM r x, r",
-        "WITH a AS (SELECT * FROM b), b AS (SELECT * FROM c), c AS (SELECT * FROM a) SELECT a.v, b.w FROM a, b, c",
-        "WITH r AS (SELECT t.k, (SELECT MAX(r.k) FROM r) AS m FROM t UNION SELECT r.m, r.k + r.m AS m FROM r, r s)"
-        " SELECT m, s.k FROM (SELECT r.* FROM r) s, r",
-    ]
-    job = Lineage(statement_table(spark, texts))
     branch = job.blocks.filter("n_branches > 1 AND NOT bracketed").select("h", "bpos", F.lit("ORDER_BY").alias("clause"))
     asked = job.refs.join(branch, ["h", "bpos", "clause"], "left_anti").select("h", "pos")
     given = job.rows.select("h", F.col("place.pos").alias("pos"))
@@ -273,16 +299,23 @@ def test_every_mention_gives_a_row(spark):
     assert asked.count() > 300
 
 
-def test_a_chain_of_ctes_costs_a_row_for_each(spark):
+def test_a_chain_of_ctes_costs_a_row_for_each(job):
     """What rises from scope to scope is one summary for each edge, not one for each pair."""
-    n = 10
-    chain = ", ".join(f"c{i} AS (SELECT c{i - 1}.x FROM c{i - 1})" for i in range(1, n))
-    sql = f"WITH c0 AS (SELECT t.x, u.y FROM t JOIN u ON t.i = u.i), {chain} SELECT c{n - 1}.x FROM c{n - 1}"
-    job = Lineage(statement_table(spark, [sql]))
-    values, arrived, cyclic = scopes.scope_values(job.model.info, job.sources, job.model.edges)
-    assert (values.count(), arrived.count(), cyclic.count()) == (n + 1, n, 0)
+    own = job.texts.filter(F.col("text") == CHAINED).select("h")
+    edges = job.model.edges.join(own, "h")
+    info = job.model.info.join(own, "h")
+    values, arrived, cyclic = scopes.scope_values(info, job.sources.join(own, "h"), edges)
+    assert (values.count(), arrived.count(), cyclic.count()) == (CHAIN + 1, CHAIN, 0)
     assert {r.first.name for r in values.collect()} == {"t"}
-    assert {(r.TABLE, r.COLUMN) for r in job.lineage().filter("CLAUSE = 'PROJECTION'").collect()} == {("T", "X"), ("U", "Y")}
+    rows = job.lineage().filter(F.col("stmt_id") == ALL.index(CHAINED)).filter("CLAUSE = 'PROJECTION'")
+    assert {(r.TABLE, r.COLUMN) for r in rows.collect()} == {("T", "X"), ("U", "Y")}
+
+
+def test_report_carries_no_texts_through_its_groupings(job):
+    plan = job.report()._jdf.queryExecution().executedPlan().toString()
+    lines = [line for line in plan.split("\n") if "Aggregate" in line and "rank" in line]
+    assert lines and all("HashAggregate" in line for line in lines)
+    assert not any("CLAUSE_SQL" in line or "WHERE_CONDITION" in line for line in plan.split("\n") if "Aggregate" in line)
 
 
 def test_hot_texts_are_dealt_out(spark, monkeypatch):
