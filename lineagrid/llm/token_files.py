@@ -20,7 +20,6 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, filterfalse
 from unicodedata import is_normalized
 
 import numpy as np
@@ -35,7 +34,6 @@ SHARD_DOCS = 10_000
 BLOCK_TOKENS = 1 << 18
 STEP = 512
 MAX_WORDS = 400_000
-TOGETHER = 200
 FILE_SCHEMA = (
     "shard int, block int, start_in_shard long, n_tokens long, doc_ids array<bigint>, "
     "lengths array<int>, zeros array<bigint>, planes array<binary>, ones array<binary>"
@@ -144,17 +142,17 @@ class WaveletMatrix:
 # --- writing -------------------------------------------------------------------
 
 
-class WordEncoder:
+class WordEncoder(dict):
     """Ids by word, as 32-bit little-endian bytes.
 
     For tokenizers that drop white space and never look across it, so that a
     text's ids are those of its words one after the other, and that lower the case
-    and keep runs of letters together (tested for the public ``word_bpe_49k``). Words met for the first time go to the library as texts of
-    ``TOGETHER`` words, and the places of the tokens tell which word each is of.
-    A word that holds an added token such as ``<|endoftext|>``, in any case, always
-    goes there as it is: the library looks for added tokens before it lowers the case.
-    Two tables of known words take turns: when the younger is full the older is
-    let go, so that words in use stay known.
+    and keep runs of letters together (tested for the public ``word_bpe_49k``). A word met
+    for the first time goes to the library's model if it is one piece there, else through
+    all of the library's steps. A word that holds an added token such as ``<|endoftext|>``,
+    in any case, always goes there as it is: the library looks for added tokens before it
+    lowers the case. Two tables of known words take turns: when the younger is full the
+    older is let go, so that words in use stay known.
     """
 
     def __init__(self, path: str):
@@ -163,62 +161,46 @@ class WordEncoder:
         self.model = self.tokenizer.model
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.added = [token.content.encode().lower() for token in added]
-        self.known: dict[bytes, bytes] = {}
+        #: what every added token begins with
+        self.sign = os.path.commonprefix(self.added)
         self.older: dict[bytes, bytes] = {}
 
-    def holds_added(self, words: bytes) -> bool:
-        words = words.lower()
-        return any(token in words for token in self.added)
-
-    def learn(self, words: list[bytes]) -> None:
-        """Words of plain letters are one piece to the library's model, others go through
-        all of its steps."""
-        if self.holds_added(b" ".join(words)):
-            self.learn_together([word for word in words if self.holds_added(word)])
-            words = [word for word in words if not self.holds_added(word)]
-        rest = []
-        for word in words:
-            piece = one_piece(word)
-            if piece is None:
-                rest.append(word)
+    def __missing__(self, word: bytes) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            if self.sign in word and self.holds_added(word):
+                found = self.by_library(word)
             else:
-                ids = [token.id for token in self.model.tokenize(piece)]
-                self.known[word] = array("I", ids).tobytes()
-        self.learn_together(rest)
-
-    def learn_together(self, words: list[bytes]) -> None:
-        groups = [
-            [w.decode() for w in words[i : i + TOGETHER]] for i in range(0, len(words), TOGETHER)
-        ]
-        found = self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
-        at = 0
-        for group, encoding in zip(groups, found):
-            begins = np.cumsum([0] + [len(w) + 1 for w in group])
-            places = np.array([begin for begin, _ in encoding.offsets], np.int64)
-            cuts = np.searchsorted(places, begins) * 4
-            data = np.array(encoding.ids, "<u4").tobytes()
-            for word, i, j in zip(words[at : at + len(group)], cuts.tolist(), cuts[1:].tolist()):
-                self.known[word] = data[i:j]
-            at += len(group)
-
-    def encode(self, batch: list[str]) -> list[bytes]:
-        words = [text.encode().split() for text in batch]
-        if len(self.known) > MAX_WORDS:
-            self.known, self.older = {}, self.known
-        known, older, missing = self.known, self.older, []
-        for word in list(filterfalse(known.__contains__, set(chain.from_iterable(words)))):
-            found = older.get(word)
-            if found is None:
-                missing.append((word, *plainer(word)))
-            else:
-                known[word] = found
-        if self.holds_added(b" ".join(word for word, _, _ in missing)):
-            missing = [(w, w, b"") if self.holds_added(w) else (w, *rest) for w, *rest in missing]
-        needed = {part for _, body, end in missing for part in (body, end) if part}
-        self.learn([part for part in needed if part not in known])
-        for word, body, end in missing:
-            known[word] = known[body] + known[end] if end else known[body]
-        return [b"".join(map(known.__getitem__, w)) for w in words]
+                body, end = plainer(word)
+                if body == word:
+                    found = self.learned(word)
+                else:
+                    found = self[body] + self[end] if end else self[body]
+        self[word] = found
+        return found
+
+    def holds_added(self, word: bytes) -> bool:
+        lower = word.lower()
+        return any(token in lower for token in self.added)
+
+    def learned(self, word: bytes) -> bytes:
+        piece = one_piece(word)
+        if piece is None:
+            return self.by_library(word)
+        return array("I", [token.id for token in self.model.tokenize(piece)]).tobytes()
+
+    def by_library(self, word: bytes) -> bytes:
+        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+        return array("I", ids).tobytes()
+
+    def encode(self, batch: list[bytes]) -> list[bytes]:
+        """Ids of texts in UTF-8. Capitals of ASCII are lowered in the text as a whole, unless it
+        may hold an added token, so that fewer forms of a word are met."""
+        if len(self) > MAX_WORDS:
+            self.older = dict(self)
+            self.clear()
+        lowered = [text if self.sign in text else text.lower() for text in batch]
+        return [b"".join(map(self.__getitem__, text.split())) for text in lowered]
 
 
 #: byte-level tokenizers write a byte as this character: itself where it can be printed
@@ -230,22 +212,31 @@ BYTE_CHARS = {
 
 def one_piece(word: bytes) -> str | None:
     """The bytes, as characters, of a lower-case word of Latin letters in composed form."""
+    if word.isascii():
+        return word.decode() if word.isalpha() else None
     text = word.decode()
-    if not text.isalpha() or not word.isascii() and (
-        max(text) >= "\u0250" or text != text.lower() or not is_normalized("NFC", text)
-    ):
+    if not text.isalpha() or max(text) >= "\u0250" or text != text.lower() or not is_normalized("NFC", text):
         return None
     return word.decode("latin-1").translate(BYTE_CHARS)
 
 
+#: signs that are no part of a piece with letters; an apostrophe may be (``'s``)
+SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+
+
 def plainer(word: bytes) -> tuple[bytes, bytes]:
-    """A word without capitals of ASCII, and without a mark at its end that is a token of
-    its own in any case; and that mark."""
+    """A word in small letters, without the signs after its last letter or digit; and those
+    signs, which are a piece of their own."""
+    body = word.rstrip(SIGNS)
     if word.isascii():
-        word = word.lower()
-    if word[-1:] in (b".", b",") and word[-2:-1].isalnum():
-        return word[:-1], word[-1:]
-    return word, b""
+        if body[-1:].isalnum():
+            return body.lower(), word[len(body):]
+        return word.lower(), b""
+    text = body.decode()
+    if not (text[-1:].isalpha() and text[-1:].lower()[-1:].isalpha()):  # U+0130 ends in a mark then
+        return word, b""
+    small = text.lower().encode() if max(text) < "\u0250" and "\u0130" not in text else body
+    return small, word[len(body):]
 
 
 @lru_cache(maxsize=2)
@@ -272,53 +263,42 @@ def _arrow_schema() -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in fields])
 
 
-def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents in order of shard and id to file rows, one block in memory at a time."""
-    schema = _arrow_schema()
-    shard, block, start, docs, held = None, 0, 0, [], 0
-
-    def closed() -> pa.RecordBatch:
-        return pa.RecordBatch.from_pylist([_block(shard, block, start, docs)], schema)
-
-    for batch in pieces(batches):
-        for of, doc_id, ids in zip(*[c.to_pylist() for c in batch.columns]):
-            if docs and (of != shard or held + len(ids) // 4 > BLOCK_TOKENS):
-                yield closed()
-                block, start, docs, held = block + 1, start + held, [], 0
-            if of != shard:
-                shard, block, start = of, 0, 0
-            docs.append((doc_id, ids))
-            held += len(ids) // 4
-    if docs:
-        yield closed()
-
-
 def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int = 1) -> None:
-    """Encode whole texts and write the shard files under ``path``."""
+    """Encode whole texts and write the shard files under ``path``.
+
+    Texts are exchanged once, by ranges of their ids, as many as there are shards; the
+    task that gets a range encodes it and packs it, one block in memory at a time, so that
+    ids never leave it but as planes. Rows that share an id, even very many, are dealt to
+    ranges by a hash of their text.
+    """
     rows = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
     n_shards = max(1, -(-rows.count() // SHARD_DOCS))
-    cuts = [i / n_shards for i in range(1, n_shards)]
-    bounds = np.array(rows.approxQuantile("doc_id", cuts, 0.1 / n_shards) if cuts else [])
     end = np.array([end_id], "<u4").tobytes()
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer)
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, schema = _encoder(tokenizer), _arrow_schema()
+        shard, block, start, docs, held = 0, 0, 0, [], 0
+
+        def closed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([_block(shard, block, start, docs)], schema)
+
         for batch in pieces(batches):
-            ids = [found + end for found in encoder.encode(batch.column(1).to_pylist())]
-            at = batch.column(0).fill_null(np.iinfo(np.int64).min).to_numpy()
-            shards = np.searchsorted(bounds, at, side="right").astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(shards), batch.column(0), pa.array(ids, pa.binary())],
-                ["shard", "doc_id", "ids"],
-            )
-
-    dealt = (
-        rows.mapInArrow(encode, "shard int, doc_id long, ids binary")
-        .repartition(n_shards, "shard").sortWithinPartitions("shard", "doc_id", "ids")
-    )
-    dealt.mapInArrow(_to_blocks, FILE_SCHEMA).write.partitionBy("shard").option(
-        "compression", "zstd"
-    ).parquet(path)
+            found = encoder.encode(batch.column(1).cast(pa.binary()).to_pylist())
+            for doc_id, shard, ids in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), found):
+                n = len(ids) // 4 + 1
+                if docs and held + n > BLOCK_TOKENS:
+                    yield closed()
+                    block, start, docs, held = block + 1, start + held, [], 0
+                docs.append((doc_id, ids + end))
+                held += n
+        if docs:
+            yield closed()
+
+    order = ["doc_id", F.xxhash64("text")]
+    dealt = rows.repartitionByRange(n_shards, *order).sortWithinPartitions(*order)
+    dealt.withColumn("shard", F.spark_partition_id()).mapInArrow(pack, FILE_SCHEMA).write.partitionBy(
+        "shard"
+    ).option("compression", "zstd").parquet(path)
 
 
 # --- reading -------------------------------------------------------------------
@@ -350,17 +330,19 @@ def read_documents(spark: SparkSession, path: str, with_ids: bool = True) -> Dat
                 (row,) = batch.slice(i, 1).to_pylist()
                 ids = _matrix(row).all_ids().astype("<u4")
                 ends = np.cumsum(row["lengths"])
-                parts = np.split(ids, ends[:-1])
+                data, stops = memoryview(ids.tobytes()), (ends * 4).tolist()
+                crcs = [zlib.crc32(data[a:b]) for a, b in zip([0, *stops], stops)]
                 columns = [
                     pa.array([row["shard"]] * len(ends), pa.int32()),
                     pa.array(row["doc_ids"], pa.int64()),
                     pa.array(row["start_in_shard"] + ends - row["lengths"], pa.int64()),
                     pa.array(row["lengths"], pa.int64()),
-                    pa.array([zlib.crc32(p.tobytes()) for p in parts], pa.int64()),
+                    pa.array(crcs, pa.int64()),
                 ]
                 names = ["shard", "doc_id", "at", "n_tokens", "ids_crc32"]
                 if with_ids:
-                    columns.append(pa.array([p.astype(np.int32) for p in parts], pa.list_(pa.int32())))
+                    offsets = pa.array(np.append(0, ends).astype(np.int32))
+                    columns.append(pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32))))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
