@@ -54,6 +54,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Id and text alone, so that other columns, whatever their names, do not
     matter. A null text counts as empty."""

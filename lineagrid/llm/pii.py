@@ -2,19 +2,23 @@
 
 Detected: e-mail addresses, phone numbers (three, three and four digits with or without
 a country code, or a + and 8 to 15 digits in any groups), IPv4 and IPv6 addresses, payment
-cards, US social security numbers, secrets after words like ``token =``, and names after
-titles.
+cards, international account numbers, US social security numbers, secrets after words like
+``token =``, and names after titles.
 An entity is its kind and normal form (case and separators do not matter), and
 every mention of it anywhere gets the same surrogate, in the mention's own form:
-separators, length, case and script stay, cards keep whether their check digit is
-right, addresses stay addresses, given names keep the gender of their title.
+separators, length, case and script stay, cards and account numbers keep whether their check
+digits are right, addresses stay addresses, given names get one gender, that of most of their
+titles in the corpus. A name found after a title is also replaced where it stands
+alone in the same text, as a word with a capital.
 
 Surrogates are keyed permutations (Feistel rounds over the characters that may
 vary, each within its class), so different entities of one form never meet;
 names are drawn by hash. The collision check makes that hold for all: over the
 whole corpus, an entity whose surrogate is itself detected somewhere, or is
-another's surrogate, is drawn again. Those few redrawn ones are joined to the
-documents that mention them; all others need no table at all.
+another's surrogate, is drawn again. After ``LAST_DRAW`` draws, or where nothing in it can
+vary, it becomes a keyed tag in brackets, which no pattern finds, so that the rounds end.
+What was redrawn, or has another gender than its text tells, is joined to the
+documents that mention it; all others need no table at all.
 
 Defined cases: a null or empty text has no entity and stays as it is (null stays
 null); a repeated row gets a repeated result; mentions never overlap, the kind
@@ -26,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from ipaddress import AddressValueError, IPv6Address
 
@@ -33,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineagrid.llm.common import pieces, stored
+from lineagrid.llm.common import pieces, stored, union_all
 
 # Letters by script, titles by gender, syllables of drawn names.
 DIGITS = "0123456789"
@@ -42,6 +47,12 @@ SCRIPTS = [
     "abcdefghijklmnopqrstuvwxyz", "áàâäãåéèêëíìîïóòôöõúùûüñçß",
     "αβγδεζηθικλμνξοπρστυφχψω", "абвгдежзийклмнопрстуфхцчшщъыьэюя",
 ]
+# letters of scripts without capitals, as ranges
+RANGES = [
+    (0x4E00, 0x9FFF), (0x3041, 0x3096), (0x30A1, 0x30FA), (0xAC00, 0xD7A3), (0x0621, 0x064A),
+    (0x05D0, 0x05EA), (0x0905, 0x0939), (0x0E01, 0x0E2E),
+]
+SCRIPTS += ["".join(map(chr, range(low, high + 1))) for low, high in RANGES]
 MALE, FEMALE = "mr|herr|señor|sr|monsieur|sir", "mrs|ms|miss|frau|señora|sra|madame|mme|lady"
 NEUTRAL = "dr|prof"
 SYLLABLES = {
@@ -50,14 +61,24 @@ SYLLABLES = {
     "cyrillic": ("б в д к л м н п р с т".split(), "а е и о у".split(), {"f": "а", "m": "ин", "n": "о"}),
 }
 
+# programs that are no persons, after MS
+PRODUCTS = "access dos excel office outlook paint powerpoint project sql teams visio windows word".split()
+
+#: draws after which an entity gets a tag
+LAST_DRAW = 12
+
 # country codes of two digits; 1 and 7 have one, all others three
 TWO_DIGITS = re.compile("2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]")
 
 _H, _V4 = "[0-9A-Fa-f]{1,4}", r"(?:\d{1,3}\.){3}\d{1,3}"
 _TITLE = rf"\b(?P<title>(?i:{MALE}|{FEMALE}|{NEUTRAL}))\.?[ ]"
+# a name may be double (Müller-Lüdenscheid) or begin with a letter and an apostrophe (O'Brien)
+_LETTER = r"[^\W\d_]"
+_WORD = rf"(?![a-z])(?:{_LETTER}['’])?{_LETTER}{{2,}}(?:-(?![a-z]){_LETTER}{{2,}})*"
 ENTITY = re.compile(
     r"(?P<email>[^\W_][\w.+-]*@(?:[\w-]+\.)+[A-Za-z]{2,}(?![\w-]))"
-    r"|(?i:\b(?:token|secret|password|passwd|api[_-]?key)\b\s*[=:]\s*[\"']?(?P<secret>[A-Za-z0-9+/_-]{16,}))"
+    r"|(?i:\b(?:token|secret|password|passwd|api[_-]?key)\b\s*[=:]\s*[\"']?(?P<secret>(?=[+/_-]*[A-Za-z0-9])[A-Za-z0-9+/_-]{16,}))"
+    r"|(?P<iban>\b[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?\b)"
     r"|(?P<ip>(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d))"
     rf"|(?P<ip6>(?<![\w:.])(?:(?:{_H}:){{7}}{_H}|(?:{_H}:){{6}}{_V4}"
     rf"|(?:{_H}(?::{_H}){{0,6}}::|::(?=[0-9A-Fa-f]))(?:(?:{_H}:){{0,6}}(?:{_V4}|{_H}))?)(?![\w:]|\.\d))"
@@ -65,7 +86,7 @@ ENTITY = re.compile(
     r"|\+\d(?:[ ./()-]{0,2}\d){7,14}\b)"
     r"|(?P<ssn>\b\d{3}-\d{2}-\d{4}\b)"
     r"|(?P<card>\b\d(?:[ -]?\d){12,18}\b)"
-    rf"|{_TITLE}(?P<name>[^\W\d_a-z][^\W\d_]+(?:[ ][^\W\d_a-z][^\W\d_]+)?)"
+    rf"|{_TITLE}(?P<name>{_WORD}(?:[ ]{_WORD})?)"
 )
 #: no entity without one of these
 _HINT = re.compile(r"[@\d]|:[A-Fa-f:]|(?i:token|secret|password|passwd|api)|" + _TITLE)
@@ -149,17 +170,30 @@ def _phone(key: bytes, tweak: str, text: str) -> str:
     return f"{country}|{permuted_text(key, f'phone{tweak}', national)}"
 
 
+def _iban(key: bytes, tweak: str, text: str) -> str:
+    """The country stays; right check digits stay right."""
+    country, check, body = text[:2], text[2:4], text[4:]
+    new = permuted_text(key, f"iban{tweak}", body)
+
+    def right(of: str) -> str:
+        return f"{98 - int(''.join(str(int(c, 36)) for c in of + country + '00')) % 97:02d}"
+
+    return country + (right(new) if check == right(body) else permuted_text(key, f"iban{tweak}", check)) + new
+
+
 def _secret(key: bytes, tweak: str, text: str) -> str:
     digits = HEX if set(text) <= set(HEX) else DIGITS
     return permuted_text(key, f"secret{tweak}", text, digits)
 
 
 def _name(key: bytes, tweak: str, text: str) -> str:
-    """``text`` is gender (or ``s`` for a surname), ``|``, and the name."""
+    """``text`` is a gender (``s`` for a surname), ``|``, and the name."""
     gender, name = text.split("|")
+    if any(low <= ord(c) <= high for c in name for low, high in RANGES):
+        return f"{gender}|{permuted_text(key, f'name{tweak}', name)}"
     script = "greek" if re.search("[α-ωά-ώ]", name) else "cyrillic" if re.search("[а-я]", name) else "latin"
     consonants, vowels, endings = SYLLABLES[script]
-    number, out = _number(key, "name", tweak, text), ""
+    number, out = _number(key, "name", tweak, "s" if gender == "s" else "g", name), ""
     for _ in range(4):
         number, c = divmod(number, len(consonants))
         number, v = divmod(number, len(vowels))
@@ -168,14 +202,23 @@ def _name(key: bytes, tweak: str, text: str) -> str:
 
 
 SURROGATE: dict[str, Callable[[bytes, str, str], str]] = {
-    "email": _email, "ip": _ip, "ip6": _ip6, "card": _card, "phone": _phone, "secret": _secret, "name": _name,
+    "email": _email, "ip": _ip, "ip6": _ip6, "card": _card, "phone": _phone, "secret": _secret, "name": _name, "iban": _iban,
     "ssn": lambda key, tweak, text: permuted_text(key, f"ssn{tweak}", text),
 }
 
 
-def surrogate(key: bytes, entity: Entity, attempt: int = 0) -> str:
+def surrogate(key: bytes, entity: Entity, attempt: int = 0, gender: str = "n") -> str:
+    """The surrogate's normal form; a given name's (``g|``) depends on its gender."""
     kind, normal = entity
-    return SURROGATE[kind](key, str(attempt or ""), normal)
+    drawn = normal
+    if attempt < LAST_DRAW:
+        text = f"{gender}{normal[1:]}" if kind == "name" and normal[0] == "g" else normal
+        drawn = SURROGATE[kind](key, str(attempt or ""), text)
+        drawn = normal[0] + drawn[1:] if kind == "name" else drawn
+    if drawn != normal:
+        return drawn
+    number = _number(key, "tag", attempt, kind, normal)
+    return f"[{kind} {''.join('bcdfghjklmnpqrst'[number >> 4 * i & 15] for i in range(16))}]"
 
 
 def _gender(title: str) -> str:
@@ -185,14 +228,25 @@ def _gender(title: str) -> str:
 
 def mentions(match: re.Match) -> list[tuple[int, int, Entity]]:
     """Start, end and entity of what a match mentions; a name may be two entities."""
-    kind = next(k for k in ("email", "secret", "ip", "ip6", "phone", "ssn", "card", "name") if match[k])
+    kind = next(
+        k for k in ("email", "secret", "iban", "ip", "ip6", "phone", "ssn", "card", "name") if match[k]
+    )
     text, (start, end) = match[kind], match.span(kind)
     if kind == "name":
-        *given, last = text.split(" ")
-        found = [(end - len(last), end, ("name", f"s|{last.lower()}"))]
-        if given:
-            normal = f"{_gender(match['title'])}|{given[0].lower()}"
-            found.insert(0, (start, start + len(given[0]), ("name", normal)))
+        words = text.split(" ")
+        if len(words) == 2 and words[1][0].islower():
+            del words[1]
+        title = match["title"]
+        program = title.lower() == "ms" and (
+            words[0].lower() in PRODUCTS or (title == "MS" and not words[0].isupper())
+        )
+        if words[0][0].islower() or program:
+            return []
+        found, at = [], start
+        for i, word in enumerate(words):
+            part = "g" if i == 0 < len(words) - 1 else "s"
+            found.append((at, at + len(word), ("name", f"{part}|{word.lower()}")))
+            at += len(word) + 1
         return found
     digits = re.sub(r"\D", "", text)
     if kind == "ip":
@@ -210,6 +264,8 @@ def mentions(match: re.Match) -> list[tuple[int, int, Entity]]:
         normal = f"{code}|{digits[len(code):]}"
     elif kind in ("ssn", "card"):
         normal = digits
+    elif kind == "iban":
+        normal = text.replace(" ", "").lower()
     elif kind == "secret" and not set(text.lower()) <= set(HEX):
         return [(start, end, (kind, text.lower()))]
     else:
@@ -219,9 +275,14 @@ def mentions(match: re.Match) -> list[tuple[int, int, Entity]]:
 
 def in_form_of(mention: str, kind: str, new: str) -> str:
     """A surrogate's normal form, written as the mention was."""
+    if new.startswith("["):
+        return new
     if kind == "name":
         new = new.split("|")[1]
         return new.upper() if mention.isupper() else new.capitalize()
+    if kind == "iban":
+        letters = iter(new)
+        return "".join(c if c == " " else next(letters).upper() for c in mention)
     if kind == "ip":
         return new
     if kind == "ip6":
@@ -233,48 +294,81 @@ def in_form_of(mention: str, kind: str, new: str) -> str:
     return "".join(n.upper() if c.isupper() else n for c, n in zip(mention, new))
 
 
-def entities(text: str) -> set[Entity]:
+def found_in(text: str) -> tuple[list[tuple[int, int, Entity]], dict[Entity, str]]:
+    """All mentions in order, and the gender that the titles in the text give to given names."""
     if not _HINT.search(text):
-        return set()
-    return {entity for match in ENTITY.finditer(text) for _, _, entity in mentions(match)}
+        return [], {}
+    found, votes = [], {}
+    for match in ENTITY.finditer(text):
+        some = mentions(match)
+        found += some
+        for _, _, entity in some:
+            if entity[0] == "name" and entity[1][0] == "g":
+                votes.setdefault(entity, []).append(_gender(match["title"]))
+    names = {e[1][2:]: e for _, _, e in found if e[0] == "name"}
+    if names:
+        taken, alone = {start for start, _, _ in found}, []
+        words = "|".join(map(re.escape, sorted(names, key=len, reverse=True)))
+        spans = sorted((start, end) for start, end, _ in found)
+        starts = [start for start, _ in spans]
+        for match in re.finditer(rf"(?<![\w@])(?i:{words})(?![\w@])", text):
+            start, end = match.span()
+            before = bisect_right(starts, start) - 1
+            free = start not in taken and (before < 0 or spans[before][1] <= start) and (
+                before + 1 == len(spans) or end <= starts[before + 1]
+            )
+            if free and not text[start].islower():
+                alone.append((start, end, names[match[0].lower()]))
+        found = sorted(found + alone)
+    return found, {e: most(v.count("m"), v.count("f")) for e, v in votes.items()}
 
 
-def replaced(text: str, key: bytes, redrawn: dict[Entity, int]) -> tuple[str, int]:
-    """The text with every mention replaced, and how many there were."""
-    if not _HINT.search(text):
-        return text, 0
-    out, last, n = [], 0, 0
-    for match in ENTITY.finditer(text):
-        for start, end, entity in mentions(match):
-            new = surrogate(key, entity, redrawn.get(entity, 0))
-            out += [text[last:start], in_form_of(text[start:end], entity[0], new)]
-            last, n = end, n + 1
-    return "".join([*out, text[last:]]), n
+def most(male: int, female: int) -> str:
+    return "m" if male > female else "f" if female > male else "n"
+
+
+def entities(text: str) -> set[Entity]:
+    return {entity for _, _, entity in found_in(text)[0]}
+
+
+def replaced(
+    text: str, key: bytes, redrawn: dict[Entity, int], genders: dict[Entity, str] | None = None
+) -> tuple[str, int]:
+    """The text with every mention replaced, and how many there were. ``genders`` are
+    those of the corpus where they are not those of the text."""
+    found, own = found_in(text)
+    out, last = [], 0
+    genders = own | (genders or {})
+    for start, end, entity in found:
+        new = surrogate(key, entity, redrawn.get(entity, 0), genders.get(entity, "n"))
+        out += [text[last:start], in_form_of(text[start:end], entity[0], new)]
+        last = end
+    return "".join([*out, text[last:]]), len(found)
 
 
 # --- over a corpus ---------------------------------------------------------------
 
 
 def detect(docs: DataFrame) -> DataFrame:
-    """doc_id, kind, normal: the entities of each text, each once."""
+    """doc_id, kind, normal, gender: the entities of each text, each once, with the gender
+    that the text's titles give to a given name."""
     rows = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            rows = [
-                (i, *entity)
-                for i, text in enumerate(batch.column(1).to_pylist())
-                for entity in sorted(entities(text or ""))
-            ]
-            at, kinds, normals = zip(*rows) if rows else ((), (), ())
+            rows = []
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                spans, genders = found_in(text or "")
+                rows += [(i, *e, genders.get(e)) for e in sorted({e for _, _, e in spans})]
+            at, kinds, normals, genders = zip(*rows) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(at, pa.int64())), pa.array(kinds, pa.string()),
-                 pa.array(normals, pa.string())],
-                ["doc_id", "kind", "normal"],
+                 pa.array(normals, pa.string()), pa.array(genders, pa.string())],
+                ["doc_id", "kind", "normal", "gender"],
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(found, f"doc_id {kind}, kind string, normal string")
+    return rows.mapInArrow(found, f"doc_id {kind}, kind string, normal string, gender string")
 
 
 def _drawn(entries: DataFrame, key: bytes) -> DataFrame:
@@ -283,51 +377,57 @@ def _drawn(entries: DataFrame, key: bytes) -> DataFrame:
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             news = [
-                surrogate(key, (kind, normal), attempt)
-                for kind, normal, attempt in zip(*[c.to_pylist() for c in batch.columns])
+                surrogate(key, (kind, normal), attempt, gender)
+                for kind, normal, gender, attempt in zip(*[c.to_pylist() for c in batch.columns])
             ]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(news, pa.string())], ["kind", "normal", "attempt", "new"]
+                [*batch.columns, pa.array(news, pa.string())], ["kind", "normal", "gender", "attempt", "new"]
             )
 
-    return entries.select("kind", "normal", "attempt").mapInArrow(
-        draw, "kind string, normal string, attempt int, new string"
+    return entries.select("kind", "normal", "gender", "attempt").mapInArrow(
+        draw, "kind string, normal string, gender string, attempt int, new string"
     )
 
 
 def surrogates(found: DataFrame, key: bytes) -> DataFrame:
-    """kind, normal, attempt, new: a surrogate for every entity of the corpus, no two
-    alike and none an entity. Rounds redraw only what collided."""
-    every = stored(found.select("kind", "normal").distinct(), "entities")
+    """kind, normal, gender, attempt, new: a surrogate for every entity of the corpus, no two
+    alike and none an entity.
+
+    Rounds redraw only what collided and compare only that with all others. They end:
+    from ``LAST_DRAW`` on a surrogate is a tag of 64 keyed bits, which is no entity.
+    """
+    votes = lambda g: F.count(F.when(F.col("gender") == g, 1))
+    every = found.groupBy("kind", "normal").agg(votes("m").alias("m"), votes("f").alias("f")).select(
+        "kind", "normal",
+        F.when(F.col("m") > F.col("f"), "m").when(F.col("f") > F.col("m"), "f").otherwise("n").alias("gender"),
+    )
+    every = stored(every, "entities")
     real = every.select("kind", F.col("normal").alias("new"))
-    settled = stored(_drawn(every.withColumn("attempt", F.lit(0)), key), "drawn")
-    attempt = 0
+    columns, settled, attempt = ["kind", "normal", "gender", "attempt", "new"], [], 0
+    fresh = stored(_drawn(every.withColumn("attempt", F.lit(0)), key), "drawn")
     while True:
-        first = settled.groupBy("kind", "new").agg(
-            F.min(F.struct("attempt", "normal")).alias("first"), F.count(F.lit(1)).alias("n")
-        )
-        bad = settled.join(real, ["kind", "new"], "left_semi").select("kind", "normal").union(
-            settled.join(first.filter("n > 1"), ["kind", "new"])
-            .filter(F.struct("attempt", "normal") != F.col("first")).select("kind", "normal")
-        ).distinct()
-        bad = stored(bad, "collided")
+        first = fresh.groupBy("kind", "new").agg(F.min("normal").alias("normal"))
+        good = fresh.join(first, ["kind", "new", "normal"], "left_semi").join(real, ["kind", "new"], "left_anti")
+        for part in settled:
+            good = good.join(part.select("kind", "new"), ["kind", "new"], "left_anti")
+        good = stored(good.select(*columns), "settled")
+        settled.append(good)
+        bad = stored(fresh.join(good.select("kind", "normal"), ["kind", "normal"], "left_anti"), "collided")
         if not bad.limit(1).count():
-            return settled
+            return union_all(settled)
         attempt += 1
-        again = _drawn(bad.withColumn("attempt", F.lit(attempt)), key)
-        kept = settled.join(bad, ["kind", "normal"], "left_anti").select(
-            "kind", "normal", "attempt", "new"
-        )
-        settled = stored(kept.union(again), "drawn")
+        fresh = stored(_drawn(bad.withColumn("attempt", F.lit(attempt)), key), "drawn")
 
 
 def replace_entities(docs: DataFrame, key: bytes) -> DataFrame:
     """doc_id, text with surrogates, n_replaced."""
     found = stored(detect(docs), "mentions")
-    redrawn = surrogates(found, key).filter("attempt > 0")
+    chosen = surrogates(found, key).withColumnRenamed("gender", "of_all").drop("new")
+    differs = F.col("gender").isNotNull() & (F.col("gender") != F.col("of_all"))
     of_doc = stored(
-        found.join(redrawn, ["kind", "normal"]).groupBy(F.col("doc_id").alias("_id")).agg(
-            F.collect_set(F.struct("kind", "normal", "attempt")).alias("redrawn")
+        found.join(chosen, ["kind", "normal"]).filter((F.col("attempt") > 0) | differs)
+        .groupBy(F.col("doc_id").alias("_id")).agg(
+            F.collect_set(F.struct("kind", "normal", "attempt", "of_all")).alias("redrawn")
         ),
         "redrawn",
     )
@@ -340,7 +440,8 @@ def replace_entities(docs: DataFrame, key: bytes) -> DataFrame:
             texts, counts = [], []
             for text, listed in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 attempts = {(r["kind"], r["normal"]): r["attempt"] for r in listed or []}
-                new, n = (None, 0) if text is None else replaced(text, key, attempts)
+                genders = {(r["kind"], r["normal"]): r["of_all"] for r in listed or []}
+                new, n = (None, 0) if text is None else replaced(text, key, attempts, genders)
                 texts.append(new)
                 counts.append(n)
             yield pa.RecordBatch.from_arrays(

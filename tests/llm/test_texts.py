@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -340,8 +341,8 @@ def test_forms_of_one_entity_agree():
 def test_collisions_are_redrawn(spark):
     """With one-digit numbers most surrogates are someone's number at first."""
     found = spark.createDataFrame(
-        [(i, "phone", f"1|{i}") for i in range(4)] + [(9, "phone", "1|0"), (5, "ip", "1.2.3.4")],
-        "doc_id long, kind string, normal string",
+        [(i, "phone", f"1|{i}", None) for i in range(4)] + [(9, "phone", "1|0", None), (5, "ip", "1.2.3.4", None)],
+        "doc_id long, kind string, normal string, gender string",
     )
     rows = pii.surrogates(found, KEY).collect()
     assert len(rows) == 5
@@ -349,6 +350,61 @@ def test_collisions_are_redrawn(spark):
     assert not {(r.kind, r.new) for r in rows} & {(r.kind, r.normal) for r in rows}
 
 
+def test_collisions_that_cannot_be_drawn_away_end_in_tags(spark):
+    """Every one-digit number is someone's, so no draw can do; brute force over the result."""
+    found = spark.createDataFrame(
+        [(i, "phone", f"1|{i}", None) for i in range(10)] + [(20, "secret", "_" * 16, None)],
+        "doc_id long, kind string, normal string, gender string",
+    )
+    rows = pii.surrogates(found, KEY).collect()
+    assert len(rows) == len({(r.kind, r.new) for r in rows}) == 11
+    assert all(r.new.startswith(f"[{r.kind} ") for r in rows)
+    assert not any(pii.entities(r.new) for r in rows)
+
+
+def test_nothing_that_may_vary():
+    for text in ("Password: ________________", "token = ----------------", "secret=+/+/+/+/+/+/+/+/"):
+        assert pii.replaced(text, KEY, {}) == (text, 0)
+    new, n = pii.replaced("用户@example.com", KEY, {})
+    assert n == 1 and "用户" not in new and pii.entities(new) and len(new) == len("用户@example.com")
+
+
+def test_names_stand_for_one_person():
+    text = "Mr John Smith said so. Smith left; John too, SMITH's hat, but smithy, Smithson and john stayed."
+    new, n = pii.replaced(text, KEY, {})
+    assert n == 5 and "Smith left" not in new and "John" not in new and "smithy, Smithson and john" in new
+    last = new.split()[2]
+    assert f". {last} left; {new.split()[1]} too, {last.upper()}'s hat" in new
+    genders = pii.found_in("Dr Maria Silva met Mrs Maria Silva and Mr Kim Lee.")[1]
+    assert genders == {("name", "g|maria"): "f", ("name", "g|kim"): "m"}
+    new = pii.replaced("Dr Maria Silva met Mrs Maria Silva.", KEY, {})[0].rstrip(".").split()
+    assert new[1:3] == new[5:7] and new[1].endswith("a")
+    for name in ("Müller-Lüdenscheid", "Jean-Luc Picard", "O'Brien", "D’Arcy", "王小明"):
+        new, n = pii.replaced(f"Herr {name} kam.", KEY, {})
+        assert n == len(name.split()) and not any(part in new for part in re.split("[ '’-]", name) if len(part) > 1)
+    assert re.search("[\u4e00-\u9fff]{3}", pii.replaced("Mr 王小明 kam.", KEY, {})[0])
+    for text in ("MS Word", "Ms Office", "frau über alles", "dr это тест", "mr smith", "MS Excel 97"):
+        assert not pii.entities(text), text
+    assert pii.replaced("MS SMITH and Ms Smith", KEY, {})[1] == 2
+
+
+def test_account_numbers_stay_right():
+    new, n = pii.replaced("IBAN DE89 3704 0044 0532 0130 00.", KEY, {})
+    (kind, normal), = pii.entities(new)
+    number = normal.upper()
+    assert n == 1 and kind == "iban" and new.startswith("IBAN DE") and "3704" not in new
+    assert int("".join(str(int(c, 36)) for c in number[4:] + number[:4])) % 97 == 1
+
+
+def test_one_gender_over_the_corpus(spark):
+    docs = spark.createDataFrame(
+        [(1, "Dr Maria Silva"), (2, "Mrs Maria Silva"), (3, "Mme Maria Silva"), (4, "Mr Maria Silva")],
+        "doc_id long, text string",
+    )
+    rows = {r.doc_id: r.text.split(" ", 1)[1] for r in pii.replace_entities(docs, KEY).collect()}
+    assert len(set(rows.values())) == 1 and rows[1].split()[0].endswith("a")
+
+
 def test_personal_data_of_odd_documents(spark):
     docs = odd_documents(spark)
     texts = {r.doc_id: r.text for r in docs.collect()}
