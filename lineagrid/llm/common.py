@@ -40,9 +40,31 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+#: places and tables made by this process, for ``close``
+_places: list[str] = []
+_tables: list[str] = []
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new place in the folder that all executors share."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _places.append(f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _places[-1]
+
+
+def shared_table(name: str) -> str:
+    """A new name for a table of the catalog."""
+    _tables.append(f"{name}_{uuid.uuid4().hex}")
+    return _tables[-1]
+
+
+def close(spark: SparkSession) -> None:
+    """Drop all that the operators have kept in this process: no result that reads
+    it can be used any longer."""
+    while _tables:
+        spark.sql(f"DROP TABLE IF EXISTS {_tables.pop()}")
+    while _places:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_places.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

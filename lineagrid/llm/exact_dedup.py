@@ -15,12 +15,10 @@ nothing; columns other than id and text play no part.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineagrid.llm.common import shared_path, stored, texts
+from lineagrid.llm.common import shared_path, shared_table, stored, texts
 
 INDEX_SCHEMA = "digest binary, first_id bigint"
 
@@ -119,7 +117,7 @@ class DigestIndex:
 
 def new_index(spark: SparkSession) -> DigestIndex:
     """An empty index of its own."""
-    return DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}")
+    return DigestIndex(spark, shared_table("digest_index"))
 
 
 def annotate_exact_copies(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:

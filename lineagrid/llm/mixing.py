@@ -205,30 +205,20 @@ def mixed_documents(
     weights: Column | None = None,
 ) -> DataFrame:
     """The rows of ``docs``, with all their columns, as often as the mix takes them. Where
-    the mix ends inside a document (once a source), its last row has only the words
-    taken. Documents the mix takes nothing of are left out."""
+    the mix ends inside a document (once a source), that row is taken whole if half of its
+    words or more are, else not at all; no text is cut. Documents the mix takes nothing of
+    are left out."""
     taken = taken_words(docs, max_repeats, block_words, weights).filter("taken > 0")
+    times = F.floor((2 * F.sum("taken") + F.max("size")) / (2 * F.max("size")))
     wanted = stored(
-        taken.groupBy(F.col("doc_id").alias("_llm_id"), F.col("text_key").alias("_llm_key")).agg(
-            F.max("size").alias("_llm_size"), F.sum("taken").alias("_llm_taken")
-        ),
+        taken.groupBy(F.col("doc_id").alias("_llm_id"), F.col("text_key").alias("_llm_key"))
+        .agg(times.alias("_llm_times")).filter("_llm_times > 0"),
         "wanted",
     )
     rows = docs.withColumn("_llm_text", _text_key(docs["text"]))
     same = rows["doc_id"].eqNullSafe(wanted["_llm_id"]) & (rows["_llm_text"] == wanted["_llm_key"])
-    left = F.col("_llm_taken") - (F.col("_llm_copy") - 1) * F.col("_llm_size")
-    copies = (
+    return (
         rows.dropDuplicates(["doc_id", "_llm_text"]).join(wanted, same)
-        .withColumn("_llm_copy", F.explode(
-            F.sequence(F.lit(1), F.ceil(F.col("_llm_taken") / F.col("_llm_size")))
-        ))
-        .withColumn("_llm_left", left)
+        .withColumn("_llm_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_llm_times")))
+        .select(*docs.columns)
     )
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    cut = F.array_join(F.slice(words, 1, F.col("_llm_left").cast("int")), " ")
-    whole = F.col("_llm_left") >= F.col("_llm_size")
-    found = copies.withColumn("text", F.when(whole, F.col("text")).otherwise(cut))
-    if "n_chars" in docs.columns:
-        length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        found = found.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(length))
-    return found.select(*docs.columns)

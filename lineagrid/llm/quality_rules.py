@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lineagrid.llm.common import pieces
+from lineagrid.llm.common import pieces, stored
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -91,23 +91,17 @@ def measure(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(_measure, T.StructType([*rows.schema.fields, *added]))
 
 
-def rules() -> list[tuple[str, Column]]:
-    """Name and failure condition, in the order of the bits. Whole numbers only."""
-    c = F.col
-    return [
-        ("few_words", c("n_words") < 20),
-        ("repeats", 100 * c("n_repeat_words") > 30 * c("n_words")),
-        ("symbols", 10 * c("n_symbols") > 3 * c("n_words")),
-        ("short_words", c("word_chars") < 2 * c("n_words")),
-        ("long_words", c("word_chars") > 20 * c("n_words")),
-        ("dup_lines", 20 * c("n_dup_lines") > c("n_words")),
-        ("same_words", 10 * c("n_same_word") > 3 * c("n_words")),
-    ]
-
-
-RULES = [
-    "few_words", "repeats", "symbols", "short_words", "long_words", "dup_lines", "same_words",
-]
+#: name of each rule, in the order of the bits, and when it fails. Whole numbers only.
+FAILS = {
+    "few_words": lambda c: c("n_words") < 20,
+    "repeats": lambda c: 100 * c("n_repeat_words") > 30 * c("n_words"),
+    "symbols": lambda c: 10 * c("n_symbols") > 3 * c("n_words"),
+    "short_words": lambda c: c("word_chars") < 2 * c("n_words"),
+    "long_words": lambda c: c("word_chars") > 20 * c("n_words"),
+    "dup_lines": lambda c: 20 * c("n_dup_lines") > c("n_words"),
+    "same_words": lambda c: 10 * c("n_same_word") > 3 * c("n_words"),
+}
+RULES = list(FAILS)
 BASE = ("few_words", "repeats")
 POLICIES = {"base": BASE, "v1": (*BASE, "symbols", "same_words"), "v2": tuple(RULES)}
 
@@ -117,7 +111,7 @@ def mask(names: tuple[str, ...]) -> int:
 
 
 def failed_bits() -> Column:
-    bits = [F.when(fails, F.lit(1 << i)).otherwise(F.lit(0)) for i, (_, fails) in enumerate(rules())]
+    bits = [F.when(fails(F.col), F.lit(1 << i)).otherwise(F.lit(0)) for i, fails in enumerate(FAILS.values())]
     return reduce(Column.bitwiseOR, bits).cast("long")
 
 
@@ -127,6 +121,11 @@ def ledger(docs: DataFrame) -> DataFrame:
     return measure(rows).drop("_llm_text").withColumn("failed", failed_bits())
 
 
+def stored_ledger(docs: DataFrame) -> DataFrame:
+    """The ledger, written once; policies and ablations read it and no text again."""
+    return stored(ledger(docs), "ledger")
+
+
 def fails_policy(version: str, failed: str = "failed") -> Column:
     return F.col(failed).bitwiseAND(F.lit(mask(POLICIES[version]))) != 0
 

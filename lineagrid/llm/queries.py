@@ -47,10 +47,15 @@ def op3_ngram_join(spark, sf_dir):
 
 
 def op4_quality_rules(spark, sf_dir):
-    entries = quality_rules.ledger(table(spark, sf_dir, "documents"))
+    entries = quality_rules.stored_ledger(table(spark, sf_dir, "documents"))
     return quality_rules.apply_policy(entries, "v1")
 
 
+def quality_ablations(spark, sf_dir):
+    """What each policy rejects, and each of its rules alone."""
+    return quality_rules.ablations(quality_rules.stored_ledger(table(spark, sf_dir, "documents")))
+
+
 def op5_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").filter(~toxicity.held_out(F.col("doc_id")))
@@ -117,6 +122,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_url_filters, op2_byte_bpe, op3_ngram_join, op4_quality_rules, op5_toxicity,
         op6_token_files, op7_mixing, op8_exact_dedup,
         op9_pii, op10_line_dedup, op11_turn_repair, op12_fill_middle, op13_chat_format,
+        quality_ablations,
     ]
     return {q.__name__: q for q in listed}
 
@@ -183,6 +189,17 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_sa
 FROM f
 """
 
+ABLATIONS = f"""
+SELECT p.policy, p.rule, count(*) FILTER (failed & p.mask <> 0) AS n_rejected,
+  count(*) FILTER (failed & p.bit <> 0) AS n_failed, count(*) FILTER (failed & p.mask = p.bit) AS n_only_this
+FROM ({OP4}) CROSS JOIN (VALUES ('base', 'few_words', 3, 1), ('base', 'repeats', 3, 2),
+  ('v1', 'few_words', 71, 1), ('v1', 'repeats', 71, 2), ('v1', 'symbols', 71, 4), ('v1', 'same_words', 71, 64),
+  ('v2', 'few_words', 127, 1), ('v2', 'repeats', 127, 2), ('v2', 'symbols', 127, 4),
+  ('v2', 'short_words', 127, 8), ('v2', 'long_words', 127, 16), ('v2', 'dup_lines', 127, 32),
+  ('v2', 'same_words', 127, 64)) p(policy, rule, mask, bit)
+GROUP BY p.policy, p.rule
+"""
+
 OP8 = r"""
 WITH d AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
@@ -194,4 +211,4 @@ FROM d WINDOW g AS (PARTITION BY text_sha256)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filters": OP1, "op4_quality_rules": OP4, "op8_exact_dedup": OP8}
+    return {"op1_url_filters": OP1, "op4_quality_rules": OP4, "op8_exact_dedup": OP8, "quality_ablations": ABLATIONS}

@@ -107,8 +107,11 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> list[tuple[int, float]]:
     """(feature, weight) of the weights that are not zero, the intercept first; empty
-    without labelled rows. ``labels``: doc_id, toxic (0 or 1)."""
-    labelled = labels.select(labels["doc_id"].alias("_id"), labels["toxic"]).filter(
+    without labelled rows. ``labels``: doc_id, toxic (0 or 1 in any type of number, a
+    boolean, or null for unknown)."""
+    labelled = labels.select(
+        labels["doc_id"].alias("_id"), labels["toxic"].cast("int").alias("toxic")
+    ).filter(
         "toxic IS NOT NULL"
     ).groupBy("_id").agg(F.max("toxic").alias("toxic"))
     place = F.xxhash64(F.lit("train"), "_id")

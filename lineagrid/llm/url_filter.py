@@ -19,14 +19,18 @@ id and url play no part.
 
 from __future__ import annotations
 
+from bisect import insort
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
+from operator import neg
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 Rule = tuple[str, str, str]
-MAX_TRIE_BYTES = 64 << 20
+#: a node takes some 400 bytes in each Python worker
+MAX_TRIE_NODES = 200_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -34,14 +38,16 @@ _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 class Node:
     """A place in the trie. ``under`` leads on by host label, ``paths`` starts the
     path trie of the host that ends here, whose nodes lead on by whole segment.
-    ``tails`` holds what rules end with after their last slash."""
+    ``tails`` holds what rules end with after their last slash, ``lengths`` how long
+    those are, longest first."""
 
-    __slots__ = ("under", "paths", "tails")
+    __slots__ = ("under", "paths", "tails", "lengths")
 
     def __init__(self):
         self.under: dict[str, Node] = {}
         self.paths: Node | None = None
         self.tails: dict[str, Rule] = {}
+        self.lengths: list[int] = []
 
 
 def build_trie(rules: Iterable[Rule]) -> Node:
@@ -57,19 +63,26 @@ def build_trie(rules: Iterable[Rule]) -> Node:
             node = node.under.setdefault(segment, Node())
         if node.tails.get(tail, ("allow",))[0] != "block":
             node.tails[tail] = (action, host, path)
+        if len(tail) not in node.lengths:
+            insort(node.lengths, len(tail), key=neg)
     return root
 
 
+@lru_cache(maxsize=2)
+def _trie(rules: tuple[Rule, ...]) -> Node:
+    """Built once in each Python worker."""
+    return build_trie(rules)
+
+
 def _longest_path(node: Node, path: str) -> Rule | None:
     """The rule with the longest path under one host."""
     found = None
     segments = path.split("/")
     for i, segment in enumerate(segments):
-        if node.tails:
-            for end in range(len(segment), -1, -1):
-                if segment[:end] in node.tails:
-                    found = node.tails[segment[:end]]
-                    break
+        for end in node.lengths:
+            if end <= len(segment) and segment[:end] in node.tails:
+                found = node.tails[segment[:end]]
+                break
         if i + 1 < len(segments) and segment in node.under:
             node = node.under[segment]
         else:
@@ -108,11 +121,11 @@ def judge_by_trie(
 ) -> DataFrame:
     parts = _parts(pages, id_col, url_col)
     spark = pages.sparkSession
-    trie = spark.sparkContext.broadcast(list(rules))  # nodes nest too deeply to pickle
+    trie = spark.sparkContext.broadcast(tuple(rules))  # nodes nest too deeply to pickle
     kind = parts.schema[id_col].dataType.simpleString()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        root = build_trie(trie.value)
+        root = _trie(trie.value)
         for batch in batches:
             found = [
                 find_rule(root, host, path)
@@ -164,10 +177,12 @@ def judge_by_join(
 
 def judge_urls(
     pages: DataFrame, rules: list[Rule], default: str = "allow",
-    id_col: str = "page_id", url_col: str = "url", max_trie_bytes: int = MAX_TRIE_BYTES,
+    id_col: str = "page_id", url_col: str = "url", max_trie_nodes: int = MAX_TRIE_NODES,
 ) -> DataFrame:
     """Id, host, path, the rule that decides (null: none) and the verdict of every row."""
-    if sum(len(host) + len(path) for _, host, path in rules) <= max_trie_bytes:
+    nodes = sum(host.count(".") + path.count("/") + 2 for _, host, path in rules)
+    if nodes <= max_trie_nodes:
+        rules = [tuple(rule) for rule in rules]
         return judge_by_trie(pages, rules, default, id_col, url_col)
     listed = pages.sparkSession.createDataFrame(rules, "action string, host string, path string")
     return judge_by_join(pages, listed, default, id_col, url_col)

@@ -167,17 +167,19 @@ def test_mix_interleaves_sources(spark):
             assert abs(seen[s] - done * share[s] / total) < 20 * 12
 
 
-def test_mixed_documents(spark):
+def test_mixed_documents_are_whole(spark):
     docs = odd_documents(spark)
     mixed = mixing.mixed_documents(docs)
     assert mixed.columns == docs.columns
-    got = collections.Counter()
-    for r in mixed.collect():
-        got[r.doc_id] += len(words(r.text))
-    want = collections.Counter()
-    for r in mixing.taken_words(docs).collect():
-        want[r.doc_id] += r.taken
-    assert got == +want
+    texts = {(r.doc_id, r.text) for r in docs.collect()}
+    rows = mixed.collect()
+    assert {(r.doc_id, r.text) for r in rows} <= texts
+    taken, size = collections.Counter(), {}
+    for r in mixing.taken_words(docs).filter("taken > 0").collect():
+        taken[r.doc_id] += r.taken
+        size[r.doc_id] = r.size
+    want = {i: (2 * n + size[i]) // (2 * size[i]) for i, n in taken.items()}
+    assert collections.Counter(r.doc_id for r in rows) == {i: n for i, n in want.items() if n}
     assert mixing.mixed_documents(no_documents(spark)).count() == 0
     assert mixing.taken_words(no_documents(spark)).count() == 0
 

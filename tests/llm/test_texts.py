@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -15,7 +17,7 @@ from cases import no_documents, odd_documents, words
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lineagrid.llm import bpe, pii, quality_rules, token_files, toxicity, url_filter
+from lineagrid.llm import bpe, common, exact_dedup, pii, quality_rules, token_files, toxicity, url_filter
 from lineagrid.llm.queries import URL_RULES
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -69,7 +71,7 @@ def test_urls_of_all_kinds_by_trie_and_by_join(spark):
         "page_id long, url string, host string, verdict string, rule string",
     )
     by_trie = url_filter.judge_urls(pages, URL_RULES).collect()
-    by_join = url_filter.judge_urls(pages, URL_RULES, max_trie_bytes=0).collect()
+    by_join = url_filter.judge_urls(pages, URL_RULES, max_trie_nodes=0).collect()
     assert sorted(by_trie, key=str) == sorted(by_join, key=str)
     assert len(by_trie) == 2 * len(urls)
     found = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in by_trie}
@@ -83,6 +85,14 @@ def test_urls_of_all_kinds_by_trie_and_by_join(spark):
     assert {r.verdict for r in url_filter.judge_urls(pages, []).collect()} == {"allow"}
 
 
+def test_very_long_urls_take_time_in_proportion():
+    trie = url_filter.build_trie([("block", "a.com", "/x" * 3), ("allow", "a.com", "/" + "y" * 9)])
+    start = time.process_time()
+    assert url_filter.find_rule(trie, "a.com", "/" + "y" * 3_000_000)[0] == "allow"
+    assert url_filter.find_rule(trie, "a.com", "/x" * 1_000_000)[0] == "block"
+    assert time.process_time() - start < 5
+
+
 # --- byte-level BPE -------------------------------------------------------------
 
 
@@ -421,3 +431,25 @@ def test_personal_data_of_odd_documents(spark):
     for r in pii.replace_entities(real, KEY).collect():
         old = pii.entities(before[r.doc_id])
         assert not old & pii.entities(r.text) and r.n_replaced >= len(old)
+
+
+def test_labels_of_any_type(spark):
+    docs = spark.createDataFrame([(i, "you fool" if i % 2 else "good day") for i in range(20)], "doc_id long, text string")
+    want = None
+    for kind in ("int", "bigint", "boolean", "double"):
+        labels = docs.select("doc_id", (F.col("doc_id") % 2).cast(kind).alias("toxic"))
+        model = toxicity.train(docs, labels)
+        assert model and (want is None or model == want)
+        want = model
+
+
+def test_close_leaves_nothing_behind(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    common.close(spark)
+    before, tables = set(folder.iterdir()), spark.catalog.listTables()
+    docs = odd_documents(spark)
+    exact_dedup.annotate_exact_copies(docs).count()
+    quality_rules.stored_ledger(docs).count()
+    assert set(folder.iterdir()) > before and len(spark.catalog.listTables()) > len(tables)
+    common.close(spark)
+    assert set(folder.iterdir()) == before and spark.catalog.listTables() == tables
