@@ -52,7 +52,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def shared_table(name: str) -> str:
-    """A new name for a table of the catalog."""
+    """A new name that tables of the catalog may begin with."""
     _tables.append(f"{name}_{uuid.uuid4().hex}")
     return _tables[-1]
 
@@ -61,7 +61,8 @@ def close(spark: SparkSession) -> None:
     """Drop all that the operators have kept in this process: no result that reads
     it can be used any longer."""
     while _tables:
-        spark.sql(f"DROP TABLE IF EXISTS {_tables.pop()}")
+        for table in spark.catalog.listTables(pattern=f"{_tables.pop()}*"):
+            spark.sql(f"DROP TABLE IF EXISTS {table.name}")
     while _places:
         path = spark._jvm.org.apache.hadoop.fs.Path(_places.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

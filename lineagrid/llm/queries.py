@@ -78,7 +78,7 @@ def op7_mixing(spark, sf_dir):
 
 
 def op8_exact_dedup(spark, sf_dir):
-    return exact_dedup.annotate_exact_copies(table(spark, sf_dir, "documents"))
+    return exact_dedup.annotate_batches(table(spark, sf_dir, "documents"))
 
 
 def op9_pii(spark, sf_dir):

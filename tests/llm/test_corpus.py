@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lineagrid.llm import components as graph
 from lineagrid.llm import exact_dedup, line_dedup, mixing, ngram_join
+from lineagrid.llm.common import stored
 from lineagrid.llm.queries import queries
 
 SF = "/root/testdata/sf0.001"
@@ -60,6 +61,34 @@ def test_index_remembers_batches(spark, tmp_path):
     found.drop()
 
 
+def test_index_is_read_in_order_and_compacted(spark, monkeypatch):
+    """Runs are neither exchanged nor sorted when a batch meets them; many become one."""
+    index = exact_dedup.new_index(spark)
+    for i in range(3):
+        index.annotate(spark.createDataFrame([document(i, f"text {i}"), document(9, "same")], SCHEMA))
+    assert len(index.runs) == 3 and index.digests().count() == 4
+    batch = stored(spark.createDataFrame([document(5, "same")], SCHEMA).select(
+        exact_dedup.digest(F.col("text")).alias("digest"), F.lit(1).alias("group_size")), "batch")
+    plan = index.look_up(batch)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 3 and plan.count("Sort [") == 1 and plan.count("Exchange") == 1
+    monkeypatch.setattr(exact_dedup, "MAX_RUNS", 3)
+    index.annotate(spark.createDataFrame([document(7, "new")], SCHEMA))
+    assert len(index.runs) == 1 and index.digests().count() == 5
+    path, files = index._folder()
+    assert len(files.listStatus(path)) == 1
+    index.delete()
+    assert not files.listStatus(path)
+
+
+@pytest.mark.parametrize("n_batches", [1, 2, 5])
+def test_batches_say_what_the_whole_says(spark, n_batches):
+    docs = odd_documents(spark).unionByName(spark.createDataFrame([document(None, "One word"), document(-8, "")], SCHEMA))
+    whole = sorted(map(tuple, exact_dedup.annotate_exact_copies(docs).collect()), key=repr)
+    parts = sorted(map(tuple, exact_dedup.annotate_batches(docs, n_batches=n_batches).collect()), key=repr)
+    assert parts == whole
+    assert exact_dedup.annotate_batches(no_documents(spark)).count() == 0
+
+
 # --- n-gram join ---------------------------------------------------------------------------
 
 
