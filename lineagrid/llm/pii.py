@@ -305,22 +305,33 @@ def found_in(text: str) -> tuple[list[tuple[int, int, Entity]], dict[Entity, str
         for _, _, entity in some:
             if entity[0] == "name" and entity[1][0] == "g":
                 votes.setdefault(entity, []).append(_gender(match["title"]))
-    names = {e[1][2:]: e for _, _, e in found if e[0] == "name"}
-    if names:
-        taken, alone = {start for start, _, _ in found}, []
-        words = "|".join(map(re.escape, sorted(names, key=len, reverse=True)))
-        spans = sorted((start, end) for start, end, _ in found)
-        starts = [start for start, _ in spans]
-        for match in re.finditer(rf"(?<![\w@])(?i:{words})(?![\w@])", text):
-            start, end = match.span()
+    named = [(text[start:end], e) for start, end, e in found if e[0] == "name"]
+    if named:
+        found = sorted(found + _alone(text, named, sorted(found)))
+    return found, {e: most(v.count("m"), v.count("f")) for e, v in votes.items()}
+
+
+def _alone(text: str, named: list[tuple[str, Entity]], spans: list) -> list[tuple[int, int, Entity]]:
+    """Further places of names, as whole words as written, in capitals or with one, outside
+    of the mentions there are."""
+    starts, taken, alone = [start for start, _, _ in spans], set(), []
+    forms = {form: e for name, e in named for form in (name.title(), name.upper(), name)}
+    for form, entity in sorted(forms.items(), key=lambda f: -len(f[0])):
+        start = text.find(form)
+        while start >= 0:
+            end = start + len(form)
             before = bisect_right(starts, start) - 1
-            free = start not in taken and (before < 0 or spans[before][1] <= start) and (
+            free = (before < 0 or spans[before][1] <= start) and (
                 before + 1 == len(spans) or end <= starts[before + 1]
             )
-            if free and not text[start].islower():
-                alone.append((start, end, names[match[0].lower()]))
-        found = sorted(found + alone)
-    return found, {e: most(v.count("m"), v.count("f")) for e, v in votes.items()}
+            around = text[start - 1 : start] + text[end : end + 1]
+            if free and not any(c.isalnum() or c in "_@" for c in around) and not any(
+                s < end and start < e for s, e in taken
+            ):
+                taken.add((start, end))
+                alone.append((start, end, entity))
+            start = text.find(form, start + 1)
+    return alone
 
 
 def most(male: int, female: int) -> str:
