@@ -20,9 +20,12 @@ documents link when ``100 * |A & B| >= percent * |A | B|``.
 
 Blocks hold about ``BLOCK`` sets, however large a group of near copies. Step 3
 first joins the blocks of one base with themselves and with the first of
-them; then only pairs of blocks that are not wholly in one component yet, for
-which blocks are formed by base and component. A large group of near copies that
-hang together therefore costs a number of blocks, not of pairs of blocks.
+them. Then blocks are formed anew: a large component fills blocks of its own,
+small components of one base and of like size share some. Only pairs of blocks
+that are not wholly in one component yet, and that did not meet before, are joined,
+and in them only sets of different components. A large group of near copies that
+hang together therefore costs a number of blocks, not of pairs of blocks; sets
+that share much but do not link cost pairs of blocks, not of sets.
 
 Defined cases: a null or empty text, or one of blanks, has an empty set, links
 with nothing and is its own component; fewer words than ``width`` make one
@@ -46,8 +49,8 @@ from lineagrid.llm.common import mixed, pieces, stored, texts, word_hashes
 from lineagrid.llm.components import connected_components
 
 BLOCK = 256
-CHUNK_DOCS = 1_000
-BUCKET_DOCS = 5_000
+CHUNK_CHARS = (2_000_000, 32_000_000)
+BUCKET_CHARS = (10_000_000, 256_000_000)
 
 
 def ngrams(text: str, width: int) -> np.ndarray:
@@ -69,6 +72,16 @@ def least_overlap(n: np.ndarray | int, m: np.ndarray | int, percent: int) -> np.
     return -(-percent * (n + m) // (100 + percent))
 
 
+def chunks_and_buckets(chars: int) -> tuple[int, int]:
+    """Into how many chunks and buckets texts of so many characters are dealt. A chunk posts a
+    row to every bucket, so both grow with the input, to keep some hundred n-grams in a
+    row, up to what a task can hold."""
+    area = 600 * chars  # characters of a chunk times those of a bucket: 100 n-grams of 6 characters
+    chunk = int(np.clip(area**0.5 / 4, *CHUNK_CHARS))
+    bucket = int(np.clip(area // chunk, *BUCKET_CHARS))
+    return max(1, -(-chars // chunk)), max(1, -(-chars // bucket))
+
+
 def prefix_size(n: int, percent: int) -> int:
     """Of any order, a set that links shares one of its first so many n-grams."""
     return n - -(-percent * n // 100) + 1
@@ -134,9 +147,7 @@ def reduced_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """doc_id, n, and for sets that may link: ``alone``, how many of their n-grams no
     other set holds, ``grams``, the others in order of (class, hash), and a digest."""
     rows = texts(docs)
-    n_docs = rows.count()
-    chunks = max(1, -(-n_docs // CHUNK_DOCS))
-    buckets = max(1, -(-n_docs // BUCKET_DOCS))
+    chunks, buckets = chunks_and_buckets(rows.agg(F.sum(F.length("text"))).first()[0] or 0)
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)))
     classes = frequency_classes(rows, width, buckets)
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -222,6 +233,32 @@ def in_blocks(members: DataFrame, group: list[str]) -> DataFrame:
     )
 
 
+def regrouped(members: DataFrame, percent: int) -> DataFrame:
+    """Blocks by component, ``was`` the block of before. Components of a base with BLOCK members
+    or more stand alone, in parts; the others are dealt, whole, to as many blocks as they
+    fill, by size: sets whose sizes are a class apart or more mostly cannot link."""
+    size_class = F.floor(F.log(F.min("n")) / float(np.log(100 / percent))) if percent < 100 else F.min("n")
+    parts = members.groupBy("base", "component").agg(
+        F.count(F.lit(1)).alias("held"), size_class.alias("size_class")
+    ).withColumn("alone", F.when(F.col("held") >= BLOCK, F.col("component")))
+    parts = stored(parts, "parts")
+    shelf = ["base", "alone", F.when(F.col("alone").isNull(), F.col("size_class")).alias("shelf")]
+    sizes = parts.groupBy(*shelf).agg(F.ceil(F.sum("held") / BLOCK).alias("n_parts"))
+    placed = parts.select("component", *shelf).alias("a").join(
+        sizes.alias("b"),
+        (F.col("a.base") == F.col("b.base")) & F.col("a.alone").eqNullSafe(F.col("b.alone"))
+        & F.col("a.shelf").eqNullSafe(F.col("b.shelf")),
+    ).select("a.*", "n_parts")
+    dealt = F.when(F.col("alone").isNull(), F.col("component")).otherwise(F.col("class_id"))
+    return stored(
+        members.withColumnRenamed("block", "was").drop("part").join(placed, ["base", "component"])
+        .withColumn("part", F.pmod(F.xxhash64(dealt), F.col("n_parts")))
+        .withColumn("block", F.xxhash64("base", F.col("alone").isNull(), F.coalesce("alone", "shelf"), "part"))
+        .select("class_id", "base", "component", "was", "block"),
+        "blocks",
+    )
+
+
 def block_pairs(lists: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Pairs of blocks that some list lets link. In each list a block is known by the
     smallest size and the longest reach of its members."""
@@ -231,17 +268,22 @@ def block_pairs(lists: DataFrame, members: DataFrame, percent: int) -> DataFrame
         "held",
     )
     facts = members.groupBy("block").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        F.min("was").alias("was_low"), F.max("was").alias("was_high"),
     )
     held = stored(held.join(facts, "block"), "held")
     one, two = held.alias("one"), held.alias("two")
     need = F.ceil(percent * (F.col("one.n") + F.col("two.n")) / (100 + percent))
+
+    def of_one(low: str, high: str):
+        ends = [F.col(f"{side}.{end}") for side in ("one", "two") for end in (low, high)]
+        return F.least(*ends) == F.greatest(*ends)
+
     open_pair = (
         (F.col("one.gram") == F.col("two.gram"))
         & (F.col("one.block") <= F.col("two.block"))
         & (F.least("one.reach", "two.reach") >= need)
-        & ~((F.col("one.low") == F.col("two.high")) & (F.col("two.low") == F.col("one.high"))
-            & (F.col("one.low") == F.col("one.high")))
+        & ~of_one("low", "high") & ~of_one("was_low", "was_high")
     )
     return one.join(two, open_pair).select(
         F.col("one.block").alias("left"), F.col("two.block").alias("right")
@@ -289,18 +331,19 @@ class Answers:
 
 
 def _links_of(table: pa.Table, percent: int) -> list[tuple[int, int]]:
-    """Links between the sets on the two sides of a pair of blocks, as one star for
+    """Links between the components on the two sides of a pair of blocks, as one star for
     each group that hangs together by them."""
     rows = sorted(zip(
-        table.column("n").to_pylist(), table.column("class_id").to_pylist(),
-        table.column("side").to_pylist(), table.column("grams").to_pylist(),
+        table.column("component").to_pylist(), table.column("n").to_pylist(),
+        table.column("class_id").to_pylist(), table.column("side").to_pylist(),
+        table.column("grams").to_pylist(),
     ))
-    sides = [[r for r in rows if r[2] in (side, 2)] for side in (0, 1)]
+    sides = [[r for r in rows if r[3] in (side, 2)] for side in (0, 1)]
     if not all(sides):
         return []
-    sets = [[np.sort(np.frombuffer(r[3], np.uint64)) for r in side] for side in sides]
-    ids = [np.array([r[1] for r in side], np.int64) for side in sides]
-    sizes = [np.array([r[0] for r in side], np.int64) for side in sides]
+    sets = [[np.sort(np.frombuffer(r[4], np.uint64)) for r in side] for side in sides]
+    groups = [[r[0] for r in side] for side in sides]
+    sizes = [np.array([r[1] for r in side], np.int64) for side in sides]
     answers = Answers(sets[1])
     root: dict[int, int] = {}
 
@@ -310,16 +353,19 @@ def _links_of(table: pa.Table, percent: int) -> list[tuple[int, int]]:
             x = root[x]
         return x
 
-    for class_id, n, grams in zip(ids[0].tolist(), sizes[0], sets[0]):
+    others = sorted(set(groups[1]))
+    for group, n, grams in zip(groups[0], sizes[0], sets[0]):
+        if all(find(other) == find(group) for other in others):
+            continue  # what hangs together already need not be compared
         overlap = answers.overlaps(grams)
-        for other in ids[1][overlap >= least_overlap(n, sizes[1], percent)].tolist():
-            a, b = find(class_id), find(other)
+        for place in np.flatnonzero(overlap >= least_overlap(n, sizes[1], percent)).tolist():
+            a, b = find(group), find(groups[1][place])
             root[max(a, b)] = min(a, b)
     return [(x, find(x)) for x in list(root) if find(x) != x]
 
 
 def block_links(reps: DataFrame, members: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """a, b: links that join what the given pairs of blocks link."""
+    """a, b: links between components that join what the given pairs of blocks link."""
     numbered = pairs.withColumn("pair", F.xxhash64("left", "right"))
     asked = numbered.select(
         "pair", F.col("left").alias("block"),
@@ -328,7 +374,7 @@ def block_links(reps: DataFrame, members: DataFrame, pairs: DataFrame, percent:
         numbered.filter(F.col("left") != F.col("right"))
         .select("pair", F.col("right").alias("block"), F.lit(1).alias("side"))
     )
-    sent = stored(asked.join(members.select("block", "class_id"), "block"), "asked")
+    sent = stored(asked.join(members.select("block", "class_id", "component"), "block"), "asked")
 
     def links(table: pa.Table) -> pa.Table:
         found = _links_of(table, percent)
@@ -339,7 +385,7 @@ def block_links(reps: DataFrame, members: DataFrame, pairs: DataFrame, percent:
 
     return stored(
         sent.join(reps.select("class_id", "n", "grams"), "class_id")
-        .select("pair", "side", "class_id", "n", "grams")
+        .select("pair", "side", "class_id", "component", "n", "grams")
         .groupBy("pair").applyInArrow(links, "a long, b long"),
         "links",
     )
@@ -348,8 +394,7 @@ def block_links(reps: DataFrame, members: DataFrame, pairs: DataFrame, percent:
 def with_components(members: DataFrame, edges: DataFrame) -> DataFrame:
     found = connected_components(edges)
     return members.join(found, members["class_id"] == found["node"], "left").select(
-        *[c for c in members.columns if c != "component"],
-        F.coalesce("component", "class_id").alias("component"),
+        *members.columns, F.coalesce("component", "class_id").alias("component"),
     )
 
 
@@ -370,7 +415,7 @@ def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     lists = stored(index_lists(reps, percent), "lists")
     related = bases(lists)
 
-    members = in_blocks(related, ["base"])
+    members = in_blocks(related.withColumn("component", F.col("class_id")), ["base"])
     first = members.filter("part = 0").select("base", F.col("block").alias("first_block")).distinct()
     of_base = members.select("base", "block").distinct().join(first, "base", "left")
     within = of_base.select(F.col("block").alias("left"), F.col("block").alias("right")).union(
@@ -378,7 +423,8 @@ def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     )
     edges = block_links(reps, members, within, percent)
 
-    members = in_blocks(with_components(related, edges), ["base", "component"])
+    grown = with_components(members.drop("component"), edges).join(reps.select("class_id", "n"), "class_id")
+    members = regrouped(grown, percent)
     across = block_pairs(lists, members, percent)
     edges = stored(edges.union(block_links(reps, members, across, percent)), "links")
 

@@ -117,7 +117,8 @@ def near_copies(spark, n):
 @pytest.mark.parametrize("block", [256, 7])
 def test_near_copies_against_all_pairs(spark, monkeypatch, block):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
-    monkeypatch.setattr(ngram_join, "CHUNK_DOCS", 9)
+    monkeypatch.setattr(ngram_join, "CHUNK_CHARS", (5_000, 9_000))
+    monkeypatch.setattr(ngram_join, "BUCKET_CHARS", (3_000, 7_000))
     docs = near_copies(spark, 60).union(odd_documents(spark))
     rows = ngram_join.similarity_classes(docs, 4, 85).collect()
     sets = {r.doc_id: shingles(r.text, 4) for r in docs.collect()}
@@ -128,6 +129,50 @@ def test_near_copies_against_all_pairs(spark, monkeypatch, block):
     assert 1 < len({want[r.doc_id] for r in rows if r.doc_id > 500}) < 60
 
 
+def from_pools(spark, n):
+    """Documents made of one template's text and paragraphs of a pool: each n-gram is found
+    elsewhere, but most documents link with nothing; some are near copies of another."""
+    draw = random.Random(5)
+    template, pool = prose(1, 60), [prose(k, 12) for k in range(2, 40)]
+    rows = []
+    for k in range(n):
+        text = " ".join([template, *draw.sample(pool, 4)])
+        rows.append(document(2 * k, text if k % 5 else text + " end"))
+        if k % 10 == 0:
+            rows.append(document(2 * k + 1, text + " ending"))
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.mark.parametrize("block", [256, 16])
+def test_sets_that_share_but_do_not_link_share_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    asked = []
+    links = ngram_join.block_links
+    monkeypatch.setattr(
+        ngram_join, "block_links",
+        lambda reps, members, pairs, percent: asked.append((members, pairs)) or links(reps, members, pairs, percent),
+    )
+    docs = from_pools(spark, 150)
+    found = {r.doc_id: r.component_id for r in ngram_join.similarity_classes(docs, 4, 85).collect()}
+    assert found == components({r.doc_id: shingles(r.text, 4) for r in docs.collect()}, 85)
+    assert 100 < len(set(found.values())) < len(found)
+    members, pairs = asked[1]
+    n_blocks = members.select("block").distinct().count()
+    assert n_blocks < 30 + 3 * len(found) / block
+    assert pairs.count() <= n_blocks * (n_blocks + 1) / 2
+    if block == 256:  # all of them met in the first pass
+        assert pairs.filter("left = right").count() == 0
+
+
+def test_chunks_and_buckets_grow_with_the_input():
+    assert ngram_join.chunks_and_buckets(0) == (1, 1)
+    # n-grams in a row posted; at 100 TB a task can hold no more
+    for chars, in_a_row in ((10**9, 90), (10**11, 90), (10**12, 90), (10**14, 10)):
+        chunks, buckets = ngram_join.chunks_and_buckets(chars)
+        assert chars / 6 / chunks / buckets > in_a_row
+        assert ngram_join.BUCKET_CHARS[0] / 2 < chars / buckets < 2 * ngram_join.BUCKET_CHARS[1]
+
+
 def test_one_of_each_near_copy(spark):
     docs = odd_documents(spark)
     kept = ngram_join.one_of_each(docs)
