@@ -3,6 +3,10 @@
 One exchange on the text key carries the texts; exploding and every window
 below keep that partitioning. All windows group by one statement (or a part of
 one), whose tokens came out of a single cell of the input.
+
+Brackets, blocks and clauses are worked out on the tokens that can change them
+(a fraction of all) and carried on to the tokens behind, in one pass over all;
+neighbours are read from the token array.
 """
 
 from __future__ import annotations
@@ -65,6 +69,13 @@ def distinct_texts(statements: DataFrame) -> DataFrame:
     )
 
 
+OTHER_WORDS = ["USING", "CONNECT", "LIMIT", "FETCH", "OFFSET", "FOR"]
+#: what a token has in common with those before it, back to the last that changes anything
+CARRIED = ["dp", "qd", "spos", "bpos", "bdp", "cpos", "item", "clause"]
+#: what only such a token has
+OWN = ["comma", "closes", "prv_match_before"]
+
+
 def _rows(window):
     """Running frame by rows; the default frame by values compares more."""
     return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -74,24 +85,52 @@ def _flag(condition):
     return F.when(condition, 1).otherwise(0)
 
 
-def _with_depth(tokens: DataFrame) -> DataFrame:
-    """Neighbour words, bracket depth and the brackets that hold a query."""
-    by_pos = Window.partitionBy("h").orderBy("pos")
-    running = _rows(by_pos)
-    opened, closed = _flag(F.col("u") == "("), _flag(F.col("u") == ")")
-    begins_query = F.col("nxt").isin("SELECT", "WITH") | (
-        (F.col("nxt") == "(") & F.col("nxt2").isin("SELECT", "WITH")
-    )
+def _with_neighbours(texts: DataFrame) -> DataFrame:
+    """One row per token with the words around it, and whether it opens a query."""
+
+    def near(step):
+        return F.when(F.col("pos") + step >= 0, F.get("toks", F.col("pos") + step))
+
+    def begins_query(word, after):
+        return word.isin("SELECT", "WITH") | ((word == "(") & after.isin("SELECT", "WITH"))
+
+    nxt, nxt2 = F.upper("nxt_tok"), F.upper("nxt_tok2")
+    opens = (F.col("tok") == "(") & F.coalesce(begins_query(nxt, nxt2), F.lit(False))
     return (
-        tokens.withColumn("u", F.upper("tok"))
-        .withColumn("prv", F.lag("u", 1).over(by_pos))
-        .withColumn("prv_tok2", F.lag("tok", 2).over(by_pos))
-        .withColumn("nxt_tok", F.lead("tok", 1).over(by_pos))
-        .withColumn("nxt_tok2", F.lead("tok", 2).over(by_pos))
-        .withColumn("dp", F.sum(opened).over(running) - F.sum(closed).over(running) + closed)
+        texts.select("h", "toks", F.posexplode("toks").alias("pos", "tok"))
+        .select(
+            "h", "pos", "tok", F.upper("tok").alias("u"),
+            near(-1).alias("prv_tok"), near(-2).alias("prv_tok2"),
+            near(1).alias("nxt_tok"), near(2).alias("nxt_tok2"),
+            F.coalesce(begins_query(F.upper(near(2)), F.upper(near(3))), F.lit(False)).alias("_then"),
+        )
+        .withColumn("prv", F.upper("prv_tok"))
         .withColumn("nxt", F.upper("nxt_tok"))
-        .withColumn("nxt2", F.upper("nxt_tok2"))
-        .withColumn("isq", (F.col("u") == "(") & F.coalesce(begins_query, F.lit(False)))
+        .withColumn("isq", opens)
+        .withColumn("opens_next", F.coalesce((F.col("nxt_tok") == "(") & F.col("_then"), F.lit(False)))
+        .drop("_then")
+    )
+
+
+def _changes_state():
+    """Tokens at which brackets, blocks or clauses can change, the one behind a closing
+    bracket, where the outer scope goes on, and the one before an opening bracket."""
+    return (
+        F.col("u").isin(
+            "(", ")", ",", "SELECT", "FROM", "JOIN", "ON", "WHERE", "HAVING", "WINDOW", "QUALIFY",
+            "GROUP", "ORDER", *JOIN_WORDS, *SET_WORDS, *OTHER_WORDS, "START",
+        )
+        | F.coalesce((F.col("prv_tok") == ")") | (F.col("nxt_tok") == "("), F.lit(False))
+        | (F.col("pos") == 0)
+    )
+
+
+def _with_depth(tokens: DataFrame) -> DataFrame:
+    """Bracket depth."""
+    running = _rows(Window.partitionBy("h").orderBy("pos"))
+    opened, closed = _flag(F.col("u") == "("), _flag(F.col("u") == ")")
+    return tokens.withColumn(
+        "dp", F.sum(opened).over(running) - F.sum(closed).over(running) + closed
     )
 
 
@@ -111,7 +150,6 @@ def _with_scope(tokens: DataFrame) -> DataFrame:
         .withColumn("match_before", F.when(F.col("u") == ")", F.col("match.before")))
         .drop("match")
         .withColumn("left_query", left)
-        .withColumn("opens_next", F.coalesce(F.lead("isq").over(by_pos), F.lit(False)))
         .withColumn("prv_match_before", F.lag("match_before").over(by_pos))
         .withColumn(
             "qd", F.sum(_flag(F.col("isq"))).over(running) - F.sum("left_query").over(running)
@@ -141,7 +179,7 @@ def _with_block(tokens: DataFrame) -> DataFrame:
         .when((u == "ORDER") & nxt.isin("BY", "SIBLINGS"), "ORDER_BY")
         .when(u.isin(SET_WORDS), "SET")
         .when(
-            u.isin("USING", "CONNECT", "LIMIT", "FETCH", "OFFSET", "FOR")
+            u.isin(OTHER_WORDS)
             | ((u == "START") & (nxt == "WITH")),
             "OTHER",
         )
@@ -149,11 +187,11 @@ def _with_block(tokens: DataFrame) -> DataFrame:
     # a closing bracket around a branch of a set operation ends its last clause
     opens = F.when(own, opens).when(F.col("dp") < F.col("bdp"), F.lit("SET"))
     return (
-        tokens.withColumn("spos", F.when(F.col("qd") > 0, scope).otherwise(F.lit(-1)))
-        .withColumn("sel", select)
+        tokens.withColumns({"scope": scope, "sel": select})
+        .withColumn("spos", F.when(F.col("qd") > 0, F.col("scope")).otherwise(F.lit(-1)))
         .withColumn("bpos", F.when(F.col("sel.pos") > F.col("spos"), F.col("sel.pos")))
         .withColumn("bdp", F.when(F.col("bpos").isNotNull(), F.col("sel.dp")))
-        .drop("sel")
+        .drop("sel", "scope")
         .withColumn("comma", (u == ",") & own)
         .withColumn("commas", F.sum(_flag(F.col("comma"))).over(in_scope))
         .withColumn("opens", opens)
@@ -171,12 +209,29 @@ def _with_block(tokens: DataFrame) -> DataFrame:
             F.when((F.col("at.opens") == "JOIN_ON") & (F.col("item") > 0), F.lit("FROM"))
             .otherwise(F.col("at.opens")),
         )
-        .drop("at", "commas", "opens", "nxt2")
+        .drop("at", "commas", "opens")
     )
 
 
 def token_table(texts: DataFrame) -> DataFrame:
-    tokens = texts.select("h", F.posexplode("toks").alias("pos", "tok"))
-    by_pos = Window.partitionBy("h").orderBy("pos")
-    tokens = _with_depth(tokens).withColumn("prv_tok", F.lag("tok", 1).over(by_pos))
-    return _with_block(_with_scope(tokens))
+    tokens = _with_neighbours(texts)
+    few = _with_block(_with_scope(_with_depth(tokens.filter(_changes_state()))))
+    state = F.struct(*CARRIED).alias("state")
+    # by merge: its order serves the window below, and texts unfold to far more than their files
+    found = few.select("h", "pos", state, *OWN).hint("merge")
+    marked = tokens.join(found, ["h", "pos"], "left")
+    running = _rows(Window.partitionBy("h").orderBy("pos"))
+    carried = marked.withColumn("here", F.col("state").isNotNull()).withColumn(
+        "state", F.last("state", True).over(running)
+    )
+    # below the block's own depth (around branches of a set operation) each token stands for itself
+    alone = ~F.col("here") & F.coalesce(F.col("state.dp") < F.col("state.bdp"), F.lit(False))
+    changed = {"cpos": F.col("pos"), "item": F.lit(0)}
+    return carried.select(
+        *tokens.columns, *OWN[1:], F.coalesce("comma", F.lit(False)).alias("comma"),
+        *[
+            (F.when(alone, changed[c]).otherwise(F.col(f"state.{c}")) if c in changed
+             else F.col(f"state.{c}")).alias(c)
+            for c in CARRIED
+        ],
+    )
