@@ -150,6 +150,11 @@ def frame(text: Column) -> Column:
     return _sub(text, rf"{LITERAL}|\"[^\"]*\"|(?s:/\*.*?\*/)|--[^\n]*", "x")
 
 
+def foreign_mark(text: Column) -> Column:
+    """An error where a text itself holds one of the marks used in here, or NULL."""
+    return F.when(text.rlike("[\ue000-\ue002\ue010\ue011]"), F.lit("private-use mark in the text"))
+
+
 _END = r"(?:\)|[\s;]*\z)"
 _NEXT_CLAUSE = rf"(?:(?:WHERE|GROUP|ORDER|HAVING|UNION|INTERSECT|EXCEPT|MINUS)\b|{_END})"
 

@@ -26,8 +26,24 @@ CURRENT_DATE CURRENT_TIMESTAMP CURRENT_USER FALSE LOCALTIMESTAMP NULL SYSDATE SY
 PHRASES = """
 NULLS FIRST, NULLS LAST, DENSE_RANK FIRST, DENSE_RANK LAST, CURRENT ROW, WITH TIME, WITH LOCAL,
 LOCAL TIME, TIME ZONE, ON CONVERSION, ON OVERFLOW, ON EMPTY, ON ERROR, IS NAN, IS INFINITE, IS EMPTY,
-IS JSON, NOT NAN, NOT INFINITE, NOT EMPTY, NOT JSON
+IS JSON, NOT NAN, NOT INFINITE, NOT EMPTY, NOT JSON, FOLLOWING EXCLUDE, PRECEDING EXCLUDE,
+ASC GROUPS, DESC GROUPS
 """.replace("\n", " ").split(",")
+# Words between two operands in the brackets of a function.
+BETWEEN_OPERANDS = ["VALUE", "PASSING", "PLACING"]
+# Functions whose brackets open with a name that is no column.
+NAMING_CALLS = ["XMLELEMENT", "XMLPI"]
+# Functions whose brackets may open with a word before the operand, and these words.
+CONTENT_CALLS, CONTENT_WORDS = ["XMLSERIALIZE", "XMLPARSE"], ["CONTENT", "DOCUMENT"]
+# Functions whose first argument may be a unit of time, and these units.
+UNIT_CALLS = ["DATEADD", "DATEDIFF", "DATEPART", "DATENAME", "TIMESTAMPADD", "TIMESTAMPDIFF"]
+UNITS = """
+YEAR QUARTER MONTH WEEK DAY HOUR MINUTE SECOND MILLISECOND MICROSECOND
+""".split()
+# Time zones of the database, named like columns.
+ZONES = ["DBTIMEZONE", "SESSIONTIMEZONE"]
+# Words that turn the source before them, and what may follow such a word.
+PIVOTS, AFTER_PIVOT = ["PIVOT", "UNPIVOT"], ["(", "XML", "INCLUDE", "EXCLUDE"]
 SET_WORDS = ["UNION", "INTERSECT", "EXCEPT", "MINUS"]
 JOIN_WORDS = ["LEFT", "RIGHT", "FULL", "INNER", "CROSS", "NATURAL"]
 

@@ -13,15 +13,50 @@ from pyspark.sql import functions as F
 
 from lineagrid.functions.text import unmark_placeholders
 from lineagrid.functions.words import (
-    CLAUSES, SET_WORDS, ends_operand, in_phrase, is_literal, is_name, name_parts,
+    AFTER_PIVOT, BETWEEN_OPERANDS, CLAUSES, CONTENT_CALLS, CONTENT_WORDS, NAMING_CALLS, PIVOTS,
+    SET_WORDS, UNIT_CALLS, UNITS, ZONES, ends_operand, in_phrase, is_literal, is_name, name_parts,
 )
 from lineagrid.session import keep_bucketed
 
 NO_POS = -1
 
 
+def _words_of_calls():
+    """Two conditions on a name: that it is a word of the function around it, as NAME in
+    XMLELEMENT(NAME e, ...), and that an operand must stand there, as x in
+    JSON_OBJECT(KEY 'k' VALUE x), though the word before it looks like one."""
+    u, prv, nxt = F.col("u"), F.col("prv"), F.coalesce("nxt", F.lit(""))
+    prv2, nxt2 = F.upper("prv_tok2"), F.upper("nxt_tok2")
+    inside = F.col("dp") > F.col("bdp")
+    operand_follows = is_name(F.col("nxt_tok")) | is_literal(F.col("nxt_tok"))
+    # KEY is a column itself if VALUE comes at once: JSON_OBJECT(key VALUE x)
+    key = (u == "KEY") & prv.isin("(", ",") & operand_follows & (
+        (nxt != "VALUE") | nxt2.isin("VALUE", "IS")
+    )
+    word = (
+        ((prv == "(") & prv2.isin(NAMING_CALLS))
+        | ((prv == "(") & prv2.isin(CONTENT_CALLS) & u.isin(CONTENT_WORDS) & operand_follows)
+        | ((prv == "(") & prv2.isin(UNIT_CALLS) & u.isin(UNITS) & (nxt == ","))
+        | ((prv == "BY") & (prv2 == "PASSING"))
+        | (prv == "USING")
+        | key
+    )
+    operand = (
+        (prv.isin(BETWEEN_OPERANDS) & (ends_operand(F.col("prv_tok2")) | (prv2 == "BY")))
+        | (prv.isin("EVALNAME", *CONTENT_WORDS) & (prv2 == "("))
+        | ((prv == "KEY") & prv2.isin("(", ",") & ((u != "VALUE") | nxt.isin("VALUE", "IS")))
+    )
+    zone = (prv == "ZONE") & (prv2 == "TIME")
+    no = F.lit(False)
+    return (
+        F.coalesce((inside & word) | (zone & u.isin(ZONES)), no),
+        F.coalesce((inside & operand) | zone, no),
+    )
+
+
 def with_references(tokens: DataFrame) -> DataFrame:
     """Mark the tokens that name a column of the clause they stand in."""
+    word_of_call, operand = _words_of_calls()
     tok, u, prv, nxt = F.col("tok"), F.col("u"), F.col("prv"), F.coalesce("nxt", F.lit(""))
     unit_of_extract = (prv == "(") & (F.upper("prv_tok2") == "EXTRACT") & (nxt == "FROM")
     typed_literal = u.isin("DATE", "TIMESTAMP", "INTERVAL", "N") & is_literal(nxt)
@@ -35,7 +70,8 @@ def with_references(tokens: DataFrame) -> DataFrame:
             & ~nxt.isin("(", "=>")
             & ~tok.endswith("*")
             & (prv != "AS")
-            & ~ends_operand(F.col("prv_tok"))
+            & (operand | ~ends_operand(F.col("prv_tok")))
+            & ~word_of_call
             & ~unit_of_extract
             & ~typed_literal
             & (after_join | ~in_phrase(prv, u))
@@ -45,16 +81,63 @@ def with_references(tokens: DataFrame) -> DataFrame:
     )
 
 
-def scopes_of(tokens: DataFrame) -> DataFrame:
+def _pivots(word, after):
+    return F.coalesce(F.upper(word).isin(PIVOTS) & F.upper(after).isin(AFTER_PIVOT), F.lit(False))
+
+
+def pivots_of(tokens: DataFrame) -> DataFrame:
+    """(h, pivot_pos, pivot_alias): where a source is turned by PIVOT or UNPIVOT, once or
+    several times in a row, and the name it has from there, which stands behind the brackets."""
+    tok = F.col("tok")
+    turns = _pivots(tok, F.col("nxt_tok"))
+    behind = F.coalesce(
+        (F.col("prv") == ")") & F.upper("prv_match_before").isin(*PIVOTS, "XML", "NULLS"), F.lit(False)
+    )
+    name = F.when(F.col("u") == "AS", F.col("nxt_tok")).when(is_name(tok) & ~turns, tok)
+    running = Window.partitionBy("h", "bpos").orderBy("pos").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    return (
+        tokens.filter(
+            (F.col("clause") == "FROM") & (F.col("dp") == F.col("bdp")) & (turns | behind)
+        )
+        .select(
+            "h", "bpos", "pos", (turns & ~behind).cast("int").alias("first"),
+            F.when(behind, F.element_at(name_parts(name), -1)).alias("name"),
+        )
+        .withColumn("nth", F.sum("first").over(running))
+        .groupBy("h", "bpos", "nth")
+        .agg(F.min("pos").alias("pivot_pos"), F.max("name").alias("pivot_alias"))
+        .select("h", "pivot_pos", "pivot_alias")
+    )
+
+
+def _alias_behind():
+    """(alias, number of its tokens) of the source that ends at a token."""
+    after = F.when(F.col("nxt") == "AS", F.col("nxt_tok2")).otherwise(F.col("nxt_tok"))
+    # t AS OF SCN 1 names a time, not an alias
+    at_time = (F.col("nxt") == "AS") & (F.upper("nxt_tok2") == "OF")
+    given = is_name(after) & ~F.coalesce(at_time, F.lit(False)) & ~_pivots(
+        F.col("nxt_tok"), F.col("nxt_tok2")
+    )
+    return (
+        F.when(given, F.element_at(name_parts(after), -1)),
+        F.when(given, F.when(F.col("nxt") == "AS", 2).otherwise(1)).otherwise(0),
+    )
+
+
+def scopes_of(tokens: DataFrame, pivots: DataFrame) -> DataFrame:
     """Query brackets: where they stand, what they are and their alias.
 
-    kind: CTE, SOURCE (in FROM), BRANCH (a bracketed part of a set operation)
+    kind: CTE, SOURCE (in FROM, also behind LATERAL or APPLY), BRANCH (a bracketed part of a set operation)
     or EXPR (anywhere else).
     """
     u, prv = F.col("u"), F.col("prv")
     cte = (u == "AS") & F.col("bpos").isNull()
+    lateral = (u == "LATERAL") & prv.isin("FROM", "JOIN", ",")
+    applied = (u == "APPLY") & prv.isin("CROSS", "OUTER")
     source = (
-        u.isin("FROM", "JOIN", ",") & (F.col("clause") == "FROM") & (F.col("dp") == F.col("bdp"))
+        (u.isin("FROM", "JOIN", ",") | lateral | applied) & (F.col("clause") == "FROM") & (F.col("dp") == F.col("bdp"))
     )
     branch = u.isin(SET_WORDS) | (u.isin("ALL", "DISTINCT") & prv.isin(SET_WORDS)) | F.col("isq")
     kind = (
@@ -84,13 +167,16 @@ def scopes_of(tokens: DataFrame) -> DataFrame:
             F.when(F.col("opens_next"), here), F.when(at_start, leading)
         ))),
     )
-    after = F.when(F.col("nxt") == "AS", F.col("nxt_tok2")).otherwise(F.col("nxt_tok"))
+    alias, width = _alias_behind()
     ends = tokens.filter(F.col("closes").isNotNull()).select(
-        "h", F.col("closes").alias("spos"), F.col("pos").alias("end_pos"),
-        F.when(is_name(after), F.element_at(name_parts(after), -1)).alias("alias"),
+        "h", F.col("closes").alias("spos"), F.col("pos").alias("end_pos"), alias.alias("alias"),
+        (F.col("pos") + 1 + width).alias("pivot_pos"),
     )
     return (
         outer.join(ends, ["h", "spos"], "left")
+        .join(pivots, ["h", "pivot_pos"], "left")
+        .withColumn("alias", F.coalesce("pivot_alias", "alias"))
+        .drop("pivot_pos", "pivot_alias")
         .withColumn(
             "alias",
             F.when(F.col("kind") == "CTE", F.col("cte_name"))
@@ -195,10 +281,10 @@ def blocks_of(tokens: DataFrame, scopes: DataFrame) -> DataFrame:
     )
 
 
-def table_mentions(tokens: DataFrame) -> DataFrame:
+def table_mentions(tokens: DataFrame, pivots: DataFrame) -> DataFrame:
     """Every table name in a FROM list, CTE names included, numbered by place."""
     parts = F.col("parts")
-    after = F.when(F.col("nxt") == "AS", F.col("nxt_tok2")).otherwise(F.col("nxt_tok"))
+    alias, width = _alias_behind()
     part = lambda i: F.coalesce(F.try_element_at(parts, F.lit(i)), F.lit(""))
     return (
         tokens.filter(
@@ -212,13 +298,13 @@ def table_mentions(tokens: DataFrame) -> DataFrame:
         .select(
             "h", "bpos", "pos", part(-1).alias("name"), part(-2).alias("db"),
             part(-3).alias("cat"),
-            F.when(is_name(after), F.element_at(name_parts(after), -1)).alias("given_alias"),
-            F.when(is_name(after), F.when(F.col("nxt") == "AS", 2).otherwise(1)).otherwise(0)
-            .alias("alias_width"),
+            alias.alias("given_alias"), width.alias("alias_width"),
+            (F.col("pos") + 1 + width).alias("pivot_pos"),
         )
+        .join(pivots, ["h", "pivot_pos"], "left")
         .withColumn("sch", F.when(F.col("db") != "", F.col("db")).otherwise(F.col("cat")))
-        .withColumn("alias", F.coalesce("given_alias", "name"))
-        .drop("db", "given_alias")
+        .withColumn("alias", F.coalesce("pivot_alias", "given_alias", "name"))
+        .drop("db", "given_alias", "pivot_pos", "pivot_alias")
     )
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lineagrid.functions.text import (
-    clean_statement, frame, frame_error, mark_placeholders, normalize_dynamic_sql, plain_blanks,
+    clean_statement, foreign_mark, frame, frame_error, mark_placeholders, normalize_dynamic_sql, plain_blanks,
 )
 from lineagrid.functions.words import (
     JOIN_WORDS, SET_WORDS, token_array, without_partition_clause,
@@ -47,10 +47,10 @@ def distinct_texts(statements: DataFrame) -> DataFrame:
     rewritten = F.when(F.col("error_1").isNotNull(), normalize_dynamic_sql(F.col("text")))
     texts = (
         texts.withColumn("frame", frame(plain_blanks(F.col("text"))))
-        .withColumn("error_1", frame_error(F.col("frame")))
+        .withColumn("error_1", F.coalesce(foreign_mark(F.col("text")), frame_error(F.col("frame"))))
         .withColumn("rewritten", rewritten)
         .withColumn("frame", frame(plain_blanks(F.col("rewritten"))))
-        .withColumn("error_2", frame_error(F.col("frame")))
+        .withColumn("error_2", F.coalesce(foreign_mark(F.col("text")), frame_error(F.col("frame"))))
         .withColumn(
             "sql",
             F.when(F.col("error_1").isNull(), F.col("text"))
@@ -118,7 +118,7 @@ def _changes_state():
     return (
         F.col("u").isin(
             "(", ")", ",", "SELECT", "FROM", "JOIN", "ON", "WHERE", "HAVING", "WINDOW", "QUALIFY",
-            "GROUP", "ORDER", *JOIN_WORDS, *SET_WORDS, *OTHER_WORDS, "START",
+            "GROUP", "ORDER", *JOIN_WORDS, "OUTER", *SET_WORDS, *OTHER_WORDS, "START",
         )
         | F.coalesce((F.col("prv_tok") == ")") | (F.col("nxt_tok") == "("), F.lit(False))
         | (F.col("pos") == 0)
@@ -173,6 +173,7 @@ def _with_block(tokens: DataFrame) -> DataFrame:
         F.when(u == "SELECT", "PROJECTION")
         .when(u.isin("FROM", "JOIN"), "FROM")
         .when(u.isin(JOIN_WORDS) & nxt.isin("JOIN", "OUTER", *JOIN_WORDS), "FROM")
+        .when(u.isin("CROSS", "OUTER") & (nxt == "APPLY"), "FROM")
         .when(u == "ON", "JOIN_ON")
         .when(u.isin("WHERE", "HAVING", "WINDOW", "QUALIFY"), u)
         .when((u == "GROUP") & (nxt == "BY"), "GROUP_BY")

@@ -62,7 +62,12 @@ class Lineage:
     @cached_property
     @in_job
     def scopes(self) -> DataFrame:
-        return keep_bucketed(facts.scopes_of(self.tokens), "scopes")
+        return keep_bucketed(facts.scopes_of(self.tokens, self.pivots), "scopes")
+
+    @cached_property
+    @in_job
+    def pivots(self) -> DataFrame:
+        return facts.pivots_of(self.tokens)
 
     @cached_property
     @in_job
@@ -77,7 +82,7 @@ class Lineage:
     @cached_property
     @in_job
     def tables(self) -> DataFrame:
-        mentions = facts.table_mentions(self.tokens)
+        mentions = facts.table_mentions(self.tokens, self.pivots)
         return keep_bucketed(facts.tables_with_cte(mentions, self.ctes), "tables")
 
     @cached_property

@@ -62,6 +62,53 @@ CASES = {
         [("", "T1", c, "", "PROJECTION") for c in
          ("TIME", "ZONE", "LOCAL", "TS", "ST", "Q", "HERE", "CONVERSION", "ERROR", "DEFAULT")],
     ),
+    "words of XML and JSON functions are no columns, their operands are": (
+        "SELECT XMLELEMENT(NAME ship, XMLATTRIBUTES(t.a AS no), t.b) x1, XMLELEMENT(EVALNAME t.c, t.d) x2,"
+        " XMLSERIALIZE(CONTENT t.e AS CLOB) x3, XMLQUERY('/a' PASSING BY VALUE t.f RETURNING CONTENT) x4,"
+        " JSON_OBJECT(KEY 'k' VALUE t.g, 'l' VALUE h, KEY t.i VALUE 1) x5, JSON_OBJECT(key VALUE t.j) x6"
+        " FROM t1 t",
+        [("", "T1", c, "", "PROJECTION") for c in [*"ABCDEFGHIJ", "KEY"]],
+        [("", "T1", c, "", "PROJECTION") for c in
+         ("NAME", "SHIP", "NO", "EVALNAME", "CONTENT", "CLOB", "VALUE", "PASSING", "RETURNING", "X1")],
+    ),
+    "a column called value or key stays one": (
+        "SELECT MAX(value) AS v, SUM(t.n) OVER (PARTITION BY key ORDER BY value DESC) AS s,"
+        " JSON_OBJECT(KEY value VALUE content) AS j FROM t1 t WHERE name = 1 AND document IS NULL",
+        [("", "T1", c, "", "PROJECTION") for c in ("VALUE", "N", "KEY", "CONTENT")]
+        + [("", "T1", "NAME", "", "WHERE"), ("", "T1", "DOCUMENT", "", "WHERE")], [],
+    ),
+    "units, character sets, zones and frames": (
+        "SELECT DATEDIFF(day, t.a, t.b) AS d, TRANSLATE(t.c USING NCHAR_CS) AS e, t.d AT TIME ZONE t.z AS f,"
+        " t.g AT TIME ZONE DBTIMEZONE AS h, SUM(t.n) OVER (ORDER BY t.o DESC GROUPS BETWEEN 1 PRECEDING"
+        " AND 1 FOLLOWING EXCLUDE TIES) AS s, OVERLAY(t.p PLACING t.q FROM 2) AS r FROM t1 t",
+        [("", "T1", c, "", "PROJECTION") for c in "ABCDZGNOPQ"],
+        [("", "T1", c, "", "PROJECTION") for c in
+         ("DAY", "NCHAR_CS", "DBTIMEZONE", "GROUPS", "EXCLUDE", "TIES", "PLACING", "ZONE")],
+    ),
+    "a lateral query is a source under its alias": (
+        "SELECT l.y, a.x FROM t1 a, LATERAL (SELECT b.y FROM t2 b WHERE b.k = a.k) l WHERE l.y > 1",
+        [("", "T2", "Y", "", "PROJECTION"), ("", "T1", "X", "", "PROJECTION"), ("", "T2", "Y", "", "WHERE")],
+        [("", "T1", "Y", "", "PROJECTION"), ("", "T1", "Y", "", "WHERE")],
+    ),
+    "an applied query is a source under its alias": (
+        "SELECT l.y, m.z FROM t1 a JOIN t4 d ON a.i = d.i CROSS APPLY (SELECT b.y FROM t2 b) l"
+        " OUTER APPLY (SELECT c.z FROM t3 c) m",
+        [("", "T2", "Y", "", "PROJECTION"), ("", "T3", "Z", "", "PROJECTION"), ("", "T1", "I", "", "JOIN_ON"),
+         ("", "T4", "I", "", "JOIN_ON")],
+        [("", "T1", "APPLY", "", "JOIN_ON"), ("", "T4", "APPLY", "", "JOIN_ON")],
+    ),
+    "the name behind PIVOT is the source's": (
+        "SELECT p.k, u.w, q.v FROM t1 PIVOT (SUM(n) FOR m IN ('a' AS a, 'b' AS b)) p JOIN t2 u ON u.k = p.k,"
+        " (SELECT c.v, c.g FROM t3 c) UNPIVOT INCLUDE NULLS (v2 FOR g2 IN (g)) PIVOT XML (MAX(v) FOR h IN (ANY)) q",
+        [("", "T1", "K", "", "PROJECTION"), ("", "T2", "W", "", "PROJECTION"), ("", "T3", "V", "", "PROJECTION"),
+         ("", "T2", "K", "", "JOIN_ON"), ("", "T1", "K", "", "JOIN_ON")],
+        [("", "T1", "V", "", "PROJECTION"), ("", "T2", "V", "", "PROJECTION")],
+    ),
+    "a source turned without a name keeps its own": (
+        "SELECT t1.k, u.k FROM t1 PIVOT (SUM(n) FOR m IN (1, 2)), t2 AS OF SCN 5, t3 u WHERE t2.j = t1.j",
+        [("", "T1", "K", "", "PROJECTION"), ("", "T3", "K", "", "PROJECTION"), ("", "T2", "J", "", "WHERE"),
+         ("", "T1", "J", "", "WHERE")], [],
+    ),
     "the root of a hierarchy names its column": (
         "SELECT CONNECT_BY_ROOT t.a AS top FROM t1 t START WITH t.p IS NULL CONNECT BY PRIOR t.a = t.p",
         [("", "T1", "A", "", "PROJECTION")], [("", "T1", "CONNECT_BY_ROOT", "", "PROJECTION")],
