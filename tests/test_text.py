@@ -30,6 +30,8 @@ def one(spark, expression, value):
         (text.readable_not, "NOT a.x IN (1, 2)", "a.x NOT IN (1, 2)"),
         (text.readable_not, "NOT a.x BETWEEN 1 AND 2", "a.x NOT BETWEEN 1 AND 2"),
         (text.readable_not, "NOT EXISTS(SELECT 1)", "NOT EXISTS(SELECT 1)"),
+        (text.foreign_mark, "SELECT 'a\ue000b' FROM t", "private-use mark in the text"),
+        (text.foreign_mark, "SELECT '\ue003' FROM t", None),
         (names.table_only, "s.TAB@LNK", "TAB@LNK"),
         (names.table_only, "TAB@LNK.WORLD", "WORLD"),
     ],
