@@ -373,7 +373,7 @@ def report_from_rows(spark, sf_dir):
 
 
 def report_rows(spark, sf_dir):
-    rows = report.report_rows(job(spark, sf_dir).rows)
+    rows = report.report_rows(job(spark, sf_dir).text_rows())
     return rows.groupBy(*report.COLUMN_KEYS).agg(F.count("*").alias("n_rows"))
 
 

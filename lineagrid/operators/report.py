@@ -54,12 +54,12 @@ def text_id(name: str) -> Column:
     return F.unhex(F.md5(name))
 
 
-def split_texts(texts: DataFrame) -> DataFrame:
-    """(text_id, chunk_no, pred_no, predicate, pred_id) of different condition texts
-    (text_id, where_text). ``pred_id`` is the same for predicates that differ only in
+def cut_texts(texts: DataFrame, text: str) -> DataFrame:
+    """(text_id, chunk_no, pred_no, predicate, key) of different condition texts
+    (text_id, text). ``key`` is the same for predicates that differ only in
     case, blanks or a leading AND."""
     chunks = texts.select(
-        "text_id", F.posexplode(F.split("where_text", ";+")).alias("chunk_no", "chunk")
+        "text_id", F.posexplode(F.split(text, ";+")).alias("chunk_no", "chunk")
     )
     chunks = chunks.filter(strip(F.col("chunk")) != "").select(
         F.struct("text_id", "chunk_no").alias("id"), F.col("chunk").alias("text"),
@@ -70,10 +70,15 @@ def split_texts(texts: DataFrame) -> DataFrame:
         split_conditions(chunks, "id")
         .select("id.text_id", "id.chunk_no", "pred_no", "predicate", key.alias("key"))
         .filter("key <> ''")
-        .withColumn("pred_id", text_id("key")).drop("key")
     )
 
 
+def split_texts(texts: DataFrame) -> DataFrame:
+    """(text_id, chunk_no, pred_no, predicate, pred_id) of different condition texts
+    (text_id, where_text), ``pred_id`` being that of the ``key``."""
+    return cut_texts(texts, "where_text").withColumn("pred_id", text_id("key")).drop("key")
+
+
 def conditions_by_table(uses: DataFrame, pieces: DataFrame) -> DataFrame:
     """(table_id, nth, predicate): every condition of a table once, in order.
 

@@ -1,6 +1,6 @@
 """Statement texts to a token table with nesting, block and clause.
 
-One exchange on the text key carries the texts; exploding and every window
+One exchange on the text key carries the different shapes of texts; exploding and every window
 below keep that partitioning. All windows group by one statement (or a part of
 one), whose tokens came out of a single cell of the input.
 
@@ -20,29 +20,35 @@ from lineagrid.functions.text import (
 from lineagrid.functions.words import (
     JOIN_WORDS, SET_WORDS, token_array, without_partition_clause,
 )
+from lineagrid.operators.shapes import STAND_IN, with_shape
 
 
 def text_key(cleaned):
     return F.unhex(F.md5(cleaned))
 
 
+def shaped(statements: DataFrame) -> DataFrame:
+    """Statements with the shape of their text and its number; see ``with_shape``."""
+    return with_shape(
+        statements.withColumn("text", clean_statement(F.col("SELECT_STATEMENT"))).filter(F.col("text") != "")
+    )
+
+
 def distinct_texts(statements: DataFrame) -> DataFrame:
-    """One row per different text: (h, seq, n_copies, text, sql,
-    parse_error, toks).
+    """One row per shape of texts: (h, n_copies, has_number, text, sql,
+    parse_error, toks), where ``text`` is the shape.
 
-    The lineage of a statement depends on its text only, so copies are folded
-    before any other work; the fold is partial on the map side, so a text that
-    makes up a large share of the rows is one row per task in the exchange.
-    ``sql`` is the text that can be read: as given, or after the rewrites for
+    The lineage of a statement depends on its shape only, but for the number in its
+    names, so texts are folded before any other work; the fold is partial on the map side,
+    in a hash table of shapes, so a shape that makes up a large share of the rows is one row
+    per task in the exchange. ``sql`` is the text that can be read: as given, or after the rewrites for
     dynamic SQL; NULL with an error where neither can. ``toks`` are its tokens.
     """
     texts = (
-        statements.select("stmt_id", clean_statement(F.col("SELECT_STATEMENT")).alias("text"))
-        .filter(F.col("text") != "")
-        .groupBy(text_key(F.col("text")).alias("h"))
-        .agg(
-            F.min("stmt_id").alias("seq"), F.count("*").alias("n_copies"), F.min("text").alias("text")
-        )
+        shaped(statements).groupBy(F.col("shape").alias("text"))
+        .agg(F.count("*").alias("n_copies"), F.max(F.col("number") != STAND_IN).alias("has_number"))
+        .withColumn("h", text_key(F.col("text")))
+        .repartition("h")
     )
     rewritten = F.when(F.col("error_1").isNotNull(), normalize_dynamic_sql(F.col("text")))
     texts = (
@@ -61,7 +67,7 @@ def distinct_texts(statements: DataFrame) -> DataFrame:
         F.regexp_replace(plain_blanks(F.col("sql")), r"[\s;]+$", "")
     )
     return texts.withColumn("marked", mark_placeholders(plain)).select(
-        "h", "seq", "n_copies", "text", "sql",
+        "h", "n_copies", "has_number", "text", "sql",
         F.when(
             F.col("sql").isNull(), F.concat("error_1", F.lit(" | normalized: "), "error_2")
         ).alias("parse_error"),

@@ -17,8 +17,9 @@ from lineagrid.operators.render import render
 from lineagrid.operators.resolve import (
     Model, expand_outputs, resolve, scope_names, sort_columns, with_node,
 )
-from lineagrid.operators.tokens import distinct_texts, text_key, token_table
-from lineagrid.session import drop_job, in_job, keep, keep_bucketed, prepare
+from lineagrid.operators.shapes import STAND_IN, as_shape, places, text_columns, with_number
+from lineagrid.operators.tokens import distinct_texts, shaped, text_key, token_table
+from lineagrid.session import drop_job, in_job, keep, keep_bucketed, keep_sized, prepare
 
 
 # Copies of one text that go through one join key where results go back to the statements.
@@ -54,6 +55,12 @@ class Lineage:
     def texts(self) -> DataFrame:
         return keep_bucketed(distinct_texts(self.statements), "texts")
 
+    @cached_property
+    @in_job
+    def instances(self) -> DataFrame:
+        """(h, number, seq): the different texts of each shape, with their first statement."""
+        return keep_sized(self._keyed_statements().groupBy("h", "number").agg(F.min("stmt_id").alias("seq")))
+
     @cached_property
     @in_job
     def tokens(self) -> DataFrame:
@@ -185,17 +192,18 @@ class Lineage:
     @cached_property
     @in_job
     def rows(self) -> DataFrame:
-        """One row per resolved mention of each different text, without the texts of clauses
+        """One row per resolved mention of each shape of texts, without the texts of clauses
         and conditions (see ``with_texts``).
 
-        ``seq`` is the first statement with that text; ``row_no`` numbers the
-        rows of a text by ``place``: outer blocks first, clauses in report order.
+        ``row_no`` numbers the rows of a text by ``place``: outer blocks first, clauses in
+        report order. ``where_places`` is how often ``where_length`` counts the stand-in.
         """
         nodes, results = self.resolved
         found = mention_rows(self.model, nodes, results, self.sort_columns)
         conditions = self.conditions.select(
             "h", "bpos", "cat", "sch", F.col("name").alias("name_t"), "cond_no",
             F.length("where_condition").alias("where_length"),
+            places(F.col("where_condition")).alias("where_places"),
         )
         place = F.struct("level_no", "block_id", clause_number(F.col("clause")).alias("clause_no"),
                          "pos", "path")
@@ -203,10 +211,10 @@ class Lineage:
         joined = (
             found.join(self.blocks.select("h", "bpos", "block_id", "level_no"), ["h", "bpos"])
             .join(conditions, ["h", "bpos", "cat", "sch", "name_t"], "left")
-            .join(self.texts.select("h", "seq"), "h")
             .select(
-                "h", "seq", "block_id", place.alias("place"), "cpos", "cond_no",
+                "h", "block_id", place.alias("place"), "cpos", "cond_no",
                 F.coalesce("where_length", F.lit(0)).alias("where_length"),
+                F.coalesce("where_places", F.lit(0)).alias("where_places"),
                 F.col("cat").alias("CATALOG"),
                 F.when(F.col("sch") != "", F.col("sch")).otherwise(F.col("cat")).alias("SCHEMA"),
                 F.col("name_t").alias("TABLE"), F.col("col").alias("COLUMN"),
@@ -217,6 +225,12 @@ class Lineage:
         )
         return keep_bucketed(joined, "rows")
 
+    def text_rows(self) -> DataFrame:
+        """``rows`` of each different text, with its number and ``seq``, its first statement."""
+        longer = (F.length("number") - len(STAND_IN)) * F.col("where_places")
+        found = self.instances.join(self.rows, "h").withColumn("where_length", F.col("where_length") + longer)
+        return with_number(found, ["CATALOG", "SCHEMA", "TABLE", "COLUMN"]).drop("where_places")
+
     def with_texts(self, rows: DataFrame) -> DataFrame:
         """Rows with (h, cpos, cond_no) and the texts of their clause and condition."""
         conditions = self.conditions.select("h", "cond_no", F.col("where_condition").alias("WHERE_CONDITION"))
@@ -225,25 +239,31 @@ class Lineage:
         )
 
     def _keyed_statements(self) -> DataFrame:
-        text = clean_statement(F.col("SELECT_STATEMENT"))
-        return self.statements.withColumn("h", text_key(text))
+        return shaped(self.statements).withColumn("h", text_key(F.col("shape"))).drop("text", "shape")
 
     @cached_property
     @in_job
-    def hot_texts(self) -> DataFrame:
-        """(h, n_parts): the texts whose copies take more than one part."""
+    def hot_shapes(self) -> DataFrame:
+        """(h, n_parts, has_number): the shapes whose statements take more than one part."""
         parts = F.ceil(F.col("n_copies") / COPIES_PER_PART).cast("int")
-        return keep(self.texts.select("h", parts.alias("n_parts")).filter("n_parts > 1"))
+        return keep(self.texts.select("h", parts.alias("n_parts"), "has_number").filter("n_parts > 1"))
 
+    @property
+    def hot_texts(self) -> DataFrame:
+        """(h, n_parts): those of them that are one text."""
+        return self.hot_shapes.filter("NOT has_number").drop("has_number")
+
+    @in_job
     def _per_statement(self, by_text: DataFrame, *columns: str) -> DataFrame:
-        """Rows of ``by_text`` for every statement with that text.
+        """Rows of ``by_text`` for every statement with a text of that shape, with its number.
 
-        The copies of a text are dealt out to parts and its rows repeated once
-        per part, so no task gets all copies; the part is in the join key. Texts
-        of one part are not listed. The list meets the statements in a join of two
-        exchanges, which adaptive execution can split.
+        The statements of a shape are dealt out to parts and its rows repeated once
+        per part, so no task gets all of them; the part is in the join key. Shapes
+        of one part are not listed. The rows are written first, so that the planner knows
+        their size: where they are few, statements are not exchanged; else they meet the
+        statements in a join of two exchanges, which adaptive execution can split.
         """
-        hot = self.hot_texts
+        hot = self.hot_shapes.drop("has_number")
 
         def part_key(part):
             return F.when(
@@ -254,17 +274,17 @@ class Lineage:
         own_part = F.pmod(F.xxhash64("stmt_id"), F.col("n_parts"))
         keyed = (
             self._keyed_statements().join(hot, "h", "left")
-            .select(part_key(own_part).alias("part_key"), "stmt_id", *columns)
+            .select(part_key(own_part).alias("part_key"), "stmt_id", "number", *columns)
         )
         repeated = (
-            by_text.join(hot, "h", "left")
+            keep_sized(by_text).join(hot, "h", "left")
             .withColumn("part", F.explode(
                 F.sequence(F.lit(0), F.coalesce(F.col("n_parts"), F.lit(1)) - 1)
             ))
             .withColumn("part_key", part_key(F.col("part")))
             .drop("h", "n_parts", "part")
         )
-        return keyed.join(repeated, "part_key").drop("part_key")
+        return with_number(keyed.join(repeated, "part_key"), text_columns(by_text)).drop("part_key", "number")
 
     def lineage(self) -> DataFrame:
         """Lineage rows of every statement, copies included."""
@@ -294,10 +314,10 @@ class Lineage:
         """Physical columns behind named outputs: targets (stmt_id, block_id,
         target) give rows (stmt_id, block_id, target, CATALOG, ...). Stars are
         followed for names that no output spells out."""
-        keyed = self._keyed_statements().select("stmt_id", "h").join(targets, "stmt_id")
+        keyed = self._keyed_statements().select("stmt_id", "h", "number", "number_at").join(targets, "stmt_id")
         asked = keyed.join(self.blocks.select("h", "bpos", "block_id"), ["h", "block_id"]).withColumn(
             "n", F.lower("target")
-        )
+        ).withColumn("n", as_shape("n")).drop("number_at")
         m = self.model
         feeds, ends = expand_outputs(
             asked.select("h", "bpos", "n").distinct(), m, keep(scope_names(m))
@@ -322,7 +342,8 @@ class Lineage:
         found = named.unionByName(starred).groupBy(
             "h", "bpos", "n", "feed", "rid", "cat", "sch", "name_t", "col"
         ).agg(first.alias("first")).withColumn("reason", F.col("first.reason"))
-        return asked.join(found, ["h", "bpos", "n"]).select(
+        found = keep_sized(found.drop("first", "feed", "rid"))
+        return with_number(asked.join(found, ["h", "bpos", "n"]), ["cat", "sch", "name_t", "col"]).select(
             "stmt_id", "block_id", "target", F.col("cat").alias("CATALOG"),
             F.col("sch").alias("SCHEMA"), F.col("name_t").alias("TABLE"),
             F.col("col").alias("COLUMN"), F.col("reason").alias("REASON"),
@@ -385,14 +406,21 @@ class Lineage:
     def table_conditions(self) -> DataFrame:
         """(table_id, nth, predicate): the conditions that touch each table, in order. The
         long form of what the report shows in one cell."""
-        rows = report.with_some_key(report.report_rows(self.rows)).filter("cond_no IS NOT NULL")
-        texts = self.conditions.select("h", "cond_no", strip(F.col("where_condition")).alias("where_text"))
-        texts = texts.withColumn("text_id", report.text_id("where_text"))
-        uses = rows.join(texts.drop("where_text"), ["h", "cond_no"]).groupBy(
+        rows = report.with_some_key(report.report_rows(self.text_rows())).filter("cond_no IS NOT NULL")
+        conditions = self.conditions.select("h", "cond_no", strip(F.col("where_condition")).alias("where_text"))
+        # each condition is split once for all texts of a shape
+        cut = report.cut_texts(conditions.withColumn("text_id", F.struct("h", "cond_no")), "where_text")
+        pieces = keep_sized(cut.select("text_id.*", "chunk_no", "pred_no", "predicate", "key"))
+        texts = with_number(self.instances.join(conditions, "h"), ["where_text"]).select(
+            "h", "number", "cond_no", report.text_id("where_text").alias("text_id")
+        )
+        uses = rows.join(texts, ["h", "number", "cond_no"]).groupBy(
             report.table_id().alias("table_id"), "text_id"
         ).agg(F.min(F.struct("COLUMN", "seq", "row_no")).alias("first"))
-        pieces = keep(report.split_texts(texts.select("text_id", "where_text").dropDuplicates(["text_id"])))
-        return keep(report.conditions_by_table(uses, pieces))
+        found = with_number(
+            texts.dropDuplicates(["text_id"]).join(pieces, ["h", "cond_no"]), ["predicate", "key"]
+        ).select("text_id", "chunk_no", "pred_no", "predicate", report.text_id("key").alias("pred_id"))
+        return keep(report.conditions_by_table(uses, keep(found)))
 
     @in_job
     def report(self) -> DataFrame:
@@ -401,10 +429,12 @@ class Lineage:
         The best row of a column is chosen on numbers alone; texts are fetched for the
         chosen rows, from tables that are bucketed on the text key.
         """
-        rows = report.with_some_key(report.report_rows(self.rows))
-        best = report.best_places(rows).join(self.texts.select("seq", "h"), "seq").drop("seq")
+        rows = report.with_some_key(report.report_rows(self.text_rows()))
+        best = report.best_places(rows).join(self.instances, "seq").drop("seq")
         chosen = best.join(self.rows.select("h", "row_no", "cpos", "cond_no", "CLAUSE"), ["h", "row_no"])
-        shown = self.with_texts(chosen).withColumn("CLAUSE", report.shown_clause())
+        shown = with_number(self.with_texts(chosen), ["CLAUSE_SQL", "WHERE_CONDITION"]).withColumn(
+            "CLAUSE", report.shown_clause()
+        )
         return report.in_order(report.merge_back(shown, report.cells(self.table_conditions)))
 
 
