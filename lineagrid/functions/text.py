@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,9 +38,10 @@ def _sub(text: Column, pattern: str, replacement: str) -> Column:
 
 def clean_statement(text: Column) -> Column:
     """Undo spreadsheet line ends, squeeze blanks, keep line breaks."""
-    text = _sub(text, "(?i)_x000D_", "\n")
-    text = _sub(text, "\r\n?", "\n")
-    return strip(_sub(text, "[\t ]{2,}|\t", " "))
+    # a plain search spares most texts the patterns
+    found = reduce(or_, [text.contains(part) for part in ("000", "\r", "\t", "  ")])
+    plain = _sub(_sub(text, "(?i)_x000D_", "\n"), "\r\n?", "\n")
+    return strip(F.when(found, _sub(plain, "[\t ]{2,}|\t", " ")).otherwise(text))
 
 
 def plain_blanks(text: Column) -> Column:

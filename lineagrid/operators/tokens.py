@@ -29,13 +29,11 @@ def text_key(cleaned):
 
 def shaped(statements: DataFrame) -> DataFrame:
     """Statements with the shape of their text and its number; see ``with_shape``."""
-    return with_shape(
-        statements.withColumn("text", clean_statement(F.col("SELECT_STATEMENT"))).filter(F.col("text") != "")
-    )
+    return with_shape(statements.withColumn("text", clean_statement(F.col("SELECT_STATEMENT"))))
 
 
-def distinct_texts(statements: DataFrame) -> DataFrame:
-    """One row per shape of texts: (h, n_copies, has_number, text, sql,
+def distinct_texts(keyed: DataFrame) -> DataFrame:
+    """One row per shape of texts of statements (h, shape, number): (h, n_copies, has_number, text, sql,
     parse_error, toks), where ``text`` is the shape.
 
     The lineage of a statement depends on its shape only, but for the number in its
@@ -45,9 +43,8 @@ def distinct_texts(statements: DataFrame) -> DataFrame:
     dynamic SQL; NULL with an error where neither can. ``toks`` are its tokens.
     """
     texts = (
-        shaped(statements).groupBy(F.col("shape").alias("text"))
+        keyed.groupBy("h", F.col("shape").alias("text"))
         .agg(F.count("*").alias("n_copies"), F.max(F.col("number") != STAND_IN).alias("has_number"))
-        .withColumn("h", text_key(F.col("text")))
         .repartition("h")
     )
     rewritten = F.when(F.col("error_1").isNotNull(), normalize_dynamic_sql(F.col("text")))

@@ -50,16 +50,25 @@ class Lineage:
     def __exit__(self, *_) -> None:
         self.close()
 
+    @cached_property
+    @in_job
+    def keyed(self) -> DataFrame:
+        """(stmt_id, JOB_NAME, h, shape, number, number_at) of every statement with a text. Shapes
+        are found once, in the only pass over the texts; few different ones take little room here.
+        Empty texts go after that pass: a filter ahead of it would clean each text twice."""
+        found = self._keyed_statements().drop("READ_MODE", "SELECT_STATEMENT", "text")
+        return keep_sized(found).filter("shape <> ''")
+
     @cached_property
     @in_job
     def texts(self) -> DataFrame:
-        return keep_bucketed(distinct_texts(self.statements), "texts")
+        return keep_bucketed(distinct_texts(self.keyed), "texts")
 
     @cached_property
     @in_job
     def instances(self) -> DataFrame:
         """(h, number, seq): the different texts of each shape, with their first statement."""
-        return keep_sized(self._keyed_statements().groupBy("h", "number").agg(F.min("stmt_id").alias("seq")))
+        return keep_sized(self.keyed.groupBy("h", "number").agg(F.min("stmt_id").alias("seq")))
 
     @cached_property
     @in_job
@@ -239,14 +248,14 @@ class Lineage:
         )
 
     def _keyed_statements(self) -> DataFrame:
-        return shaped(self.statements).withColumn("h", text_key(F.col("shape"))).drop("text", "shape")
+        return shaped(self.statements).withColumn("h", text_key(F.col("shape")))
 
     @cached_property
     @in_job
     def hot_shapes(self) -> DataFrame:
         """(h, n_parts, has_number): the shapes whose statements take more than one part."""
         parts = F.ceil(F.col("n_copies") / COPIES_PER_PART).cast("int")
-        return keep(self.texts.select("h", parts.alias("n_parts"), "has_number").filter("n_parts > 1"))
+        return keep_sized(self.texts.select("h", parts.alias("n_parts"), "has_number").filter("n_parts > 1"))
 
     @property
     def hot_texts(self) -> DataFrame:
@@ -272,8 +281,10 @@ class Lineage:
             ).otherwise(F.col("h"))
 
         own_part = F.pmod(F.xxhash64("stmt_id"), F.col("n_parts"))
+        # statements are not kept as they were given
+        found = self._keyed_statements() if "SELECT_STATEMENT" in columns else self.keyed
         keyed = (
-            self._keyed_statements().join(hot, "h", "left")
+            found.join(hot, "h", "left")
             .select(part_key(own_part).alias("part_key"), "stmt_id", "number", *columns)
         )
         repeated = (
@@ -314,7 +325,7 @@ class Lineage:
         """Physical columns behind named outputs: targets (stmt_id, block_id,
         target) give rows (stmt_id, block_id, target, CATALOG, ...). Stars are
         followed for names that no output spells out."""
-        keyed = self._keyed_statements().select("stmt_id", "h", "number", "number_at").join(targets, "stmt_id")
+        keyed = self.keyed.select("stmt_id", "h", "number", "number_at").join(targets, "stmt_id")
         asked = keyed.join(self.blocks.select("h", "bpos", "block_id"), ["h", "block_id"]).withColumn(
             "n", F.lower("target")
         ).withColumn("n", as_shape("n")).drop("number_at")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lineagrid.operators.shapes import STAND_IN, with_number, with_shape
+from lineagrid.operators.shapes import STAND_IN, as_shape, with_number, with_shape
 from lineagrid.plans.pipeline import Lineage
 from conftest import statement_table
 
@@ -36,3 +36,25 @@ def test_texts_of_one_shape_are_read_once(spark):
         assert job.tokens.select("h").distinct().count() == 1
         status = job._per_statement(job.texts.select("h", F.col("sql").alias("sql")))
         assert {r.stmt_id: r.sql for r in status.collect()} == dict(enumerate(texts))
+
+
+def test_places_of_a_number_are_no_pattern_of_their_own(spark):
+    texts = ["SELECT a.x17 FROM t_17 a", "SELECT 17 AS wind", "SELECT a.x\x01 FROM t_17 a", "SELECT c1.x FROM c2 c1"]
+    found = with_shape(spark.createDataFrame([(t,) for t in texts], "text string")).withColumn(
+        "name", F.lit("x17 x18 17")
+    )
+    rows = {r.text: r for r in found.withColumn("other", as_shape("name")).collect()}
+    assert [rows[t].number_at for t in texts] == ["L", "A", None, None]
+    assert [rows[t].other for t in texts] == [
+        f"x{STAND_IN} x18 17", f"x{STAND_IN} x18 {STAND_IN}", "x17 x18 17", "x17 x18 17",
+    ]
+    assert rows[texts[2]].shape == texts[2]
+
+
+def test_texts_are_read_once_for_all_results(spark):
+    texts = [f"SELECT a.x{i} FROM t_{i} a" for i in range(10, 20)] + ["", None, " \t"]
+    with Lineage(statement_table(spark, texts)) as job:
+        assert job.texts.count() == 1
+        status = job._per_statement(job.texts.select("h", "parse_error"))
+        assert "SELECT_STATEMENT" not in status._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(r.stmt_id for r in status.collect()) == list(range(10))
