@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lineagrid.functions.text import readable_not, strip, unmark_placeholders
@@ -87,64 +87,71 @@ def attribute(
     )
 
 
+#: tokens that can change where a condition is cut
+CUT_WORDS = ["(", ")", "CASE", "END", "AND", "OR", "BETWEEN", "'", '"']
+
+
+def _read_mark(state: Column, mark: Column) -> Column:
+    """What is known behind a token of ``CUT_WORDS``; words count at the top only, between
+    brackets and CASE to END they belong to an operand."""
+    u = mark["u"]
+    depth = state["depth"] + F.when(u.isin("(", "CASE"), 1).when(u.isin(")", "END"), -1).otherwise(0)
+    top = state["depth"] == 0
+    return F.struct(
+        depth.alias("depth"),
+        F.least(state["low"], depth).alias("low"),
+        (state["has_or"] | (top & (u == "OR"))).alias("has_or"),
+        (state["stray"] | u.isin("'", '"')).alias("stray"),
+        F.when(top & u.isin("AND", "OR", "BETWEEN"), u == "BETWEEN").otherwise(state["between"]).alias("between"),
+        F.when(top & (u == "AND") & ~state["between"], F.array_append(state["cuts"], mark["pos"]))
+        .otherwise(state["cuts"]).alias("cuts"),
+    )
+
+
 def split_conditions(texts: DataFrame, key: str) -> DataFrame:
     """(key, pred_no, predicate) for condition texts (key, text).
 
     A leading WHERE or AND is dropped. The text is cut at top-level ANDs; the
     AND of BETWEEN, of a CASE or inside brackets does not cut, nor does any AND
     beside a top-level OR. Text whose brackets do not match stays whole.
+
+    A text is read where it lies: one fold over the words that matter finds the cuts, so
+    tokens are neither exchanged nor sorted.
     """
     bare = F.regexp_replace(strip(F.col("text")), r"(?i)^WHERE\s+", "")
     bare = strip(F.regexp_replace(strip(bare), r"(?i)^AND\s+", ""))
-    # texts are exchanged once, as they are; the windows below keep that partitioning,
-    # and the whole text stays with the first token only
-    tokens = (
-        texts.select(key, bare.alias("text"))
-        .filter("text <> ''")
-        .repartition(key)
-        .select(key, "text", F.posexplode(token_array(F.col("text"))).alias("pos", "tok"))
-        .withColumn("text", F.when(F.col("pos") == 0, F.col("text")))
+    no, none = F.lit(False), F.array().cast("array<int>")
+    start = F.struct(
+        F.lit(0).alias("depth"), F.lit(0).alias("low"), no.alias("has_or"), no.alias("stray"),
+        no.alias("between"), none.alias("cuts"),
     )
-    by_pos = Window.partitionBy(key).orderBy("pos").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    marks = F.filter(
+        F.transform("toks", lambda tok, i: F.struct(i.alias("pos"), F.upper(tok).alias("u"))),
+        lambda mark: mark["u"].isin(CUT_WORDS),
     )
-    before = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(key)
-    u = F.col("u")
-    opens = F.when(u.isin("(", "CASE"), 1).when(u.isin(")", "END"), -1).otherwise(0)
-    tokens = (
-        tokens.withColumn("u", F.upper("tok"))
-        .withColumn("prev", F.lag("tok").over(Window.partitionBy(key).orderBy("pos")))
-        .withColumn("depth", F.sum(opens).over(by_pos))
-        .withColumn("k", F.when((F.col("depth") == 0) & u.isin("AND", "OR", "BETWEEN"), u))
-        .withColumn("prev_k", F.last("k", True).over(before))
-        .withColumn("has_or", F.max(F.when(F.col("k") == "OR", 1).otherwise(0)).over(whole))
-        .withColumn("low", F.min("depth").over(whole))
-        .withColumn("final", F.sum(opens).over(whole))
-        .withColumn("stray", F.max(F.when(u.isin("'", '"'), 1).otherwise(0)).over(whole))
-        .withColumn("broken", (F.col("low") < 0) | (F.col("final") != 0) | (F.col("stray") == 1))
-        .withColumn(
-            "cut",
-            F.when(
-                (F.col("k") == "AND") & (F.coalesce("prev_k", F.lit("")) != "BETWEEN")
-                & (F.col("has_or") == 0) & ~F.col("broken"), 1,
-            ).otherwise(0),
+
+    def piece(tok: Column, i: Column) -> Column:
+        return spaced(tok, F.when(i > 0, F.get("toks", i - 1)), printed(tok))
+
+    def predicate(cut: Column, i: Column) -> Column:
+        """What stands before a cut, or NULL."""
+        first = F.when(i > 0, F.get("cuts", i - 1) + 1).otherwise(F.lit(0))
+        found = strip(F.array_join(F.slice("pieces", first + 1, cut - first), ""))
+        return F.struct(
+            i.cast("long").alias("pred_no"),
+            F.when(cut > first, F.when(F.col("broken"), F.col("text")).otherwise(found)).alias("predicate"),
         )
-        .withColumn("pred_no", F.sum("cut").over(by_pos))
-    )
-    piece = F.struct("pos", spaced(F.col("tok"), F.col("prev"), printed(F.col("tok"))).alias("piece"))
+
+    state = F.col("state")
     return (
-        tokens.filter("cut = 0")
-        .groupBy(key, "pred_no")
-        .agg(
-            F.max("broken").alias("broken"),
-            F.max(F.when(F.col("broken"), F.col("text"))).alias("text"),
-            F.array_sort(F.collect_list(piece)).alias("pieces"),
-        )
-        .select(
-            key, "pred_no",
-            F.when(F.col("broken"), F.col("text"))
-            .otherwise(strip(F.array_join(F.transform("pieces", lambda p: p["piece"]), "")))
-            .alias("predicate"),
-        )
+        texts.select(key, bare.alias("text"))
+        .withColumn("toks", token_array(F.col("text")))
+        .withColumn("state", F.aggregate(marks, start, _read_mark))
+        .withColumn("broken", (state["low"] < 0) | (state["depth"] != 0) | state["stray"])
+        .withColumn("pieces", F.transform("toks", piece))
+        .withColumn("cuts", F.when(F.col("broken") | state["has_or"], none).otherwise(state["cuts"]))
+        # the end of the text is the last cut
+        .withColumn("cuts", F.array_append("cuts", F.size("pieces")))
+        .select(key, F.inline(F.transform("cuts", predicate)))
+        .filter("predicate IS NOT NULL")
     )

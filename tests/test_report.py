@@ -164,3 +164,15 @@ def test_best_places_agree_with_best_rows(spark):
     assert got == {
         (c, *min((-r[8], r[6], r[7]) for r in rows if r[3] == c)[1:]) for c in {r[3] for r in rows}
     }
+
+
+def test_conditions_are_cut_without_exchange_or_sort(spark):
+    texts = [" AND ".join(f"a{j} = {j}" for j in range(500)), "a = 1 AND AND b = 2 AND", "AND", "", None, "a = '", "-- b"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    found = split_conditions(frame, "id")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan and "Window" not in plan
+    rows = {(r.id, r.pred_no): r.predicate for r in found.collect()}
+    assert rows == {(0, j): f"a{j} = {j}" for j in range(500)} | {
+        (1, 0): "a = 1", (1, 2): "b = 2", (5, 0): "a = '",
+    }
