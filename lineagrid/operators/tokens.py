@@ -32,21 +32,27 @@ def shaped(statements: DataFrame) -> DataFrame:
     return with_shape(statements.withColumn("text", clean_statement(F.col("SELECT_STATEMENT"))))
 
 
-def distinct_texts(keyed: DataFrame) -> DataFrame:
-    """One row per shape of texts of statements (h, shape, number): (h, n_copies, has_number, text, sql,
-    parse_error, toks), where ``text`` is the shape.
+def distinct_shapes(keyed: DataFrame) -> DataFrame:
+    """One row per shape of texts of statements (h, shape, number): (h, n_copies, has_number, text),
+    where ``text`` is the shape.
 
     The lineage of a statement depends on its shape only, but for the number in its
     names, so texts are folded before any other work; the fold is partial on the map side,
     in a hash table of shapes, so a shape that makes up a large share of the rows is one row
-    per task in the exchange. ``sql`` is the text that can be read: as given, or after the rewrites for
-    dynamic SQL; NULL with an error where neither can. ``toks`` are its tokens.
+    per task in the exchange.
     """
-    texts = (
-        keyed.groupBy("h", F.col("shape").alias("text"))
-        .agg(F.count("*").alias("n_copies"), F.max(F.col("number") != STAND_IN).alias("has_number"))
-        .repartition("h")
+    return keyed.groupBy("h", F.col("shape").alias("text")).agg(
+        F.count("*").alias("n_copies"), F.max(F.col("number") != STAND_IN).alias("has_number")
     )
+
+
+def read_shapes(texts: DataFrame) -> DataFrame:
+    """Shapes (h, n_copies, has_number, text) with sql, parse_error and toks.
+
+    ``sql`` is the text that can be read: as given, or after the rewrites for
+    dynamic SQL; NULL with an error where neither can. ``toks`` are its tokens.
+    """
+    texts = texts.repartition("h")
     rewritten = F.when(F.col("error_1").isNotNull(), normalize_dynamic_sql(F.col("text")))
     texts = (
         texts.withColumn("frame", frame(plain_blanks(F.col("text"))))

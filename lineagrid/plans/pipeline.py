@@ -18,8 +18,10 @@ from lineagrid.operators.resolve import (
     Model, expand_outputs, resolve, scope_names, sort_columns, with_node,
 )
 from lineagrid.operators.shapes import STAND_IN, as_shape, places, text_columns, with_number
-from lineagrid.operators.tokens import distinct_texts, shaped, text_key, token_table
-from lineagrid.session import drop_job, in_job, keep, keep_bucketed, keep_sized, prepare
+from lineagrid.operators.tokens import distinct_shapes, read_shapes, shaped, text_key, token_table
+from lineagrid.session import (
+    drop_job, in_job, keep, keep_bucketed, keep_sized, on_shapes, prepare, settings_for, with_settings,
+)
 
 
 # Copies of one text that go through one join key where results go back to the statements.
@@ -61,8 +63,20 @@ class Lineage:
 
     @cached_property
     @in_job
+    def shapes(self) -> DataFrame:
+        return keep_sized(distinct_shapes(self.keyed))
+
+    @cached_property
+    @in_job
+    def shape_settings(self) -> dict[str, str]:
+        """Settings for work on the shapes, by the characters they have."""
+        n_characters = self.shapes.agg(F.sum(F.length("text"))).first()[0]
+        return settings_for(self.statements.sparkSession, n_characters or 0)
+
+    @cached_property
+    @on_shapes
     def texts(self) -> DataFrame:
-        return keep_bucketed(distinct_texts(self.keyed), "texts")
+        return keep_bucketed(read_shapes(self.shapes), "texts")
 
     @cached_property
     @in_job
@@ -71,65 +85,65 @@ class Lineage:
         return keep_sized(self.keyed.groupBy("h", "number").agg(F.min("stmt_id").alias("seq")))
 
     @cached_property
-    @in_job
+    @on_shapes
     def tokens(self) -> DataFrame:
         return keep_bucketed(facts.with_references(token_table(self.texts)), "tokens")
 
     @cached_property
-    @in_job
+    @on_shapes
     def scopes(self) -> DataFrame:
         return keep_bucketed(facts.scopes_of(self.tokens, self.pivots), "scopes")
 
     @cached_property
-    @in_job
+    @on_shapes
     def pivots(self) -> DataFrame:
         return facts.pivots_of(self.tokens)
 
     @cached_property
-    @in_job
+    @on_shapes
     def blocks(self) -> DataFrame:
         return keep_bucketed(facts.blocks_of(self.tokens, self.scopes), "blocks")
 
     @cached_property
-    @in_job
+    @on_shapes
     def ctes(self) -> DataFrame:
         return facts.ctes_of(self.scopes)
 
     @cached_property
-    @in_job
+    @on_shapes
     def tables(self) -> DataFrame:
         mentions = facts.table_mentions(self.tokens, self.pivots)
         return keep_bucketed(facts.tables_with_cte(mentions, self.ctes), "tables")
 
     @cached_property
-    @in_job
+    @on_shapes
     def ranges(self) -> DataFrame:
         return keep_bucketed(facts.block_ranges(self.blocks, self.tables), "ranges")
 
     @cached_property
-    @in_job
+    @on_shapes
     def sources(self) -> DataFrame:
         found = facts.sources_of(self.blocks, self.scopes, self.tables, self.ranges)
         return keep_bucketed(found, "sources")
 
     @cached_property
-    @in_job
+    @on_shapes
     def segments(self) -> DataFrame:
         return keep_bucketed(facts.segments_of(self.tokens, self.blocks), "segments")
 
     @cached_property
-    @in_job
+    @on_shapes
     def refs(self) -> DataFrame:
         return keep_bucketed(with_node(facts.references_of(self.tokens)), "refs")
 
     @cached_property
-    @in_job
+    @on_shapes
     def outputs(self) -> DataFrame:
         found = facts.outputs_of(self.tokens, self.segments, self.refs, self.scopes)
         return keep_bucketed(found, "outputs")
 
     @cached_property
-    @in_job
+    @on_shapes
     def model(self) -> Model:
         info = keep_bucketed(scopes.block_info(self.blocks, self.sources, self.outputs), "info")
         keys = keep_bucketed(scopes.source_keys(self.sources, self.scopes), "keys")
@@ -148,25 +162,25 @@ class Lineage:
         )
 
     @cached_property
-    @in_job
+    @on_shapes
     def predicates(self) -> tuple[DataFrame, DataFrame]:
         found, inside = facts.predicates_of(self.tokens, self.segments)
         return found, keep(condition_mentions(self.model, keep(inside)))
 
     @cached_property
-    @in_job
+    @on_shapes
     def resolved(self) -> tuple[DataFrame, DataFrame]:
         columns = ["h", "bpos", "q", "n", "node"]
         more = self.predicates[1].select(*columns).unionByName(self.sort_columns.select(*columns))
         return resolve(self.model, more)
 
     @cached_property
-    @in_job
+    @on_shapes
     def sort_columns(self) -> DataFrame:
         return keep(sort_columns(self.model))
 
     @cached_property
-    @in_job
+    @on_shapes
     def conditions(self) -> DataFrame:
         """(h, bpos, cat, sch, name, where_condition, cond_no): ``cond_no`` numbers the
         conditions of a text."""
@@ -180,7 +194,7 @@ class Lineage:
         )
 
     @cached_property
-    @in_job
+    @on_shapes
     def clause_texts(self) -> DataFrame:
         """(h, cpos, CLAUSE_SQL): the text of each reported clause."""
         two_words = F.col("clause").isin("GROUP_BY", "ORDER_BY")
@@ -199,7 +213,7 @@ class Lineage:
         return keep_bucketed(texts, "clauses")
 
     @cached_property
-    @in_job
+    @on_shapes
     def rows(self) -> DataFrame:
         """One row per resolved mention of each shape of texts, without the texts of clauses
         and conditions (see ``with_texts``).
@@ -251,7 +265,7 @@ class Lineage:
         return shaped(self.statements).withColumn("h", text_key(F.col("shape")))
 
     @cached_property
-    @in_job
+    @on_shapes
     def hot_shapes(self) -> DataFrame:
         """(h, n_parts, has_number): the shapes whose statements take more than one part."""
         parts = F.ceil(F.col("n_copies") / COPIES_PER_PART).cast("int")
@@ -273,6 +287,8 @@ class Lineage:
         statements in a join of two exchanges, which adaptive execution can split.
         """
         hot = self.hot_shapes.drop("has_number")
+        with with_settings(self.statements.sparkSession, self.shape_settings):
+            rows = keep_sized(by_text)
 
         def part_key(part):
             return F.when(
@@ -288,7 +304,7 @@ class Lineage:
             .select(part_key(own_part).alias("part_key"), "stmt_id", "number", *columns)
         )
         repeated = (
-            keep_sized(by_text).join(hot, "h", "left")
+            rows.join(hot, "h", "left")
             .withColumn("part", F.explode(
                 F.sequence(F.lit(0), F.coalesce(F.col("n_parts"), F.lit(1)) - 1)
             ))
@@ -329,10 +345,18 @@ class Lineage:
         asked = keyed.join(self.blocks.select("h", "bpos", "block_id"), ["h", "block_id"]).withColumn(
             "n", F.lower("target")
         ).withColumn("n", as_shape("n")).drop("number_at")
-        m = self.model
-        feeds, ends = expand_outputs(
-            asked.select("h", "bpos", "n").distinct(), m, keep(scope_names(m))
+        found = self._traced(keep_sized(asked.select("h", "bpos", "n").distinct()))
+        return with_number(asked.join(found, ["h", "bpos", "n"]), ["cat", "sch", "name_t", "col"]).select(
+            "stmt_id", "block_id", "target", F.col("cat").alias("CATALOG"),
+            F.col("sch").alias("SCHEMA"), F.col("name_t").alias("TABLE"),
+            F.col("col").alias("COLUMN"), F.col("reason").alias("REASON"),
         )
+
+    @on_shapes
+    def _traced(self, wanted: DataFrame) -> DataFrame:
+        """(h, bpos, n, cat, sch, name_t, col, reason) behind the outputs ``n`` of shapes."""
+        m = self.model
+        feeds, ends = expand_outputs(wanted, m, keep(scope_names(m)))
         up = lambda c: F.upper(unmark_placeholders(F.col(c)))
         ends_at = self.resolved[1].withColumnRenamed("path", "end_path")
         # what a star finds in several blocks counts once, what feeds one output does not
@@ -353,12 +377,7 @@ class Lineage:
         found = named.unionByName(starred).groupBy(
             "h", "bpos", "n", "feed", "rid", "cat", "sch", "name_t", "col"
         ).agg(first.alias("first")).withColumn("reason", F.col("first.reason"))
-        found = keep_sized(found.drop("first", "feed", "rid"))
-        return with_number(asked.join(found, ["h", "bpos", "n"]), ["cat", "sch", "name_t", "col"]).select(
-            "stmt_id", "block_id", "target", F.col("cat").alias("CATALOG"),
-            F.col("sch").alias("SCHEMA"), F.col("name_t").alias("TABLE"),
-            F.col("col").alias("COLUMN"), F.col("reason").alias("REASON"),
-        )
+        return keep_sized(found.drop("first", "feed", "rid"))
 
     def named_outputs(self) -> DataFrame:
         """(stmt_id, block_id, target): every named output of every block, each name once."""

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from lineagrid.operators.shapes import STAND_IN, as_shape, with_number, with_shape
 from lineagrid.plans.pipeline import Lineage
+from lineagrid.session import (
+    CHARACTERS_PER_TASK, FEW, prepare, session_settings, settings_for, with_settings,
+)
 from conftest import statement_table
 
 FOLDED = [
@@ -58,3 +62,18 @@ def test_texts_are_read_once_for_all_results(spark):
         status = job._per_statement(job.texts.select("h", "parse_error"))
         assert "SELECT_STATEMENT" not in status._jdf.queryExecution().optimizedPlan().toString()
         assert sorted(r.stmt_id for r in status.collect()) == list(range(10))
+
+
+def test_work_on_few_shapes_gets_tasks_by_their_size(spark):
+    prepare(spark)
+    before = session_settings(spark)
+    with Lineage(statement_table(spark, [f"SELECT a.x FROM sales_{i} a" for i in range(20)])) as job:
+        assert job.shapes.count() == 1
+        assert job.blocks.rdd.getNumPartitions() == 1  # one for each shuffle partition before
+        assert session_settings(spark) == before
+    assert settings_for(spark, FEW + 1) == before
+    small = settings_for(spark, 3 * CHARACTERS_PER_TASK)
+    assert small["spark.sql.shuffle.partitions"] == "3"
+    with pytest.raises(ValueError), with_settings(spark, small):
+        raise ValueError
+    assert session_settings(spark) == before
