@@ -11,14 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lineagrid.session import keep
+from lineagrid.session import keep, together
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part, allowMissingColumns=True)
-    return result
+    return together(result)
 
 
 def follow(seed: DataFrame, step, best_of: list[str], order: str) -> DataFrame:
@@ -39,7 +39,7 @@ def follow(seed: DataFrame, step, best_of: list[str], order: str) -> DataFrame:
     known = keep(best(seed.withColumn("fresh", F.lit(1))))
     while not (frontier := known.filter("fresh = 1")).isEmpty():
         more = step(frontier.drop("fresh")).select(*columns).withColumn("fresh", F.lit(1))
-        known = keep(best(known.withColumn("fresh", F.lit(0)).unionByName(more)))
+        known = keep(best(union_all([known.withColumn("fresh", F.lit(0)), more])))
     return known.drop("fresh")
 
 
@@ -60,7 +60,7 @@ def contained(intervals: DataFrame, points: DataFrame, keys: list[str]) -> DataF
         Window.unboundedPreceding, Window.currentRow
     )
     ranges = (
-        borders.unionByName(marks, allowMissingColumns=True)
+        union_all([borders, marks])
         .withColumn("no", F.sum("one").over(running))
         .filter("low IS NOT NULL")
         .groupBy(*keys, "low", "high")

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from lineagrid.functions.text import unmark_placeholders
 from lineagrid.functions.words import CLAUSES
-from lineagrid.operators.closure import contained
+from lineagrid.operators.closure import contained, union_all
 from lineagrid.operators.resolve import Model, feeding_columns
-from lineagrid.session import keep
+from lineagrid.session import keep, together
 
 COLUMNS = ["h", "bpos", "pos", "clause", "cpos", "tok"]
 
@@ -31,7 +31,7 @@ def mention_rows(
     is_sort = (F.col("clause") == "ORDER_BY") & (F.col("q") == "")
     read = results.withColumnRenamed("node", "report_node")
     to_report = nodes.select("h", "node", "report_node")
-    plain = refs.filter(~is_sort).join(to_report, ["h", "node"]).join(read, ["h", "report_node"]).select(
+    plain = together(refs.filter(~is_sort).join(to_report, ["h", "node"])).join(read, ["h", "report_node"]).select(
         *COLUMNS, "cat", "sch", "name_t", "col", "reason", "path"
     )
     sorts = refs.filter(is_sort).select(*COLUMNS, "n", "node", "name")
@@ -63,12 +63,13 @@ def mention_rows(
         F.upper("n").alias("col"), F.lit("DERIVED_COLUMN").alias("reason"),
         F.array().cast("array<int>").alias("path"),
     )
-    feeding = feeding_columns(m).withColumn("depth", F.lit(0)).unionByName(inside)
+    feeding = union_all([feeding_columns(m).withColumn("depth", F.lit(0)), inside])
     as_written = unmark_placeholders(F.col("name"))
     by_output = (
-        sorts.filter("way = 'OUTPUT'").drop("node")
-        .join(feeding.withColumnRenamed("pos", "at"), ["h", "bpos", "n"])
-        .join(to_report, ["h", "node"]).join(read.drop("col"), ["h", "report_node"])
+        together(together(
+            sorts.filter("way = 'OUTPUT'").drop("node")
+            .join(feeding.withColumnRenamed("pos", "at"), ["h", "bpos", "n"])
+        ).join(to_report, ["h", "node"])).join(read.drop("col"), ["h", "report_node"])
         .select(*COLUMNS, "cat", "sch", "name_t", as_written.alias("col"), "reason",
                 F.concat(F.array("depth", "at"), "path").alias("path"))
     )
@@ -88,11 +89,12 @@ def mention_rows(
                 F.concat(F.array("depth", "at"), "path").alias("path"))
     )
     nested = keep(nested)
-    rest = sorts.filter("way = 'PLAIN'").unionByName(
+    rest = union_all([
+        sorts.filter("way = 'PLAIN'"),
         sorts.filter("way = 'NESTED'").join(nested.select("h", "pos").distinct(), ["h", "pos"], "left_anti")
-        .select(*sorts.columns)
-    )
-    rest = rest.join(to_report, ["h", "node"]).join(read, ["h", "report_node"]).select(
+        .select(*sorts.columns),
+    ])
+    rest = together(rest.join(to_report, ["h", "node"])).join(read, ["h", "report_node"]).select(
         *COLUMNS, "cat", "sch", "name_t", "col", "reason", "path"
     )
-    return plain.unionByName(derived).unionByName(by_output).unionByName(nested).unionByName(rest)
+    return union_all([plain, derived, by_output, nested, rest])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lineagrid.functions.text import readable_not, strip, unmark_placeholders
 from lineagrid.functions.words import token_array
-from lineagrid.operators.closure import follow
+from lineagrid.operators.closure import follow, union_all
 from lineagrid.operators.render import printed, render, spaced
 from lineagrid.operators.resolve import GUESSES, Model
 
@@ -37,7 +37,7 @@ def condition_mentions(m: Model, inside: DataFrame) -> DataFrame:
 
     held = follow(seed, step, ["h", "bpos", "pred", "spos"], "depth").drop("depth")
     nested = held.join(usable.withColumnRenamed("own_spos", "spos"), ["h", "spos"]).drop("spos")
-    both = own.unionByName(nested)
+    both = union_all([own, nested])
     known = both.join(m.keys.select("h", "bpos", F.col("key").alias("q")), ["h", "bpos", "q"], "left_semi")
     # a CTE name counts in every block of the statement
     cte = both.join(

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from lineagrid.functions.text import text_alias_pairs, text_table_refs, unmark_placeholders
 from lineagrid.operators.closure import contained, follow, union_all
 from lineagrid.operators.scopes import EVERY_NAME, tables_beneath
-from lineagrid.session import keep, keep_bucketed
+from lineagrid.session import keep, keep_bucketed, together
 
 TABLE_TYPE = "struct<cat:string,sch:string,name:string>"
 # Rules whose result depends on who asks: see `for_conditions` and `for_report`.
@@ -116,7 +116,7 @@ def scope_outcome(df: DataFrame, m: Model, names: DataFrame) -> tuple[DataFrame,
     by_name = contained(missing, inside.filter(F.col("n") != EVERY_NAME), ["h", "n"])
     any_of = contained(missing, inside.filter(F.col("n") == EVERY_NAME), ["h"])
     nested = keep(
-        by_name.unionByName(missing.join(any_of, ["h", "low", "high"]))
+        union_all([by_name, missing.join(any_of, ["h", "low", "high"])])
         .select("h", F.col("low").alias("s"), "n", F.col("at").alias("bpos"))
         .distinct()
     )
@@ -168,7 +168,7 @@ def classify(nodes: DataFrame, m: Model, names: DataFrame) -> tuple[DataFrame, D
         F.struct("cat", "sch", "name").alias("lone"),
     )
     placed = (
-        nodes.join(m.info.drop("spos"), ["h", "bpos"])
+        together(nodes.join(m.info.drop("spos"), ["h", "bpos"]))
         .join(m.ranges.select("h", "bpos", "stored_from", "stored_to"), ["h", "bpos"], "left")
         .withColumn(
             "lone_no",
@@ -214,9 +214,9 @@ def classify(nodes: DataFrame, m: Model, names: DataFrame) -> tuple[DataFrame, D
     )
     open_, nested = scope_outcome(placed.filter(~settled), m, names)
     # rule for several scopes: does any of them trace the name
-    some = open_.filter("n_tables = 0 AND n_subs > 1").select("h", "bpos", "n").distinct().join(
+    some = together(open_.filter("n_tables = 0 AND n_subs > 1").select("h", "bpos", "n").distinct().join(
         m.sources.filter("kind <> 'T'").select("h", "bpos", F.col("target").alias("s")), ["h", "bpos"]
-    )
+    ))
     some = _traced(some, names).select("h", "bpos", "n", F.lit(True).alias("any_traces")).distinct()
     star = star_choice(
         open_.filter("q = ''").select("h", "bpos", "n").distinct(), m, names, with_rest=False
@@ -280,7 +280,7 @@ def classify(nodes: DataFrame, m: Model, names: DataFrame) -> tuple[DataFrame, D
         .when(F.col("rule") == "NOTHING", "SUBQUERY_UNRESOLVED")
         .otherwise("").alias("reason"),
     )
-    return direct.unionByName(open_, allowMissingColumns=True), nested
+    return union_all([direct, open_]), nested
 
 
 def _traced(df: DataFrame, names: DataFrame) -> DataFrame:
@@ -289,7 +289,7 @@ def _traced(df: DataFrame, names: DataFrame) -> DataFrame:
     any_name = df.join(
         names.filter(F.col("n") == EVERY_NAME).select("h", "s"), ["h", "s"], "left_semi"
     )
-    return by_name.unionByName(any_name).distinct()
+    return union_all([by_name, any_name]).distinct()
 
 
 def star_choice(nodes: DataFrame, m: Model, names: DataFrame, with_rest: bool) -> DataFrame:
@@ -299,7 +299,7 @@ def star_choice(nodes: DataFrame, m: Model, names: DataFrame, with_rest: bool) -
     the block, its only table, and the only base table beneath (``s`` = -2
     stands for all scopes).
     """
-    alternatives = nodes.join(m.stars, ["h", "bpos"])
+    alternatives = together(nodes.join(m.stars, ["h", "bpos"]))
     traced = _traced(
         alternatives.filter("key_table IS NULL AND key_scope IS NOT NULL")
         .select("h", F.col("key_scope").alias("s"), "n").distinct(),
@@ -330,8 +330,8 @@ def star_choice(nodes: DataFrame, m: Model, names: DataFrame, with_rest: bool) -
         return choice
     rest = nodes.join(choice, ["h", "bpos", "n"], "left_anti")
     subs = _traced(
-        rest.join(m.sources.filter("kind <> 'T'").select("h", "bpos", F.col("target").alias("s")),
-                  ["h", "bpos"]),
+        together(rest.join(m.sources.filter("kind <> 'T'").select("h", "bpos", F.col("target").alias("s")),
+                           ["h", "bpos"])),
         names,
     ).select("h", "bpos", "n", F.lit(-2).alias("all_scopes")).distinct()
     only = m.scopes.select("h", F.col("spos").alias("only_sub"), "single_table")
@@ -343,7 +343,7 @@ def star_choice(nodes: DataFrame, m: Model, names: DataFrame, with_rest: bool) -
               F.col("block_base"))
     )
     rest = (
-        rest.join(m.info.drop("spos"), ["h", "bpos"])
+        together(rest.join(m.info.drop("spos"), ["h", "bpos"]))
         .join(m.bases, ["h", "bpos"], "left")
         .join(only, ["h", "only_sub"], "left")
         .join(subs, ["h", "bpos", "n"], "left")
@@ -355,7 +355,7 @@ def star_choice(nodes: DataFrame, m: Model, names: DataFrame, with_rest: bool) -
         )
         .filter("table IS NOT NULL OR s IS NOT NULL")
     )
-    return choice.unionByName(rest)
+    return union_all([choice, rest])
 
 
 def _targets(df: DataFrame, m: Model, columns: list[str]) -> DataFrame:
@@ -370,8 +370,10 @@ def _targets(df: DataFrame, m: Model, columns: list[str]) -> DataFrame:
               ["h", "bpos"])
     )
     return (
-        df.filter("s <> -2").select(*columns, "s", F.lit(False).alias("several"))
-        .unionByName(all_of.select(*columns, "s", F.lit(True).alias("several")))
+        union_all([
+            df.filter("s <> -2").select(*columns, "s", F.lit(False).alias("several")),
+            all_of.select(*columns, "s", F.lit(True).alias("several")),
+        ])
         .join(members, ["h", "s"])
         .select(*columns, "to", (F.col("several") | F.col("set")).alias("folds"))
     )
@@ -449,7 +451,8 @@ def expand_outputs(wanted: DataFrame, m: Model, names: DataFrame) -> tuple[DataF
             .join(star_blocks, ["h", "at"], "left_semi")
             .withColumnRenamed("at", "bpos")
         )
-        return star_choice(cur, m, names, with_rest=True)
+        # read twice: by its tables and by its scopes
+        return keep(star_choice(cur, m, names, with_rest=True))
 
     def step(frontier):
         hops = _targets(choices(frontier).filter("s IS NOT NULL"), m, ["h", "bpos", "n"])
@@ -465,7 +468,7 @@ def expand_outputs(wanted: DataFrame, m: Model, names: DataFrame) -> tuple[DataF
     )
     ends = choices(walked).filter("table IS NOT NULL").withColumnRenamed("bpos", "at").drop("s")
     rows = walked.join(ends, ["h", "at", "n"]).select("h", "bpos", "n", "table", "reason", "path")
-    return direct.unionByName(found), rows
+    return union_all([direct, found]), rows
 
 
 def text_rules(open_: DataFrame, m: Model, names: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -493,8 +496,7 @@ def text_rules(open_: DataFrame, m: Model, names: DataFrame) -> tuple[DataFrame,
         .agg(F.max_by(as_table(F.col("pair")), "nth").alias("alias_ref"))
     )
     looked = (
-        open_.select("h", "bpos", "q", "n", "rule")
-        .join(firsts, "h")
+        together(open_.select("h", "bpos", "q", "n", "rule").join(firsts, "h"))
         .join(aliases, ["h", "q"], "left")
         .withColumn("by_alias", F.coalesce("alias_ref", "only_ref"))
         .withColumn(
@@ -559,7 +561,7 @@ def without_tracing(nodes: DataFrame, m: Model) -> DataFrame:
         scope_names(replace(m, traceable=nothing)),
     )
     again = keep(again)
-    return settled_ends(again).unionByName(base_ends(again, m))
+    return union_all([settled_ends(again), base_ends(again, m)])
 
 
 def cut_cycles(
@@ -595,7 +597,7 @@ def cut_cycles(
     passed = reach.select("h", "origin", F.col("node").alias("entering")).join(
         outside, ["h", "entering"]
     ).select("h", "origin", "closing")
-    pairs = starts.unionByName(passed).distinct()
+    pairs = union_all([starts, passed]).distinct()
     cut = keep(without_tracing(
         going.join(on_cycle.select("h", "node").distinct(), ["h", "node"], "left_semi"), m
     ))
@@ -608,13 +610,13 @@ def cut_cycles(
     )
     closed = keep(closed)
     # several scopes that all lead back: no single entry, so the mention itself is looked up
-    found = traced.select("h", "node").unionByName(closed.select("h", "node")).distinct()
+    found = union_all([traced.select("h", "node"), closed.select("h", "node")]).distinct()
     lost = going.join(in_cycles, "h", "left_semi").join(found, ["h", "node"], "left_anti")
     rest = without_tracing(lost, m).select(
         "h", "node", F.lit(0).cast("long").alias("rid"), "table", "reason", "n",
         F.lit(None).cast("string").alias("tweaked"), "path",
     )
-    return closed.unionByName(rest)
+    return union_all([closed, rest])
 
 
 def resolve(m: Model, more: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -625,7 +627,7 @@ def resolve(m: Model, more: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``rid`` tells the ways apart on which one column is met more than once.
     """
     columns = ["h", "bpos", "q", "n", "node"]
-    mentions = m.refs.select(*columns).unionByName(more.select(*columns)).distinct()
+    mentions = union_all([m.refs.select(*columns), more.select(*columns)]).distinct()
     names = keep(scope_names(m))
     plain, nested = classify(mentions, m, names)
     plain = keep(plain)
@@ -634,12 +636,12 @@ def resolve(m: Model, more: DataFrame) -> tuple[DataFrame, DataFrame]:
         plain.filter(F.col("rule").isin(late + GUESSES) & F.lit(m.scan_text)), m, names
     )
     scanned = keep(scanned)
-    nodes = plain.unionByName(scanned, allowMissingColumns=True)
-    nested = nested.unionByName(nested_2).distinct()
+    nodes = union_all([plain, scanned])
+    nested = union_all([nested, nested_2]).distinct()
 
     going = nodes.filter("act IN ('TRACE', 'NESTED', 'ANY')")
     sets = m.blocks.filter("n_branches > 1").select("h", F.col("spos").alias("s"))
-    folding = sets.unionByName(m.cyclic).distinct().withColumn("set", F.lit(True))
+    folding = union_all([sets, m.cyclic]).distinct().withColumn("set", F.lit(True))
     # from a folding mention on, equal columns count once
     going = keep(
         going.join(folding, ["h", "s"], "left")
@@ -699,7 +701,7 @@ def resolve(m: Model, more: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     traced = keep(traced)
     if not m.cyclic.isEmpty():
-        traced = keep(traced.unionByName(cut_cycles(m, going, links, walked, traced)))
+        traced = keep(union_all([traced, cut_cycles(m, going, links, walked, traced)]))
     # a reason is filled in only where no row of that mention has one, and the
     # innermost such mention decides
     fires = (
@@ -717,7 +719,7 @@ def resolve(m: Model, more: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     up = lambda c: F.upper(unmark_placeholders(F.col(c)))
     results = (
-        plain_ends.unionByName(traced)
+        union_all([plain_ends, traced])
         .select("h", "node", "rid", up("table.cat").alias("cat"), up("table.sch").alias("sch"),
                 up("table.name").alias("name"), F.upper("n").alias("col"), "reason", "path")
         .groupBy("h", "node", "rid", "cat", "sch", "name", "col")

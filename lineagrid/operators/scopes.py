@@ -118,9 +118,10 @@ def _values(scopes: DataFrame, info: DataFrame, own: DataFrame, arrived: DataFra
     """(h, spos, first, low, high, real, single) of scopes (h, spos) from their own tables and
     what has arrived from the scopes they read."""
     parts = ["h", "spos", "bpos", "pos", "first", "low", "high", "real"]
-    rows = own.join(scopes, ["h", "spos"], "left_semi").select(*parts).unionByName(
-        arrived.filter("low IS NOT NULL").select(*parts)
-    )
+    rows = union_all([
+        own.join(scopes, ["h", "spos"], "left_semi").select(*parts),
+        arrived.filter("low IS NOT NULL").select(*parts),
+    ])
     below = block_bases(arrived)
     passed = arrived.select("h", "bpos", F.col("single").alias("passed"))
     leaf = (
@@ -203,7 +204,7 @@ def scope_values(
         .join(values.withColumnRenamed("spos", "target"), ["h", "target"]).select(*none.columns)
     )
     more, came, cyclic = _recursive_values(stuck, info, own, edges, here)
-    return values.unionByName(more), union_all([arrivals, here, came.select(*none.columns)]), cyclic
+    return union_all([values, more]), union_all([arrivals, here, came.select(*none.columns)]), cyclic
 
 
 def _recursive_values(
@@ -238,9 +239,10 @@ def _recursive_values(
     around = inner.select("h", "spos", F.col("target").alias("origin"), "single")
     cyclic = around.join(reached, ["h", "origin", "spos"])
     parts = ["h", "spos", "bpos", "pos", "first", "low", "high", "real"]
-    tables = own.join(stuck, ["h", "spos"], "left_semi").select(*parts).unionByName(
-        here.filter("low IS NOT NULL").select(*parts)
-    )
+    tables = union_all([
+        own.join(stuck, ["h", "spos"], "left_semi").select(*parts),
+        here.filter("low IS NOT NULL").select(*parts),
+    ])
     summed = keep(_summed(
         reached.join(tables, ["h", "spos"]).select(
             "h", F.col("origin").alias("spos"), F.concat("path", F.array("bpos", "pos")).alias("place"),
@@ -255,7 +257,7 @@ def _recursive_values(
     none = reached.filter("not_single = 0").select("h", F.col("origin").alias("top"), F.col("spos").alias("origin")).join(
         back, ["h", "origin"], "left_semi"
     ).select("h", F.col("top").alias("spos")).distinct()
-    inputs = here.unionByName(came.select(*here.columns))
+    inputs = union_all([here, came.select(*here.columns)])
     leaves = _values(stuck, info.join(
         inner.filter("single").select("h", "bpos"), ["h", "bpos"], "left_anti"
     ), own, inputs).select("h", F.col("spos").alias("leaf_spos"), F.col("single").alias("leaf"))
@@ -353,8 +355,8 @@ def traceable_names(
         )
         .select("h", "bpos")
     )
-    any_name = by_alias.unionByName(by_count).withColumn("n", F.lit(EVERY_NAME))
-    seed = named.unionByName(any_name).distinct().withColumn("round", F.lit(0))
+    any_name = union_all([by_alias, by_count]).withColumn("n", F.lit(EVERY_NAME))
+    seed = union_all([named, any_name]).distinct().withColumn("round", F.lit(0))
     passing = keep(
         edges.filter("has_star")
         .select("h", F.col("bpos").alias("outer_bpos"), F.col("target").alias("spos"))

@@ -20,7 +20,8 @@ from lineagrid.operators.resolve import (
 from lineagrid.operators.shapes import STAND_IN, as_shape, places, text_columns, with_number
 from lineagrid.operators.tokens import distinct_shapes, read_shapes, shaped, text_key, token_table
 from lineagrid.session import (
-    drop_job, in_job, keep, keep_bucketed, keep_sized, on_shapes, prepare, settings_for, with_settings,
+    drop_job, in_job, keep, keep_bucketed, keep_sized, on_shapes, prepare, settings_for, together,
+    with_settings,
 )
 
 
@@ -232,7 +233,7 @@ class Lineage:
                          "pos", "path")
         in_place = Window.partitionBy("h").orderBy("place")
         joined = (
-            found.join(self.blocks.select("h", "bpos", "block_id", "level_no"), ["h", "bpos"])
+            together(found.join(self.blocks.select("h", "bpos", "block_id", "level_no"), ["h", "bpos"]))
             .join(conditions, ["h", "bpos", "cat", "sch", "name_t"], "left")
             .select(
                 "h", "block_id", place.alias("place"), "cpos", "cond_no",

@@ -21,6 +21,8 @@ KEY = "h"
 _job: ContextVar[str] = ContextVar("job", default="")
 #: the settings the session had when the outermost method of a job began
 _own: ContextVar[dict | None] = ContextVar("own", default=None)
+#: whether what is kept has so few rows that one task takes all of it
+_one_task: ContextVar[bool] = ContextVar("one_task", default=False)
 # one method at a time changes settings and puts them back
 _lock = RLock()
 
@@ -77,15 +79,28 @@ def keep_sized(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{_folder(spark, _job.get())}/kept-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return together(spark.read.schema(df.schema).parquet(path))
+
+
+def together(df: DataFrame) -> DataFrame:
+    """Rows that are few enough for one task, as one partition: it is known to hold all rows of
+    each key, so what reads it needs no exchange. Others stay as they are."""
+    return df.coalesce(1) if _one_task.get() else df
 
 
 #: what is set otherwise for work on few shapes
 SETTINGS = [
     "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled", "spark.sql.codegen.wholeStage",
     "spark.sql.codegen.factoryMode", "spark.sql.autoBroadcastJoinThreshold",
-    "spark.sql.optimizer.runtime.bloomFilter.enabled",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled", "spark.sql.constraintPropagation.enabled",
+    "spark.sql.dataFrameQueryContext.enabled", "spark.sql.ui.explainMode",
+    "spark.sql.optimizer.excludedRules",
 ]
+# these would put a semi join beneath what says that its side is one partition
+PUSHED = ",".join(
+    f"org.apache.spark.sql.catalyst.optimizer.{rule}"
+    for rule in ("PushDownLeftSemiAntiJoin", "PushLeftSemiLeftAntiThroughJoin")
+)
 # Up to so many characters of shapes cost less to work on than to plan for, and so
 # many make a task of their own then.
 FEW, CHARACTERS_PER_TASK = 1_000_000, 125_000
@@ -100,24 +115,28 @@ def settings_for(spark: SparkSession, n_characters: int) -> dict[str, str]:
 
     The work takes some hundred short plans. On few shapes their cost is that of compiling code
     for each, of a job for each exchange and of tasks that hold no row, so plans are
-    interpreted, run as one job and get tasks by the size. Results are the same; with more shapes
-    the session's own settings hold.
+    interpreted, run as one job and get tasks by the size. Shapes for one task are kept as one
+    partition each result, which no join, grouping or window exchanges. Results are the same; with
+    more shapes the session's own settings hold.
     """
     settings = session_settings(spark)
     if n_characters > FEW:
         return settings
     parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_characters // CHARACTERS_PER_TASK) or 1)
-    return dict(zip(SETTINGS, [str(parts), "false", "false", "NO_CODEGEN", "-1", "false"]))
+    return dict(zip(SETTINGS, [str(parts), "false", "false", "NO_CODEGEN", "-1", "false", "false", "false", "simple", PUSHED]))
 
 
 @contextmanager
 def with_settings(spark: SparkSession, settings: dict[str, str]):
     """Plans that are made and run inside get these settings."""
     before = session_settings(spark)
+    few = settings["spark.sql.codegen.factoryMode"] == "NO_CODEGEN"
+    token = _one_task.set(few and settings["spark.sql.shuffle.partitions"] == "1")
     try:
         _set(spark, before, settings)
         yield
     finally:
+        _one_task.reset(token)
         _set(spark, settings, before)
 
 
@@ -160,7 +179,9 @@ def _in_job(method, settings):
 def keep_bucketed(df: DataFrame, name: str) -> DataFrame:
     """Write a result that several joins read as a table bucketed on the text
     key: later joins and windows on that key start without an exchange, and
-    each reader scans only the columns it uses."""
+    each reader scans only the columns it uses. One partition needs no buckets for that."""
+    if _one_task.get():
+        return keep_sized(df)
     spark = df.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"lineagrid_{_job.get()}_{name}_{uuid.uuid4().hex}"

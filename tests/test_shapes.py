@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lineagrid.operators.shapes import STAND_IN, as_shape, with_number, with_shape
 from lineagrid.plans.pipeline import Lineage
 from lineagrid.session import (
-    CHARACTERS_PER_TASK, FEW, prepare, session_settings, settings_for, with_settings,
+    CHARACTERS_PER_TASK, FEW, prepare, session_settings, settings_for, together, with_settings,
 )
 from conftest import statement_table
 
@@ -77,3 +77,19 @@ def test_work_on_few_shapes_gets_tasks_by_their_size(spark):
     with pytest.raises(ValueError), with_settings(spark, small):
         raise ValueError
     assert session_settings(spark) == before
+
+
+def test_few_shapes_are_joined_and_grouped_without_exchange(spark):
+    texts = [f"SELECT a.x FROM (SELECT b.x FROM sales_{i} b) a WHERE a.x > 1 ORDER BY x" for i in range(20)]
+    with Lineage(statement_table(spark, texts)) as job:
+        with with_settings(spark, job.shape_settings):
+            both = job.blocks.join(job.refs, ["h", "bpos"]).groupBy("h", "bpos").count()
+            some = job.refs.join(job.blocks.select("h"), ["h"], "left_semi").distinct()
+            plans = [df._jdf.queryExecution().executedPlan().toString() for df in (both, some)]
+        assert not any("Exchange" in plan for plan in plans)
+        assert job.lineage().count() == 20 * job.rows.count() > 0
+    # tables of more than one task, and statements, keep their partitions
+    wide = spark.range(0, 100, 1, 4)
+    with with_settings(spark, settings_for(spark, 3 * CHARACTERS_PER_TASK)):
+        assert together(wide).rdd.getNumPartitions() == 4
+    assert together(wide).rdd.getNumPartitions() == 4
