@@ -13,7 +13,8 @@ place is given up at most once, so a piece takes linear time.
 Defined cases: a null text is an empty one; an empty text has no ids and
 decodes to nothing; a repeated row gives a repeated result; columns other than
 id and text play no part. Memory: the tables of remembered pieces and pairs
-are emptied when full, and long pieces are not remembered.
+are emptied when full or when the worker begins a task of another operator, and long
+pieces are not remembered.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from lineagrid.llm.common import pieces, texts
+from lineagrid.llm.common import begin, pieces, remembers, texts
 
 MAX_PIECES, MAX_PAIRS, LONG_PIECE = 500_000, 1_000_000, 64
 NEVER = math.inf
@@ -175,6 +176,9 @@ def _encoder(data: bytes, pattern: str) -> BytePairEncoder:
     return BytePairEncoder(data, pattern)
 
 
+remembers("byte_pairs", _encoder.cache_clear)
+
+
 def _vocabulary(docs: DataFrame, path: str, pattern: str):
     """Rank files hold a fixed vocabulary (under 1 MB), whatever the corpus."""
     with open(path, "rb") as file:
@@ -187,6 +191,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     source = _vocabulary(docs, path, pattern)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("byte_pairs")
         encoder = _encoder(*source.value)
         for batch in pieces(batches):
             found = [np.array(encoder.encode(t), np.int32) for t in batch.column(1).to_pylist()]
@@ -203,6 +208,7 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     source = _vocabulary(encoded, path, pattern)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("byte_pairs")
         encoder = _encoder(*source.value)
         for batch in pieces(batches):
             found = [encoder.decode(ids or []) for ids in batch.column(1).to_pylist()]
@@ -221,6 +227,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False)
     source = _vocabulary(docs, path, pattern)
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("byte_pairs")
         encoder = _encoder(*source.value)
         for batch in pieces(batches):
             counts, ids_sha, data_sha, kept = [], [], [], []

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,21 @@ class WordHashes(dict):
 
 #: one in each Python worker
 word_hashes = WordHashes()
+#: what operators remember in this Python worker, and how it is dropped
+_remembered: dict[str, Callable[[], None]] = {"words": word_hashes.clear}
+
+
+def remembers(operator: str, drop: Callable[[], None]) -> None:
+    """Name what an operator remembers from task to task."""
+    _remembered[operator] = drop
+
+
+def begin(operator: str) -> None:
+    """Called where a task of ``operator`` begins. A Python worker serves one stage after
+    another; what other operators remember in it is dropped, so that it does not add up."""
+    for name, drop in _remembered.items():
+        if name != operator:
+            drop()
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

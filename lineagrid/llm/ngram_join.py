@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineagrid.llm.common import mixed, pieces, stored, texts, word_hashes
+from lineagrid.llm.common import begin, mixed, pieces, stored, texts, word_hashes
 from lineagrid.llm.components import connected_components
 
 BLOCK = 256
@@ -92,6 +92,7 @@ def prefix_size(n: int, percent: int) -> int:
 
 def _chunk(table: pa.Table, width: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """The sets of a chunk, its distinct n-grams, and how many sets hold each."""
+    begin("words")
     sets = [ngrams(text, width) for text in table.column("text").to_pylist()]
     distinct, held = np.unique(np.concatenate(sets), return_counts=True)
     return sets, distinct, held

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lineagrid.llm.common import pieces, stored
+from lineagrid.llm.common import begin, pieces, stored
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -77,6 +77,7 @@ def _numbers(text: str) -> tuple[int, ...]:
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    begin("quality")
     for batch in pieces(batches):
         rows = [_numbers(text or "") for text in batch.column("_llm_text").to_pylist()]
         columns = np.array(rows, np.int64).reshape(-1, len(MEASURED)).T

@@ -117,6 +117,19 @@ def test_full_tables_do_not_change_ids(library, monkeypatch):
     assert encoder.encode(text) == library.encode_ordinary(text)
 
 
+def test_a_worker_remembers_one_operator_at_a_time():
+    data = open(RANKS, "rb").read()
+    common.word_hashes[b"word"]
+    common.begin("byte_pairs")
+    assert not common.word_hashes
+    encoder = bpe._encoder(data, public_tokenizers.PATTERN)
+    common.begin("byte_pairs")
+    assert bpe._encoder(data, public_tokenizers.PATTERN) is encoder
+    common.word_hashes[b"word"]
+    list(quality_rules._measure(iter([])))
+    assert bpe._encoder.cache_info().currsize == 0 and not common.word_hashes
+
+
 def test_round_trip_of_odd_documents(spark, library):
     docs = odd_documents(spark)
     rows = bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN, with_ids=True).collect()
