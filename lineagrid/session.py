@@ -202,5 +202,10 @@ def drop_job(spark: SparkSession, job_id: str) -> None:
     """Drop the tables a job has kept, and their files."""
     for table in spark.catalog.listTables(pattern=f"lineagrid_{job_id}_*"):
         spark.sql(f"DROP TABLE IF EXISTS {table.name}")
-    path = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark, job_id))
+    drop_files(spark, _folder(spark, job_id))
+
+
+def drop_files(spark: SparkSession, folder: str) -> None:
+    """Delete a folder, if there is one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lineagrid.session import drop_files
+
 STATEMENT_SCHEMA = T.StructType([
     T.StructField("stmt_id", T.LongType()),
     T.StructField("JOB_NAME", T.StringType()),
@@ -51,15 +53,19 @@ STAGES = {
     "raw_sql string",
 }
 RUNS = "run_id string, stage string, n_rows long, done boolean"
+# Records of a stage are much alike, so little of them is left when compressed; a
+# compressed file is read by one task, so a new one begins after so many records
+RECORD_OPTIONS = {"compression": "gzip", "maxRecordsPerFile": "1000000"}
 
 
 def append_stages(job, folder: str, run_id: str) -> None:
-    """Append the three stage tables of a run as JSON lines, one folder per run.
+    """Append the three stage tables of a run as JSON lines (gzip), one folder per run.
 
     A run that is appended again replaces its own records and no others. The table
     ``runs`` says what a run has written; it is marked as under way first and as done when
     all three stages are complete, so that what a run broken off has left is not
-    read. Records carry ``stmt_id``, so runs and statements can be told apart.
+    read. What the run wrote before goes once it is marked, so that old and new records never
+    take disk side by side. Records carry ``stmt_id``, so runs and statements can be told apart.
     """
     spark, folder = job.statements.sparkSession, folder.rstrip("/")
     records = {
@@ -71,12 +77,16 @@ def append_stages(job, folder: str, run_id: str) -> None:
     def replace(table: DataFrame, name: str) -> None:
         table.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
-        ).partitionBy("run_id").json(f"{folder}/{name}")
+        ).options(**RECORD_OPTIONS).partitionBy("run_id").json(f"{folder}/{name}")
 
     def mark(rows: list[tuple]) -> None:
         replace(spark.createDataFrame(rows, "stage string, n_rows long, done boolean").coalesce(1), "runs")
 
     mark([(name, 0, False) for name in STAGES])
+    paths = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    own = paths.getPartitionPathString("run_id", str(run_id))
+    for name in STAGES:
+        drop_files(spark, f"{folder}/{name}/{own}")
     written = []
     for name in STAGES:
         count = Observation()
