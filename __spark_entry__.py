@@ -435,7 +435,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         report_full, report_written, statement_formats, stage_tables,
     ]
     found = {q.__name__: q for q in listed}
-    return found if llm is None else found | llm.queries() | {"pipeline": corpus_pipeline.run}
+    return found if llm is None else found | llm.queries() | llm.more_queries() | {"pipeline": corpus_pipeline.run}
 
 
 # --- oracles -----------------------------------------------------------------

@@ -180,18 +180,17 @@ def keep_bucketed(df: DataFrame, name: str) -> DataFrame:
     """Write a result that several joins read as a table bucketed on the text
     key: later joins and windows on that key start without an exchange, and
     each reader scans only the columns it uses. One partition needs no buckets for that."""
-    if _one_task.get():
-        return keep_sized(df)
     spark = df.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.write
+    if not _one_task.get():
+        writer = writer.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), KEY)
     table = f"lineagrid_{_job.get()}_{name}_{uuid.uuid4().hex}"
     (
-        df.write.bucketBy(buckets, KEY)
-        .option("path", f"{_folder(spark, _job.get())}/{table}")
+        writer.option("path", f"{_folder(spark, _job.get())}/{table}")
         .format("parquet")
         .saveAsTable(table)
     )
-    return spark.table(table)
+    return together(spark.table(table))
 
 
 def _folder(spark: SparkSession, job_id: str) -> str:
